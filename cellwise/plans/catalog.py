@@ -184,3 +184,248 @@ SCORED_ORDERS_SQL = f"""
 def roc_auc_ovr_orders(spark, sf):
     """C6 on orders."""
     return _round(C.roc_auc_ovr(scored_orders(spark, sf), "y", "probability"), ["roc_auc"])
+
+
+# ---------------------------------------------------------------------------
+# Casts, flags, labels, preview
+# ---------------------------------------------------------------------------
+
+@register("cast_features_lineitem", """
+  SELECT TRY_CAST(qty AS DOUBLE) AS quantity, TRY_CAST(price AS DOUBLE) AS price,
+         TRY_CAST(line AS BIGINT) AS line, flag AS flag,
+         (qty IS NOT NULL AND TRY_CAST(qty AS DOUBLE) IS NULL)
+           OR (price IS NOT NULL AND TRY_CAST(price AS DOUBLE) IS NULL)
+           OR (line IS NOT NULL AND TRY_CAST(line AS BIGINT) IS NULL) AS _rejected
+  FROM (SELECT CASE WHEN l_orderkey % 19 = 0 THEN 'n/a' ELSE CAST(l_quantity AS VARCHAR) END AS qty,
+               CASE WHEN l_linenumber = 3 THEN NULL ELSE CAST(l_extendedprice AS VARCHAR) END AS price,
+               CASE WHEN l_orderkey % 23 = 0 THEN 'seven' ELSE CAST(l_linenumber AS VARCHAR) END AS line,
+               l_returnflag AS flag FROM lineitem) t""")
+def cast_features_lineitem(spark, sf):
+    """Strict select + try_cast with a rejection flag (text in numeric fields)."""
+    li = read_table(spark, sf, "lineitem")
+    k = F.col("l_orderkey")
+    raw = li.select(
+        F.when(k % 19 == 0, F.lit("n/a")).otherwise(F.col("l_quantity").cast("string")).alias("qty"),
+        F.when(F.col("l_linenumber") == 3, F.lit(None).cast("string"))
+         .otherwise(F.col("l_extendedprice").cast("string")).alias("price"),
+        F.when(k % 23 == 0, F.lit("seven")).otherwise(F.col("l_linenumber").cast("string")).alias("line"),
+        F.col("l_returnflag").alias("flag"))
+    out = P.cast_features(raw, {"qty": "double", "price": "double", "line": "bigint", "flag": "string"})
+    return out.withColumnRenamed("qty", "quantity")
+
+
+@register("order_flags_labels", f"""
+  SELECT o_orderkey, o_orderstatus = 'F' AS is_final,
+         CAST(({ORDER_CODE_SQL}) AS INTEGER) AS class_code,
+         CASE {ORDER_CODE_SQL} WHEN 0 THEN 'Short' WHEN 1 THEN 'Medium' WHEN 2 THEN 'Long' END AS class_name,
+         CAST(trunc(o_totalprice) AS INTEGER) AS price_int
+  FROM orders""")
+def order_flags_labels(spark, sf):
+    """P9 flag, P12 code -> text, P10 int cast, P7 drop."""
+    from cellwise.config import EV_CLASS_NAMES
+
+    o = read_table(spark, sf, "orders")
+    code = F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2)
+    x = P.to_flag(o, "o_orderstatus", "F", out="is_final").withColumn("class_code", code.cast("int"))
+    x = P.label_text(x, "class_code", EV_CLASS_NAMES, out="class_name")
+    x = P.to_int_matrix(x.withColumn("price_int", F.col("o_totalprice")), ["price_int"])
+    x = P.drop_columns(x, ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    return x
+
+
+@register("label_text_labels", """
+  SELECT doc_id, CASE WHEN quality = 1 THEN 'alive' ELSE 'dead' END AS quality_label FROM labels""")
+def label_text_labels(spark, sf):
+    """P12 with a default: 1 -> 'alive', anything else -> 'dead'."""
+    from cellwise.config import ALIVE_DEFAULT, ALIVE_NAMES
+
+    lb = read_table(spark, sf, "labels")
+    return P.label_text(lb, "quality", ALIVE_NAMES, ALIVE_DEFAULT, out="quality_label").select(
+        "doc_id", "quality_label")
+
+
+@register("preview_orders", """
+  SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY o_orderkey LIMIT 10""")
+def preview_orders(spark, sf):
+    """First 10 rows in key order (top-k, no global sort)."""
+    o = read_table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return P.preview(o, 10, ["o_orderkey"])
+
+
+# ---------------------------------------------------------------------------
+# A1, A3-A8, K1
+# ---------------------------------------------------------------------------
+
+@register("shape_lineitem", "SELECT count(*) AS rows, CAST(11 AS INTEGER) AS columns FROM lineitem")
+def shape_lineitem(spark, sf):
+    """A1."""
+    return A.shape(read_table(spark, sf, "lineitem"))
+
+
+@register("column_info_orders", """
+  SELECT * FROM (VALUES
+    (0, 'o_orderkey', (SELECT count(o_orderkey) FROM orders), 'bigint'),
+    (1, 'o_custkey', (SELECT count(o_custkey) FROM orders), 'bigint'),
+    (2, 'o_orderstatus', (SELECT count(o_orderstatus) FROM orders), 'string'),
+    (3, 'o_totalprice', (SELECT count(o_totalprice) FROM orders), 'double'),
+    (4, 'o_orderdate', (SELECT count(o_orderdate) FROM orders), 'timestamp_ntz'),
+    (5, 'o_orderpriority', (SELECT count(o_orderpriority) FROM orders), 'string'))
+    AS t(position, "column", non_null, dtype)""")
+def column_info_orders(spark, sf):
+    """A3: position, name, non-null count, type."""
+    return A.column_info(read_table(spark, sf, "orders"))
+
+
+@register("null_counts_raw_lineitem", f"""
+  SELECT "column", nulls FROM (
+    SELECT 'l_orderkey' AS "column", count(*) FILTER (WHERE l_orderkey IS NULL) AS nulls FROM ({RAW_LINEITEM_SQL}) r
+    UNION ALL SELECT 'l_linenumber', count(*) FILTER (WHERE l_linenumber IS NULL) FROM ({RAW_LINEITEM_SQL}) r
+    UNION ALL SELECT 'l_quantity', count(*) FILTER (WHERE l_quantity IS NULL OR isnan(l_quantity)) FROM ({RAW_LINEITEM_SQL}) r
+    UNION ALL SELECT 'l_extendedprice', count(*) FILTER (WHERE l_extendedprice IS NULL OR isnan(l_extendedprice)) FROM ({RAW_LINEITEM_SQL}) r
+    UNION ALL SELECT 'l_discount', count(*) FILTER (WHERE l_discount IS NULL OR isnan(l_discount)) FROM ({RAW_LINEITEM_SQL}) r
+    UNION ALL SELECT 'l_tax', count(*) FILTER (WHERE l_tax IS NULL OR isnan(l_tax)) FROM ({RAW_LINEITEM_SQL}) r
+    UNION ALL SELECT 'l_linestatus', count(*) FILTER (WHERE l_linestatus IS NULL) FROM ({RAW_LINEITEM_SQL}) r
+    UNION ALL SELECT 'l_class', count(*) FILTER (WHERE l_class IS NULL) FROM ({RAW_LINEITEM_SQL}) r) t""")
+def null_counts_raw_lineitem(spark, sf):
+    """A4 on the rule-made gaps."""
+    return A.null_counts(raw_lineitem(spark, sf))
+
+
+@register("distinct_values_part", """
+  SELECT DISTINCT 'p_brand' AS "column", p_brand AS value FROM part
+  UNION ALL SELECT DISTINCT 'p_type', p_type FROM part""")
+def distinct_values_part(spark, sf):
+    """A5: distinct values of the string columns except the name."""
+    return A.distinct_values(read_table(spark, sf, "part"), exclude=["p_name"])
+
+
+@register("mean_curve_lineitem", """
+  SELECT l_quantity, round(avg(l_extendedprice), 6) AS mean, round(stddev_samp(l_extendedprice), 6) AS std,
+         count(*) AS n,
+         round(avg(l_extendedprice) - 1.96 * stddev_samp(l_extendedprice) / sqrt(count(*)), 6) AS ci_low,
+         round(avg(l_extendedprice) + 1.96 * stddev_samp(l_extendedprice) / sqrt(count(*)), 6) AS ci_high
+  FROM lineitem GROUP BY l_quantity""")
+def mean_curve_lineitem(spark, sf):
+    """Mean price per quantity with a 95 % interval."""
+    out = A.mean_curve(read_table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice")
+    return _round(out, ["mean", "std", "ci_low", "ci_high"])
+
+
+@register("mean_curve_bootstrap_lineitem", None)
+def mean_curve_bootstrap_lineitem(spark, sf):
+    """A7 bootstrap interval (Poisson weights; no SQL twin of the hash draws)."""
+    return A.mean_curve_bootstrap(read_table(spark, sf, "lineitem"), "l_quantity",
+                                  "l_extendedprice", replicates=50)
+
+
+@register("scatter_points_part", None)
+def scatter_points_part(spark, sf):
+    """(size, price, type) thinned to ~500 points by a content hash."""
+    return A.scatter_points(read_table(spark, sf, "part"), "p_size", "p_retailprice", "p_type",
+                            max_points=500)
+
+
+@register("last_events", """
+  SELECT event_id, ts, user_id, event_type, value FROM events ORDER BY ts DESC, event_id DESC LIMIT 100""")
+def last_events(spark, sf):
+    """K1: newest 100 events (TakeOrderedAndProject)."""
+    ev = read_table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    return A.last_rows(ev, 100, "ts", ["event_id"])
+
+
+# ---------------------------------------------------------------------------
+# SP1, SP2
+# ---------------------------------------------------------------------------
+
+@register("hash_split_orders", f"""
+  SELECT o_orderkey, {SPLIT_SQL_EXPR.format(key='o_orderkey')} AS split FROM orders""")
+def hash_split_orders(spark, sf):
+    """SP1 on orders."""
+    return hash_split(read_table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 0.2, 42)
+
+
+@register("exact_split_orders", """
+  SELECT o_orderkey, CASE WHEN rn <= (SELECT ceil(count(*) * 0.2) FROM orders) THEN 'test' ELSE 'train' END AS split
+  FROM (SELECT o_orderkey, row_number() OVER (ORDER BY
+          ('0x' || substr(md5(concat_ws('|', '42', CAST(o_orderkey AS VARCHAR))), 1, 8))::BIGINT, o_orderkey) AS rn
+        FROM orders) t""")
+def exact_split_orders(spark, sf):
+    """SP2: exactly ceil(0.2 n) orders in test."""
+    return exact_split(read_table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 0.2, 42)
+
+
+# ---------------------------------------------------------------------------
+# E1-E3 (fit on the part rows with p_partkey % 4 = 0, apply to all)
+# ---------------------------------------------------------------------------
+
+def _part_fit_apply(spark, sf):
+    part = read_table(spark, sf, "part")
+    fit_rows = part.where(F.col("p_partkey") % 4 == 0)
+    # Unseen categories at apply time, made by rule.
+    apply_rows = part.withColumn(
+        "p_brand", F.when(F.col("p_partkey") % 50 == 0, F.lit("Brand#99")).otherwise(F.col("p_brand")))
+    return fit_rows, apply_rows
+
+
+@register("ordinal_dictionary_part", """
+  SELECT "column", category, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS code
+  FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE p_partkey % 4 = 0
+        UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE p_partkey % 4 = 0) t""")
+def ordinal_dictionary_part(spark, sf):
+    """E1."""
+    from cellwise.operators.encode import fit_ordinal
+
+    fit_rows, _ = _part_fit_apply(spark, sf)
+    return fit_ordinal(fit_rows, ["p_type", "p_brand"])
+
+
+@register("ordinal_apply_part", """
+  WITH d AS (SELECT "column", category, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS code
+             FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE p_partkey % 4 = 0
+                   UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE p_partkey % 4 = 0) t),
+  a AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 50 = 0 THEN 'Brand#99' ELSE p_brand END AS p_brand FROM part)
+  SELECT a.p_partkey, coalesce(dt.code, -1) AS p_type_code, coalesce(db.code, -1) AS p_brand_code
+  FROM a LEFT JOIN d dt ON dt."column" = 'p_type' AND dt.category = a.p_type
+         LEFT JOIN d db ON db."column" = 'p_brand' AND db.category = a.p_brand""")
+def ordinal_apply_part(spark, sf):
+    """Unknown -> -1 (map literal, no join)."""
+    from cellwise.operators.encode import apply_ordinal, fit_ordinal
+
+    fit_rows, apply_rows = _part_fit_apply(spark, sf)
+    d = fit_ordinal(fit_rows, ["p_type", "p_brand"])
+    out = apply_ordinal(apply_rows, d, ["p_type", "p_brand"], suffix="_code")
+    return out.select("p_partkey", "p_type_code", "p_brand_code")
+
+
+@register("ordinal_apply_join_part", """
+  WITH d AS (SELECT "column", category, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS code
+             FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE p_partkey % 4 = 0
+                   UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE p_partkey % 4 = 0) t),
+  a AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 50 = 0 THEN 'Brand#99' ELSE p_brand END AS p_brand FROM part)
+  SELECT a.p_partkey, coalesce(dt.code, -1) AS p_type_code, coalesce(db.code, -1) AS p_brand_code
+  FROM a LEFT JOIN d dt ON dt."column" = 'p_type' AND dt.category = a.p_type
+         LEFT JOIN d db ON db."column" = 'p_brand' AND db.category = a.p_brand""")
+def ordinal_apply_join_part(spark, sf):
+    """E2, join form (used when the dictionary is too large for a map literal)."""
+    from cellwise.operators.encode import apply_ordinal, fit_ordinal
+
+    fit_rows, apply_rows = _part_fit_apply(spark, sf)
+    d = fit_ordinal(fit_rows, ["p_type", "p_brand"])
+    out = apply_ordinal(apply_rows, d, ["p_type", "p_brand"], suffix="_code", mode="join")
+    return out.select("p_partkey", "p_type_code", "p_brand_code")
+
+
+_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+
+
+@register("one_hot_part", "SELECT " + ", ".join(
+    [f"CAST(CASE WHEN p_type = '{t}' THEN 1 ELSE 0 END AS INTEGER) AS one_hot__p_type_{t}" for t in _TYPES[1:]]
+    + ["p_partkey AS remainder__p_partkey", "p_size AS remainder__p_size"]) + " FROM part")
+def one_hot_part(spark, sf):
+    """First category dropped, unknown -> zeros, remainder passthrough."""
+    from cellwise.operators.encode import fit_ordinal, one_hot
+
+    fit_rows, _ = _part_fit_apply(spark, sf)
+    d = fit_ordinal(fit_rows, ["p_type"])
+    part = read_table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
+    return one_hot(part, d, ["p_type"])
