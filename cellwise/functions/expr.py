@@ -57,3 +57,39 @@ def logistic2(raw: Column) -> Column:
 def row_digest(cols: Iterable[str | Column]) -> Column:
     """64-bit content hash of a row (order-insensitive digests sum it)."""
     return F.xxhash64(*[_col(c) for c in cols])
+
+
+def format_fixed(col: str | Column, digits: int = 4) -> Column:
+    """``f"{x:.{digits}f}"`` as an expression, correctly rounded.
+
+    ``format_string('%.4f')`` rounds the *shortest decimal* form half-up
+    (0.63425 -> 0.6343) while Python rounds the exact binary value
+    (0.63424999.. -> 0.6342).  Here x*10^d is computed with its exact
+    rounding error (Dekker's two-product), so a product that lands exactly
+    on .5 is resolved by the sign of the error; exact ties go to even.
+    Meant for moderate magnitudes (|x| * 10^d < 2^52).
+    """
+    x = _col(col).cast("double")
+    a = F.abs(x)
+    scale = float(10 ** digits)
+    splitter = 134217729.0  # 2^27 + 1
+
+    def split(v: Column) -> tuple[Column, Column]:
+        c = v * F.lit(splitter)
+        hi = c - (c - v)
+        return hi, v - hi
+
+    p = a * F.lit(scale)
+    ah, al = split(a)
+    bh, bl = split(F.lit(scale))
+    err = ((ah * bh - p) + ah * bl + al * bh) + al * bl
+    t = F.floor(p)
+    half = (p - t) == F.lit(0.5)
+    r = (F.when(half & (err > 0), t + 1).when(half & (err < 0), t)
+          .when(half, F.when(t % 2 == 0, t).otherwise(t + 1))
+          .otherwise(F.floor(p + F.lit(0.5)))).cast("bigint")
+    whole = (r / F.lit(int(scale))).cast("bigint").cast("string")
+    frac = F.lpad((r % F.lit(int(scale))).cast("string"), digits, "0")
+    sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
+    body = F.concat(sign, whole, F.lit("."), frac) if digits > 0 else F.concat(sign, whole)
+    return F.when(x.isNotNull(), body)

@@ -16,8 +16,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Driver-side safety bound: groups x buckets boundaries held on the driver.
+# Driver-side safety bounds: boundaries held on the driver and compiled
+# into the bucket expression.
 MAX_BOUNDARY_VALUES = 200_000
+MAX_HEAVY_GROUPS = 64
+MAX_BUCKETS = 1024
+# Rows one window task sorts at most (before spilling is the only option).
+ROWS_PER_BUCKET = 2_000_000
 
 
 def quantile_bounds(df: DataFrame, group_cols: Sequence[str], order_col: str,
@@ -80,7 +85,7 @@ def _grouped_bucket(group_cols: Sequence[str], order: Column,
 
 def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    sum_cols: Sequence[str], n_buckets: int | None = None,
-                   prefix: str = "cum_") -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over rows strictly before each row in
     the order (``group_cols``, ``order_cols``), i.e. an exclusive prefix sum.
 
@@ -88,18 +93,51 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     only break ties inside a bucket.  Rows equal on every order column get an
     arbitrary relative order, so callers pass a total order (usually the
     input is already aggregated to distinct keys).
-    """
-    from cellwise.session import default_buckets
 
+    Only *heavy* groups (more than ``rows_per_bucket`` rows) are cut into
+    range buckets, ceil(rows / rows_per_bucket) each; all other groups are
+    one window partition.  ``n_buckets`` forces that many buckets for every
+    group (tests use it to exercise the bucketed path on small data).
+    """
     group_cols = list(group_cols)
     order_cols = list(order_cols)
-    spark = df.sparkSession
-    nb = n_buckets or default_buckets(spark)
-    bounds = quantile_bounds(df, group_cols, order_cols[0], nb)
     bcol = "_rt_bucket"
-    x = df.withColumn(bcol, _grouped_bucket(group_cols, F.col(order_cols[0]), bounds))
-
-    # Totals per (group, bucket): at most groups x buckets rows.
+    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rt_n"))
+    if n_buckets is not None:
+        heavy_rows = counts.limit(MAX_HEAVY_GROUPS + 1).collect()
+        plan = {tuple(r[c] for c in group_cols): n_buckets for r in heavy_rows}
+    else:
+        heavy_rows = (counts.where(F.col("_rt_n") > F.lit(rows_per_bucket))
+                      .limit(MAX_HEAVY_GROUPS + 1).collect())
+        plan = {tuple(r[c] for c in group_cols): -(-int(r["_rt_n"]) // rows_per_bucket)
+                for r in heavy_rows}
+    if len(plan) > MAX_HEAVY_GROUPS:
+        raise ValueError(f"more than {MAX_HEAVY_GROUPS} heavy groups; raise rows_per_bucket")
+    plan = {k: min(MAX_BUCKETS, v) for k, v in plan.items() if v > 1}
+
+    if plan:
+        top = max(plan.values())
+        src = df
+        if group_cols:
+            keys = None
+            for key in plan:
+                cond = None
+                for c, v in zip(group_cols, key):
+                    t = F.col(c) == F.lit(v)
+                    cond = t if cond is None else (cond & t)
+                keys = cond if keys is None else (keys | cond)
+            src = df.where(keys)
+        raw = quantile_bounds(src, group_cols, order_cols[0], top)
+        bounds = {}
+        for key, nb in plan.items():
+            b = raw.get(key, [])
+            step = max(1, round(top / nb))
+            bounds[key] = sorted(set(b[step - 1::step])) if step > 1 else b
+        x = df.withColumn(bcol, _grouped_bucket(group_cols, F.col(order_cols[0]), bounds))
+    else:
+        x = df.withColumn(bcol, F.lit(0))
+
+    # Totals per (group, bucket): groups x buckets rows, offsets within a group.
     totals = x.groupBy(*group_cols, bcol).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
     w_off = (Window.partitionBy(*group_cols).orderBy(bcol)
              .rowsBetween(Window.unboundedPreceding, -1))
@@ -107,14 +145,18 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
         *group_cols, bcol,
         *[F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
           for c in sum_cols])
-    # Bounded by groups x buckets (checked in quantile_bounds): safe to broadcast.
-    x = x.join(F.broadcast(offsets), on=[*group_cols, bcol], how="left") if group_cols \
-        else x.join(F.broadcast(offsets), on=[bcol], how="left")
+    if plan:
+        # Offsets of light groups are 0; only heavy groups' rows are joined
+        # to a table bounded by heavy groups x buckets (broadcast).
+        offsets = offsets.where(F.col(bcol) > 0)
+        x = x.join(F.broadcast(offsets), on=[*group_cols, bcol], how="left")
+        off = {c: F.coalesce(F.col(f"_off_{c}"), F.lit(0)) for c in sum_cols}
+    else:
+        off = {c: F.lit(0) for c in sum_cols}
 
     w_loc = (Window.partitionBy(*group_cols, bcol).orderBy(*order_cols)
              .rowsBetween(Window.unboundedPreceding, -1))
-    x = x.select(
+    return x.select(
         *df.columns,
-        *[(F.coalesce(F.sum(c).over(w_loc), F.lit(0)) + F.col(f"_off_{c}")).alias(f"{prefix}{c}")
+        *[(F.coalesce(F.sum(c).over(w_loc), F.lit(0)) + off[c]).alias(f"{prefix}{c}")
           for c in sum_cols])
-    return x

@@ -21,6 +21,7 @@ from cellwise.config import (
     ALIAS_CHALLENGER, ALIAS_CHAMPION, ALIAS_LATEST, METRIC_THRESHOLDS, PARAM_RANGES,
     PROMOTION_AUC_MIN, PROMOTION_F1_MIN, UPPER_LIMIT_METRICS,
 )
+from cellwise.functions.expr import format_fixed
 from cellwise.functions.ranges import running_totals
 
 
@@ -37,7 +38,7 @@ def _pivot(long: DataFrame, key: str, names: Sequence[str], value: str = "value"
 
 
 def _fmt_num(c: Column, digits: int = 4) -> Column:
-    return F.format_string(f"%.{digits}f", c)
+    return format_fixed(c, digits)
 
 
 def metric_failure_exprs(thresholds: Mapping[str, float] = METRIC_THRESHOLDS,
@@ -77,7 +78,7 @@ def leaves_failure_expr(prefix: str = "p_") -> Column:
     d, nl = d_raw.try_cast("bigint"), l_raw.try_cast("bigint")
     bad_text = (d_raw.isNotNull() & d.isNull()) | (l_raw.isNotNull() & nl.isNull())
     d0, l0 = F.coalesce(d, F.lit(-1)), F.coalesce(nl, F.lit(-1))
-    cap = F.shiftleft(F.lit(1).cast("bigint"), d0.cast("int"))
+    cap = F.pow(F.lit(2.0), F.least(d0, F.lit(62))).cast("bigint")
     over = (d0 > 0) & (l0 > 0) & (d0 < 62) & (l0 > cap)
     return (F.when(bad_text, F.lit("num_leaves/max_depth validation error: not an integer"))
              .when(over, F.concat(F.lit("num_leaves "), l0.cast("string"), F.lit(" > 2^max_depth ("),

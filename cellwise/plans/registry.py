@@ -1,6 +1,6 @@
 """All registered queries (importing the modules fills the registry)."""
 
-from cellwise.plans import catalog, catalog_metrics  # noqa: F401
+from cellwise.plans import catalog, catalog_governance, catalog_metrics  # noqa: F401
 from cellwise.plans.catalog import ORACLE, QUERIES, clean_split_class_counts
 
 __all__ = ["ORACLE", "QUERIES", "clean_split_class_counts"]
