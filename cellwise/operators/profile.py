@@ -175,7 +175,8 @@ def mean_curve_bootstrap(df: DataFrame, x: str, y: str, replicates: int = 200,
     Each row gets ``replicates`` Poisson(1) weights from a hash of (seed,
     replicate, row), so the work is ``replicates`` x rows, fully
     distributed, and reproducible. The interval is the percentile interval
-    of the replicate means.
+    of the replicate means (a replicate that draws no row of a group is
+    skipped for that group).
     """
     rid = F.xxhash64(*[F.col(c) for c in df.columns])
     reps = df.select(x, y, rid.alias("_rid")).where(F.col(y).isNotNull()) \
@@ -189,7 +190,7 @@ def mean_curve_bootstrap(df: DataFrame, x: str, y: str, replicates: int = 200,
         w = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(w)
     reps = reps.withColumn("_w", w)
     per = reps.groupBy(x, "_b").agg(
-        (F.sum(F.col("_w") * F.col(y)) / F.sum("_w")).alias("_m"))
+        F.try_divide(F.sum(F.col("_w") * F.col(y)), F.sum("_w")).alias("_m"))
     a = (1 - level) / 2
     return per.groupBy(x).agg(
         F.percentile(F.col("_m"), F.lit(a)).alias("ci_low"),
