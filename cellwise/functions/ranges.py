@@ -85,7 +85,8 @@ def _grouped_bucket(group_cols: Sequence[str], order: Column,
 
 def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    sum_cols: Sequence[str], n_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, prefix: str = "cum_") -> DataFrame:
+                   rows_per_bucket: int = ROWS_PER_BUCKET, prefix: str = "cum_",
+                   materialize: bool = False) -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over rows strictly before each row in
     the order (``group_cols``, ``order_cols``), i.e. an exclusive prefix sum.
 
@@ -98,7 +99,14 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     range buckets, ceil(rows / rows_per_bucket) each; all other groups are
     one window partition.  ``n_buckets`` forces that many buckets for every
     group (tests use it to exercise the bucketed path on small data).
+
+    The input is read up to three times (group sizes, boundaries, the
+    ranking); ``materialize`` first writes it once with a reliable
+    checkpoint (shared checkpoint folder) so an expensive input, such as a
+    shuffle aggregate over the whole table, is not recomputed.
     """
+    if materialize:
+        df = df.checkpoint(eager=True)
     group_cols = list(group_cols)
     order_cols = list(order_cols)
     bcol = "_rt_bucket"

@@ -85,25 +85,29 @@ def leaves_failure_expr(prefix: str = "p_") -> Column:
                                   cap.cast("string"), F.lit(")"))))
 
 
-def _runs(metrics: DataFrame | None, params: DataFrame | None, runs: DataFrame | None) -> DataFrame:
-    if runs is not None:
-        return runs.select("run_id").distinct()
-    parts = [t.select("run_id") for t in (metrics, params) if t is not None]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.distinct()
-
-
-def _failures_frame(runs: DataFrame, metrics: DataFrame | None, params: DataFrame | None,
+def _failures_frame(runs: DataFrame | None, metrics: DataFrame | None, params: DataFrame | None,
                     thresholds, ranges, with_metrics: bool, with_params: bool,
                     with_leaves: bool) -> DataFrame:
-    x = runs
+    """One row per run with its failure messages (array, in check order).
+
+    Without an explicit ``runs`` table the runs are those present in the
+    inputs: the pivots (each already one row per run, hash-partitioned by
+    run_id) are full-outer-joined, which needs no extra shuffle.
+    """
+    piv = []
     if with_metrics:
-        x = x.join(_pivot(metrics, "run_id", list(thresholds), prefix="m_"), "run_id", "left")
-    if with_params:
+        piv.append(_pivot(metrics, "run_id", list(thresholds), prefix="m_"))
+    if with_params or with_leaves:
         names = list(ranges) + [n for n in ("max_depth", "num_leaves") if n not in ranges]
-        x = x.join(_pivot(params, "run_id", names, prefix="p_"), "run_id", "left")
+        piv.append(_pivot(params, "run_id", names, prefix="p_"))
+    if runs is not None:
+        x = runs.select("run_id").distinct()
+        for t in piv:
+            x = x.join(t, "run_id", "left")
+    else:
+        x = piv[0]
+        for t in piv[1:]:
+            x = x.join(t, "run_id", "full")
     exprs: list[Column] = []
     if with_metrics:
         exprs += metric_failure_exprs(thresholds)
@@ -117,31 +121,28 @@ def _failures_frame(runs: DataFrame, metrics: DataFrame | None, params: DataFram
 def audit_metrics(metrics: DataFrame, runs: DataFrame | None = None,
                   thresholds: Mapping[str, float] = METRIC_THRESHOLDS) -> DataFrame:
     """G1: one row per failing (run, metric): (run_id, failure)."""
-    f = _failures_frame(_runs(metrics, None, runs), metrics, None, thresholds, {}, True, False, False)
+    f = _failures_frame(runs, metrics, None, thresholds, {}, True, False, False)
     return f.select("run_id", F.explode("failures").alias("failure"))
 
 
 def audit_params(params: DataFrame, runs: DataFrame | None = None,
                  ranges: Mapping[str, tuple] = PARAM_RANGES) -> DataFrame:
     """One row per failing (run, parameter)."""
-    f = _failures_frame(_runs(None, params, runs), None, params, {}, ranges, False, True, False)
+    f = _failures_frame(runs, None, params, {}, ranges, False, True, False)
     return f.select("run_id", F.explode("failures").alias("failure"))
 
 
 def audit_leaves(params: DataFrame, runs: DataFrame | None = None) -> DataFrame:
     """Runs whose num_leaves exceeds 2^max_depth."""
-    f = _failures_frame(_runs(None, params, runs), None, params, {}, {}, False, True, True)
-    # only the leaves check: drop range messages by rebuilding from the last element
-    return f.select("run_id", F.explode("failures").alias("failure")).where(
-        F.col("failure").startswith("num_leaves"))
+    f = _failures_frame(runs, None, params, {}, {}, False, False, True)
+    return f.select("run_id", F.explode("failures").alias("failure"))
 
 
 def validation_verdict(metrics: DataFrame, params: DataFrame, runs: DataFrame | None = None,
                        thresholds: Mapping[str, float] = METRIC_THRESHOLDS,
                        ranges: Mapping[str, tuple] = PARAM_RANGES) -> DataFrame:
     """(run_id, status 'passed'/'failed', failures array) for every run."""
-    f = _failures_frame(_runs(metrics, params, runs), metrics, params, thresholds, ranges,
-                        True, True, True)
+    f = _failures_frame(runs, metrics, params, thresholds, ranges, True, True, True)
     status = F.when(F.size("failures") == 0, F.lit("passed")).otherwise(F.lit("failed"))
     return f.select("run_id", status.alias("status"), "failures")
 

@@ -66,9 +66,13 @@ def accuracy(df: DataFrame, y: str, yhat: str, group_cols: Sequence[str] = ()) -
 
 def per_class_stats(df: DataFrame, y: str, yhat: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Per (group, class): tp, fp, fn, support, precision, recall, f1."""
-    cells = confusion_counts(df, y, yhat, group_cols)
-    tp = cells.where(F.col("y") == F.col("yhat")).select(
-        *group_cols, F.col("y").alias("label"), F.col("n").alias("tp"))
+    return stats_from_cells(confusion_counts(df, y, yhat, group_cols), group_cols)
+
+
+def stats_from_cells(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Per-class stats from aggregated cells (group, y, yhat, n): k^2 rows in."""
+    tp = cells.where(F.col("y") == F.col("yhat")).groupBy(*group_cols, F.col("y").alias("label")).agg(
+        F.sum("n").alias("tp"))
     sup = cells.groupBy(*group_cols, F.col("y").alias("label")).agg(F.sum("n").alias("support"))
     pred = cells.groupBy(*group_cols, F.col("yhat").alias("label")).agg(F.sum("n").alias("predicted"))
     k = [*group_cols, "label"]
@@ -84,23 +88,15 @@ def per_class_stats(df: DataFrame, y: str, yhat: str, group_cols: Sequence[str]
                     p.alias("precision"), r.alias("recall"), f1.alias("f1_score"))
 
 
-def precision_recall_f1(df: DataFrame, y: str, yhat: str, group_cols: Sequence[str] = (),
-                        average: str = "auto", pos_label=1) -> DataFrame:
-    """Precision, recall, f1_score per group.
-
-    ``auto``: binary (positive label ``pos_label``) when the truth has two
-    classes, else support-weighted; also 'binary', 'weighted', 'macro'.
-    """
-    st = per_class_stats(df, y, yhat, group_cols)
+def _average(st: DataFrame, group_cols: Sequence[str], average: str = "auto", pos_label=1) -> DataFrame:
+    """Average per-class stats: binary / weighted / macro (auto = binary for
+    two truth classes, else weighted)."""
     w = _gw(group_cols)
     st = st.withColumn("_ncls", F.count_if(F.col("support") > 0).over(w)) \
            .withColumn("_nlab", F.count(F.lit(1)).over(w)) \
            .withColumn("_tot", F.sum("support").over(w))
     is_pos = F.col("label") == F.lit(pos_label)
-    if average == "auto":
-        binary = F.col("_ncls") == 2
-    else:
-        binary = F.lit(average == "binary")
+    binary = (F.col("_ncls") == 2) if average == "auto" else F.lit(average == "binary")
     weight = (F.when(binary, F.when(is_pos, 1.0).otherwise(0.0))
               .otherwise(F.lit(1.0) / F.col("_nlab") if average == "macro"
                          else F.col("support") / F.col("_tot")))
@@ -108,6 +104,16 @@ def precision_recall_f1(df: DataFrame, y: str, yhat: str, group_cols: Sequence[s
         *[F.sum(weight * F.col(m)).alias(m) for m in ("precision", "recall", "f1_score")])
 
 
+def precision_recall_f1(df: DataFrame, y: str, yhat: str, group_cols: Sequence[str] = (),
+                        average: str = "auto", pos_label=1) -> DataFrame:
+    """Precision, recall, f1_score per group.
+
+    ``auto``: binary (positive label ``pos_label``) when the truth has two
+    classes, else support-weighted; also 'binary', 'weighted', 'macro'.
+    """
+    return _average(per_class_stats(df, y, yhat, group_cols), group_cols, average, pos_label)
+
+
 def log_loss(df: DataFrame, y: str, proba: str, group_cols: Sequence[str] = (),
              eps: float = LOG_LOSS_EPS) -> DataFrame:
     """C4: mean negative log probability of the true class (clipped).
@@ -140,16 +146,22 @@ def roc_auc(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = (), p
     return _auc_from_counts(counts, group_cols, score, n_buckets).select(*group_cols, "roc_auc")
 
 
-def roc_auc_ovr(df: DataFrame, y: str, proba: str, group_cols: Sequence[str] = (),
-                average: str = "weighted", n_buckets: int | None = None) -> DataFrame:
-    """One-vs-rest AUC per class of the truth, averaged by class share
-    (``weighted``) or plainly (``macro``). Null when any class AUC is undefined."""
+def _auc_per_class(df: DataFrame, y: str, proba: str, group_cols: Sequence[str],
+                   n_buckets: int | None = None) -> DataFrame:
+    """(group, _cls, roc_auc, P, N) for the classes present in the truth."""
     ex = df.select(*group_cols, F.col(y).alias("_y"), F.posexplode(proba).alias("_cls", "_s"))
     pos = (F.col("_y") == F.col("_cls")).cast("long")
     counts = ex.groupBy(*group_cols, "_cls", "_s").agg(
         F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
     per = _auc_from_counts(counts, [*group_cols, "_cls"], "_s", n_buckets)
-    present = per.where(F.col("P") > 0)
+    return per.where(F.col("P") > 0)
+
+
+def roc_auc_ovr(df: DataFrame, y: str, proba: str, group_cols: Sequence[str] = (),
+                average: str = "weighted", n_buckets: int | None = None) -> DataFrame:
+    """One-vs-rest AUC per class of the truth, averaged by class share
+    (``weighted``) or plainly (``macro``). Null when any class AUC is undefined."""
+    present = _auc_per_class(df, y, proba, group_cols, n_buckets)
     wt = F.col("P") if average == "weighted" else F.lit(1.0)
     out = present.groupBy(*group_cols).agg(
         (F.sum(wt * F.col("roc_auc")) / F.sum(wt)).alias("roc_auc"),
@@ -204,24 +216,41 @@ def regression_metrics(df: DataFrame, y: str, yhat: str, group_cols: Sequence[st
 
 
 def classification_metrics(df: DataFrame, y: str, yhat: str, proba: str | None = None,
-                           group_cols: Sequence[str] = ()) -> DataFrame:
+                           group_cols: Sequence[str] = (), eps: float = LOG_LOSS_EPS) -> DataFrame:
     """The metric row logged per run: accuracy, precision, recall, f1_score,
-    num_classes, log_loss, roc_auc (binary AUC on p[1] with two classes)."""
+    num_classes, log_loss, roc_auc.
+
+    Two passes over the scored rows: one aggregate to (y, yhat) cells that
+    also carries the log-loss sums (accuracy, P/R/F1, class count and log
+    loss all follow from these k^2 rows), and the per-class AUC counts.
+    With two classes roc_auc is the AUC of class 1's score, else the
+    one-vs-rest average weighted by class share.
+    """
     g = list(group_cols)
-    out = accuracy(df, y, yhat, g).join(precision_recall_f1(df, y, yhat, g), g, "full") if g else \
-        _zip(accuracy(df, y, yhat), precision_recall_f1(df, y, yhat))
-    ncls = df.groupBy(*g).agg(F.count_distinct(y).cast("double").alias("num_classes"))
-    out = out.join(ncls, g, "full") if g else _zip(out, ncls)
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if proba:
+        p = F.element_at(F.col(proba), F.col(y).cast("int") + 1)
+        aggs.append(F.sum(-F.ln(F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps)))).alias("_ll"))
+    cells = df.groupBy(*g, F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(*aggs)
+    st = stats_from_cells(cells, g)
+    prf = _average(st, g)
+    tot = cells.groupBy(*g).agg(
+        (F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"),
+        F.count_distinct("y").cast("double").alias("num_classes"),
+        *([(F.sum("_ll") / F.sum("n")).alias("log_loss")] if proba else []))
+    out = tot.join(prf, g, "full") if g else _zip(tot, prf)
+    cols = [*g, "accuracy", "precision", "recall", "f1_score", "num_classes"]
     if proba:
-        ll = log_loss(df, y, proba, g)
-        bin_auc = roc_auc(df.withColumn("_p1", F.element_at(F.col(proba), 2)), y, "_p1", g)
-        ovr = roc_auc_ovr(df, y, proba, g).withColumnRenamed("roc_auc", "_ovr")
-        out = out.join(ll, g, "full") if g else _zip(out, ll)
-        out = out.join(bin_auc, g, "full") if g else _zip(out, bin_auc)
-        out = out.join(ovr, g, "full") if g else _zip(out, ovr)
-        out = out.withColumn("roc_auc", F.when(F.col("num_classes") == 2, F.col("roc_auc"))
-                             .otherwise(F.col("_ovr"))).drop("_ovr")
-    return out
+        per = _auc_per_class(df, y, proba, g)
+        auc = per.groupBy(*g).agg(
+            (F.sum(F.col("P") * F.col("roc_auc")) / F.sum("P")).alias("_ovr"),
+            F.count_if(F.col("roc_auc").isNull()).alias("_undef"),
+            F.max(F.when(F.col("_cls") == 1, F.col("roc_auc"))).alias("_bin"))
+        out = out.join(auc, g, "left") if g else _zip(out, auc)
+        roc = F.when(F.col("num_classes") == 2, F.col("_bin")).when(F.col("_undef") == 0, F.col("_ovr"))
+        out = out.withColumn("roc_auc", roc)
+        cols += ["log_loss", "roc_auc"]
+    return out.select(*cols)
 
 
 def _zip(a: DataFrame, b: DataFrame) -> DataFrame:

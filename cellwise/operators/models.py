@@ -48,7 +48,7 @@ def gbm_params(params: Mapping[str, Any]) -> dict[str, Any]:
 
 def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], label: str,
                    params: Mapping[str, Any] = GBM_PARAMETERS, family: str = "gbt",
-                   seed: int = 42) -> PipelineModel:
+                   seed: int = 42, parallelism: int = 4) -> PipelineModel:
     """M1: ordinal codes (fit on train) -> vector (codes first, then
     numerics) -> one-vs-rest GBT; ``family='rf'`` uses a random forest."""
     maps = dictionary_maps(fit_ordinal(train, cat_cols)) if cat_cols else {}
@@ -62,12 +62,17 @@ def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence
     if family == "gbt":
         gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=p["maxIter"],
                             maxDepth=p["maxDepth"], stepSize=p["stepSize"], seed=seed)
-        stages.append(OneVsRest(classifier=gbt, featuresCol="features", labelCol="label"))
+        # The binary models are independent jobs: fit them concurrently.
+        stages.append(OneVsRest(classifier=gbt, featuresCol="features", labelCol="label",
+                                parallelism=parallelism))
     else:
         stages.append(RandomForestClassifier(featuresCol="features", labelCol="label",
                                              maxDepth=p["maxDepth"], numTrees=100, seed=seed))
-    data = train.withColumn("label", F.col(label).cast("double"))
-    return Pipeline(stages=stages).fit(data)
+    data = train.withColumn("label", F.col(label).cast("double")).persist()
+    try:
+        return Pipeline(stages=stages).fit(data)
+    finally:
+        data.unpersist()
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:

@@ -50,10 +50,12 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     """
     cols = list(cols)
     long = _long_values(df, cols)
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    totals = counted.groupBy("column").agg(F.sum("n").alias("_N"))
+    # The distinct-value table is read several times (sizes, boundaries,
+    # ranking, totals): written once to the shared checkpoint folder.
+    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
     ranked = running_totals(counted, ["column"], ["value"], ["n"], n_buckets=n_buckets)
-    # One row per column: bounded by len(cols).
+    # Per-column totals: one row per column, bounded by len(cols).
+    totals = counted.groupBy("column").agg(F.sum("n").alias("_N"))
     ranked = ranked.join(F.broadcast(totals), "column")
     aggs = []
     for i, p in enumerate(probs):
