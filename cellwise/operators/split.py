@@ -37,24 +37,60 @@ def split_frames(df: DataFrame, out: str = SPLIT_COL) -> tuple[DataFrame, DataFr
 
 
 def exact_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
-                seed: int = 42, out: str = SPLIT_COL, n_buckets: int | None = None) -> DataFrame:
+                seed: int = 42, out: str = SPLIT_COL, n_buckets: int | None = None,
+                hist_bits: int = 16) -> DataFrame:
     """SP2: exactly ceil(n * test_size) rows go to 'test'.
 
-    Rows are ordered by (hash(seed, keys), content hash, keys) and the first
-    k are the test set.  Positions come from ``running_totals``: buckets cut
-    by a quantile sketch of a 63-bit order key, each bucket ranked in its
-    own task, so no single partition sorts everything and a heavy key is
-    spread over buckets by the content hash.
+    Rows are ordered by (h, r, keys): h = hash(seed, keys) as in SP1, r = a
+    63-bit content hash; the first k rows are the test set.  The data is
+    never shuffled:
+
+    1. one aggregate counts rows per h-bucket (top ``hist_bits`` bits of the
+       uniform hash: at most 2^hist_bits small rows reach the driver) and
+       finds the bucket holding the k-th row and the rank m inside it;
+    2. only that bucket is ranked (``running_totals`` spreads a heavy
+       duplicate key over range buckets of its content hash) and the m-th
+       row's (h, r, keys) is read back;
+    3. the split is a row-local lexicographic comparison with that row.
+
+    Rows identical in every column tie with each other; if copies of the
+    boundary row straddle the cut they all go to 'train'.
     """
-    n = df.count()
-    k = math.ceil(n * test_size)
-    h = "_sp_h"
-    r = "_sp_r"
-    o = "_sp_o"
+    n_bits = max(1, min(20, hist_bits))
+    h, r = "_sp_h", "_sp_r"
     x = (df.withColumn(h, hash_u32(seed, key_cols))
-           .withColumn(r, F.xxhash64(*df.columns))
-           .withColumn(o, F.col(h) * F.lit(1 << 31) + F.shiftrightunsigned(F.col(r), 33))
-           .withColumn("_sp_one", F.lit(1)))
-    x = running_totals(x, [], [o, h, r, *key_cols], ["_sp_one"], n_buckets=n_buckets)
-    side = F.when(F.col("cum__sp_one") < F.lit(k), F.lit("test")).otherwise(F.lit("train"))
-    return x.withColumn(out, side).drop(h, r, o, "_sp_one", "cum__sp_one")
+           .withColumn(r, F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+                       .bitwiseAND(F.lit(0x7FFFFFFFFFFFFFFF))))
+    bucket = F.shiftright(F.col(h), 32 - n_bits)
+    hist = sorted((int(b), int(c)) for b, c in
+                  x.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1))).collect())
+    n = sum(c for _, c in hist)
+    k = math.ceil(n * test_size)
+    side = F.lit("train")
+    if 0 < k < n:
+        before, target = 0, None
+        for b, c in hist:
+            if before + c >= k:
+                target = b
+                break
+            before += c
+        m = k - before  # the boundary is the m-th row (1-based) of bucket `target`
+        inside = x.where(bucket == F.lit(target)).select(h, r, *key_cols).withColumn("_one", F.lit(1))
+        # h (32 bits) then the top 31 bits of r (63 bits): monotone in (h, r)
+        o = (F.col(h) * F.lit(1 << 31) + F.shiftright(F.col(r), 32)).alias("_sp_o")
+        ranked = running_totals(inside.withColumn("_sp_o", o), [], ["_sp_o", h, r, *key_cols],
+                                ["_one"], n_buckets=n_buckets)
+        row = ranked.where(F.col("cum__one") == F.lit(m - 1)).select(h, r, *key_cols).first()
+        bound = [row[h], row[r], *[row[c] for c in key_cols]]
+        names = [h, r, *key_cols]
+        # (h, r, keys) <= boundary, lexicographically
+        le = None
+        for i in range(len(names) - 1, -1, -1):
+            c, v = F.col(names[i]), F.lit(bound[i])
+            term = (c <= v) if le is None else ((c < v) | ((c == v) & le))
+            le = term
+        side = F.when(bucket < F.lit(target), F.lit("test")).when(
+            (bucket == F.lit(target)) & le, F.lit("test")).otherwise(F.lit("train"))
+    elif k >= n and n > 0:
+        side = F.lit("test")
+    return x.withColumn(out, side).drop(h, r)

@@ -52,3 +52,11 @@ def test_running_totals_forced_buckets_match_numpy(spark):
         ref = df.withColumn("r", F.row_number().over(w) - 1).toPandas()
         m = out.merge(ref, on=["g", "v", "i"])
         assert (m["cum_one"] == m["r"]).all()
+
+
+def test_splits_do_not_shuffle_rows(spark):
+    from tests.conftest import plan_text
+
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
+    for df in (hash_split(o, ["o_orderkey"]), exact_split(o, ["o_orderkey"], 0.2)):
+        assert "Exchange" not in plan_text(df)
