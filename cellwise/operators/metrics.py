@@ -70,16 +70,19 @@ def per_class_stats(df: DataFrame, y: str, yhat: str, group_cols: Sequence[str]
 
 
 def stats_from_cells(cells: DataFrame, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Per-class stats from aggregated cells (group, y, yhat, n): k^2 rows in."""
-    tp = cells.where(F.col("y") == F.col("yhat")).groupBy(*group_cols, F.col("y").alias("label")).agg(
-        F.sum("n").alias("tp"))
-    sup = cells.groupBy(*group_cols, F.col("y").alias("label")).agg(F.sum("n").alias("support"))
-    pred = cells.groupBy(*group_cols, F.col("yhat").alias("label")).agg(F.sum("n").alias("predicted"))
+    """Per-class stats from aggregated cells (group, y, yhat, n): every cell
+    counts once for its true label (support, tp) and once for its predicted
+    label; one small aggregate, no joins."""
+    both = F.explode(F.array(
+        F.struct(F.col("y").alias("label"), F.col("n").alias("support"),
+                 F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(F.lit(0)).alias("tp"),
+                 F.lit(0).cast("long").alias("predicted")),
+        F.struct(F.col("yhat").alias("label"), F.lit(0).cast("long").alias("support"),
+                 F.lit(0).cast("long").alias("tp"), F.col("n").alias("predicted"))))
     k = [*group_cols, "label"]
-    s = (sup.join(pred, k, "full").join(tp, k, "left")
-            .where(F.col("label").isNotNull())
-            .select(*k, *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c)
-                          for c in ("tp", "support", "predicted")]))
+    s = (cells.select(*group_cols, both.alias("_c")).select(*group_cols, "_c.*")
+              .where(F.col("label").isNotNull())
+              .groupBy(*k).agg(*[F.sum(c).cast("long").alias(c) for c in ("tp", "support", "predicted")]))
     p = _safe_div(F.col("tp"), F.col("predicted"))
     r = _safe_div(F.col("tp"), F.col("support"))
     f1 = _safe_div(2 * F.col("tp"), F.col("support") + F.col("predicted"))
@@ -254,4 +257,20 @@ def classification_metrics(df: DataFrame, y: str, yhat: str, proba: str | None =
 
 
 def _zip(a: DataFrame, b: DataFrame) -> DataFrame:
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Side by side two one-row aggregates (no join: a union of the two rows,
+    each padded with nulls, folded by one global aggregate)."""
+    return zip_rows(a, b)
+
+
+def zip_rows(*frames: DataFrame) -> DataFrame:
+    """Combine one-row frames with disjoint columns into one row."""
+    fields = [(f.name, f.dataType) for fr in frames for f in fr.schema.fields]
+    parts = []
+    for fr in frames:
+        own = set(fr.columns)
+        parts.append(fr.select(*[F.col(f"`{n}`") if n in own else F.lit(None).cast(t).alias(n)
+                                 for n, t in fields]))
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    return u.agg(*[F.first(F.col(f"`{n}`"), ignorenulls=True).alias(n) for n, _ in fields])

@@ -112,9 +112,10 @@ def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = Tru
 
 
 def _one_row_zip(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put two single-row aggregates side by side (a join on a constant key
-    of two one-row frames; no data-sized product)."""
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Put two single-row aggregates side by side (no join)."""
+    from cellwise.operators.metrics import zip_rows
+
+    return zip_rows(a, b)
 
 
 def column_info(df: DataFrame) -> DataFrame:
