@@ -37,3 +37,21 @@ def test_entry_and_registry(spark):
     assert set(sql) <= set(qs) and len(qs) >= 40
     for name in ("hash_split_orders", "describe_lineitem", "validation_verdict_runs"):
         assert qs[name](spark, SF_SMALL).count() > 0
+
+
+def test_score_stream_restart_processes_only_new_files(spark, tmp_path):
+    train = spark.createDataFrame([(float(i % 5), "a", i % 2) for i in range(60)], "x double, kind string, y int")
+    model = M.fit_classifier(train, ["x"], ["kind"], "y", {"learning_rate": 0.3, "n_estimators": 2,
+                                                           "max_depth": 2})
+    in_dir = tmp_path / "in"
+    in_dir.mkdir()
+    out, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "ckpt")
+    types = {"x": "double", "kind": "string"}
+    (in_dir / "a.json").write_text(json.dumps({"dataframe_records": [{"x": 1.0, "kind": "a"}]}))
+    score_stream(spark, str(in_dir), out, ckpt, model, types)
+    (in_dir / "b.json").write_text(json.dumps({"dataframe_records": [{"x": 2.0, "kind": "a"},
+                                                                     {"x": 3.0, "kind": "a"}]}))
+    score_stream(spark, str(in_dir), out, ckpt, model, types)
+    res = spark.read.parquet(out)
+    assert res.count() == 3
+    assert res.select("batch_id").distinct().count() == 2
