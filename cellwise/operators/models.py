@@ -235,7 +235,8 @@ def fit_adaboost_regressor(df: DataFrame, features: Sequence[str], label: str,
 
 def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                 train_id: str, test_id: str, k: int = 5, grid_cols: Sequence[str] | None = None,
-                start_fraction: float = 0.25, max_rounds: int = 40) -> DataFrame:
+                start_fraction: float = 0.25, max_rounds: int = 64,
+                dense_factor: int = 4) -> DataFrame:
     """M8: mean label of the k nearest training rows (Euclidean; ties by
     training id), for every test row. Returns (test_id, prediction).
 
@@ -243,13 +244,21 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     coordinates; each query joins the 3x3 cells around its own (an equi
     join on cell id). A query is final once its k-th candidate is within
     the cell width w, because every row within distance w lies in those
-    cells; other queries retry with 2w.  Identical training points beyond
-    their k lowest ids are dropped first (they can never be selected), so
-    a heavily repeated point is one small group.
+    cells; other queries retry with 2w.
+
+    Skew: identical training points beyond their k lowest ids are dropped
+    first (they can never be selected), so a heavily repeated point is one
+    small group; and a query whose cell holds more than ``dense_factor``*k
+    training rows starts at a proportionally finer width, so a dense cell
+    is resolved with few candidates.  Sparse queries join the later rounds,
+    where the pending set is small and is broadcast against the streamed
+    training rows.
     """
+    import itertools
+
     feats = list(features)
     g = list(grid_cols or feats[:2])
-    spark = train.sparkSession
+    d = len(g)
     tr = (train.select(F.col(train_id).alias("_tid"), *[F.col(c).cast("double").alias(c) for c in feats],
                        F.col(label).cast("double").alias("_label"))
                .withColumn("_dup", F.row_number().over(Window.partitionBy(*feats).orderBy("_tid")))
@@ -264,44 +273,51 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     n = int(st["n"] or 0)
     if n == 0:
         return qs.select(F.col("_qid").alias(test_id), F.lit(None).cast("double").alias("prediction"))
-    spans = [max(float(st[f"hi_{i}"]) - float(st[f"lo_{i}"]), 0.0) for i in range(len(g))]
-    full = max(spans) if spans else 0.0
-    if full == 0.0:
-        full = 1.0
-    # Start where a cell holds about k rows on average, scaled down a bit
-    # so dense regions resolve early; sparse ones double the width.
+    spans = [max(float(st[f"hi_{i}"]) - float(st[f"lo_{i}"]), 0.0) for i in range(d)]
+    full = max(spans) or 1.0
+    # Width where a cell holds about k rows on average (scaled down a bit).
     vol = 1.0
-    for s in spans:
-        vol *= max(s, full / max(n, 1))
-    width = max((vol * k / n) ** (1.0 / len(g)) * start_fraction, full * 1e-9)
-    offs = [(-1, 0, 1)] * len(g)
-    import itertools
-
-    neighbours = list(itertools.product(*offs))
-    pending = qs
-    results = []
+    for sp in spans:
+        vol *= max(sp, full / max(n, 1))
+    w0 = max((vol * k / n) ** (1.0 / d) * start_fraction, full * 1e-9)
+
+    def cells(df: DataFrame, prefix: str, width: float) -> list:
+        return [F.floor(F.col(f"{prefix}{c}") / F.lit(width)).cast("long").alias(f"_c{i}")
+                for i, c in enumerate(g)]
+
+    # Density: training rows in each query's own cell at w0 -> extra halvings.
+    occ = tr.groupBy(*cells(tr, "", w0)).agg(F.count(F.lit(1)).alias("_occ"))
+    qd = qs.select("*", *cells(qs, "q_", w0)).join(occ, [f"_c{i}" for i in range(d)], "left")
+    halv = F.when(F.col("_occ") > F.lit(dense_factor * k),
+                  F.ceil(F.log2(F.col("_occ") / F.lit(float(dense_factor * k))) / F.lit(float(d))))
+    qd = qd.select(*qs.columns, F.coalesce(halv, F.lit(0)).cast("int").alias("_h")).checkpoint(eager=True)
+    top_h = min(int(qd.agg(F.max("_h")).first()[0] or 0), 30)
+    width = w0 / (2 ** top_h)
+
+    neighbours = list(itertools.product(*[(-1, 0, 1)] * d))
+    nb = F.explode(F.array(*[F.array(*[F.lit(o) for o in off]) for off in neighbours])).alias("_off")
     dist = None
     for c in feats:
-        d = F.col(f"q_{c}") - F.col(c)
-        dist = d * d if dist is None else dist + d * d
-    for _ in range(max_rounds):
+        dd = F.col(f"q_{c}") - F.col(c)
+        dist = dd * dd if dist is None else dist + dd * dd
+    pending = qd
+    results = []
+    for r in range(max_rounds):
         last = width >= full * 2
-        cells_t = tr.select("*", *[F.floor(F.col(c) / F.lit(width)).cast("long").alias(f"_c{i}")
-                                   for i, c in enumerate(g)])
-        nb = F.explode(F.array(*[F.array(*[F.lit(o) for o in off]) for off in neighbours])).alias("_off")
-        cells_q = (pending.select("*", nb).select(
+        # queries whose own cell is dense start here; the others wait
+        active = pending.where(F.col("_h") >= F.lit(top_h - r)) if not last else pending
+        cells_t = tr.select("*", *cells(tr, "", width))
+        cells_q = (active.select("*", nb).select(
             "*", *[(F.floor(F.col(f"q_{c}") / F.lit(width)).cast("long") + F.col("_off")[i]).alias(f"_c{i}")
                    for i, c in enumerate(g)]).drop("_off"))
-        cand = cells_q.join(cells_t, [f"_c{i}" for i in range(len(g))]).select(
+        cand = cells_q.join(cells_t, [f"_c{i}" for i in range(d)]).select(
             "_qid", "_tid", "_label", dist.alias("_d2"))
         w = Window.partitionBy("_qid").orderBy("_d2", "_tid")
         top = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
         per = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("_d2").alias("_kd2"),
                                       F.avg("_label").alias("prediction"))
-        if last:
-            done = per
-        else:
-            done = per.where((F.col("_n") == min(k, n)) & (F.col("_kd2") <= F.lit(width * width)))
+        done = per if last else per.where(
+            (F.col("_n") == min(k, n)) & (F.col("_kd2") <= F.lit(width * width)))
         done = done.select("_qid", "prediction").checkpoint(eager=True)
         results.append(done)
         pending = pending.join(done.select("_qid"), "_qid", "left_anti").checkpoint(eager=True)
@@ -309,8 +325,8 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
             break
         width *= 2
     out = results[0]
-    for r in results[1:]:
-        out = out.unionByName(r)
+    for res in results[1:]:
+        out = out.unionByName(res)
     return out.select(F.col("_qid").alias(test_id), "prediction")
 
 

@@ -76,3 +76,24 @@ def test_compare_models_rows(spark, reg_data):
                            params={"GBR": {"max_iter": 5}}).collect()
     assert {r["model"] for r in out} == {"DTR", "GBR", "KNN"}
     assert all(r["r2"] > 0.5 for r in out)
+
+
+def test_knn_dense_cluster_exact(spark):
+    # a third of the training rows in a tiny dense cluster (distinct points)
+    import random
+
+    rnd = random.Random(9)
+    rows = []
+    for i in range(900):
+        if i % 3 == 0:
+            rows.append((i, 5.0 + rnd.random() * 1e-3, 5.0 + rnd.random() * 1e-3, float(i)))
+        else:
+            rows.append((i, rnd.random() * 10, rnd.random() * 10, float(i)))
+    tr = spark.createDataFrame(rows, "id long, x1 double, x2 double, y double")
+    qs = [(10_000 + j, 5.0 + rnd.random() * 1e-3, 5.0 + rnd.random() * 1e-3) for j in range(20)] + \
+         [(20_000 + j, rnd.random() * 10, rnd.random() * 10) for j in range(20)]
+    te = spark.createDataFrame(qs, "id long, x1 double, x2 double")
+    got = {r["id"]: r["prediction"] for r in M.knn_regress(tr, te, ["x1", "x2"], "y", "id", "id").collect()}
+    for qid, a, b in qs:
+        d = sorted(((x1 - a) ** 2 + (x2 - b) ** 2, i, y) for i, x1, x2, y in rows)[:5]
+        assert abs(got[qid] - sum(t[2] for t in d) / 5) < 1e-9
