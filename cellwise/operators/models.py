@@ -75,26 +75,51 @@ def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence
         data.unpersist()
 
 
+def _ovr_margins(model: PipelineModel, df: DataFrame) -> DataFrame | None:
+    """Per-class margins of a one-vs-rest pipeline as ``_margins`` array.
+
+    ``OneVsRestModel.transform`` persists its whole input before scoring;
+    applying the binary models directly keeps scoring one pipelined stage
+    (and usable on a stream)."""
+    from pyspark.ml.classification import OneVsRestModel
+
+    last = model.stages[-1]
+    if not isinstance(last, OneVsRestModel):
+        return None
+    x = PipelineModel(stages=model.stages[:-1]).transform(df) if len(model.stages) > 1 else df
+    for i, m in enumerate(last.models):
+        bm = m.copy()
+        bm.setFeaturesCol(last.getFeaturesCol())
+        bm.setRawPredictionCol(f"_raw{i}").setPredictionCol(f"_pred{i}").setProbabilityCol(f"_prob{i}")
+        x = bm.transform(x)
+    margins = F.array(*[vector_to_array(f"_raw{i}")[1] for i in range(len(last.models))])
+    return x.withColumn("_margins", margins)
+
+
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
-    """M2: class per row (int)."""
-    scored = model.transform(df)
-    keep = [c for c in df.columns]
-    return scored.select(*keep, F.col("prediction").cast("int").alias(out), "rawPrediction",
-                         *(["probability"] if "probability" in scored.columns else []))
+    """M2: class per row (int): argmax of the per-class margins (first
+    maximum, as one-vs-rest does)."""
+    x = _ovr_margins(model, df)
+    if x is None:
+        scored = model.transform(df)
+        return scored.select(*df.columns, F.col("prediction").cast("int").alias(out),
+                             *(["probability"] if "probability" in scored.columns else []))
+    arg = F.array_position(F.col("_margins"), F.array_max(F.col("_margins"))) - 1
+    return x.select(*df.columns, arg.cast("int").alias(out), "_margins")
 
 
 def predict_proba(model: PipelineModel, df: DataFrame, out: str = "probability") -> DataFrame:
     """M2 + M3: prediction and class probabilities as array<double>.
 
-    One-vs-rest GBT emits per-class margins m: p_c = 1/(1+exp(-2 m_c)),
-    normalised over classes (all as array expressions, no UDF).
+    One-vs-rest GBT margins m: p_c = 1/(1+exp(-2 m_c)), normalised over
+    classes (array expressions, no UDF). Other classifiers: their
+    probability vector.
     """
     scored = predict(model, df)
     if "probability" in scored.columns:
         proba = vector_to_array("probability")
     else:
-        raw = vector_to_array("rawPrediction")
-        sig = F.transform(raw, lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * m)))
+        sig = F.transform("_margins", lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * m)))
         total = F.aggregate(sig, F.lit(0.0), lambda acc, v: acc + v)
         proba = F.transform(sig, lambda v: v / total)
     return scored.select(*df.columns, "prediction", proba.alias(out))

@@ -50,8 +50,7 @@ def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint_dir:
                  multi_line: bool = True, available_now: bool = True):
     """ST1: run the scoring stream into a Parquet sink.
 
-    Each micro-batch is scored as a static frame (one-vs-rest models do not
-    transform streaming frames) inside ``foreachBatch`` and written to
+    Each micro-batch is scored inside ``foreachBatch`` and written to
     ``out_dir/batch_id=<n>`` with overwrite, so a replayed batch replaces
     its own output: exactly-once together with the checkpoint.
     ``available_now`` processes what is present and stops; otherwise the

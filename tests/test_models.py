@@ -97,3 +97,14 @@ def test_knn_dense_cluster_exact(spark):
     for qid, a, b in qs:
         d = sorted(((x1 - a) ** 2 + (x2 - b) ** 2, i, y) for i, x1, x2, y in rows)[:5]
         assert abs(got[qid] - sum(t[2] for t in d) / 5) < 1e-9
+
+
+def test_direct_ovr_scoring_matches_spark(spark, cls_data):
+    model = M.fit_classifier(cls_data, ["x1", "x2"], ["kind"], "y",
+                             {"learning_rate": 0.3, "n_estimators": 4, "max_depth": 3})
+    ours = [r["prediction"] for r in M.predict(model, cls_data).collect()]
+    ref = [int(r["prediction"]) for r in model.transform(cls_data).select("prediction").collect()]
+    assert ours == ref
+    from tests.conftest import plan_text
+
+    assert "InMemory" not in plan_text(M.predict_proba(model, cls_data))
