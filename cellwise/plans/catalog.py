@@ -355,12 +355,12 @@ def exact_split_orders(spark, sf):
 
 
 # ---------------------------------------------------------------------------
-# E1-E3 (fit on the part rows with p_partkey % 4 = 0, apply to all)
+# E1-E3 (fit on the SP1 train side of part, apply to every row)
 # ---------------------------------------------------------------------------
 
 def _part_fit_apply(spark, sf):
     part = read_table(spark, sf, "part")
-    fit_rows = part.where(F.col("p_partkey") % 4 == 0)
+    fit_rows = hash_split(part, ["p_partkey"], 0.2, 42).where(F.col("split") == "train")
     # Unseen categories at apply time, made by rule.
     apply_rows = part.withColumn(
         "p_brand", F.when(F.col("p_partkey") % 50 == 0, F.lit("Brand#99")).otherwise(F.col("p_brand")))
@@ -369,8 +369,8 @@ def _part_fit_apply(spark, sf):
 
 @register("ordinal_dictionary_part", """
   SELECT "column", category, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS code
-  FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE p_partkey % 4 = 0
-        UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE p_partkey % 4 = 0) t""")
+  FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))), 1, 8))::BIGINT % 10000 < 2000 THEN 'test' ELSE 'train' END = 'train'
+        UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))), 1, 8))::BIGINT % 10000 < 2000 THEN 'test' ELSE 'train' END = 'train') t""")
 def ordinal_dictionary_part(spark, sf):
     """E1."""
     from cellwise.operators.encode import fit_ordinal
@@ -381,8 +381,8 @@ def ordinal_dictionary_part(spark, sf):
 
 @register("ordinal_apply_part", """
   WITH d AS (SELECT "column", category, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS code
-             FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE p_partkey % 4 = 0
-                   UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE p_partkey % 4 = 0) t),
+             FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))), 1, 8))::BIGINT % 10000 < 2000 THEN 'test' ELSE 'train' END = 'train'
+                   UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))), 1, 8))::BIGINT % 10000 < 2000 THEN 'test' ELSE 'train' END = 'train') t),
   a AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 50 = 0 THEN 'Brand#99' ELSE p_brand END AS p_brand FROM part)
   SELECT a.p_partkey, coalesce(dt.code, -1) AS p_type_code, coalesce(db.code, -1) AS p_brand_code
   FROM a LEFT JOIN d dt ON dt."column" = 'p_type' AND dt.category = a.p_type
@@ -399,8 +399,8 @@ def ordinal_apply_part(spark, sf):
 
 @register("ordinal_apply_join_part", """
   WITH d AS (SELECT "column", category, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS code
-             FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE p_partkey % 4 = 0
-                   UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE p_partkey % 4 = 0) t),
+             FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part WHERE CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))), 1, 8))::BIGINT % 10000 < 2000 THEN 'test' ELSE 'train' END = 'train'
+                   UNION SELECT DISTINCT 'p_brand', p_brand FROM part WHERE CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))), 1, 8))::BIGINT % 10000 < 2000 THEN 'test' ELSE 'train' END = 'train') t),
   a AS (SELECT p_partkey, p_type, CASE WHEN p_partkey % 50 = 0 THEN 'Brand#99' ELSE p_brand END AS p_brand FROM part)
   SELECT a.p_partkey, coalesce(dt.code, -1) AS p_type_code, coalesce(db.code, -1) AS p_brand_code
   FROM a LEFT JOIN d dt ON dt."column" = 'p_type' AND dt.category = a.p_type
@@ -415,7 +415,7 @@ def ordinal_apply_join_part(spark, sf):
     return out.select("p_partkey", "p_type_code", "p_brand_code")
 
 
-_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
+_TYPES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]  # p_type values (all in train)
 
 
 @register("one_hot_part", "SELECT " + ", ".join(

@@ -10,30 +10,31 @@ from cellwise.plans.catalog import _round, register
 from cellwise.sources.files import read_table
 
 # ---------------------------------------------------------------------------
-# Run tables: run_id = o_orderkey; values from price and key digits; gaps,
-# NaN and non-numeric text by rule.
+# Run tables: run_id = o_orderkey, every order is a run; values from price
+# and key digits; a metric or parameter logged under another name (so it is
+# missing for the gate), NaN and non-numeric text by rule.
 # ---------------------------------------------------------------------------
 
 RUN_METRICS_SQL = """
-  SELECT o_orderkey AS run_id, 'accuracy' AS name, o_totalprice / 500000.0 AS value FROM orders WHERE o_orderkey % 10 <> 1
+  SELECT o_orderkey AS run_id, CASE WHEN o_orderkey % 10 = 1 THEN 'accuracy_v0' ELSE 'accuracy' END AS name, o_totalprice / 500000.0 AS value FROM orders
   UNION ALL SELECT o_orderkey, 'f1_score', (o_totalprice % 1000) / 1000.0 FROM orders
   UNION ALL SELECT o_orderkey, 'precision', CASE WHEN o_orderkey % 23 = 0 THEN 'NaN'::DOUBLE ELSE 0.6 + (o_orderkey % 40) / 100.0 END FROM orders
   UNION ALL SELECT o_orderkey, 'recall', 0.7 + (o_custkey % 30) / 100.0 FROM orders
   UNION ALL SELECT o_orderkey, 'roc_auc', CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE 0.8 + (o_orderkey % 20) / 100.0 END FROM orders
-  UNION ALL SELECT o_orderkey, 'log_loss', (o_orderkey % 100) / 100.0 FROM orders WHERE o_orderkey % 9 <> 0"""
+  UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN 'loss' ELSE 'log_loss' END, (o_orderkey % 100) / 100.0 FROM orders"""
 
 RUN_PARAMS_SQL = """
-  SELECT o_orderkey AS run_id, 'learning_rate' AS name, CAST((o_orderkey % 200) / 1000.0 AS VARCHAR) AS value FROM orders WHERE o_orderkey % 8 <> 3
+  SELECT o_orderkey AS run_id, CASE WHEN o_orderkey % 8 = 3 THEN 'eta' ELSE 'learning_rate' END AS name, CAST((o_orderkey % 200) / 1000.0 AS VARCHAR) AS value FROM orders
   UNION ALL SELECT o_orderkey, 'n_estimators', CAST(o_custkey * 3 AS VARCHAR) FROM orders
   UNION ALL SELECT o_orderkey, 'max_depth', CASE WHEN o_orderkey % 29 = 0 THEN 'abc' ELSE CAST(o_orderkey % 15 AS VARCHAR) END FROM orders
-  UNION ALL SELECT o_orderkey, 'num_leaves', CAST(o_orderkey % 130 AS VARCHAR) FROM orders WHERE o_orderkey % 4 <> 0"""
+  UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'leaves' ELSE 'num_leaves' END, CAST(o_orderkey % 130 AS VARCHAR) FROM orders"""
 
 
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k, p = F.col("o_orderkey"), F.col("o_totalprice")
     parts = [
-        o.where(k % 10 != 1).select(k.alias("run_id"), F.lit("accuracy").alias("name"),
+        o.select(k.alias("run_id"), F.when(k % 10 == 1, "accuracy_v0").otherwise("accuracy").alias("name"),
                                     (p / 500000.0).alias("value")),
         o.select(k, F.lit("f1_score"), (p % 1000) / 1000.0),
         o.select(k, F.lit("precision"), F.when(k % 23 == 0, F.lit(float("nan")))
@@ -41,7 +42,7 @@ def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
         o.select(k, F.lit("recall"), F.lit(0.7) + (F.col("o_custkey") % 30) / 100.0),
         o.select(k, F.lit("roc_auc"), F.when(k % 19 == 0, F.lit(None).cast("double"))
                  .otherwise(F.lit(0.8) + (k % 20) / 100.0)),
-        o.where(k % 9 != 0).select(k, F.lit("log_loss"), (k % 100) / 100.0),
+        o.select(k, F.when(k % 9 == 0, "loss").otherwise("log_loss"), (k % 100) / 100.0),
     ]
     out = parts[0]
     for x in parts[1:]:
@@ -53,11 +54,11 @@ def run_params(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k = F.col("o_orderkey")
     parts = [
-        o.where(k % 8 != 3).select(k.alias("run_id"), F.lit("learning_rate").alias("name"),
+        o.select(k.alias("run_id"), F.when(k % 8 == 3, "eta").otherwise("learning_rate").alias("name"),
                                    ((k % 200) / 1000.0).cast("string").alias("value")),
         o.select(k, F.lit("n_estimators"), (F.col("o_custkey") * 3).cast("string")),
         o.select(k, F.lit("max_depth"), F.when(k % 29 == 0, F.lit("abc")).otherwise((k % 15).cast("string"))),
-        o.where(k % 4 != 0).select(k, F.lit("num_leaves"), (k % 130).cast("string")),
+        o.select(k, F.when(k % 4 == 0, "leaves").otherwise("num_leaves"), (k % 130).cast("string")),
     ]
     out = parts[0]
     for x in parts[1:]:
@@ -173,7 +174,7 @@ VERSIONS_SQL = f"""SELECT model, CAST(row_number() OVER (PARTITION BY model ORDE
 EVENTS_SQL = """SELECT 'model_' || CAST(o_custkey % 50 AS VARCHAR) AS model,
                        CASE o_orderkey % 3 WHEN 0 THEN 'Champion' WHEN 1 THEN 'challenger' ELSE 'CHAMPION' END AS alias,
                        CAST(o_orderkey % 37 + 1 AS INTEGER) AS version, o_orderkey AS event_seq
-                FROM orders WHERE o_orderkey % 5 = 0"""
+                FROM orders"""
 
 
 def model_runs(spark, sf) -> DataFrame:
@@ -183,7 +184,7 @@ def model_runs(spark, sf) -> DataFrame:
 
 
 def alias_events(spark, sf) -> DataFrame:
-    o = read_table(spark, sf, "orders").where(F.col("o_orderkey") % 5 == 0)
+    o = read_table(spark, sf, "orders")
     k = F.col("o_orderkey")
     return o.select(F.concat(F.lit("model_"), (F.col("o_custkey") % 50).cast("string")).alias("model"),
                     F.when(k % 3 == 0, "Champion").when(k % 3 == 1, "challenger").otherwise("CHAMPION")
@@ -213,7 +214,7 @@ def alias_holder_events(spark, sf):
 
 
 CANDIDATES_SQL = """SELECT 'model_' || CAST(o_custkey % 50 AS VARCHAR) AS model, o_orderkey AS run_id
-                    FROM orders WHERE o_orderkey % 97 = 0"""
+                    FROM orders"""
 
 
 def _gate_sql(f1_min: float, auc_min: float) -> str:
@@ -243,7 +244,7 @@ def _gate_sql(f1_min: float, auc_min: float) -> str:
 
 
 def _gate(spark, sf, f1_min, auc_min):
-    o = read_table(spark, sf, "orders").where(F.col("o_orderkey") % 97 == 0)
+    o = read_table(spark, sf, "orders")
     cands = o.select(F.concat(F.lit("model_"), (F.col("o_custkey") % 50).cast("string")).alias("model"),
                      F.col("o_orderkey").alias("run_id"))
     versions = G.register_versions(model_runs(spark, sf))

@@ -36,17 +36,18 @@ def _part_xy(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("knn_part", """
   WITH d AS (SELECT p_partkey AS id, CAST(p_size AS DOUBLE) AS x1, CAST(length(p_name) AS DOUBLE) AS x2,
-                    p_retailprice AS y FROM part),
-  tr AS (SELECT * FROM d WHERE id % 2 = 0), te AS (SELECT * FROM d WHERE id % 2 = 1)
+                    p_retailprice AS y,
+                    CASE WHEN ('0x' || substr(md5(concat_ws('|', '42', CAST(p_partkey AS VARCHAR))), 1, 8))::BIGINT
+                         % 10000 < 2000 THEN 'test' ELSE 'train' END AS split FROM part),
+  tr AS (SELECT * FROM d WHERE split = 'train'), te AS (SELECT * FROM d WHERE split = 'test')
   SELECT te.id AS p_partkey, round(avg(n.y), 6) AS prediction
   FROM te, LATERAL (SELECT tr.y FROM tr ORDER BY (te.x1 - tr.x1) * (te.x1 - tr.x1) + (te.x2 - tr.x2) * (te.x2 - tr.x2), tr.id
                     LIMIT 5) n
   GROUP BY te.id""")
 def knn_part(spark, sf):
-    """M8: exact 5-NN regression of price on (size, name length); even keys train, odd keys test."""
-    d = _part_xy(spark, sf)
-    tr = d.where(F.col("p_partkey") % 2 == 0)
-    te = d.where(F.col("p_partkey") % 2 == 1)
+    """M8: exact 5-NN regression of price on (size, name length), every
+    test-side part against every train-side part (SP1 split)."""
+    tr, te = split_frames(hash_split(_part_xy(spark, sf), ["p_partkey"], 0.2, 42))
     out = M.knn_regress(tr, te, ["x_size", "x_name_len"], "y", "p_partkey", "p_partkey", k=5)
     return out.select("p_partkey", F.round("prediction", 6).alias("prediction"))
 
