@@ -58,19 +58,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cellwise-scratch/{uuid.uuid4().hex}/{name}"
 
 
-def default_buckets(spark: SparkSession, low: int = 8, high: int = 1024) -> int:
-    """Number of range buckets for exact running totals: follows the
-    cluster's shuffle parallelism, bounded so the boundary list stays small."""
-    try:
-        n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    except Exception:  # pragma: no cover - conf always present in practice
-        n = 200
-    return max(low, min(high, 4 * n))
-
-
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "default_buckets",
-           "local_path"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "local_path"]
