@@ -147,7 +147,9 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
 
     # Totals per (group, bucket): groups x buckets rows, offsets within a group.
     totals = x.groupBy(*group_cols, bcol).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    w_off = (Window.partitionBy(*group_cols).orderBy(bcol)
+    # totals has groups x buckets rows: without groups it is one small
+    # partition on purpose.
+    w_off = (Window.partitionBy(*(group_cols or [F.lit(0)])).orderBy(bcol)
              .rowsBetween(Window.unboundedPreceding, -1))
     offsets = totals.select(
         *group_cols, bcol,

@@ -18,7 +18,8 @@ def batch_versions(df: DataFrame, ts_col: str = STAMP_COL, run_col: str = RUN_ID
     """
     per = df.groupBy(run_col).agg(F.min(ts_col).alias("committed_at"),
                                   F.count(F.lit(1)).alias("rows"))
-    w = Window.orderBy("committed_at", run_col)
+    # One row per append: a single small partition on purpose.
+    w = Window.partitionBy(F.lit(0)).orderBy("committed_at", run_col)
     return per.select((F.row_number().over(w) - 1).alias("version"), run_col,
                       "committed_at", "rows")
 
