@@ -95,10 +95,12 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     arbitrary relative order, so callers pass a total order (usually the
     input is already aggregated to distinct keys).
 
-    Only *heavy* groups (more than ``rows_per_bucket`` rows) are cut into
-    range buckets, ceil(rows / rows_per_bucket) each; all other groups are
-    one window partition.  ``n_buckets`` forces that many buckets for every
-    group (tests use it to exercise the bucketed path on small data).
+    Only *heavy* groups (more than ``rows_per_bucket`` rows; the largest
+    ``MAX_HEAVY_GROUPS`` of them) are cut into range buckets,
+    ceil(rows / rows_per_bucket) each (at most ``MAX_BUCKETS``); all other
+    groups are one window partition.  ``n_buckets`` forces that many
+    buckets for every group (tests use it to exercise the bucketed path on
+    small data).
 
     The input is read up to three times (group sizes, boundaries, the
     ranking); ``materialize`` first writes it once with a reliable
@@ -114,14 +116,19 @@ def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequenc
     if n_buckets is not None:
         heavy_rows = counts.limit(MAX_HEAVY_GROUPS + 1).collect()
         plan = {tuple(r[c] for c in group_cols): n_buckets for r in heavy_rows}
+        if len(plan) > MAX_HEAVY_GROUPS:
+            raise ValueError(f"n_buckets is for at most {MAX_HEAVY_GROUPS} groups")
     else:
+        # The largest groups over the threshold (distributed top-k). Further
+        # heavy groups, if any, stay one window partition each: with that
+        # many large groups the work is already spread over tasks.
         heavy_rows = (counts.where(F.col("_rt_n") > F.lit(rows_per_bucket))
-                      .limit(MAX_HEAVY_GROUPS + 1).collect())
+                      .orderBy(F.col("_rt_n").desc()).limit(MAX_HEAVY_GROUPS).collect())
         plan = {tuple(r[c] for c in group_cols): -(-int(r["_rt_n"]) // rows_per_bucket)
                 for r in heavy_rows}
-    if len(plan) > MAX_HEAVY_GROUPS:
-        raise ValueError(f"more than {MAX_HEAVY_GROUPS} heavy groups; raise rows_per_bucket")
-    plan = {k: min(MAX_BUCKETS, v) for k, v in plan.items() if v > 1}
+    # A group with a null key stays one window partition (equi-joins on the
+    # offsets table could not match it).
+    plan = {k: min(MAX_BUCKETS, v) for k, v in plan.items() if v > 1 and None not in k}
 
     if plan:
         top = max(plan.values())
