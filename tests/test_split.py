@@ -46,8 +46,8 @@ def test_running_totals_forced_buckets_match_numpy(spark):
     df = spark.createDataFrame([(int(g), float(v), i) for i, (g, v) in enumerate(zip(grp, vals))],
                                ["g", "v", "i"])
     df = df.withColumn("one", F.lit(1))
-    for nb in (None, 7):
-        out = running_totals(df, ["g"], ["v", "i"], ["one"], n_buckets=nb).toPandas()
+    for nb, rpb in ((None, 2_000_000), (7, 2_000_000), (None, 100)):
+        out = running_totals(df, ["g"], ["v", "i"], ["one"], n_buckets=nb, rows_per_bucket=rpb).toPandas()
         w = Window.partitionBy("g").orderBy("v", "i")
         ref = df.withColumn("r", F.row_number().over(w) - 1).toPandas()
         m = out.merge(ref, on=["g", "v", "i"])
