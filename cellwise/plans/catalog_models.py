@@ -98,3 +98,68 @@ def score_stream_lineitem(spark, sf):
                  multi_line=False)
     return spark.read.parquet(out_dir).select("order_key", "l_linenumber", "prediction", "probability",
                                              "rejected")
+
+
+@register("require_rows_orders", "SELECT o_orderkey, o_orderstatus FROM orders")
+def require_rows_orders(spark, sf):
+    """The table passes the non-empty check (reads one row) and flows on."""
+    from cellwise.operators.profile import require_rows
+
+    return require_rows(read_table(spark, sf, "orders"), "orders").select("o_orderkey", "o_orderstatus")
+
+
+_ASSEMBLE_SQL = """
+  WITH d AS (SELECT "column", category, CAST(dense_rank() OVER (PARTITION BY "column" ORDER BY category) - 1 AS INTEGER) AS code
+             FROM (SELECT DISTINCT 'p_type' AS "column", p_type AS category FROM part) t)
+  SELECT p.p_partkey, [CAST(coalesce(d.code, -1) AS DOUBLE), CAST(p.p_size AS DOUBLE), p.p_retailprice] AS features
+  FROM part p LEFT JOIN d ON d.category = p.p_type"""
+
+
+@register("assemble_part", _ASSEMBLE_SQL)
+def assemble_part(spark, sf):
+    """Encoded categoricals first, then numerics, as one vector (shown as
+    an array)."""
+    from pyspark.ml.functions import vector_to_array
+
+    from cellwise.operators.encode import apply_ordinal, assemble
+
+    part = read_table(spark, sf, "part")
+    coded = apply_ordinal(part, fit_ordinal(part, ["p_type"]), ["p_type"], suffix="_code")
+    v = assemble(coded, ["p_type_code"], ["p_size", "p_retailprice"])
+    return v.select("p_partkey", vector_to_array("features").alias("features"))
+
+
+@register("model_roundtrip_part", None)
+def model_roundtrip_part(spark, sf):
+    """A fitted tree pipeline saved to the shared folder, loaded back and
+    used to score every part."""
+    from cellwise.sources.files import load_model, save_model
+
+    d = _part_xy(spark, sf)
+    tr, _ = split_frames(hash_split(d, ["p_partkey"], 0.2, 42))
+    model = M.fit_tree_regressor(tr, ["x_size", "x_name_len"], "y", max_depth=8)
+    path = scratch_path(spark, "tree_model")
+    save_model(model, path)
+    return load_model(path).transform(d).select("p_partkey", "prediction")
+
+
+@register("classifier_rf_embeddings", None)
+def classifier_rf_embeddings(spark, sf):
+    """M1 fallback family (random forest) on the 64-d embeddings, 10 classes:
+    class + probabilities for every test-side vector."""
+    e = read_table(spark, sf, "embeddings")
+    dims = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)]
+    x = e.select("vec_id", "label", *dims)
+    tr, te = split_frames(hash_split(x, ["vec_id"], 0.2, 42))
+    model = M.fit_classifier(tr, [f"e{i}" for i in range(64)], [], "label",
+                             {"max_depth": 6}, family="rf")
+    return M.predict_proba(model, te).select("vec_id", "label", "prediction", "probability")
+
+
+@register("describe_approx_lineitem", None)
+def describe_approx_lineitem(spark, sf):
+    """A2 with sketch quantiles (one pass, bounded memory): rows only."""
+    from cellwise.operators.profile import describe
+
+    li = read_table(spark, sf, "lineitem")
+    return describe(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], exact=False)
