@@ -21,15 +21,17 @@ from cellwise.operators.prepare import cast_features
 from cellwise.sources.files import explode_records, payload_schema
 
 def request_stream(spark: SparkSession, in_dir: str, feature_types: Mapping[str, str],
-                   multi_line: bool = True) -> DataFrame:
+                   multi_line: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
     """The streaming DataFrame of typed records: source -> explode -> strict cast.
 
     Every field is read as text so a bad value is caught by the strict cast
     (``_rejected``) instead of turning the whole record null.
     """
     schema = payload_schema({c: T.StringType() for c in feature_types})
-    src = (spark.readStream.schema(schema).option("multiLine", str(multi_line).lower())
-           .json(in_dir))
+    reader = spark.readStream.schema(schema).option("multiLine", str(multi_line).lower())
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    src = reader.json(in_dir)
     return cast_features(explode_records(src), dict(feature_types))
 
 
@@ -47,19 +49,26 @@ def score_batch(model: PipelineModel, records: DataFrame) -> DataFrame:
 
 def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint_dir: str,
                  model: PipelineModel, feature_types: Mapping[str, str],
-                 multi_line: bool = True, available_now: bool = True):
+                 multi_line: bool = True, available_now: bool = True,
+                 max_files_per_trigger: int | None = None):
     """ST1: run the scoring stream into a Parquet sink.
 
     Each micro-batch is scored inside ``foreachBatch`` and written to
     ``out_dir/batch_id=<n>`` with overwrite, so a replayed batch replaces
     its own output: exactly-once together with the checkpoint.
-    ``available_now`` processes what is present and stops; otherwise the
-    query keeps running on a processing-time trigger and is returned.
+    ``available_now`` processes what is present and stops (in batches of
+    ``max_files_per_trigger`` files when set); otherwise the query keeps
+    running on a processing-time trigger and is returned.
     """
-    stream = request_stream(spark, in_dir, feature_types, multi_line)
+    stream = request_stream(spark, in_dir, feature_types, multi_line, max_files_per_trigger)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        score_batch(model, batch).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        # The batch feeds the scored and the rejected rows: read it once.
+        batch.persist()
+        try:
+            score_batch(model, batch).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_dir)
     if available_now:

@@ -51,7 +51,8 @@ def test_score_stream_restart_processes_only_new_files(spark, tmp_path):
     score_stream(spark, str(in_dir), out, ckpt, model, types)
     (in_dir / "b.json").write_text(json.dumps({"dataframe_records": [{"x": 2.0, "kind": "a"},
                                                                      {"x": 3.0, "kind": "a"}]}))
-    score_stream(spark, str(in_dir), out, ckpt, model, types)
+    (in_dir / "c.json").write_text(json.dumps({"dataframe_records": [{"x": 4.0, "kind": "a"}]}))
+    score_stream(spark, str(in_dir), out, ckpt, model, types, max_files_per_trigger=1)
     res = spark.read.parquet(out)
-    assert res.count() == 3
-    assert res.select("batch_id").distinct().count() == 2
+    assert res.count() == 4
+    assert res.select("batch_id").distinct().count() == 3
