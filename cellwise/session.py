@@ -58,8 +58,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cellwise-scratch/{uuid.uuid4().hex}/{name}"
 
 
+def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes``.
+
+    Start with enough shuffle partitions that each holds about
+    ``target_partition_bytes`` of the input (never fewer than 2 waves of
+    cores) and let AQE coalesce small ones and split skewed ones at runtime.
+    """
+    parts = max(2 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(min(target_partition_bytes, 512 << 20)),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+    }
+
+
 def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "local_path"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "scale_conf", "local_path"]
