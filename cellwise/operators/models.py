@@ -258,15 +258,19 @@ def fit_adaboost_regressor(df: DataFrame, features: Sequence[str], label: str,
 # M8: exact k-nearest-neighbour regression by a multi-resolution grid join
 # ---------------------------------------------------------------------------
 
+# Finest refinement of the grid for dense cells (2^-12 of the base width).
+MAX_REFINE = 12
+
+
 def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                 train_id: str, test_id: str, k: int = 5, grid_cols: Sequence[str] | None = None,
-                start_fraction: float = 0.25, max_rounds: int = 64,
+                start_fraction: float = 1.0, max_rounds: int = 64,
                 dense_factor: int = 4) -> DataFrame:
     """M8: mean label of the k nearest training rows (Euclidean; ties by
     training id), for every test row. Returns (test_id, prediction).
 
-    No cross join: train rows are bucketed into grid cells on up to two
-    coordinates; each query joins the 3x3 cells around its own (an equi
+    No cross join: train rows are bucketed into grid cells on two
+    coordinates (by default the two with the largest spread); each query joins the 3x3 cells around its own (an equi
     join on cell id). A query is final once its k-th candidate is within
     the cell width w, because every row within distance w lies in those
     cells; other queries retry with 2w.
@@ -282,13 +286,20 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     import itertools
 
     feats = list(features)
-    g = list(grid_cols or feats[:2])
-    d = len(g)
     tr = (train.select(F.col(train_id).alias("_tid"), *[F.col(c).cast("double").alias(c) for c in feats],
                        F.col(label).cast("double").alias("_label"))
                .withColumn("_dup", F.row_number().over(Window.partitionBy(*feats).orderBy("_tid")))
                .where(F.col("_dup") <= k).drop("_dup"))
     qs = test.select(F.col(test_id).alias("_qid"), *[F.col(c).cast("double").alias(f"q_{c}") for c in feats])
+    if grid_cols:
+        g = list(grid_cols)
+    else:
+        # Grid on the two coordinates with the largest spread: they dominate
+        # the distance and prune best (one aggregate over the features).
+        sd = tr.agg(*[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(feats)]).first()
+        ranked = sorted(range(len(feats)), key=lambda i: -(sd[f"s{i}"] or 0.0))
+        g = [feats[i] for i in sorted(ranked[:2])]
+    d = len(g)
     # Grid extent over train and test rows, so the last round covers every query.
     both = tr.select(*g, F.lit(1).alias("_t")).unionByName(
         qs.select(*[F.col(f"q_{c}").alias(c) for c in g], F.lit(0).alias("_t")))
@@ -300,7 +311,8 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
         return qs.select(F.col("_qid").alias(test_id), F.lit(None).cast("double").alias("prediction"))
     spans = [max(float(st[f"hi_{i}"]) - float(st[f"lo_{i}"]), 0.0) for i in range(d)]
     full = max(spans) or 1.0
-    # Width where a cell holds about k rows on average (scaled down a bit).
+    # Width where a cell holds about k rows on average: a disc of that radius
+    # holds about pi*k rows, so most queries resolve in the first round.
     vol = 1.0
     for sp in spans:
         vol *= max(sp, full / max(n, 1))
@@ -316,7 +328,7 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     halv = F.when(F.col("_occ") > F.lit(dense_factor * k),
                   F.ceil(F.log2(F.col("_occ") / F.lit(float(dense_factor * k))) / F.lit(float(d))))
     qd = qd.select(*qs.columns, F.coalesce(halv, F.lit(0)).cast("int").alias("_h")).checkpoint(eager=True)
-    top_h = min(int(qd.agg(F.max("_h")).first()[0] or 0), 30)
+    top_h = min(int(qd.agg(F.max("_h")).first()[0] or 0), MAX_REFINE)
     width = w0 / (2 ** top_h)
 
     neighbours = list(itertools.product(*[(-1, 0, 1)] * d))
@@ -343,7 +355,9 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
                                       F.avg("_label").alias("prediction"))
         done = per if last else per.where(
             (F.col("_n") == min(k, n)) & (F.col("_kd2") <= F.lit(width * width)))
-        done = done.select("_qid", "prediction").checkpoint(eager=True)
+        # Results of a round are small and final: cached. The pending queries
+        # are checkpointed, which keeps the lineage one round long.
+        done = done.select("_qid", "prediction").persist()
         results.append(done)
         pending = pending.join(done.select("_qid"), "_qid", "left_anti").checkpoint(eager=True)
         if last or pending.isEmpty():
