@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.functions.expr import dict_lookup
@@ -19,15 +19,30 @@ from cellwise.functions.expr import dict_lookup
 MAX_MAP_ENTRIES = 50_000
 
 
+def string_order_key(col: str) -> F.Column:
+    """A non-negative long that orders like the string (first 7 UTF-8 bytes,
+    big-endian; Spark compares strings byte-wise).  Strings sharing the
+    prefix tie and are ordered by the full value afterwards."""
+    hexed = F.rpad(F.substring(F.hex(F.encode(F.col(col), "UTF-8")), 1, 14), 14, "0")
+    return F.conv(hexed, 16, 10).cast("long")
+
+
 def fit_ordinal(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Sorted distinct non-null categories per column -> codes 0..k-1."""
+    """Sorted distinct non-null categories per column -> codes 0..k-1.
+
+    Codes are exact ranks from ``running_totals`` over the distinct
+    categories, so a column with a huge dictionary is ranked by many tasks
+    (range buckets on an order-preserving prefix key), not one.
+    """
+    from cellwise.functions.ranges import running_totals
+
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("category"))
                       for c in cols])
     cats = (df.select(F.explode(pairs).alias("_kv")).select("_kv.column", "_kv.category")
               .where(F.col("category").isNotNull()).distinct())
-    # Window over the distinct categories of one column (dictionary-sized).
-    w = Window.partitionBy("column").orderBy("category")
-    return cats.withColumn("code", (F.row_number().over(w) - 1).cast("int"))
+    keyed = cats.withColumn("_ok", string_order_key("category")).withColumn("_one", F.lit(1))
+    ranked = running_totals(keyed, ["column"], ["_ok", "category"], ["_one"])
+    return ranked.select("column", "category", F.col("cum__one").cast("int").alias("code"))
 
 
 def dictionary_maps(dictionary: DataFrame, limit: int = MAX_MAP_ENTRIES) -> dict[str, dict[str, int]]:

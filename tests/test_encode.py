@@ -25,3 +25,18 @@ def test_one_hot_drop_first_and_unknown(spark):
     assert out.columns == ["one_hot__brand_Dell", "one_hot__brand_HP", "remainder__n"]
     rows = out.collect()
     assert (rows[0][0], rows[0][1]) == (1, 0) and (rows[1][0], rows[1][1]) == (0, 0)
+
+
+def test_ordinal_codes_match_sorted_order_with_buckets(spark):
+    from cellwise.functions.ranges import running_totals
+    from cellwise.operators.encode import string_order_key
+
+    words = ["", "a", "ab", "abc", "abcdefgh", "abcdefgi", "b", "Z", "é", "ü", "zz", "abcdefg"]
+    df = spark.createDataFrame([(w,) for w in words], ["c"])
+    codes = {r["category"]: r["code"] for r in fit_ordinal(df, ["c"]).collect()}
+    assert [w for w, _ in sorted(codes.items(), key=lambda t: t[1])] == sorted(words, key=lambda w: w.encode())
+    keyed = (df.select(F.lit("c").alias("column"), F.col("c").alias("category"))
+               .withColumn("_ok", string_order_key("category")).withColumn("_one", F.lit(1)))
+    got = {r["category"]: r["cum__one"] for r in
+           running_totals(keyed, ["column"], ["_ok", "category"], ["_one"], n_buckets=4).collect()}
+    assert got == codes
