@@ -18,6 +18,8 @@ def _norm(rows, cols):
     def v(x):
         if isinstance(x, float) and math.isnan(x):
             return "NaN"
+        if isinstance(x, (list, tuple)):
+            return tuple(v(e) for e in x)
         return x
     return Counter(tuple(v(r[i]) for i in order) for r in rows), sorted(cols)
 
