@@ -60,3 +60,18 @@ def test_prepare_train_validate_promote(spark, tmp_path):
     dec, ev = flows.promotion_flow(cands, mrows, versions, events)
     assert dec.first()["status"] == "promote"
     assert [(r["alias"], r["version"]) for r in ev.collect()] == [("Champion", 1)]
+
+
+def test_cli_prepare_train_validate(spark, tmp_path, capsys):
+    from cellwise.plans import cli
+
+    csv = tmp_path / "ev.csv"
+    _ev_csv(csv, n=150, seed=3)
+    base, runs = scratch_path(spark, "cli"), scratch_path(spark, "runs")
+    assert cli.main(["prepare", "--csv", str(csv), "--out", base, "--run-id", "r1"]) == 0
+    assert cli.main(["train", "--base", base, "--model-out", scratch_path(spark, "m"), "--runs-out", runs,
+                     "--params", '{"learning_rate": 0.3, "n_estimators": 3, "max_depth": 3}']) == 0
+    # 3 rounds are outside the allowed [100, 3000]: the gate fails the run
+    assert cli.main(["validate", "--runs", runs]) == 1
+    out = capsys.readouterr().out
+    assert '"status": "failed"' in out and "n_estimators: 3.0 not in [100, 3000]" in out
