@@ -93,3 +93,8 @@ def format_fixed(col: str | Column, digits: int = 4) -> Column:
     sign = F.when(x < 0, F.lit("-")).otherwise(F.lit(""))
     body = F.concat(sign, whole, F.lit("."), frac) if digits > 0 else F.concat(sign, whole)
     return F.when(x.isNotNull(), body)
+
+
+def last_path_segment(col: str | Column) -> Column:
+    """Text after the last '/' (e.g. the version of ``models:/name/3``)."""
+    return F.substring_index(_col(col), "/", -1)

@@ -135,6 +135,33 @@ def one_hot(df: DataFrame, dictionary: DataFrame | Mapping[str, Mapping[str, int
     return df.select(*out)
 
 
+def one_hot_vector(df: DataFrame, dictionary: DataFrame | Mapping[str, Mapping[str, int]],
+                   col: str, out: str | None = None, drop_first: bool = True) -> DataFrame:
+    """E3, vector form for large dictionaries: a sparse vector per row with
+    the same layout as ``one_hot`` (code 0 dropped when ``drop_first``,
+    unknown -> all zeros).
+
+    Kept categories get slots 0..m-1; the dropped first category, unknowns
+    and nulls map to slot m, which ``OneHotEncoder(dropLast=True)`` drops.
+    The encoder is fitted on a dictionary-sized frame so the vector size
+    does not depend on which categories the data happens to contain.
+    """
+    from pyspark.ml.feature import OneHotEncoder
+
+    maps = dictionary if isinstance(dictionary, Mapping) else dictionary_maps(dictionary)
+    codes = dict(maps.get(col) or {})
+    shift = 1 if drop_first else 0
+    kept = {cat: code - shift for cat, code in codes.items() if code - shift >= 0}
+    m = len(kept)
+    spark = df.sparkSession
+    idx = "_oh_idx"
+    slot = (dict_lookup(F.col(col).cast("string"), kept, m) if kept else F.lit(m)).cast("double")
+    enc = OneHotEncoder(inputCols=[idx], outputCols=[out or f"{col}_vec"], dropLast=True,
+                        handleInvalid="error")
+    model = enc.fit(spark.range(m + 1).select(F.col("id").cast("double").alias(idx)))
+    return model.transform(df.withColumn(idx, slot)).drop(idx)
+
+
 def assembler(cat_code_cols: Sequence[str], num_cols: Sequence[str],
               output: str = "features") -> VectorAssembler:
     """Encoded categoricals first, then numerics, as one vector."""

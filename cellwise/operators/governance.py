@@ -21,7 +21,7 @@ from cellwise.config import (
     ALIAS_CHALLENGER, ALIAS_CHAMPION, ALIAS_LATEST, METRIC_THRESHOLDS, PARAM_RANGES,
     PROMOTION_AUC_MIN, PROMOTION_F1_MIN, UPPER_LIMIT_METRICS,
 )
-from cellwise.functions.expr import format_fixed
+from cellwise.functions.expr import format_fixed, last_path_segment
 from cellwise.functions.ranges import running_totals
 
 
@@ -141,10 +141,17 @@ def audit_leaves(params: DataFrame, runs: DataFrame | None = None) -> DataFrame:
 def validation_verdict(metrics: DataFrame, params: DataFrame, runs: DataFrame | None = None,
                        thresholds: Mapping[str, float] = METRIC_THRESHOLDS,
                        ranges: Mapping[str, tuple] = PARAM_RANGES) -> DataFrame:
-    """(run_id, status 'passed'/'failed', failures array) for every run."""
+    """(run_id, status 'passed'/'failed', failures array) for every run;
+    with a ``runs`` table carrying ``model_uri``, also the model version
+    (last path segment of the URI)."""
     f = _failures_frame(runs, metrics, params, thresholds, ranges, True, True, True)
     status = F.when(F.size("failures") == 0, F.lit("passed")).otherwise(F.lit("failed"))
-    return f.select("run_id", status.alias("status"), "failures")
+    out = f.select("run_id", status.alias("status"), "failures")
+    if runs is not None and "model_uri" in runs.columns:
+        # the version of the model under review: last segment of its URI
+        uris = runs.select("run_id", "model_uri").dropDuplicates(["run_id"])
+        out = out.join(uris, "run_id", "left").withColumn("version", last_path_segment("model_uri"))
+    return out
 
 
 def alias_holder(events: DataFrame, alias: str | None = None) -> DataFrame:

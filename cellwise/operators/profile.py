@@ -144,12 +144,14 @@ def null_counts(df: DataFrame) -> DataFrame:
 
 def distinct_values(df: DataFrame, cols: Sequence[str] | None = None,
                     exclude: Sequence[str] = ()) -> DataFrame:
-    """A5: (column, value) distinct pairs of the string columns (sorted output
-    on request; partial aggregation removes duplicates before the shuffle)."""
+    """A5: (column, value) distinct pairs of the string columns, sorted
+    (partial aggregation removes duplicates before the shuffle; the sort is
+    a distributed range sort of the distinct pairs)."""
     cols = [c for c in (cols or string_columns(df)) if c not in set(exclude)]
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value"))
                       for c in cols])
-    return df.select(F.explode(pairs).alias("_kv")).select("_kv.column", "_kv.value").distinct()
+    return (df.select(F.explode(pairs).alias("_kv")).select("_kv.column", "_kv.value").distinct()
+              .orderBy("column", "value"))
 
 
 def require_rows(df: DataFrame, what: str = "table") -> DataFrame:

@@ -429,3 +429,22 @@ def one_hot_part(spark, sf):
     d = fit_ordinal(fit_rows, ["p_type"])
     part = read_table(spark, sf, "part").select("p_partkey", "p_type", "p_size")
     return one_hot(part, d, ["p_type"])
+
+
+@register("one_hot_vector_part", """
+  WITH cats AS (SELECT list(DISTINCT p_brand ORDER BY p_brand) AS l FROM part
+                WHERE """ + SPLIT_SQL_EXPR.format(key="p_partkey") + """ = 'train'),
+  a AS (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'Brand#99' ELSE p_brand END AS p_brand FROM part)
+  SELECT a.p_partkey, [CASE WHEN a.p_brand = b THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END FOR b IN cats.l[2:]] AS brand_vec
+  FROM a, cats""")
+def one_hot_vector_part(spark, sf):
+    """E3 vector form (sparse vector, shown as an array): first brand
+    dropped, unknown brand -> all zeros."""
+    from pyspark.ml.functions import vector_to_array
+
+    from cellwise.operators.encode import fit_ordinal, one_hot_vector
+
+    fit_rows, apply_rows = _part_fit_apply(spark, sf)
+    d = fit_ordinal(fit_rows, ["p_brand"])
+    out = one_hot_vector(apply_rows.select("p_partkey", "p_brand"), d, "p_brand", out="_v")
+    return out.select("p_partkey", vector_to_array("_v").alias("brand_vec"))

@@ -40,3 +40,15 @@ def test_ordinal_codes_match_sorted_order_with_buckets(spark):
     got = {r["category"]: r["cum__one"] for r in
            running_totals(keyed, ["column"], ["_ok", "category"], ["_one"], n_buckets=4).collect()}
     assert got == codes
+
+
+def test_one_hot_vector_matches_columns(spark):
+    from cellwise.operators.encode import one_hot_vector
+
+    tr = spark.createDataFrame([("HP",), ("Dell",), ("Asus",)], ["brand"])
+    te = spark.createDataFrame([("Dell",), ("Acer",), ("Asus",), ("HP",), (None,)], ["brand"])
+    d = fit_ordinal(tr, ["brand"])
+    cols = one_hot(te, d, ["brand"], passthrough=[]).collect()
+    vecs = one_hot_vector(te, d, "brand").collect()
+    for c, v in zip(cols, vecs):
+        assert list(c) == [int(x) for x in v["brand_vec"].toArray()]

@@ -105,3 +105,10 @@ def test_champion_reeval(spark):
     assert r["improved"] is True and r["f1_new"] == 1.0
     only = G.champion_reeval(s.where("model_tag = 'candidate'"), "y", "yhat").first()
     assert only["improved"] is True and only["f1_old"] is None
+
+
+def test_verdict_version_from_uri(spark):
+    runs = spark.createDataFrame([("good", "models:/ev_model/7"), ("edge", "models:/ev_model/8")],
+                                 "run_id string, model_uri string")
+    v = {r["run_id"]: r["version"] for r in G.validation_verdict(_metrics(spark), _params(spark), runs).collect()}
+    assert v == {"good": "7", "edge": "8"}
