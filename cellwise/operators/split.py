@@ -20,11 +20,17 @@ SPLIT_COL = "split"
 
 
 def hash_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
-               seed: int = 42, modulus: int = 10000, out: str = SPLIT_COL) -> DataFrame:
+               seed: int | None = 42, modulus: int = 10000, out: str = SPLIT_COL) -> DataFrame:
     """SP1: add ``split`` = 'test' when hash_bucket(seed, keys) < test_size*modulus.
 
     Row-local: no shuffle, and rows sharing a key stay on one side.
+    ``seed=None`` is the unseeded split: a fresh seed is drawn once on the
+    driver, so the frame is still consistent within the run.
     """
+    if seed is None:
+        import secrets
+
+        seed = secrets.randbits(31)
     cut = int(round(test_size * modulus))
     side = F.when(hash_bucket(seed, key_cols, modulus) < F.lit(cut), F.lit("test")) \
         .otherwise(F.lit("train"))

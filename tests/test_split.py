@@ -60,3 +60,11 @@ def test_splits_do_not_shuffle_rows(spark):
     o = spark.read.parquet(f"{SF_SMALL}/orders.parquet")
     for df in (hash_split(o, ["o_orderkey"]), exact_split(o, ["o_orderkey"], 0.2)):
         assert "Exchange" not in plan_text(df)
+
+
+def test_unseeded_split_is_consistent_within_a_frame(spark):
+    o = spark.read.parquet(f"{SF_SMALL}/orders.parquet").select("o_orderkey")
+    s = hash_split(o, ["o_orderkey"], seed=None).persist()
+    a = {r[0] for r in s.where("split='test'").collect()}
+    b = {r[0] for r in s.where("split='test'").collect()}
+    assert a == b and 0.1 < len(a) / o.count() < 0.3
