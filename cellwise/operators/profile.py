@@ -4,12 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellwise.config import Z95
-from cellwise.functions.ranges import running_totals
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -40,38 +39,130 @@ def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    n_buckets: int | None = None) -> DataFrame:
+                    accuracy: int = 10_000, max_candidates: int = 200_000,
+                    max_rounds: int = 6) -> DataFrame:
     """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) per column.
 
-    Distributed selection: values are pre-aggregated to (column, value,
-    count), positions come from exact running totals (no global sort, no
-    per-group collect), and the two order statistics around (n-1)p are
-    picked with conditional aggregates.  Returns (column, q_<i>...).
+    Selection by refinement, in scans only (no shuffle of the data, no
+    global sort, nothing written):
+
+    1. one scan counts each column and sketches it (``percentile_approx``,
+       rank error <= n/accuracy) at p -/+ 2/accuracy: value brackets that
+       contain the needed order statistics (ranks floor/ceil of (n-1)p);
+    2. one scan counts, per bracket, the rows below it and inside it (and
+       checks that the target rank is inside); brackets still holding more
+       than ``max_candidates`` rows are sketched again within the bracket;
+    3. the rows inside the final brackets are pre-aggregated to (target,
+       value, count) -- a value repeated by a third of the rows is one row --
+       and ranked exactly.
+
+    Returns (column, q_<i>...) in the order of ``probs``.
     """
+    import math
+
     cols = list(cols)
     long = _long_values(df, cols)
-    # The distinct-value table is read several times (sizes, boundaries,
-    # ranking, totals): written once to the shared checkpoint folder.
-    counted = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n")).checkpoint(eager=True)
-    ranked = running_totals(counted, ["column"], ["value"], ["n"], n_buckets=n_buckets)
-    # Per-column totals: one row per column, bounded by len(cols).
-    totals = counted.groupBy("column").agg(F.sum("n").alias("_N"))
-    ranked = ranked.join(F.broadcast(totals), "column")
-    aggs = []
-    for i, p in enumerate(probs):
-        h = (F.col("_N") - 1) * F.lit(float(p))
-        lo, hi = F.floor(h), F.ceil(h)
-        start, end = F.col("cum_n"), F.col("cum_n") + F.col("n")
-        aggs += [
-            F.max(F.when((start <= lo) & (lo < end), F.col("value"))).alias(f"_lo{i}"),
-            F.max(F.when((start <= hi) & (hi < end), F.col("value"))).alias(f"_hi{i}"),
-            F.max(h - lo).alias(f"_fr{i}"),
-        ]
-    picked = ranked.groupBy("column").agg(*aggs)
-    return picked.select(
-        "column",
-        *[(F.col(f"_lo{i}") + (F.col(f"_hi{i}") - F.col(f"_lo{i}")) * F.col(f"_fr{i}")).alias(f"q_{i}")
-          for i in range(len(probs))])
+    # -- scan 1: sizes + first sketch at p -/+ margin (independent of n) ---------------
+    eps = 2.0 / accuracy
+    fr = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+    first = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"),
+                                       F.percentile_approx("value", fr, accuracy).alias("sk")).collect()
+    info = {r["column"]: (int(r["n"]), dict(zip(fr, r["sk"]))) for r in first}
+    # targets: (column, rank) -> bracket state
+    state: dict[tuple, dict] = {}
+    for c in cols:
+        if c not in info:
+            continue
+        n, sk = info[c]
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo_p, hi_p = min(1.0, max(0.0, p - eps)), min(1.0, max(0.0, p + eps))
+            for rank in {math.floor(h), math.ceil(h)}:
+                if n <= max_candidates:
+                    state[(c, rank)] = {"a": None, "b": None, "below": 0, "cnt": n, "done": True}
+                else:
+                    state[(c, rank)] = {"a": None, "b": None, "below": 0, "cnt": n, "done": False,
+                                        "next": (sk[lo_p], sk[hi_p])}
+
+    def in_bracket(c: str, a, b) -> Column:
+        cond = F.col("column") == F.lit(c)
+        if a is not None:
+            cond = cond & (F.col("value") >= F.lit(float(a)))
+        if b is not None:
+            cond = cond & (F.col("value") <= F.lit(float(b)))
+        return cond
+
+    # -- scans 2..: count proposed brackets, re-sketch the ones still too large --------
+    for _ in range(max_rounds):
+        todo = [t for t, st in state.items() if not st["done"]]
+        if not todo:
+            break
+        aggs = []
+        for i, (c, _r) in enumerate(todo):
+            a, b = state[(c, _r)]["next"]
+            isc = F.col("column") == F.lit(c)
+            aggs += [F.count_if(isc & (F.col("value") < F.lit(float(a)))).alias(f"b{i}"),
+                     F.count_if(in_bracket(c, a, b)).alias(f"n{i}")]
+        row = long.agg(*aggs).first()
+        resketch = []
+        for i, t in enumerate(todo):
+            st = state[t]
+            a, b = st.pop("next")
+            below, cnt = int(row[f"b{i}"]), int(row[f"n{i}"])
+            if below <= t[1] < below + cnt and cnt < st["cnt"]:
+                st.update(a=a, b=b, below=below, cnt=cnt)
+                if cnt > max_candidates and a != b:
+                    resketch.append(t)
+                    continue
+            st["done"] = True  # small enough, all ties, or no progress
+        if not resketch:
+            continue
+        sk_aggs = []
+        for i, t in enumerate(resketch):
+            st = state[t]
+            k = t[1] - st["below"]
+            m = 2.0 * st["cnt"] / accuracy + 1.0
+            q = [min(1.0, max(0.0, (k - m) / st["cnt"])), min(1.0, max(0.0, (k + m) / st["cnt"]))]
+            inb = in_bracket(t[0], st["a"], st["b"])
+            sk_aggs.append(F.percentile_approx(F.when(inb, F.col("value")), q, accuracy).alias(f"s{i}"))
+        srow = long.agg(*sk_aggs).first()
+        for i, t in enumerate(resketch):
+            state[t]["next"] = tuple(srow[f"s{i}"])
+
+    # -- final scan: rank the candidates of every target exactly -------------------------
+    tids = list(state)
+    conds = [in_bracket(c, state[(c, r)]["a"], state[(c, r)]["b"]) for c, r in tids]
+    anyb = conds[0]
+    for cnd in conds[1:]:
+        anyb = anyb | cnd
+    # Rows inside some bracket (codegen'd filter), pre-aggregated to distinct
+    # (column, value) with partial aggregation, then tagged with their targets.
+    vals = long.where(anyb).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    tag = F.array_compact(F.array(*[F.when(cnd, F.lit(i)) for i, cnd in enumerate(conds)]))
+    cand = vals.select(F.explode(tag).alias("_t"), "value", "n")
+    w = Window.partitionBy("_t").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    ranked = cand.withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0)))
+    k_of = F.element_at(F.array(*[F.lit(r - state[(c, r)]["below"]) for c, r in tids]),
+                        F.col("_t") + 1)
+    hits = ranked.where((F.col("_before") <= k_of) & (k_of < F.col("_before") + F.col("n")))
+    picked = {tids[int(r["_t"])]: float(r["value"]) for r in hits.select("_t", "value").collect()}
+
+    spark = df.sparkSession
+    out_rows = []
+    for c in cols:
+        if c not in info:
+            out_rows.append((c, *[None] * len(probs)))
+            continue
+        n = info[c][0]
+        vals = []
+        for p in probs:
+            h = (n - 1) * float(p)
+            lo, hi = math.floor(h), math.ceil(h)
+            vlo, vhi = picked[(c, lo)], picked[(c, hi)]
+            vals.append(vlo + (vhi - vlo) * (h - lo))
+        out_rows.append((c, *vals))
+    schema = "column string, " + ", ".join(f"q_{i} double" for i in range(len(probs)))
+    return spark.createDataFrame(out_rows, schema)
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,

@@ -18,13 +18,18 @@ def test_describe_matches_pandas(spark):
             assert abs(got.loc[s, c] - ref.loc[s, c]) < 1e-9, (c, s)
 
 
-def test_exact_quantiles_forced_buckets(spark):
+def test_exact_quantiles_refinement(spark):
     rng = np.random.default_rng(2)
     x = rng.exponential(size=5000).round(3)
-    df = spark.createDataFrame([(float(v),) for v in x], ["x"])
-    q = A.exact_quantiles(df, ["x"], [0.1, 0.5, 0.99], n_buckets=9).first()
-    ref = np.quantile(x, [0.1, 0.5, 0.99])
-    assert np.allclose([q["q_0"], q["q_1"], q["q_2"]], ref, atol=1e-12)
+    heavy = np.where(np.arange(5000) % 3 == 0, 0.5, x)  # a third of the rows on one value
+    df = spark.createDataFrame([(float(v), float(w)) for v, w in zip(x, heavy)], ["x", "h"])
+    probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
+    for kw in ({}, {"max_candidates": 50, "accuracy": 100}, {"max_candidates": 10, "accuracy": 1000}):
+        rows = {r["column"]: r for r in A.exact_quantiles(df, ["x", "h"], probs, **kw).collect()}
+        for c, data in (("x", x), ("h", heavy)):
+            ref = np.quantile(data, probs)
+            got = [rows[c][f"q_{i}"] for i in range(len(probs))]
+            assert np.allclose(got, ref, atol=1e-12, rtol=0), (c, kw)
 
 
 def test_null_counts_and_info(spark):
