@@ -76,10 +76,17 @@ def train_flow(spark: SparkSession, base: str, config: ProjectConfig | None = No
     train = S.read_split(spark, f"{base}/train_set", run_id)
     test = S.read_split(spark, f"{base}/test_set", run_id)
     model = M.fit_classifier(train, cfg.num_features, cfg.cat_features, cfg.target, p)
-    scored = M.predict_proba(model, test.select(*cfg.feature_columns, cfg.target))
-    metrics = C.classification_metrics(scored, cfg.target, "prediction", "probability")
-    report = C.classification_report(scored, cfg.target, "prediction", names=EV_CLASS_NAMES)
-    confusion = C.confusion_matrix(scored, cfg.target, "prediction")
+    # Scoring runs the model over the whole test split: do it once, derive
+    # the three small results, keep them (reliable checkpoint), drop the cache.
+    scored = M.predict_proba(model, test.select(*cfg.feature_columns, cfg.target)).persist()
+    try:
+        metrics = C.classification_metrics(scored, cfg.target, "prediction", "probability") \
+            .checkpoint(eager=True)
+        report = C.classification_report(scored, cfg.target, "prediction", names=EV_CLASS_NAMES) \
+            .checkpoint(eager=True)
+        confusion = C.confusion_matrix(scored, cfg.target, "prediction").checkpoint(eager=True)
+    finally:
+        scored.unpersist()
     lineage = dataset_fingerprint(train, "train_set").unionByName(dataset_fingerprint(test, "test_set"))
     return TrainResult(model, metrics, report, confusion, lineage,
                        schema_signature(train, cfg.feature_columns), p)
