@@ -407,5 +407,7 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str], l
     allp = scored[0]
     for s in scored[1:]:
         allp = allp.unionByName(s)
-    out = regression_metrics(allp, "_y", "_yhat", ["model"])
-    return out
+    # Every fit has run (kNN rounds are materialised): the scored frames only
+    # need the test rows and the fitted models, so the cached train set goes.
+    tr.unpersist()
+    return regression_metrics(allp, "_y", "_yhat", ["model"])
