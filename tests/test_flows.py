@@ -69,9 +69,34 @@ def test_cli_prepare_train_validate(spark, tmp_path, capsys):
     _ev_csv(csv, n=150, seed=3)
     base, runs = scratch_path(spark, "cli"), scratch_path(spark, "runs")
     assert cli.main(["prepare", "--csv", str(csv), "--out", base, "--run-id", "r1"]) == 0
-    assert cli.main(["train", "--base", base, "--model-out", scratch_path(spark, "m"), "--runs-out", runs,
+    model_path = scratch_path(spark, "m")
+    assert cli.main(["train", "--base", base, "--model-out", model_path, "--runs-out", runs,
                      "--params", '{"learning_rate": 0.3, "n_estimators": 3, "max_depth": 3}']) == 0
     # 3 rounds are outside the allowed [100, 3000]: the gate fails the run
     assert cli.main(["validate", "--runs", runs]) == 1
     out = capsys.readouterr().out
     assert '"status": "failed"' in out and "n_estimators: 3.0 not in [100, 3000]" in out
+    # score a request payload through the saved model (stream, availableNow)
+    import json
+
+    req = tmp_path / "req"
+    req.mkdir()
+    rec = {"SOC": 55.0, "Voltage": 3.8, "Current": 40.0, "Battery_Temp": 30.0, "Ambient_Temp": 25.0,
+           "Charging_Duration": 95.0, "Degradation_Rate": 9.0, "Charging_Mode": "Fast",
+           "Efficiency": 98.0, "Battery_Type": "Li-ion", "Charging_Cycles": 300, "EV_Model": "Model A"}
+    (req / "r.json").write_text(json.dumps({"dataframe_records": [rec]}))
+    out_dir = scratch_path(spark, "scored")
+    assert cli.main(["score", "--model", model_path, "--in", str(req), "--out", out_dir,
+                     "--checkpoint", scratch_path(spark, "ck")]) == 0
+    row = spark.read.parquet(out_dir).first()
+    assert row["prediction"] in (0, 1, 2) and abs(sum(row["probability"]) - 1) < 1e-9
+    # promote: the trained run against no champion -> promoted, one alias event
+    run_id = spark.read.parquet(f"{runs}/run_metrics").first()["run_id"]
+    spark.createDataFrame([("ev", run_id)], "model string, run_id string").write.parquet(f"{runs}/candidates")
+    spark.createDataFrame([("ev", 1, run_id)], "model string, version int, run_id string") \
+        .write.parquet(f"{runs}/model_versions")
+    spark.createDataFrame([("ev", "Challenger", 1, 1)], "model string, alias string, version int, event_seq long") \
+        .write.parquet(f"{runs}/alias_events")
+    events_out = scratch_path(spark, "events")
+    assert cli.main(["promote", "--runs", runs, "--events-out", events_out]) == 0
+    assert [(r["alias"], r["version"]) for r in spark.read.parquet(events_out).collect()] == [("Champion", 1)]
