@@ -61,16 +61,32 @@ def cast_features(df: DataFrame, types: Mapping[str, str],
     missing = [c for c in types if c not in df.columns]
     if missing:
         raise ValueError(f"input is missing feature columns: {missing}")
-    out = [try_cast(c, t).alias(c) for c, t in types.items()]
+    typed = {c: strict_cast(c, t) for c, t in types.items()}
+    out = [e.alias(c) for c, e in typed.items()]
     if rejected_col:
         bad = None
-        for c, t in types.items():
-            term = F.col(c).isNotNull() & try_cast(c, t).isNull()
+        for c, e in typed.items():
+            term = F.col(c).isNotNull() & e.isNull()
             bad = term if bad is None else (bad | term)
         out.append(bad.alias(rejected_col))
     return df.select(*out)
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "integer", "bigint", "long")
+
+
+def strict_cast(col: str, type_name: str) -> F.Column:
+    """try_cast, except that integer types also accept integral decimal text
+    ("310.0" -> 310, as a float-to-int cast of the same value would);
+    "310.5" stays a rejection."""
+    direct = try_cast(col, type_name)
+    if type_name.lower() not in _INTEGRAL:
+        return direct
+    d = try_cast(col, "double")
+    integral = d.isNotNull() & (d == F.floor(d))
+    return F.coalesce(direct, F.when(integral, d.try_cast(type_name)))
+
+
 def rejected_count(df: DataFrame, rejected_col: str = "_rejected") -> DataFrame:
     """Rows rejected by P8, as a one-row aggregate."""
     return df.agg(F.count_if(F.col(rejected_col)).alias("rejected"),

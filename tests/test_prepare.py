@@ -86,3 +86,9 @@ def test_label_text_and_preview(spark):
     assert [r["name"] for r in out.orderBy("c").collect()] == ["Short", "Medium", "Long", "other"]
     assert [r["c"] for r in P.preview(df, 2, ["c"]).collect()] == [0, 1]
     assert P.to_int_matrix(spark.createDataFrame([(2.9,)], ["x"]), ["x"]).first()["x"] == 2
+
+
+def test_integer_cast_accepts_integral_decimal_text(spark):
+    df = spark.createDataFrame([("310",), ("310.0",), ("310.5",), ("x",)], ["c"])
+    out = P.cast_features(df, {"c": "bigint"}).collect()
+    assert [(r["c"], r["_rejected"]) for r in out] == [(310, False), (310, False), (None, True), (None, True)]
