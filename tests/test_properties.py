@@ -36,3 +36,17 @@ def test_auc_property(spark, rows):
         return
     ref = sum(1.0 if p > q else 0.5 if p == q else 0.0 for p, q in itertools.product(pos, neg))
     assert abs(got - ref / (len(pos) * len(neg))) < 1e-12
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(vals=st.lists(st.one_of(
+    st.floats(min_value=-1e6, max_value=1e6, allow_nan=False, allow_infinity=False),
+    st.integers(0, 10 ** 7).map(lambda i: i / 20000.0),  # many exact / near .5 ties at 4 digits
+    st.integers(0, 10 ** 6).map(lambda i: i / 100000.0 + 0.000005)), min_size=1, max_size=40))
+def test_format_fixed_matches_python(spark, vals):
+    from cellwise.functions.expr import format_fixed
+
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(vals)], "i int, v double")
+    got = {r["i"]: r["s"] for r in df.select("i", format_fixed("v", 4).alias("s")).collect()}
+    for i, v in enumerate(vals):
+        assert got[i] == f"{v:.4f}", (v, got[i])
