@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.operators import governance as G
@@ -30,40 +30,34 @@ RUN_PARAMS_SQL = """
   UNION ALL SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN 'leaves' ELSE 'num_leaves' END, CAST(o_orderkey % 130 AS VARCHAR) FROM orders"""
 
 
+def _explode_named(o: DataFrame, key: Column, items: list[tuple[Column, Column]]) -> DataFrame:
+    """One scan of ``o``: each row becomes one (run_id, name, value) row per item."""
+    arr = F.array(*[F.struct(n.alias("name"), v.alias("value")) for n, v in items])
+    return o.select(key.alias("run_id"), F.explode(arr).alias("_kv")).select("run_id", "_kv.name", "_kv.value")
+
+
 def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k, p = F.col("o_orderkey"), F.col("o_totalprice")
-    parts = [
-        o.select(k.alias("run_id"), F.when(k % 10 == 1, "accuracy_v0").otherwise("accuracy").alias("name"),
-                                    (p / 500000.0).alias("value")),
-        o.select(k, F.lit("f1_score"), (p % 1000) / 1000.0),
-        o.select(k, F.lit("precision"), F.when(k % 23 == 0, F.lit(float("nan")))
-                 .otherwise(F.lit(0.6) + (k % 40) / 100.0)),
-        o.select(k, F.lit("recall"), F.lit(0.7) + (F.col("o_custkey") % 30) / 100.0),
-        o.select(k, F.lit("roc_auc"), F.when(k % 19 == 0, F.lit(None).cast("double"))
-                 .otherwise(F.lit(0.8) + (k % 20) / 100.0)),
-        o.select(k, F.when(k % 9 == 0, "loss").otherwise("log_loss"), (k % 100) / 100.0),
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.union(x)
-    return out
+    return _explode_named(o, k, [
+        (F.when(k % 10 == 1, "accuracy_v0").otherwise("accuracy"), p / 500000.0),
+        (F.lit("f1_score"), (p % 1000) / 1000.0),
+        (F.lit("precision"), F.when(k % 23 == 0, F.lit(float("nan"))).otherwise(F.lit(0.6) + (k % 40) / 100.0)),
+        (F.lit("recall"), F.lit(0.7) + (F.col("o_custkey") % 30) / 100.0),
+        (F.lit("roc_auc"), F.when(k % 19 == 0, F.lit(None).cast("double")).otherwise(F.lit(0.8) + (k % 20) / 100.0)),
+        (F.when(k % 9 == 0, "loss").otherwise("log_loss"), (k % 100) / 100.0),
+    ])
 
 
 def run_params(spark: SparkSession, sf: str) -> DataFrame:
     o = read_table(spark, sf, "orders")
     k = F.col("o_orderkey")
-    parts = [
-        o.select(k.alias("run_id"), F.when(k % 8 == 3, "eta").otherwise("learning_rate").alias("name"),
-                                   ((k % 200) / 1000.0).cast("string").alias("value")),
-        o.select(k, F.lit("n_estimators"), (F.col("o_custkey") * 3).cast("string")),
-        o.select(k, F.lit("max_depth"), F.when(k % 29 == 0, F.lit("abc")).otherwise((k % 15).cast("string"))),
-        o.select(k, F.when(k % 4 == 0, "leaves").otherwise("num_leaves"), (k % 130).cast("string")),
-    ]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.union(x)
-    return out
+    return _explode_named(o, k, [
+        (F.when(k % 8 == 3, "eta").otherwise("learning_rate"), ((k % 200) / 1000.0).cast("string")),
+        (F.lit("n_estimators"), (F.col("o_custkey") * 3).cast("string")),
+        (F.lit("max_depth"), F.when(k % 29 == 0, F.lit("abc")).otherwise((k % 15).cast("string"))),
+        (F.when(k % 4 == 0, "leaves").otherwise("num_leaves"), (k % 130).cast("string")),
+    ])
 
 
 def _metric_msgs_sql() -> str:
