@@ -69,3 +69,26 @@ def test_scatter_points_thins(spark):
     df = spark.range(5000).select(F.col("id").alias("x"), (F.col("id") * 2).alias("y"))
     n = A.scatter_points(df, "x", "y", max_points=500).count()
     assert 350 < n < 650
+
+
+def test_describe_approx_within_sketch_error(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=4000)
+    df = spark.createDataFrame([(float(v),) for v in x], ["x"])
+    got = A.describe(df, ["x"], exact=False, accuracy=1000).toPandas().set_index("statistic")
+    srt = np.sort(x)
+    for s, p in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75)):
+        # the sketch value lies within rank error n/accuracy of the exact one
+        lo, hi = srt[int(max(0, (p - 2e-3) * 4000))], srt[int(min(3999, (p + 2e-3) * 4000))]
+        assert lo <= got.loc[s, "x"] <= hi
+    assert got.loc["count", "x"] == 4000.0
+
+
+def test_bootstrap_reproducible(spark):
+    df = spark.range(300).select((F.col("id") % 3).alias("x"), (F.col("id") * 0.5).alias("y"))
+    a = sorted(tuple(r) for r in A.mean_curve_bootstrap(df, "x", "y", replicates=40, seed=7).collect())
+    b = sorted(tuple(r) for r in A.mean_curve_bootstrap(df.repartition(5), "x", "y", replicates=40, seed=7).collect())
+    assert a == b
+    for x, lo, hi in a:
+        m = df.where(F.col("x") == x).agg(F.avg("y")).first()[0]
+        assert lo <= m <= hi
