@@ -23,8 +23,8 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
                seed: int | None = 42, modulus: int = 10000, out: str = SPLIT_COL) -> DataFrame:
     """SP1: add ``split`` = 'test' when hash_bucket(seed, keys) < test_size*modulus.
 
-    Row-local: no shuffle, and rows sharing a key stay on one side.
-    ``seed=None`` is the unseeded split: a fresh seed is drawn once on the
+    Row-local: no shuffle, and rows sharing a key stay on one side (rows
+    with a null key are spread by a content hash).  ``seed=None`` is the unseeded split: a fresh seed is drawn once on the
     driver, so the frame is still consistent within the run.
     """
     if seed is None:
@@ -32,8 +32,16 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
 
         seed = secrets.randbits(31)
     cut = int(round(test_size * modulus))
-    side = F.when(hash_bucket(seed, key_cols, modulus) < F.lit(cut), F.lit("test")) \
-        .otherwise(F.lit("train"))
+    bucket = hash_bucket(seed, key_cols, modulus)
+    # A null key is no shared identity: such rows are spread by their content
+    # instead of all landing on one side (null is often the largest "key").
+    any_null = None
+    for c in key_cols:
+        t = F.col(c).isNull()
+        any_null = t if any_null is None else (any_null | t)
+    content = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(modulus))
+    bucket = F.when(any_null, content).otherwise(bucket)
+    side = F.when(bucket < F.lit(cut), F.lit("test")).otherwise(F.lit("train"))
     return df.withColumn(out, side)
 
 

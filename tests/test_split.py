@@ -68,3 +68,11 @@ def test_unseeded_split_is_consistent_within_a_frame(spark):
     a = {r[0] for r in s.where("split='test'").collect()}
     b = {r[0] for r in s.where("split='test'").collect()}
     assert a == b and 0.1 < len(a) / o.count() < 0.3
+
+
+def test_null_keys_are_spread(spark):
+    df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id")).alias("k"),
+                                  F.col("id").alias("v"))
+    out = hash_split(df, ["k"]).where("k is null").groupBy("split").count().collect()
+    frac = {r["split"]: r["count"] for r in out}
+    assert 0.15 < frac["test"] / 1000 < 0.25
