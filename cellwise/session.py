@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +62,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/cellwise-scratch/{uuid.uuid4().hex}/{name}"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package (Python functions of operators import
+    it there), once per application, as ``spark-submit --py-files`` would."""
+    sc = spark.sparkContext
+    if getattr(sc, "_cellwise_shipped", False):
+        return
+    root = Path(__file__).resolve().parent
+    # The driver serves this file to the executors as long as it runs.
+    folder = tempfile.mkdtemp(prefix="cellwise-zip-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    archive = Path(folder, "cellwise.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, Path("cellwise", p.relative_to(root)))
+    sc.addPyFile(str(archive))
+    sc._cellwise_shipped = True
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan sizing for a cluster run over ``input_bytes``.
 
@@ -80,4 +102,4 @@ def local_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "scratch_path", "scale_conf", "local_path"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "scratch_path", "scale_conf", "local_path"]
