@@ -34,3 +34,50 @@ def op7_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellwise.llm.quality import quality_report
 
     return quality_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.exact import duplicate_report
+
+    return duplicate_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# The white space of the contract, spelled for RE2.
+_NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
+ORACLE["op1_exact_dedup"] = f"""
+SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
+       row_number() OVER (PARTITION BY t ORDER BY doc_id) = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, {_NORM} AS t FROM documents) WINDOW g AS (PARTITION BY t)"""
+
+
+@query
+def op3_vector_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.shard import shard_documents
+
+    return shard_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op9_certified_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.packing import pack_documents
+
+    return pack_documents(read_table(spark, sf_dir, "documents", "doc_id", "text"), tokenizer_path())
+
+
+#: The contract's host/path rules.
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"),
+             ("allow", "org/fr/"))
+
+
+@query
+def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.urls import host_path, judge_urls
+
+    pages = read_table(spark, sf_dir, "pages", "page_id", "url")
+    labels = read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic")
+    # A page's path ends in the number of the document it shows.
+    number = F.regexp_extract(host_path(F.col("url"))[1], r"/(\d+)", 1).try_cast("long")
+    labelled = (pages.select("url", number.alias("doc_id")).join(labels, "doc_id")
+                .select("url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")))
+    return judge_urls(pages, labelled, URL_RULES)
