@@ -81,3 +81,10 @@ def op10_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = (pages.select("url", number.alias("doc_id")).join(labels, "doc_id")
                 .select("url", ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("bad")))
     return judge_urls(pages, labelled, URL_RULES)
+
+
+@query
+def op4_consensus_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.html import extract_pages
+
+    return extract_pages(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
