@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellwise.llm.bpe import id_bytes
+from cellwise.llm.bpe import library_id_bytes
 from cellwise.llm.common import stored
 
 CAPACITY = 1024
@@ -43,7 +43,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = E
         tail = end_id.to_bytes(4, "little")
         out = []
         for t in texts:
-            ids = id_bytes(t or "", path) + tail
+            ids = library_id_bytes(t or "", path) + tail
             out.append([{"piece": k, "start": s, "length": n, "ids_crc32": crc32(ids[4 * s:4 * (s + n)])}
                         for k, (s, n) in enumerate(cut(len(ids) // 4, capacity))])
         return pd.Series(out, dtype=object)

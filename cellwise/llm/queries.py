@@ -88,3 +88,10 @@ def op4_consensus_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellwise.llm.html import extract_pages
 
     return extract_pages(read_table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
+@query
+def op6_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.near import class_report
+
+    return class_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))

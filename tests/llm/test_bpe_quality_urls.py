@@ -30,6 +30,7 @@ def test_ids_equal_the_library_and_decode_back(tok):
         ids = tok.encode(t, add_special_tokens=False).ids
         assert b.encode(t) == ids, repr(t)
         assert b.decode(ids) == tok.decode(ids, skip_special_tokens=False) == t
+        assert bpe.library_id_bytes(t, tokenizer_path()) == bpe.id_bytes(t, tokenizer_path())
         assert bpe.id_bytes(t, tokenizer_path()) == b"".join(i.to_bytes(4, "little") for i in ids)
 
 
