@@ -95,3 +95,10 @@ def op6_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellwise.llm.near import class_report
 
     return class_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op8_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.suffix import repeated_spans
+
+    return repeated_spans(read_table(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
