@@ -47,6 +47,8 @@ def digest_state(spark: SparkSession, rows_path: str, schema: str,
     # A session of its own keeps the caller's state-store setting untouched.
     session = spark.newSession()
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    # Many small stores: no disk set aside in advance for each one's logs.
+    session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
     place = scratch_path(spark, "dedup_state")
     seen = (session.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
