@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from cellwise.llm.common import fresh, stored
 from cellwise.llm.components import components
+from cellwise.llm.grams import gram_hashes, words_of
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -50,26 +51,9 @@ TASK_SHINGLES = 2_000_000
 _ODD = np.random.default_rng(20240901).integers(0, 2**63, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _mix(h: np.ndarray) -> np.ndarray:
-    h = h ^ (h >> np.uint64(31))
-    h = h * np.uint64(0x9FB21C651E98DF25)
-    return h ^ (h >> np.uint64(29))
-
-
-def shingle_set(words: list[bytes], k: int = WORDS) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the k-word shingles; of fewer words,
-    the one shingle that they form; of none, nothing."""
-    from xxhash import xxh3_64_intdigest
-
-    n = len(words)
-    if not n:
-        return np.empty(0, dtype=np.uint64)
-    h = np.fromiter(map(xxh3_64_intdigest, words), dtype=np.uint64, count=n)
-    width = min(k, n)
-    s = np.zeros(n - width + 1, dtype=np.uint64)
-    for j in range(width):
-        s = _mix(s + h[j:n - width + 1 + j])
-    return np.unique(s)
+def shingle_set(text: str | None, k: int = WORDS) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the k-word shingles."""
+    return np.unique(gram_hashes(words_of(text), k))
 
 
 def signature(shingles: np.ndarray) -> np.ndarray:
@@ -92,9 +76,8 @@ def runs_needed(target: float = TARGET_RECALL, threshold: float = THRESHOLD, bra
 def _sketches(texts: pd.Series) -> pd.DataFrame:
     out = []
     for t in texts:
-        words = (t or "").encode("utf-8", "surrogatepass").split()
-        s = shingle_set(words)
-        out.append((blake2b(b" ".join(words), digest_size=16).digest(), len(s), signature(s).tobytes()))
+        s = shingle_set(t)
+        out.append((blake2b(b" ".join(words_of(t)), digest_size=16).digest(), len(s), signature(s).tobytes()))
     return pd.DataFrame(out, columns=["words", "n", "sig"])
 
 
@@ -216,7 +199,7 @@ def _exact(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
 
 
 def _shingle_bytes(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingle_set((t or "").encode("utf-8", "surrogatepass").split()).tobytes() for t in texts],
+    return pd.Series([shingle_set(t).tobytes() for t in texts],
                      dtype=object)
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellwise.llm.common import stored, text_or_empty
+from cellwise.llm.grams import anchors
 
 LENGTH = 200
 #: Bytes of the first rank; the core is this times a power of two.
@@ -78,23 +79,6 @@ def fingerprints(rows: np.ndarray, upto: int) -> dict[int, np.ndarray]:
     return out
 
 
-def _sliding(v: np.ndarray, width: int, op) -> np.ndarray:
-    done, out = 1, v
-    while done * 2 <= width:
-        out = op(out[:len(out) - done], out[done:])
-        done *= 2
-    rest = width - done
-    return op(out[:len(out) - rest], out[rest:]) if rest else out
-
-
-def anchors(f: np.ndarray, width: int) -> np.ndarray:
-    """Positions whose fingerprint is lowest in one of the windows of ``width``
-    positions around them."""
-    low = _sliding(f, width, np.minimum)
-    pad = np.zeros(width - 1, dtype=np.uint64)
-    return np.flatnonzero(_sliding(np.concatenate([pad, low, pad]), width, np.maximum) == f)
-
-
 def _anchor_udf(length: int):
     core = core_of(length)
 
