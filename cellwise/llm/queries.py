@@ -102,3 +102,10 @@ def op8_prefix_doubling(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellwise.llm.suffix import repeated_spans
 
     return repeated_spans(read_table(spark, sf_dir, "documents", "doc_id", "text")).drop("spans")
+
+
+@query
+def op2_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.passages import passage_report
+
+    return passage_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
