@@ -25,6 +25,8 @@ from cellwise.session import scratch_path
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: Files that one micro-batch reads; state carries over between batches.
 FILES_PER_BATCH = 20_000
+#: Parts over which the rows of a repeated digest are dealt for the byte check.
+SALTS = 16
 
 
 def normalised(col: str = "text") -> Column:
@@ -95,7 +97,12 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     # Full bytes of every hit.  Copies fold before the shuffle, so a text that
     # a third of all rows share is a few rows per task.
-    hits = (numbered.join(state.where("n > 1").select(F.col("digest").alias(d)), d, "left_semi")
+    # The join is salted too: each repeated digest meets its rows in SALTS parts.
+    salt = names["group_size"]
+    repeated = state.where("n > 1").select(
+        F.col("digest").alias(d), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias(salt))
+    hits = (numbered.withColumn(salt, F.pmod(F.col(r), F.lit(SALTS)).cast("int"))
+            .join(repeated, [d, salt], "left_semi")
             .groupBy(d, norm.alias("_norm"))
             .agg(F.min(first).alias("_first"), F.count(F.lit(1)).alias("_n")))
     clash = stored(hits.groupBy(d).agg(F.count(F.lit(1)).alias("_variants"))
