@@ -3,9 +3,9 @@
 from cellwise.functions.expr import (
     dict_lookup, hash_bucket, hash_u32, logistic2, map_literal, row_digest, try_cast,
 )
-from cellwise.functions.ranges import bucket_expr, quantile_bounds, running_totals
+from cellwise.functions.ranges import running_totals
 
 __all__ = [
     "dict_lookup", "hash_bucket", "hash_u32", "logistic2", "map_literal", "row_digest",
-    "try_cast", "bucket_expr", "quantile_bounds", "running_totals",
+    "try_cast", "running_totals",
 ]

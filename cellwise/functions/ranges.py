@@ -1,179 +1,66 @@
 """Exact running totals without a single-partition sort.
 
 A global ``Window.orderBy`` (no partition) pulls every row into one task.
-Instead, rows are cut into range buckets whose boundaries come from a
-distributed approximate-quantile sketch of the ordering column; each bucket
-is ordered locally and gets an offset from the (small) table of bucket
-totals.  The result is exact: the sketch only decides *where* buckets are
-cut, never which rows are counted.  A group holding a third of all rows is
-spread over many buckets, so no task sees more than about 1/B of a group.
+Here the rows are range-partitioned by (group, order columns) into many
+buckets, written once with their bucket number, totalled per (group, bucket)
+and ranked inside each bucket; a bucket's offset within its group is the
+prefix sum of the totals before it.  The buckets only decide where the rows
+are cut, never the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Driver-side safety bounds: boundaries held on the driver and compiled
-# into the bucket expression.
-MAX_BOUNDARY_VALUES = 200_000
-MAX_HEAVY_GROUPS = 64
-MAX_BUCKETS = 1024
-# Rows one window task sorts at most (before spilling is the only option).
-ROWS_PER_BUCKET = 2_000_000
-
-
-def quantile_bounds(df: DataFrame, group_cols: Sequence[str], order_col: str,
-                    n_buckets: int, accuracy: int | None = None) -> dict[tuple, list]:
-    """Per-group bucket boundaries (sorted, unique) from ``percentile_approx``.
-
-    One distributed aggregate; the result is groups x (n_buckets-1) numbers,
-    checked against ``MAX_BOUNDARY_VALUES`` before it is collected.
-    """
-    if n_buckets < 2:
-        return {}
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    acc = accuracy or max(10_000, 20 * n_buckets)
-    bounds = F.percentile_approx(F.col(order_col), probs, acc).alias("_bounds")
-    agg = df.groupBy(*group_cols).agg(bounds) if group_cols else df.agg(bounds)
-    n_groups_limit = max(1, MAX_BOUNDARY_VALUES // max(1, n_buckets - 1))
-    rows = agg.limit(n_groups_limit + 1).collect()
-    if len(rows) > n_groups_limit:
-        raise ValueError(
-            f"too many groups ({len(rows)}+) for {n_buckets} buckets; lower n_buckets")
-    out: dict[tuple, list] = {}
-    for r in rows:
-        key = tuple(r[c] for c in group_cols)
-        vals = [v for v in (r["_bounds"] or []) if v is not None]
-        out[key] = sorted(set(vals))
-    return out
-
-
-def bucket_expr(order: Column, bounds: Sequence) -> Column:
-    """Index of the bucket holding ``order``: number of bounds <= value.
-
-    Compiled into a balanced tree of CASE WHENs (log2(B) comparisons per
-    row, whole-stage codegen), i.e. a binary search without a UDF.
-    """
-    b = list(bounds)
-
-    def tree(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi + 1) // 2
-        return F.when(order >= F.lit(b[mid - 1]), tree(mid, hi)).otherwise(tree(lo, mid - 1))
-
-    return tree(0, len(b))
-
-
-def _grouped_bucket(group_cols: Sequence[str], order: Column,
-                    bounds: dict[tuple, list]) -> Column:
-    if not group_cols:
-        return bucket_expr(order, bounds.get((), []))
-    expr = None
-    for key, b in bounds.items():
-        cond = None
-        for c, v in zip(group_cols, key):
-            term = F.col(c).isNull() if v is None else (F.col(c) == F.lit(v))
-            cond = term if cond is None else (cond & term)
-        branch = bucket_expr(order, b)
-        expr = F.when(cond, branch) if expr is None else expr.when(cond, branch)
-    return F.lit(0) if expr is None else expr.otherwise(F.lit(0))
-
 
 def running_totals(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str],
                    sum_cols: Sequence[str], n_buckets: int | None = None,
-                   rows_per_bucket: int = ROWS_PER_BUCKET, prefix: str = "cum_",
-                   materialize: bool = False) -> DataFrame:
+                   rows_per_bucket: int | None = None, prefix: str = "cum_") -> DataFrame:
     """Add ``cum_<c>``: the sum of ``c`` over rows strictly before each row in
     the order (``group_cols``, ``order_cols``), i.e. an exclusive prefix sum.
 
-    ``order_cols[0]`` must be numeric (it is bucketed); the remaining columns
-    only break ties inside a bucket.  Rows equal on every order column get an
-    arbitrary relative order, so callers pass a total order (usually the
-    input is already aggregated to distinct keys).
+    Any orderable columns do; null is a group and sorts first.  Rows equal on
+    every order column get an arbitrary relative order, and are spread over
+    buckets like any others, so neither a large group nor a large tie is one
+    task.  There are ``n_buckets`` buckets, else one per ``rows_per_bucket``
+    rows (which counts the input), else as many as shuffle partitions.
 
-    Only *heavy* groups (more than ``rows_per_bucket`` rows; the largest
-    ``MAX_HEAVY_GROUPS`` of them) are cut into range buckets,
-    ceil(rows / rows_per_bucket) each (at most ``MAX_BUCKETS``); all other
-    groups are one window partition.  ``n_buckets`` forces that many
-    buckets for every group (tests use it to exercise the bucketed path on
-    small data).
-
-    The input is read up to three times (group sizes, boundaries, the
-    ranking); ``materialize`` first writes it once with a reliable
-    checkpoint (shared checkpoint folder) so an expensive input, such as a
-    shuffle aggregate over the whole table, is not recomputed.
+    Runs a job when called: the bucketed rows are checkpointed, so the input
+    is computed once and later steps read the same cut.
     """
-    if materialize:
-        df = df.checkpoint(eager=True)
-    group_cols = list(group_cols)
-    order_cols = list(order_cols)
-    bcol = "_rt_bucket"
-    counts = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_rt_n"))
-    if n_buckets is not None:
-        heavy_rows = counts.limit(MAX_HEAVY_GROUPS + 1).collect()
-        plan = {tuple(r[c] for c in group_cols): n_buckets for r in heavy_rows}
-        if len(plan) > MAX_HEAVY_GROUPS:
-            raise ValueError(f"n_buckets is for at most {MAX_HEAVY_GROUPS} groups")
-    else:
-        # The largest groups over the threshold (distributed top-k). Further
-        # heavy groups, if any, stay one window partition each: with that
-        # many large groups the work is already spread over tasks.
-        heavy_rows = (counts.where(F.col("_rt_n") > F.lit(rows_per_bucket))
-                      .orderBy(F.col("_rt_n").desc()).limit(MAX_HEAVY_GROUPS).collect())
-        plan = {tuple(r[c] for c in group_cols): -(-int(r["_rt_n"]) // rows_per_bucket)
-                for r in heavy_rows}
-    # A group with a null key stays one window partition (equi-joins on the
-    # offsets table could not match it).
-    plan = {k: min(MAX_BUCKETS, v) for k, v in plan.items() if v > 1 and None not in k}
-
-    if plan:
-        top = max(plan.values())
-        src = df
-        if group_cols:
-            keys = None
-            for key in plan:
-                cond = None
-                for c, v in zip(group_cols, key):
-                    t = F.col(c) == F.lit(v)
-                    cond = t if cond is None else (cond & t)
-                keys = cond if keys is None else (keys | cond)
-            src = df.where(keys)
-        raw = quantile_bounds(src, group_cols, order_cols[0], top)
-        bounds = {}
-        for key, nb in plan.items():
-            b = raw.get(key, [])
-            step = max(1, round(top / nb))
-            bounds[key] = sorted(set(b[step - 1::step])) if step > 1 else b
-        x = df.withColumn(bcol, _grouped_bucket(group_cols, F.col(order_cols[0]), bounds))
-    else:
-        x = df.withColumn(bcol, F.lit(0))
-
-    # Totals per (group, bucket): groups x buckets rows, offsets within a group.
-    totals = x.groupBy(*group_cols, bcol).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
-    # totals has groups x buckets rows: without groups it is one small
-    # partition on purpose.
-    w_off = (Window.partitionBy(*(group_cols or [F.lit(0)])).orderBy(bcol)
-             .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = totals.select(
-        *group_cols, bcol,
-        *[F.coalesce(F.sum(f"_tot_{c}").over(w_off), F.lit(0)).alias(f"_off_{c}")
-          for c in sum_cols])
-    if plan:
-        # Offsets of light groups are 0; only heavy groups' rows are joined
-        # to a table bounded by heavy groups x buckets (broadcast).
-        offsets = offsets.where(F.col(bcol) > 0)
-        x = x.join(F.broadcast(offsets), on=[*group_cols, bcol], how="left")
-        off = {c: F.coalesce(F.col(f"_off_{c}"), F.lit(0)) for c in sum_cols}
-    else:
-        off = {c: F.lit(0) for c in sum_cols}
-
-    w_loc = (Window.partitionBy(*group_cols, bcol).orderBy(*order_cols)
-             .rowsBetween(Window.unboundedPreceding, -1))
-    return x.select(
-        *df.columns,
-        *[(F.coalesce(F.sum(c).over(w_loc), F.lit(0)) + off[c]).alias(f"{prefix}{c}")
-          for c in sum_cols])
+    group_cols, order_cols = list(group_cols), list(order_cols)
+    spark = df.sparkSession
+    bucket, tie = "_rt_bucket", "_rt_tie"
+    if n_buckets is None and rows_per_bucket is not None:
+        n_buckets = -(-df.count() // rows_per_bucket)
+    n = max(1, n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # The tie column splits equal rows; its values need not be the same twice,
+    # only the checkpointed ones are used afterwards.
+    x = (df.withColumn(tie, F.monotonically_increasing_id())
+         .repartitionByRange(n, *group_cols, *order_cols, tie)
+         .withColumn(bucket, F.spark_partition_id()).checkpoint(eager=True))
+
+    # At most groups + n rows: a bucket holds whole groups but for its ends.
+    totals = x.groupBy(*group_cols, bucket).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
+    before = (Window.partitionBy(*(group_cols or [F.lit(0)])).orderBy(bucket)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    marks = [f"_og_{i}" for i in range(len(group_cols))]
+    offsets = (totals.withColumn("_n_before", F.count(F.lit(1)).over(before))
+               .select(F.col(bucket).alias("_ob"), *[F.col(g).alias(m) for g, m in zip(group_cols, marks)],
+                       "_n_before", *[F.coalesce(F.sum(f"_tot_{c}").over(before), F.lit(0)).alias(f"_off_{c}")
+                                      for c in sum_cols])
+               # Only a bucket's first group can have begun in an earlier
+               # bucket, so at most n rows are left to broadcast.
+               .where("_n_before > 0").drop("_n_before"))
+    same = F.col(bucket) == F.col("_ob")
+    for g, m in zip(group_cols, marks):
+        same = same & F.col(g).eqNullSafe(F.col(m))
+    inside = (Window.partitionBy(*group_cols, bucket).orderBy(*order_cols, tie)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    return (x.join(F.broadcast(offsets), same, "left")
+            .select(*df.columns, *[
+                (F.coalesce(F.sum(c).over(inside), F.lit(0)) + F.coalesce(f"_off_{c}", F.lit(0))).alias(f"{prefix}{c}")
+                for c in sum_cols]))

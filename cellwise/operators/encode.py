@@ -19,20 +19,12 @@ from cellwise.functions.expr import dict_lookup
 MAX_MAP_ENTRIES = 50_000
 
 
-def string_order_key(col: str) -> F.Column:
-    """A non-negative long that orders like the string (first 7 UTF-8 bytes,
-    big-endian; Spark compares strings byte-wise).  Strings sharing the
-    prefix tie and are ordered by the full value afterwards."""
-    hexed = F.rpad(F.substring(F.hex(F.encode(F.col(col), "UTF-8")), 1, 14), 14, "0")
-    return F.conv(hexed, 16, 10).cast("long")
-
-
 def fit_ordinal(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Sorted distinct non-null categories per column -> codes 0..k-1.
 
     Codes are exact ranks from ``running_totals`` over the distinct
-    categories, so a column with a huge dictionary is ranked by many tasks
-    (range buckets on an order-preserving prefix key), not one.
+    categories, so a column with a huge dictionary is ranked by many tasks,
+    also if its categories share a long prefix.
     """
     from cellwise.functions.ranges import running_totals
 
@@ -40,8 +32,7 @@ def fit_ordinal(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                       for c in cols])
     cats = (df.select(F.explode(pairs).alias("_kv")).select("_kv.column", "_kv.category")
               .where(F.col("category").isNotNull()).distinct())
-    keyed = cats.withColumn("_ok", string_order_key("category")).withColumn("_one", F.lit(1))
-    ranked = running_totals(keyed, ["column"], ["_ok", "category"], ["_one"])
+    ranked = running_totals(cats.withColumn("_one", F.lit(1)), ["column"], ["category"], ["_one"])
     return ranked.select("column", "category", F.col("cum__one").cast("int").alias("code"))
 
 
@@ -49,7 +40,8 @@ def dictionary_maps(dictionary: DataFrame, limit: int = MAX_MAP_ENTRIES) -> dict
     """Collect a dictionary to the driver after checking its size."""
     rows = dictionary.limit(limit + 1).collect()
     if len(rows) > limit:
-        raise ValueError(f"dictionary has more than {limit} entries; use mode='join'")
+        raise ValueError(f"dictionary has more than {limit} entries; use apply_ordinal(mode='join') "
+                         "or one_hot_vector")
     maps: dict[str, dict[str, int]] = {}
     for r in rows:
         maps.setdefault(r["column"], {})[r["category"]] = int(r["code"])
@@ -119,8 +111,9 @@ def one_hot(df: DataFrame, dictionary: DataFrame | Mapping[str, Mapping[str, int
     """One int column per category (code 0 dropped when ``drop_first``),
     unknown -> all zeros; other columns pass through as ``remainder__c``.
 
-    Output names are data-dependent, so the dictionary (size-checked) is
-    read on the driver; the encoding itself is row-local expressions.
+    Output names are data-dependent, so the dictionary is read on the driver
+    and must fit a schema (``MAX_MAP_ENTRIES`` columns); ``one_hot_vector``
+    takes larger ones.
     """
     maps = dictionary if isinstance(dictionary, Mapping) else dictionary_maps(dictionary)
     out = []
@@ -137,29 +130,32 @@ def one_hot(df: DataFrame, dictionary: DataFrame | Mapping[str, Mapping[str, int
 
 def one_hot_vector(df: DataFrame, dictionary: DataFrame | Mapping[str, Mapping[str, int]],
                    col: str, out: str | None = None, drop_first: bool = True) -> DataFrame:
-    """E3, vector form for large dictionaries: a sparse vector per row with
-    the same layout as ``one_hot`` (code 0 dropped when ``drop_first``,
+    """E3, vector form, for dictionaries of any size: a sparse vector per row
+    with the same layout as ``one_hot`` (code 0 dropped when ``drop_first``,
     unknown -> all zeros).
 
     Kept categories get slots 0..m-1; the dropped first category, unknowns
     and nulls map to slot m, which ``OneHotEncoder(dropLast=True)`` drops.
-    The encoder is fitted on a dictionary-sized frame so the vector size
-    does not depend on which categories the data happens to contain.
+    Codes come from ``apply_ordinal`` (map literal or join by size); only the
+    number of categories reaches the driver.
     """
     from pyspark.ml.feature import OneHotEncoder
 
-    maps = dictionary if isinstance(dictionary, Mapping) else dictionary_maps(dictionary)
-    codes = dict(maps.get(col) or {})
+    if isinstance(dictionary, Mapping):
+        size = len(dictionary.get(col) or {})
+    else:
+        size = dictionary.where(F.col("column") == col).count()
     shift = 1 if drop_first else 0
-    kept = {cat: code - shift for cat, code in codes.items() if code - shift >= 0}
-    m = len(kept)
-    spark = df.sparkSession
-    idx = "_oh_idx"
-    slot = (dict_lookup(F.col(col).cast("string"), kept, m) if kept else F.lit(m)).cast("double")
+    m = max(0, size - shift)
+    idx, suffix = "_oh_idx", "_oh_code"
+    coded = apply_ordinal(df, dictionary, [col], suffix=suffix)
+    slot = F.col(col + suffix) - F.lit(shift)
+    x = coded.withColumn(idx, F.when(slot >= 0, slot).otherwise(F.lit(m)).cast("double")).drop(col + suffix)
     enc = OneHotEncoder(inputCols=[idx], outputCols=[out or f"{col}_vec"], dropLast=True,
                         handleInvalid="error")
-    model = enc.fit(spark.range(m + 1).select(F.col("id").cast("double").alias(idx)))
-    return model.transform(df.withColumn(idx, slot)).drop(idx)
+    # The encoder takes the number of slots from the largest one it sees.
+    model = enc.fit(df.sparkSession.createDataFrame([(float(m),)], f"{idx} double"))
+    return model.transform(x).drop(idx)
 
 
 def assembler(cat_code_cols: Sequence[str], num_cols: Sequence[str],

@@ -32,6 +32,8 @@ def hash_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
 
         seed = secrets.randbits(31)
     cut = int(round(test_size * modulus))
+    if (0 < test_size and cut == 0) or (test_size < 1 and cut == modulus):
+        raise ValueError(f"test_size {test_size} is finer than 1/{modulus}; raise modulus")
     bucket = hash_bucket(seed, key_cols, modulus)
     # A null key is no shared identity: such rows are spread by their content
     # instead of all landing on one side (null is often the largest "key").
@@ -56,19 +58,18 @@ def exact_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
     """SP2: exactly ceil(n * test_size) rows go to 'test'.
 
     Rows are ordered by (h, r, keys): h = hash(seed, keys) as in SP1, r = a
-    63-bit content hash; the first k rows are the test set.  The data is
-    never shuffled:
+    63-bit content hash; the first k rows are the test set.  The data as a
+    whole is never shuffled:
 
     1. one aggregate counts rows per h-bucket (top ``hist_bits`` bits of the
        uniform hash: at most 2^hist_bits small rows reach the driver) and
-       finds the bucket holding the k-th row and the rank m inside it;
-    2. only that bucket is ranked (``running_totals`` spreads a heavy
-       duplicate key over range buckets of its content hash) and the m-th
-       row's (h, r, keys) is read back;
-    3. the split is a row-local lexicographic comparison with that row.
-
-    Rows identical in every column tie with each other; if copies of the
-    boundary row straddle the cut they all go to 'train'.
+       finds the bucket that holds the k-th row;
+    2. the rows of that bucket are ranked (``running_totals`` spreads a key
+       or a row that is repeated very often over many tasks); all others are
+       decided by their bucket alone.
+
+    Copies of a row are counted singly, so the size is exact with duplicates
+    and with null keys.  Two jobs run when this is called.
     """
     n_bits = max(1, min(20, hist_bits))
     h, r = "_sp_h", "_sp_r"
@@ -80,31 +81,19 @@ def exact_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2,
                   x.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1))).collect())
     n = sum(c for _, c in hist)
     k = math.ceil(n * test_size)
-    side = F.lit("train")
-    if 0 < k < n:
-        before, target = 0, None
-        for b, c in hist:
-            if before + c >= k:
-                target = b
-                break
-            before += c
-        m = k - before  # the boundary is the m-th row (1-based) of bucket `target`
-        inside = x.where(bucket == F.lit(target)).select(h, r, *key_cols).withColumn("_one", F.lit(1))
-        # h (32 bits) then the top 31 bits of r (63 bits): monotone in (h, r)
-        o = (F.col(h) * F.lit(1 << 31) + F.shiftright(F.col(r), 32)).alias("_sp_o")
-        ranked = running_totals(inside.withColumn("_sp_o", o), [], ["_sp_o", h, r, *key_cols],
-                                ["_one"], n_buckets=n_buckets)
-        row = ranked.where(F.col("cum__one") == F.lit(m - 1)).select(h, r, *key_cols).first()
-        bound = [row[h], row[r], *[row[c] for c in key_cols]]
-        names = [h, r, *key_cols]
-        # (h, r, keys) <= boundary, lexicographically
-        le = None
-        for i in range(len(names) - 1, -1, -1):
-            c, v = F.col(names[i]), F.lit(bound[i])
-            term = (c <= v) if le is None else ((c < v) | ((c == v) & le))
-            le = term
-        side = F.when(bucket < F.lit(target), F.lit("test")).when(
-            (bucket == F.lit(target)) & le, F.lit("test")).otherwise(F.lit("train"))
-    elif k >= n and n > 0:
-        side = F.lit("test")
-    return x.withColumn(out, side).drop(h, r)
+    if not 0 < k < n:
+        return x.withColumn(out, F.lit("test" if n and k >= n else "train")).drop(h, r)
+    before, target = 0, None
+    for b, c in hist:
+        if before + c >= k:
+            target = b
+            break
+        before += c
+    whole = x.where(bucket != F.lit(target)).withColumn(
+        out, F.when(bucket < F.lit(target), F.lit("test")).otherwise(F.lit("train")))
+    inside = x.where(bucket == F.lit(target)).withColumn("_one", F.lit(1))
+    ranked = running_totals(inside, [], [h, r, *key_cols], ["_one"], n_buckets=n_buckets)
+    # The first k - before rows of this bucket, copies of a row counted singly.
+    cut = ranked.withColumn(out, F.when(F.col("cum__one") < F.lit(k - before), F.lit("test"))
+                            .otherwise(F.lit("train"))).checkpoint(eager=True)
+    return whole.unionByName(cut.select(*whole.columns)).drop(h, r)

@@ -29,19 +29,33 @@ def test_one_hot_drop_first_and_unknown(spark):
 
 def test_ordinal_codes_match_sorted_order_with_buckets(spark):
     from cellwise.functions.ranges import running_totals
-    from cellwise.operators.encode import string_order_key
 
     words = ["", "a", "ab", "abc", "abcdefgh", "abcdefgi", "b", "Z", "é", "ü", "zz", "abcdefg"]
+    words += [f"a_prefix_of_twenty_bytes_{i}" for i in range(40)]
     df = spark.createDataFrame([(w,) for w in words], ["c"])
     codes = {r["category"]: r["code"] for r in fit_ordinal(df, ["c"]).collect()}
     assert [w for w, _ in sorted(codes.items(), key=lambda t: t[1])] == sorted(words, key=lambda w: w.encode())
-    keyed = (df.select(F.lit("c").alias("column"), F.col("c").alias("category"))
-               .withColumn("_ok", string_order_key("category")).withColumn("_one", F.lit(1)))
+    keyed = df.select(F.lit("c").alias("column"), F.col("c").alias("category"), F.lit(1).alias("_one"))
     got = {r["category"]: r["cum__one"] for r in
-           running_totals(keyed, ["column"], ["_ok", "category"], ["_one"], n_buckets=4).collect()}
+           running_totals(keyed, ["column"], ["category"], ["_one"], n_buckets=9).collect()}
     assert got == codes
 
 
+def test_large_dictionary_forms(spark):
+    """60,000 categories: the join form and the vector form take them."""
+    from cellwise.operators.encode import apply_ordinal, one_hot_vector
+
+    df = spark.range(60_000).select(F.format_string("category_%08d", F.col("id")).alias("c"), "id")
+    d = fit_ordinal(df, ["c"])
+    out = apply_ordinal(df, d, ["c"], suffix="_code")
+    assert out.where(F.col("c_code") != F.col("id")).count() == 0 and out.count() == 60_000
+    v = one_hot_vector(df.where("id % 10000 = 7").unionByName(
+        spark.createDataFrame([("unknown", -1)], "c string, id long")), d, "c").collect()
+    for r in v:
+        assert r["c_vec"].size == 59_999
+        assert list(r["c_vec"].indices) == ([] if r["id"] < 0 else [r["id"] - 1])
+
+
 def test_one_hot_vector_matches_columns(spark):
     from cellwise.operators.encode import one_hot_vector
 

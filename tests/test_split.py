@@ -76,3 +76,43 @@ def test_null_keys_are_spread(spark):
     out = hash_split(df, ["k"]).where("k is null").groupBy("split").count().collect()
     frac = {r["split"]: r["count"] for r in out}
     assert 0.15 < frac["test"] / 1000 < 0.25
+
+
+def test_exact_split_with_duplicates_and_null_keys(spark):
+    for rows, size in (([(1, "a")] * 1000, 0.2), ([(k, "x") for k in range(10) for _ in range(100)], 0.25),
+                       ([(None, str(i)) for i in range(1000)], 0.2), ([(None, None)] * 500 + [(3, "y")] * 500, 0.31)):
+        df = spark.createDataFrame(rows, "k int, v string")
+        for nb in (None, 5):
+            out = exact_split(df, ["k"], size, n_buckets=nb)
+            assert out.count() == 1000
+            assert out.where("split='test'").count() == -(-int(round(1000 * size * 1000)) // 1000)
+
+
+def test_hash_split_rejects_a_size_it_cannot_cut(spark):
+    import pytest
+
+    df = spark.range(10)
+    for size in (0.00001, 0.99999):
+        with pytest.raises(ValueError):
+            hash_split(df, ["id"], size)
+    assert hash_split(df, ["id"], 0.00001, modulus=10_000_000).count() == 10
+
+
+def test_running_totals_spread_ties_nulls_and_many_groups(spark):
+    rows = [(None if i % 3 == 0 else i % 120, None if i % 5 == 0 else 7, 1 + i % 4) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g int, v int, w int")
+    out = running_totals(df, ["g"], ["v"], ["w"], n_buckets=25)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["g"], []).append((r["v"] is not None, r["cum_w"], r["w"]))
+    assert sum(map(len, got.values())) == 3000
+    for g in got.values():
+        at = 0
+        for _, c, w in sorted(g, key=lambda t: t[1]):
+            assert c == at
+            at += w
+        nulls = [c for known, c, _ in g if not known]
+        rest = [c for known, c, _ in g if known]
+        assert not nulls or not rest or max(nulls) < min(rest)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
