@@ -98,3 +98,19 @@ def format_fixed(col: str | Column, digits: int = 4) -> Column:
 def last_path_segment(col: str | Column) -> Column:
     """Text after the last '/' (e.g. the version of ``models:/name/3``)."""
     return F.substring_index(_col(col), "/", -1)
+
+
+def float_text(v: Column) -> Column:
+    """A double as Python prints it: plain digits from 1e-4 up to 1e16, else
+    an exponent of at least two digits (0.0001, 10000000.0, 1e-05)."""
+    text, size = v.cast("string"), F.abs(v)
+    digits = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), r"0+\z", "")
+    plain = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+    mantissa = F.regexp_replace(F.substring_index(text, "E", 1), r"\.0\z", "")
+    power = F.substring_index(text, "E", -1).try_cast("int")
+    sci = F.concat(mantissa, F.when(power < 0, F.lit("e-")).otherwise(F.lit("e+")),
+                   F.when(F.abs(power) < 10, F.lit("0")).otherwise(F.lit("")), F.abs(power).cast("string"))
+    return (F.when(F.isnan(v), F.lit("nan"))
+             .when(size == F.lit(float("inf")), F.when(v > 0, F.lit("inf")).otherwise(F.lit("-inf")))
+             .when(~text.contains("E"), text)
+             .when((size >= F.lit(1e-4)) & (size < F.lit(1e16)), plain).otherwise(sci))

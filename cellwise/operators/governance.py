@@ -21,20 +21,37 @@ from cellwise.config import (
     ALIAS_CHALLENGER, ALIAS_CHAMPION, ALIAS_LATEST, METRIC_THRESHOLDS, PARAM_RANGES,
     PROMOTION_AUC_MIN, PROMOTION_F1_MIN, UPPER_LIMIT_METRICS,
 )
-from cellwise.functions.expr import format_fixed, last_path_segment
+from cellwise.functions.expr import float_text, format_fixed, last_path_segment
 from cellwise.functions.ranges import running_totals
 
 
 def _pivot(long: DataFrame, key: str, names: Sequence[str], value: str = "value",
-           prefix: str = "") -> DataFrame:
-    """One row per ``key``: for each name its value (max over duplicates)
-    and whether it was present at all."""
+           prefix: str = "", only_named: bool = True) -> DataFrame:
+    """One row per ``key``: for each name its value, whether it was present
+    and whether it clashes.
+
+    With a ``step`` column the value of the latest step holds.  Without one, a
+    name with different values has no defined value: it clashes.
+    ``only_named=False`` keeps keys that have none of the names.
+    """
     aggs = []
     for n in names:
         hit = F.col("name") == F.lit(n)
-        aggs += [F.max(F.when(hit, F.col(value))).alias(f"{prefix}{n}"),
-                 F.max(hit.cast("int")).alias(f"{prefix}{n}__present")]
-    return long.where(F.col("name").isin(list(names))).groupBy(key).agg(*aggs)
+        v = F.when(hit, F.col(value))
+        if "step" in long.columns:
+            aggs += [F.max_by(F.col(value), F.when(hit, F.col("step"))).alias(f"{prefix}{n}"),
+                     F.lit(False).alias(f"{prefix}{n}__clash")]
+        else:
+            aggs += [F.max(v).alias(f"{prefix}{n}"), (F.min(v) != F.max(v)).alias(f"{prefix}{n}__clash")]
+        aggs.append(F.max(hit.cast("int")).alias(f"{prefix}{n}__present"))
+    rows = long.where(F.col("name").isin(list(names))) if only_named else long
+    return rows.groupBy(key).agg(*aggs)
+
+
+def _clash(name: str, prefix: str) -> tuple[Column, Column]:
+    """Condition and message of a value that was logged twice without order."""
+    return (F.coalesce(F.col(f"{prefix}{name}__clash"), F.lit(False)),
+            F.lit(f"{name}: logged more than once without a step"))
 
 
 def _fmt_num(c: Column, digits: int = 4) -> Column:
@@ -51,6 +68,7 @@ def metric_failure_exprs(thresholds: Mapping[str, float] = METRIC_THRESHOLDS,
         op = ">" if name in upper else "<"
         breach = (v > F.lit(limit)) if name in upper else (v < F.lit(limit))
         msg = (F.when(~present | v.isNull(), F.lit(f"{name}: missing"))
+                .when(*_clash(name, prefix))
                 .when(F.isnan(v), F.lit(f"{name}: not a number"))
                 .when(breach, F.concat(F.lit(f"{name}: "), _fmt_num(v), F.lit(f" {op} {limit}"))))
         out.append(msg)
@@ -65,9 +83,10 @@ def param_failure_exprs(ranges: Mapping[str, tuple] = PARAM_RANGES, prefix: str
         present = F.coalesce(F.col(f"{prefix}{name}__present"), F.lit(0)) == 1
         v = raw.try_cast("double")
         msg = (F.when(~present | raw.isNull(), F.lit(f"{name}: missing"))
+                .when(*_clash(name, prefix))
                 .when(v.isNull(), F.concat(F.lit(f"{name}: not numeric ("), raw, F.lit(")")))
                 .when((v < F.lit(low)) | (v > F.lit(high)) | F.isnan(v),
-                      F.concat(F.lit(f"{name}: "), v.cast("string"), F.lit(f" not in [{low}, {high}]"))))
+                      F.concat(F.lit(f"{name}: "), float_text(v), F.lit(f" not in [{low}, {high}]"))))
         out.append(msg)
     return out
 
@@ -170,33 +189,47 @@ def promotion_gate(candidates: DataFrame, metrics: DataFrame, versions: DataFram
                    auc_min: float = PROMOTION_AUC_MIN, f1_name: str = "f1_score",
                    auc_name: str = "roc_auc") -> DataFrame:
     """Decide promotion of each candidate (model, run_id) against the
-    model's current champion, in this order: no champion -> promote;
-    missing or NaN metric -> invalid; dAUC < auc_min -> blocked;
-    dF1 < f1_min -> blocked; else promote."""
-    m = _pivot(metrics, "run_id", [f1_name, auc_name], prefix="m_").select(
-        "run_id", F.col(f"m_{f1_name}").alias("f1"), F.col(f"m_{auc_name}").alias("auc"))
+    model's current champion, in this order: unknown run -> invalid; no
+    champion -> promote; missing, clashing or NaN metric -> invalid; dAUC <
+    auc_min -> blocked; dF1 < f1_min -> blocked; else promote.
+
+    A run is known if it logged any metric or is a registered version.
+    """
+    # One pivot for candidates and champions; registered runs without metrics
+    # come in as rows without a name.
+    logged = metrics.select("run_id", "name", "value", *(["step"] if "step" in metrics.columns else []))
+    registered = versions.select("run_id", *[F.lit(None).cast(t).alias(c) for c, t in logged.dtypes[1:]])
+    f1, auc = F.col(f"m_{f1_name}"), F.col(f"m_{auc_name}")
+    m = _pivot(logged.unionByName(registered), "run_id", [f1_name, auc_name], prefix="m_",
+               only_named=False).select(
+        "run_id", F.when(~F.coalesce(f"m_{f1_name}__clash", F.lit(False)), f1).alias("f1"),
+        F.when(~F.coalesce(f"m_{auc_name}__clash", F.lit(False)), auc).alias("auc"), F.lit(True).alias("known"))
     champ = (alias_holder(events, ALIAS_CHAMPION).where(F.col("version").isNotNull())
              .join(versions.select("model", "version", F.col("run_id").alias("champion_run_id")),
                    ["model", "version"], "inner")
-             .select("model", F.col("version").alias("champion_version"), "champion_run_id"))
+             .join(m.select(F.col("run_id").alias("champion_run_id"), F.col("f1").alias("f1_old"),
+                            F.col("auc").alias("auc_old")), "champion_run_id", "left")
+             # one row per model, so candidates only join by model
+             .select("model", F.col("version").alias("champion_version"), "champion_run_id", "f1_old", "auc_old"))
     c = (candidates.select("model", F.col("run_id").alias("candidate_run_id"))
          .join(champ, "model", "left")
          .join(m.select(F.col("run_id").alias("candidate_run_id"), F.col("f1").alias("f1_new"),
-                        F.col("auc").alias("auc_new")), "candidate_run_id", "left")
-         .join(m.select(F.col("run_id").alias("champion_run_id"), F.col("f1").alias("f1_old"),
-                        F.col("auc").alias("auc_old")), "champion_run_id", "left"))
+                        F.col("auc").alias("auc_new"), "known"), "candidate_run_id", "left"))
+    unknown = F.col("known").isNull()
     d_f1 = F.col("f1_new") - F.col("f1_old")
     d_auc = F.col("auc_new") - F.col("auc_old")
     bad = None
     for v in ("f1_new", "f1_old", "auc_new", "auc_old"):
         t = F.col(v).isNull() | F.isnan(F.col(v))
         bad = t if bad is None else (bad | t)
-    status = (F.when(F.col("champion_run_id").isNull(), F.lit("promote"))
+    status = (F.when(unknown, F.lit("invalid"))
+               .when(F.col("champion_run_id").isNull(), F.lit("promote"))
                .when(bad, F.lit("invalid"))
                .when(d_auc < F.lit(auc_min), F.lit("blocked"))
                .when(d_f1 < F.lit(f1_min), F.lit("blocked"))
                .otherwise(F.lit("promote")))
-    reason = (F.when(F.col("champion_run_id").isNull(), F.lit("no champion"))
+    reason = (F.when(unknown, F.lit("unknown candidate run"))
+               .when(F.col("champion_run_id").isNull(), F.lit("no champion"))
                .when(bad, F.lit("missing or invalid metric"))
                .when(d_auc < F.lit(auc_min), F.lit("roc_auc regressed"))
                .when(d_f1 < F.lit(f1_min), F.lit("f1 improvement too small"))
@@ -229,6 +262,34 @@ def alias_swap_events(decisions: DataFrame, events: DataFrame) -> DataFrame:
              .select("model", "_e.alias", "_e.version", "_e.event_seq"))
 
 
+def alias_swap_status(decisions: DataFrame, events: DataFrame) -> DataFrame:
+    """One row per approved model: (model, status), 'swapped' or, where
+    there is no Challenger to promote, 'no challenger'."""
+    ok = decisions.where(F.col("status") == "promote").select("model").distinct()
+    chall = alias_holder(events, ALIAS_CHALLENGER).where(F.col("version").isNotNull()).select(
+        "model", F.lit("swapped").alias("status"))
+    return ok.join(chall, "model", "left").select("model", F.coalesce("status", F.lit("no challenger")).alias("status"))
+
+
+def challenger_events(verdicts: DataFrame, versions: DataFrame, events: DataFrame | None = None) -> DataFrame:
+    """G4's outcome on the registry: per registered run with a verdict
+    (model, version, run_id, status tag, alias, event_seq); a passed run's
+    version gets the Challenger alias, a failed one only its tag.
+
+    Rows with an alias are the events to append; of a model's passed versions
+    the newest comes last, so it holds the alias afterwards.
+    """
+    seq = (events.groupBy("model").agg(F.max("event_seq").alias("_seq")) if events is not None
+           else versions.select("model").distinct().withColumn("_seq", F.lit(0).cast("long")))
+    x = (versions.select("model", "version", "run_id").join(verdicts.select("run_id", "status"), "run_id")
+         .join(seq, "model", "left"))
+    passed = F.col("status") == "passed"
+    # Versions are unique within a model, so they order its events.
+    return x.select("model", "version", "run_id", "status",
+                    F.when(passed, F.lit("Challenger")).alias("alias"),
+                    F.when(passed, F.coalesce("_seq", F.lit(0)) + F.col("version")).cast("long").alias("event_seq"))
+
+
 def champion_reeval(scored: DataFrame, y: str, yhat: str, tag_col: str = "model_tag",
                     candidate: str = "candidate", champion: str = "champion") -> DataFrame:
     """Re-score the champion on the current test set and compare F1
