@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellwise.config import Z95
+from cellwise.functions.expr import hash_u32
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -29,184 +30,128 @@ def shape(df: DataFrame) -> DataFrame:
         "columns", F.lit(len(df.columns)).cast("int"))
 
 
-def _long_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Unpivot numeric columns to (column, value double), nulls and NaN dropped."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
-                      for c in cols])
-    return (df.select(F.explode(pairs).alias("_kv"))
-              .select("_kv.column", "_kv.value")
-              .where(F.col("value").isNotNull() & ~F.isnan("value")))
+def _value(c: str) -> Column:
+    """A numeric column as double; NaN counts as missing."""
+    v = F.col(f"`{c}`").cast("double")
+    return F.when(~F.isnan(v), v)
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    accuracy: int = 10_000, max_candidates: int = 200_000,
-                    max_rounds: int = 6) -> DataFrame:
-    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) per column.
-
-    Selection by refinement, in scans only (no shuffle of the data, no
-    global sort, nothing written):
-
-    1. one scan counts each column and sketches it (``percentile_approx``,
-       rank error <= n/accuracy) at p -/+ 2/accuracy: value brackets that
-       contain the needed order statistics (ranks floor/ceil of (n-1)p);
-    2. one scan counts, per bracket, the rows below it and inside it (and
-       checks that the target rank is inside); brackets still holding more
-       than ``max_candidates`` rows are sketched again within the bracket;
-    3. the rows inside the final brackets are pre-aggregated to (target,
-       value, count) -- a value repeated by a third of the rows is one row --
-       and ranked exactly.
-
-    Returns (column, q_<i>...) in the order of ``probs``.
+def _sketch_probs(probs: Sequence[float], accuracy: int) -> list[float]:
+    """The quantiles around each wanted one that bracket it: the sketch's rank
+    error is at most n/accuracy."""
+    eps = 2.0 / accuracy
+    return sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
+
+
+def _wide_stats(df: DataFrame, cols: Sequence[str], fr: Sequence[float], accuracy: int) -> list[dict]:
+    """Per column: count, mean, std, min, max and sketched quantiles ``fr``;
+    one scan for all columns."""
+    if not cols:
+        return []
+    aggs = []
+    for i, c in enumerate(cols):
+        v = _value(c)
+        aggs += [F.count(v).alias(f"n{i}"), F.avg(v).alias(f"mean{i}"), F.stddev_samp(v).alias(f"std{i}"),
+                 F.min(v).alias(f"min{i}"), F.max(v).alias(f"max{i}"),
+                 F.percentile_approx(v, list(fr), accuracy).alias(f"sk{i}")]
+    r = df.agg(*aggs).first()
+    return [{k: r[f"{k}{i}"] for k in ("n", "mean", "std", "min", "max", "sk")} for i in range(len(cols))]
+
+
+def _order_statistics(df: DataFrame, cols: Sequence[str], stats: Sequence[dict], probs: Sequence[float],
+                      fr: Sequence[float], accuracy: int) -> list[list[float | None]]:
+    """Exact linear-interpolated quantiles from the sketches' brackets.
+
+    One scan counts the rows below and inside each bracket; the rows inside
+    (a few per ``accuracy`` of the table) are folded to (target, value, count)
+    and ranked by ``running_totals``, many tasks for any number of them.  A
+    bracket that misses its rank is widened to the whole column.
     """
     import math
 
-    cols = list(cols)
-    long = _long_values(df, cols)
-    # -- scan 1: sizes + first sketch at p -/+ margin (independent of n) ---------------
+    from cellwise.functions.ranges import running_totals
+
     eps = 2.0 / accuracy
-    fr = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-eps, eps)})
-    first = long.groupBy("column").agg(F.count(F.lit(1)).alias("n"),
-                                       F.percentile_approx("value", fr, accuracy).alias("sk")).collect()
-    info = {r["column"]: (int(r["n"]), dict(zip(fr, r["sk"]))) for r in first}
-    # targets: (column, rank) -> bracket state
-    state: dict[tuple, dict] = {}
-    for c in cols:
-        if c not in info:
-            continue
-        n, sk = info[c]
-        for p in probs:
+    targets: list[tuple[int, int, float | None, float | None]] = []
+    for i, st in enumerate(stats):
+        n = int(st["n"])
+        at = dict(zip(fr, st["sk"])) if n else {}
+        for p in probs if n else ():
             h = (n - 1) * float(p)
-            lo_p, hi_p = min(1.0, max(0.0, p - eps)), min(1.0, max(0.0, p + eps))
-            for rank in {math.floor(h), math.ceil(h)}:
-                if n <= max_candidates:
-                    state[(c, rank)] = {"a": None, "b": None, "below": 0, "cnt": n, "done": True}
-                else:
-                    state[(c, rank)] = {"a": None, "b": None, "below": 0, "cnt": n, "done": False,
-                                        "next": (sk[lo_p], sk[hi_p])}
-
-    def in_bracket(c: str, a, b) -> Column:
-        cond = F.col("column") == F.lit(c)
-        if a is not None:
-            cond = cond & (F.col("value") >= F.lit(float(a)))
-        if b is not None:
-            cond = cond & (F.col("value") <= F.lit(float(b)))
-        return cond
-
-    # -- scans 2..: count proposed brackets, re-sketch the ones still too large --------
-    for _ in range(max_rounds):
-        todo = [t for t, st in state.items() if not st["done"]]
-        if not todo:
-            break
-        aggs = []
-        for i, (c, _r) in enumerate(todo):
-            a, b = state[(c, _r)]["next"]
-            isc = F.col("column") == F.lit(c)
-            aggs += [F.count_if(isc & (F.col("value") < F.lit(float(a)))).alias(f"b{i}"),
-                     F.count_if(in_bracket(c, a, b)).alias(f"n{i}")]
-        row = long.agg(*aggs).first()
-        resketch = []
-        for i, t in enumerate(todo):
-            st = state[t]
-            a, b = st.pop("next")
-            below, cnt = int(row[f"b{i}"]), int(row[f"n{i}"])
-            if below <= t[1] < below + cnt and cnt < st["cnt"]:
-                st.update(a=a, b=b, below=below, cnt=cnt)
-                if cnt > max_candidates and a != b:
-                    resketch.append(t)
-                    continue
-            st["done"] = True  # small enough, all ties, or no progress
-        if not resketch:
-            continue
-        sk_aggs = []
-        for i, t in enumerate(resketch):
-            st = state[t]
-            k = t[1] - st["below"]
-            m = 2.0 * st["cnt"] / accuracy + 1.0
-            q = [min(1.0, max(0.0, (k - m) / st["cnt"])), min(1.0, max(0.0, (k + m) / st["cnt"]))]
-            inb = in_bracket(t[0], st["a"], st["b"])
-            sk_aggs.append(F.percentile_approx(F.when(inb, F.col("value")), q, accuracy).alias(f"s{i}"))
-        srow = long.agg(*sk_aggs).first()
-        for i, t in enumerate(resketch):
-            state[t]["next"] = tuple(srow[f"s{i}"])
-
-    # -- final scan: rank the candidates of every target exactly -------------------------
-    tids = list(state)
-    conds = [in_bracket(c, state[(c, r)]["a"], state[(c, r)]["b"]) for c, r in tids]
-    anyb = conds[0]
-    for cnd in conds[1:]:
-        anyb = anyb | cnd
-    # Rows inside some bracket (codegen'd filter), pre-aggregated to distinct
-    # (column, value) with partial aggregation, then tagged with their targets.
-    vals = long.where(anyb).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    tag = F.array_compact(F.array(*[F.when(cnd, F.lit(i)) for i, cnd in enumerate(conds)]))
-    cand = vals.select(F.explode(tag).alias("_t"), "value", "n")
-    w = Window.partitionBy("_t").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = cand.withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0)))
-    k_of = F.element_at(F.array(*[F.lit(r - state[(c, r)]["below"]) for c, r in tids]),
-                        F.col("_t") + 1)
-    hits = ranked.where((F.col("_before") <= k_of) & (k_of < F.col("_before") + F.col("n")))
-    picked = {tids[int(r["_t"])]: float(r["value"]) for r in hits.select("_t", "value").collect()}
-
-    spark = df.sparkSession
-    out_rows = []
-    for c in cols:
-        if c not in info:
-            out_rows.append((c, *[None] * len(probs)))
-            continue
-        n = info[c][0]
-        vals = []
+            lo, hi = at[min(1.0, max(0.0, p - eps))], at[min(1.0, max(0.0, p + eps))]
+            targets += [(i, r, lo, hi) for r in sorted({math.floor(h), math.ceil(h)})]
+    if not targets:
+        return [[None] * len(probs) for _ in cols]
+    counts = df.agg(*[e for j, (i, _, lo, hi) in enumerate(targets) for e in (
+        F.count_if(_value(cols[i]) < F.lit(float(lo))).alias(f"b{j}"),
+        F.count_if(_value(cols[i]).between(F.lit(float(lo)), F.lit(float(hi)))).alias(f"n{j}"))]).first()
+    inside, ranks = [], []
+    for j, (i, r, lo, hi) in enumerate(targets):
+        v = _value(cols[i])
+        if counts[f"b{j}"] <= r < counts[f"b{j}"] + counts[f"n{j}"]:
+            cond, k = v.between(F.lit(float(lo)), F.lit(float(hi))), r - counts[f"b{j}"]
+        else:
+            cond, k = v.isNotNull(), r
+        inside.append(F.when(cond, F.struct(F.lit(j).alias("target"), v.alias("value"))))
+        ranks.append(int(k))
+    found = (df.select(F.explode(F.array_compact(F.array(*inside))).alias("_c")).select("_c.target", "_c.value")
+             .groupBy("target", "value").agg(F.count(F.lit(1)).alias("n")))
+    ranked = running_totals(found, ["target"], ["value"], ["n"])
+    k_of = F.element_at(F.array(*[F.lit(k) for k in ranks]), F.col("target") + 1)
+    hit = ranked.where((F.col("cum_n") <= k_of) & (k_of < F.col("cum_n") + F.col("n")))
+    value = {targets[r["target"]][:2]: float(r["value"]) for r in hit.collect()}  # one row a target
+    out = []
+    for i, st in enumerate(stats):
+        n = int(st["n"])
+        row: list[float | None] = []
         for p in probs:
+            if not n:
+                row.append(None)
+                continue
             h = (n - 1) * float(p)
-            lo, hi = math.floor(h), math.ceil(h)
-            vlo, vhi = picked[(c, lo)], picked[(c, hi)]
-            vals.append(vlo + (vhi - vlo) * (h - lo))
-        out_rows.append((c, *vals))
+            lo, hi = value[(i, math.floor(h))], value[(i, math.ceil(h))]
+            row.append(lo + (hi - lo) * (h - math.floor(h)))
+        out.append(row)
+    return out
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    accuracy: int = 10_000) -> DataFrame:
+    """Exact linear-interpolated quantiles (pandas / ``quantile_cont``) per
+    column: (column, q_<i>...) in the order of ``probs``; null for a column
+    without values.  Jobs run when this is called.
+
+    Scans only: the data is neither shuffled nor sorted, only the rows inside
+    the sketched brackets are.
+    """
+    cols, fr = list(cols), _sketch_probs(probs, accuracy)
+    stats = _wide_stats(df, cols, fr, accuracy)
+    rows = [(c, *q) for c, q in zip(cols, _order_statistics(df, cols, stats, probs, fr, accuracy))]
     schema = "column string, " + ", ".join(f"q_{i} double" for i in range(len(probs)))
-    return spark.createDataFrame(out_rows, schema)
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None, exact: bool = True,
              accuracy: int = 10000) -> DataFrame:
     """A2: count, mean, std (sample), min, 25%, 50%, 75%, max per numeric column.
 
-    Layout as pandas: one row per statistic, one column per input column.
-    ``exact=False`` uses ``percentile_approx`` (one pass, bounded memory).
+    Layout as pandas: one row per statistic, one column per input column; a
+    column without values has count 0 and nulls.  ``exact=False`` takes the
+    quartiles from the sketch (one scan).  Jobs run when this is called.
     """
-    cols = list(cols or numeric_columns(df))
-    stats = ["count", "mean", "std", "min", "25%", "50%", "75%", "max"]
-    base = []
-    for c in cols:
-        v = F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
-        base += [F.count(v).cast("double").alias(f"{c}__count"), F.avg(v).alias(f"{c}__mean"),
-                 F.stddev_samp(v).alias(f"{c}__std"), F.min(v).alias(f"{c}__min"),
-                 F.max(v).alias(f"{c}__max")]
-        if not exact:
-            base.append(F.percentile_approx(v, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
-    one = df.agg(*base)
-    if exact:
-        q = exact_quantiles(df, cols, [0.25, 0.5, 0.75])
-        qw = q.groupBy().pivot("column", cols).agg(
-            F.first(F.array("q_0", "q_1", "q_2")))
-        qw = qw.select(*[F.col(f"`{c}`").alias(f"{c}__q") for c in cols])
-        one = _one_row_zip(one, qw)
-    rows = []
-    for s in stats:
-        vals = []
-        for c in cols:
-            if s in ("25%", "50%", "75%"):
-                vals.append(F.element_at(F.col(f"{c}__q"), {"25%": 1, "50%": 2, "75%": 3}[s])
-                            .cast("double").alias(c))
-            else:
-                vals.append(F.col(f"{c}__{s}").cast("double").alias(c))
-        rows.append(F.struct(F.lit(s).alias("statistic"), *vals))
-    return one.select(F.inline(F.array(*rows)))
-
-
-def _one_row_zip(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Put two single-row aggregates side by side (no join)."""
-    from cellwise.operators.metrics import zip_rows
-
-    return zip_rows(a, b)
+    cols = list(cols if cols is not None else numeric_columns(df))
+    probs = [0.25, 0.5, 0.75]
+    fr = _sketch_probs(probs, accuracy) if exact else probs
+    stats = _wide_stats(df, cols, fr, accuracy)
+    quart = (_order_statistics(df, cols, stats, probs, fr, accuracy) if exact
+             else [list(st["sk"]) if st["sk"] else [None] * 3 for st in stats])
+    rows = [("count", *[float(st["n"]) for st in stats])]
+    rows += [(k, *[st[k] for st in stats]) for k in ("mean", "std", "min")]
+    rows += [(name, *[q[j] for q in quart]) for j, name in enumerate(("25%", "50%", "75%"))]
+    rows.append(("max", *[st["max"] for st in stats]))
+    schema = T.StructType([T.StructField("statistic", T.StringType()),
+                           *[T.StructField(c, T.DoubleType()) for c in cols]])
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 def column_info(df: DataFrame) -> DataFrame:
@@ -264,50 +209,42 @@ def mean_curve(df: DataFrame, x: str, y: str, z: float = Z95) -> DataFrame:
                     (F.col("mean") + half).alias("ci_high"))
 
 
-def mean_curve_bootstrap(df: DataFrame, x: str, y: str, replicates: int = 200,
+def mean_curve_bootstrap(df: DataFrame, x: str, y: str, key_cols: Sequence[str], replicates: int = 1000,
                          seed: int = 0, level: float = 0.95) -> DataFrame:
     """A7, bootstrap variant: Poisson bootstrap of the mean per x.
 
     Each row gets ``replicates`` Poisson(1) weights from a hash of (seed,
-    replicate, row), so the work is ``replicates`` x rows, fully
-    distributed, and reproducible. The interval is the percentile interval
-    of the replicate means (a replicate that draws no row of a group is
-    skipped for that group).
+    replicate, key), so the work is ``replicates`` x rows, fully distributed
+    and reproducible; sums fold map-side to (x, replicate) cells.  The
+    interval is the percentile interval of the replicate means (a replicate
+    that draws no row of a group is skipped for that group).  Rows must have
+    unique keys, else equal rows would be drawn together; a repeated key
+    raises (one check job).
     """
-    rid = F.xxhash64(*[F.col(c) for c in df.columns])
-    reps = df.select(x, y, rid.alias("_rid")).where(F.col(y).isNotNull()) \
-        .withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-    u = (F.abs(F.xxhash64(F.lit(seed), F.col("_b"), F.col("_rid"))) % F.lit(1 << 30)) / F.lit(float(1 << 30))
+    if not df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
+        raise ValueError(f"repeated keys in {list(key_cols)}; the bootstrap draws rows by key")
+    marks = [f"_k{i}" for i in range(len(key_cols))]
+    reps = (df.where(F.col(y).isNotNull()).select(F.col(x).alias(x), F.col(y).alias("_v"),
+                                                  *[F.col(c).alias(m) for c, m in zip(key_cols, marks)])
+            .withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(replicates)))))
+    u = hash_u32(seed, ["_b", *marks]) / F.lit(float(1 << 32))
     # Poisson(1) by inverse CDF on u (weights 0..6 cover 1 - 1e-4 of the mass).
     cdf = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
            0.9963401531726563, 0.9994058151824183, 0.9999167588507114]
     w = F.lit(7)
     for k in range(len(cdf) - 1, -1, -1):
         w = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(w)
-    reps = reps.withColumn("_w", w)
-    per = reps.groupBy(x, "_b").agg(
-        F.try_divide(F.sum(F.col("_w") * F.col(y)), F.sum("_w")).alias("_m"))
+    per = reps.withColumn("_w", w).groupBy(x, "_b").agg(
+        F.try_divide(F.sum(F.col("_w") * F.col("_v")), F.sum("_w")).alias("_m"))
     a = (1 - level) / 2
     return per.groupBy(x).agg(
         F.percentile(F.col("_m"), F.lit(a)).alias("ci_low"),
         F.percentile(F.col("_m"), F.lit(1 - a)).alias("ci_high"))
 
 
-def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None,
-                   max_points: int | None = None, seed: int = 0) -> DataFrame:
-    """The projection behind a scatter plot, optionally thinned to about
-    ``max_points`` by a deterministic content hash (a sampling operator:
-    the row cap is the feature)."""
-    cols = [x, y] + ([hue] if hue else [])
-    pts = df.select(*cols)
-    if max_points is None:
-        return pts
-    n = pts.count()
-    if n <= max_points:
-        return pts
-    keep = int(max_points * (1 << 30) / n)
-    h = F.abs(F.xxhash64(F.lit(seed), *[F.col(c) for c in cols])) % F.lit(1 << 30)
-    return pts.where(h < F.lit(keep))
+def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None) -> DataFrame:
+    """The projection behind a scatter plot, every row of it."""
+    return df.select(*([x, y] + ([hue] if hue else [])))
 
 
 def class_counts(df: DataFrame, y: str, group_cols: Sequence[str] = ()) -> DataFrame:

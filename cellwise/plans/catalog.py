@@ -313,16 +313,30 @@ def mean_curve_lineitem(spark, sf):
 
 @register("mean_curve_bootstrap_lineitem", None)
 def mean_curve_bootstrap_lineitem(spark, sf):
-    """A7 bootstrap interval (Poisson weights; no SQL twin of the hash draws)."""
-    return A.mean_curve_bootstrap(read_table(spark, sf, "lineitem"), "l_quantity",
-                                  "l_extendedprice", replicates=50)
-
-
-@register("scatter_points_part", None)
+    """A7 bootstrap interval, 1000 Poisson replicates."""
+    return A.mean_curve_bootstrap(read_table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice",
+                                  ["l_orderkey", "l_linenumber"])
+
+
+@register("mean_curve_bootstrap_customer", """
+  WITH r AS (SELECT c_nationkey, c_acctbal, b, ('0x' || substr(md5(concat_ws('|', '0', CAST(b AS VARCHAR), CAST(c_custkey AS VARCHAR))), 1, 8))::BIGINT
+                    / 4294967296.0 AS u FROM customer, range(1, 1001) t(b)),
+  w AS (SELECT c_nationkey, b, c_acctbal, CASE WHEN u < 0.36787944117144233 THEN 0 WHEN u < 0.7357588823428847 THEN 1
+               WHEN u < 0.9196986029286058 THEN 2 WHEN u < 0.9810118431238462 THEN 3 WHEN u < 0.9963401531726563 THEN 4
+               WHEN u < 0.9994058151824183 THEN 5 WHEN u < 0.9999167588507114 THEN 6 ELSE 7 END AS w FROM r),
+  m AS (SELECT c_nationkey, b, sum(w * c_acctbal) / nullif(sum(w), 0) AS m FROM w GROUP BY c_nationkey, b)
+  SELECT c_nationkey, round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high
+  FROM m GROUP BY c_nationkey""")
+def mean_curve_bootstrap_customer(spark, sf):
+    """A7 bootstrap interval of the balance per nation, 1000 replicates."""
+    out = A.mean_curve_bootstrap(read_table(spark, sf, "customer"), "c_nationkey", "c_acctbal", ["c_custkey"])
+    return out.select("c_nationkey", F.round("ci_low", 4).alias("ci_low"), F.round("ci_high", 4).alias("ci_high"))
+
+
+@register("scatter_points_part", "SELECT p_size, p_retailprice, p_type FROM part")
 def scatter_points_part(spark, sf):
-    """(size, price, type) thinned to ~500 points by a content hash."""
-    return A.scatter_points(read_table(spark, sf, "part"), "p_size", "p_retailprice", "p_type",
-                            max_points=500)
+    """(size, price, type) of every part."""
+    return A.scatter_points(read_table(spark, sf, "part"), "p_size", "p_retailprice", "p_type")
 
 
 @register("last_events", """

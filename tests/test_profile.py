@@ -24,7 +24,7 @@ def test_exact_quantiles_refinement(spark):
     heavy = np.where(np.arange(5000) % 3 == 0, 0.5, x)  # a third of the rows on one value
     df = spark.createDataFrame([(float(v), float(w)) for v, w in zip(x, heavy)], ["x", "h"])
     probs = [0.0, 0.1, 0.25, 0.5, 0.99, 1.0]
-    for kw in ({}, {"max_candidates": 50, "accuracy": 100}, {"max_candidates": 10, "accuracy": 1000}):
+    for kw in ({}, {"accuracy": 100}, {"accuracy": 1000}):
         rows = {r["column"]: r for r in A.exact_quantiles(df, ["x", "h"], probs, **kw).collect()}
         for c, data in (("x", x), ("h", heavy)):
             ref = np.quantile(data, probs)
@@ -61,14 +61,36 @@ def test_mean_curve_and_class_counts(spark):
     assert abs(rows[1]["ci_high"] - (3.0 + 1.96 * np.sqrt(2) / np.sqrt(2))) < 1e-12
     cc = A.class_counts(df, "x").collect()
     assert all(r["n_classes"] == 2 for r in cc)
-    boot = A.mean_curve_bootstrap(df, "x", "y", replicates=30).collect()
+    boot = A.mean_curve_bootstrap(df, "x", "y", ["y"], replicates=30).collect()
     assert len(boot) == 2
 
 
-def test_scatter_points_thins(spark):
+def test_scatter_points_keeps_every_row(spark):
     df = spark.range(5000).select(F.col("id").alias("x"), (F.col("id") * 2).alias("y"))
-    n = A.scatter_points(df, "x", "y", max_points=500).count()
-    assert 350 < n < 650
+    assert A.scatter_points(df, "x", "y").count() == 5000
+
+
+def test_describe_without_values(spark):
+    df = spark.createDataFrame([], "x double, n int, s string")
+    for exact in (True, False):
+        got = {r["statistic"]: r for r in A.describe(df, exact=exact).collect()}
+        assert got["count"]["x"] == 0.0 and got["count"]["n"] == 0.0
+        assert all(got[k]["x"] is None for k in ("mean", "std", "min", "25%", "50%", "75%", "max"))
+    half = spark.createDataFrame([(None, 1.0), (None, 3.0)], "x double, y double")
+    got = {r["statistic"]: r for r in A.describe(half).collect()}
+    assert got["50%"]["y"] == 2.0 and got["50%"]["x"] is None and got["count"]["x"] == 0.0
+    assert A.describe(spark.createDataFrame([("a",)], "s string")).columns == ["statistic"]
+
+
+def test_bootstrap_interval_with_equal_rows(spark):
+    import pytest
+
+    df = spark.range(2000).select(F.lit(1).alias("x"), (F.col("id") % 10).cast("double").alias("y"), "id")
+    r = A.mean_curve_bootstrap(df, "x", "y", ["id"], replicates=200).first()
+    n = A.mean_curve(df, "x", "y").first()
+    assert abs(r["ci_low"] - n["ci_low"]) < 0.06 and abs(r["ci_high"] - n["ci_high"]) < 0.06
+    with pytest.raises(ValueError):
+        A.mean_curve_bootstrap(df, "x", "y", ["y"])
 
 
 def test_describe_approx_within_sketch_error(spark):
@@ -86,8 +108,8 @@ def test_describe_approx_within_sketch_error(spark):
 
 def test_bootstrap_reproducible(spark):
     df = spark.range(300).select((F.col("id") % 3).alias("x"), (F.col("id") * 0.5).alias("y"))
-    a = sorted(tuple(r) for r in A.mean_curve_bootstrap(df, "x", "y", replicates=40, seed=7).collect())
-    b = sorted(tuple(r) for r in A.mean_curve_bootstrap(df.repartition(5), "x", "y", replicates=40, seed=7).collect())
+    a = sorted(tuple(r) for r in A.mean_curve_bootstrap(df, "x", "y", ["y"], replicates=40, seed=7).collect())
+    b = sorted(tuple(r) for r in A.mean_curve_bootstrap(df.repartition(5), "x", "y", ["y"], replicates=40, seed=7).collect())
     assert a == b
     for x, lo, hi in a:
         m = df.where(F.col("x") == x).agg(F.avg("y")).first()[0]
