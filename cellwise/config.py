@@ -85,7 +85,7 @@ ALIAS_CHALLENGER = "challenger"
 ALIAS_LATEST = "latest-model"
 
 # Environments.
-ENVIRONMENTS = ("dev", "acc", "prd")
+ENVIRONMENTS = ("prd", "acc", "dev")
 
 # Laptop exploratory data: the flag column and its true value.
 LAPTOP_ID = "device_id"
@@ -109,6 +109,10 @@ class ProjectConfig:
     target: str = EV_TARGET
     parameters: dict[str, Any] = field(default_factory=lambda: dict(GBM_PARAMETERS))
     env: str = "dev"
+    # From the environment's section of the configuration file.
+    catalog_name: str | None = None
+    schema_name: str | None = None
+    input_data_path: str | None = None
 
     def __post_init__(self) -> None:
         if self.env not in ENVIRONMENTS:
@@ -124,5 +128,16 @@ class ProjectConfig:
 
         with open(path) as fh:
             raw = yaml.safe_load(fh) or {}
+        if env not in ENVIRONMENTS:
+            raise ValueError(f"unknown environment {env!r}; expected one of {ENVIRONMENTS}")
         keys = ("num_features", "cat_features", "target", "parameters")
-        return cls(**{k: raw[k] for k in keys if k in raw}, env=env)
+        section = raw.get(env) or {}
+        places = ("catalog_name", "schema_name", "input_data_path")
+        return cls(**{k: raw[k] for k in keys if k in raw}, env=env,
+                   **{k: section[k] for k in places if k in section})
+
+    def table_base(self, root: str) -> str:
+        """Folder of this environment's tables under ``root``."""
+        if not (self.catalog_name and self.schema_name):
+            raise ValueError("the configuration names no catalog and schema")
+        return f"{root.rstrip('/')}/{self.catalog_name}/{self.schema_name}"

@@ -117,15 +117,23 @@ def precision_recall_f1(df: DataFrame, y: str, yhat: str, group_cols: Sequence[s
     return _average(per_class_stats(df, y, yhat, group_cols), group_cols, average, pos_label)
 
 
+def _true_class(y: str, proba: str) -> tuple[Column, Column]:
+    """Probability of the true class, and whether the label is covered."""
+    code = F.col(y).cast("int")
+    return F.get(F.col(proba), code), F.coalesce((code >= 0) & (code < F.size(proba)), F.lit(True))
+
+
 def log_loss(df: DataFrame, y: str, proba: str, group_cols: Sequence[str] = (),
              eps: float = LOG_LOSS_EPS) -> DataFrame:
     """C4: mean negative log probability of the true class (clipped).
 
-    ``proba`` is array<double> indexed by class code.
+    ``proba`` is array<double> indexed by class code.  Null if a truth label
+    lies beyond it; rows without label or probabilities are left out.
     """
-    p = F.element_at(F.col(proba), F.col(y).cast("int") + 1)
+    p, covered = _true_class(y, proba)
     clipped = F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps))
-    return df.groupBy(*group_cols).agg((-F.avg(F.ln(clipped))).alias("log_loss"))
+    return df.groupBy(*group_cols).agg(
+        F.when(F.count_if(~covered) == 0, -F.avg(F.ln(clipped))).alias("log_loss"))
 
 
 def _auc_from_counts(counts: DataFrame, group_cols: Sequence[str], score: str,
@@ -151,9 +159,18 @@ def roc_auc(df: DataFrame, y: str, score: str, group_cols: Sequence[str] = (), p
 
 def _auc_per_class(df: DataFrame, y: str, proba: str, group_cols: Sequence[str],
                    n_buckets: int | None = None) -> DataFrame:
-    """(group, _cls, roc_auc, P, N) for the classes present in the truth."""
-    ex = df.select(*group_cols, F.col(y).alias("_y"), F.posexplode(proba).alias("_cls", "_s"))
-    pos = (F.col("_y") == F.col("_cls")).cast("long")
+    """(group, _cls, roc_auc, P, N) for the classes present in the truth.
+
+    A truth label that the probabilities do not cover counts as class -1,
+    whose AUC is undefined (null)."""
+    scores = F.transform(proba, lambda s, i: F.struct(i.alias("cls"), s.alias("s")))
+    outside = F.col(y).isNotNull() & ((F.col(y) < 0) | (F.col(y) >= F.size(proba)))
+    stray = F.when(outside, F.array(F.struct(F.lit(-1).alias("cls"), F.lit(0.0).alias("s")))).otherwise(
+        F.array().cast("array<struct<cls:int,s:double>>"))
+    ex = (df.select(*group_cols, F.col(y).alias("_y"), F.explode(F.concat(scores, stray)).alias("_e"))
+          .select(*group_cols, "_y", F.col("_e.cls").alias("_cls"), F.col("_e.s").alias("_s"))
+          .where(F.col("_s").isNotNull()))
+    pos = ((F.col("_y") == F.col("_cls")) | (F.col("_cls") == -1)).cast("long")
     counts = ex.groupBy(*group_cols, "_cls", "_s").agg(
         F.sum(pos).alias("pos"), F.sum(1 - pos).alias("neg"))
     per = _auc_from_counts(counts, [*group_cols, "_cls"], "_s", n_buckets)
@@ -163,7 +180,9 @@ def _auc_per_class(df: DataFrame, y: str, proba: str, group_cols: Sequence[str],
 def roc_auc_ovr(df: DataFrame, y: str, proba: str, group_cols: Sequence[str] = (),
                 average: str = "weighted", n_buckets: int | None = None) -> DataFrame:
     """One-vs-rest AUC per class of the truth, averaged by class share
-    (``weighted``) or plainly (``macro``). Null when any class AUC is undefined."""
+    (``weighted``) or plainly (``macro``). Null when any class AUC is undefined,
+    also when a truth label lies beyond the probabilities; null scores are
+    left out."""
     present = _auc_per_class(df, y, proba, group_cols, n_buckets)
     wt = F.col("P") if average == "weighted" else F.lit(1.0)
     out = present.groupBy(*group_cols).agg(
@@ -232,15 +251,16 @@ def classification_metrics(df: DataFrame, y: str, yhat: str, proba: str | None =
     g = list(group_cols)
     aggs = [F.count(F.lit(1)).alias("n")]
     if proba:
-        p = F.element_at(F.col(proba), F.col(y).cast("int") + 1)
-        aggs.append(F.sum(-F.ln(F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps)))).alias("_ll"))
+        p, covered = _true_class(y, proba)
+        aggs += [F.sum(-F.ln(F.least(F.greatest(p, F.lit(eps)), F.lit(1.0 - eps)))).alias("_ll"),
+                 F.count(p).alias("_pn"), F.count_if(~covered).alias("_stray")]
     cells = df.groupBy(*g, F.col(y).alias("y"), F.col(yhat).alias("yhat")).agg(*aggs)
     st = stats_from_cells(cells, g)
     prf = _average(st, g)
     tot = cells.groupBy(*g).agg(
         (F.sum(F.when(F.col("y") == F.col("yhat"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy"),
         F.count_distinct("y").cast("double").alias("num_classes"),
-        *([(F.sum("_ll") / F.sum("n")).alias("log_loss")] if proba else []))
+        *([F.when(F.sum("_stray") == 0, F.try_divide(F.sum("_ll"), F.sum("_pn"))).alias("log_loss")] if proba else []))
     out = tot.join(prf, g, "full") if g else _zip(tot, prf)
     cols = [*g, "accuracy", "precision", "recall", "f1_score", "num_classes"]
     if proba:

@@ -50,7 +50,11 @@ def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence
                    params: Mapping[str, Any] = GBM_PARAMETERS, family: str = "gbt",
                    seed: int = 42, parallelism: int = 4) -> PipelineModel:
     """M1: ordinal codes (fit on train) -> vector (codes first, then
-    numerics) -> one-vs-rest GBT; ``family='rf'`` uses a random forest."""
+    numerics) -> one-vs-rest GBT; ``family='rf'`` uses a random forest.
+
+    A null measure is kept as NaN inside the model, as the original's trees
+    take missing values; the stand-alone assembler (E4) raises instead.
+    """
     maps = dictionary_maps(fit_ordinal(train, cat_cols)) if cat_cols else {}
     codes = [c + CODE_SUFFIX for c in cat_cols]
     stages = []

@@ -40,8 +40,9 @@ def get_spark(master: str = "local[8]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
-    The cluster's ``spark.checkpoint.dir`` wins; only when nothing is set
-    (tests) a private folder is created.
+    The cluster's ``spark.checkpoint.dir`` wins.  Only in local mode, where
+    driver and executors are one process, a private folder is made if nothing
+    is set; on a cluster that raises, as executors could not see it.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -50,6 +51,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="cellwise-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -98,8 +101,4 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     }
 
 
-def local_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "scratch_path", "scale_conf", "local_path"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "scratch_path", "scale_conf"]

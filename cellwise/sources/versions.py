@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from cellwise.sources.files import RUN_ID_COL, STAMP_COL
 
-# Broadcast guard: the version table has one row per appended batch.
-MAX_BATCHES_BROADCAST = 1_000_000
-
 
 def batch_versions(df: DataFrame, ts_col: str = STAMP_COL, run_col: str = RUN_ID_COL) -> DataFrame:
     """(version, run_id, committed_at, rows), version 0 = oldest batch.
@@ -28,12 +25,10 @@ def appended_since(df: DataFrame, version: int, ts_col: str = STAMP_COL,
                    run_col: str = RUN_ID_COL) -> DataFrame:
     """Rows of batches with version > ``version``, tagged as inserts.
 
-    The version table is small (one row per batch, checked); it is
-    broadcast, and on a ``run_id``-partitioned table the filter on it
-    becomes dynamic partition pruning.
+    The version table has one row per batch; Spark broadcasts it if its
+    measured size allows, and on a ``run_id``-partitioned table the filter on
+    it becomes dynamic partition pruning.
     """
     v = batch_versions(df, ts_col, run_col).where(F.col("version") > version)
-    n = v.count()
-    side = F.broadcast(v) if n <= MAX_BATCHES_BROADCAST else v
-    return (df.join(side.select(run_col, F.col("version").alias("_commit_version")), run_col)
+    return (df.join(v.select(run_col, F.col("version").alias("_commit_version")), run_col)
               .withColumn("_change_type", F.lit("insert")))

@@ -105,3 +105,14 @@ def test_regression_metrics_constant_target(spark):
     df2 = spark.createDataFrame([(1.0, 1.5), (2.0, 1.5), (3.0, 3.5)], ["y", "p"])
     r2 = C.regression_metrics(df2, "y", "p").first()["r2"]
     assert math.isclose(r2, 1 - (0.25 + 0.25 + 0.25) / 2.0)
+
+
+def test_uncovered_labels_and_null_scores(spark):
+    ok = [(0, 0, [0.8, 0.2]), (1, 1, [0.3, 0.7]), (1, 0, [0.6, 0.4]), (0, 0, [0.9, 0.1])]
+    df = spark.createDataFrame(ok, "y int, yhat int, p array<double>")
+    assert C.roc_auc_ovr(df, "y", "p").first()["roc_auc"] == 1.0
+    stray = spark.createDataFrame([*ok, (2, 1, [0.5, 0.5])], "y int, yhat int, p array<double>")
+    assert C.roc_auc_ovr(stray, "y", "p").first()["roc_auc"] is None
+    assert C.classification_metrics(stray, "y", "yhat", "p").first()["roc_auc"] is None
+    null = spark.createDataFrame([*ok, (1, 1, [None, None])], "y int, yhat int, p array<double>")
+    assert C.roc_auc_ovr(null, "y", "p").first()["roc_auc"] == 1.0
