@@ -244,7 +244,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     offset, k = FIRST, 0
     while offset < core:
         now = now.withColumn("rank", F.xxhash64("rank", F.col("next")[k]))
-        now = stored(now.join(_twice(now, "rank"), "rank"), f"ranks_{k + 1}")
+        # Both sides of the join are tables: Spark can split a rank that a
+        # third of all anchors share.
+        again = stored(_twice(now, "rank"), f"again_{k + 1}")
+        now = stored(now.join(again, "rank"), f"ranks_{k + 1}")
         offset, k = 2 * offset, k + 1
 
     # Equal contexts settle each other; the rest is compared within its rank.
