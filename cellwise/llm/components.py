@@ -21,7 +21,15 @@ def _stars(edges: DataFrame, large: bool) -> DataFrame:
     else:
         hung = around.join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             low.select("a", F.col("m").alias("b")))
-    return hung.where("a <> b").distinct()
+    return hung.where("a <> b")
+
+
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node hangs on one root and no root hangs on another."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(
+        edges.select("b", F.lit(0), F.lit(1)))
+    roles = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return roles.where("up > 1 or (up > 0 and down > 0)").isEmpty()
 
 
 def components(edges: DataFrame, name: str = "components") -> DataFrame:
@@ -32,14 +40,9 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     folder; the number of rounds grows with the logarithm of the size.  Loops
     and repeated links do not matter; an empty table gives an empty result.
     """
-    now = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .where("a <> b").distinct(), f"{name}_links")
-    mark = None
-    while True:
-        now = stored(_stars(_stars(now, True), False), f"{name}_round")
-        new = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if new == mark:
-            break
-        mark = new
+    now = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+                 .distinct(), f"{name}_links")
+    while not _settled(now):
+        now = stored(_stars(_stars(now, True), False).distinct(), f"{name}_round")
     rooted = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return rooted.union(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

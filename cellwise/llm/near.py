@@ -37,15 +37,15 @@ ORDERS = 128
 #: standard deviations below the mean.
 SIMILAR = THRESHOLD - 5 * math.sqrt(THRESHOLD * (1 - THRESHOLD) / ORDERS)
 #: Nodes of a bucket that is compared by brute force.
-SMALL_BUCKET = 1024
+SMALL_BUCKET = 4096
 BRANCHES = 2
 #: Nodes (about) of small buckets that one brute-force task gets.
-NODES_PER_TASK = 5_000
+NODES_PER_TASK = 10_000
 #: Levels of the tree; nodes that still share a large bucket there agree on
 #: this many sampled tokens and are handed to the exact comparison together.
 MAX_DEPTH = 10
 #: Nodes of a block of the exact comparison.
-BLOCK = 1024
+BLOCK = 4096
 #: Shingles (about) that one task of the exact comparison takes of small components.
 TASK_SHINGLES = 2_000_000
 _ODD = np.random.default_rng(20240901).integers(0, 2**63, ORDERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -113,7 +113,7 @@ def _local_roots(n: int, later_links) -> np.ndarray:
 def _bucket_links(pdf: pd.DataFrame) -> pd.DataFrame:
     """Star links (a, b) of the buckets of one task's share."""
     a, b = [], []
-    for _, g in pdf.groupby("bucket", sort=False):
+    for _, g in pdf.sort_values("node").groupby("bucket", sort=False):
         nodes = g["node"].to_numpy()
         roots = _alike(list(g["sig"]))
         far = roots != np.arange(len(roots))
@@ -145,7 +145,9 @@ def candidate_links(nodes: DataFrame, runs: int, small: int = SMALL_BUCKET, bran
         n_leaf, n_large = sizes.agg(F.sum(F.when(is_small, F.col("n"))), F.count_if(~is_small)).first()
         # Many buckets share a task; a bucket never exceeds `small` nodes.
         shares = max(1, -(-(n_leaf or 0) // NODES_PER_TASK))
-        leaf = held.where(is_small).select("node", "bucket").join(thin, "node").select("bucket", "node", "sig")
+        # Signatures are the large side at any scale: one plan for all sizes.
+        leaf = (held.where(is_small).select("node", "bucket").hint("merge").join(thin, "node")
+                .select("bucket", "node", "sig"))
         found = leaf.groupBy(F.pmod(F.xxhash64("bucket"), F.lit(shares)).alias("share")).applyInPandas(
             _bucket_links, "a long, b long")
         links = found if links is None else links.unionByName(found)
@@ -162,11 +164,11 @@ def candidate_links(nodes: DataFrame, runs: int, small: int = SMALL_BUCKET, bran
 
 
 def _exact(pdf: pd.DataFrame, threshold: float) -> pd.DataFrame:
-    """Exact links inside one group: per node its number of links and a node it
-    hangs on.  ``side`` 0 and 1 are the two blocks of a pair (only pairs across
-    count); side 2 is a whole set (all pairs count)."""
+    """Exact links inside one group: per node its number of links and the
+    first node (by ``rank``) of its linked ones.  ``side`` 0 and 1 are the two
+    blocks of a pair (only pairs across count); side 2 is a whole set."""
     nodes, counts, hangs = [], [], []
-    for _, g in pdf.groupby("root", sort=False):
+    for _, g in pdf.sort_values(["side", "no_id", "id", "node"], kind="stable").groupby("root", sort=False):
         sets = [np.frombuffer(x, dtype="<u8") for x in g["shingles"]]
         side = g["side"].to_numpy()
         node = g["node"].to_numpy()
@@ -203,91 +205,109 @@ def _shingle_bytes(texts: pd.Series) -> pd.Series:
                      dtype=object)
 
 
-def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL,
-                 small: int = SMALL_BUCKET, block: int = BLOCK,
-                 max_depth: int = MAX_DEPTH) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with five more columns, and their names by role: ``class_id``
-    (smallest id of the class), ``n_links`` (other texts that pass the
-    threshold; copies of a text count once), ``n_copies`` (rows with the same
-    words), ``class_first`` (this row represents its class) and ``row``.
-
-    Sets are compared over words as written; a text of one to four words is a
-    single shingle.  Null and empty texts have no set: each is a class of its
-    own without links.  Null ids come last.  An empty table gives an empty
-    result; columns with clashing names are left alone.
-    """
-    names, taken = {}, docs
-    for role in ("row", "class_id", "n_links", "n_copies", "class_first", "sketch", "lead"):
-        names[role] = fresh(taken, role)
-        taken = taken.withColumn(names[role], F.lit(None))
-    r = names["row"]
-    numbered = docs.withColumn(r, F.monotonically_increasing_id())
-    # The numbers must not change: the table is written once.
-    numbered = stored(numbered, "near_rows")
+def _judged(numbered: DataFrame, row: str, id_col: str, text_col: str, threshold: float, target_recall: float,
+            small: int, block: int, max_depth: int) -> DataFrame:
+    """(row, id, class_id, class_row, n_links, n_copies) per row of ``numbered``."""
     sketch = F.pandas_udf(_sketches, "words binary, n int, sig binary")
-    # id order with nulls last, as one number pair
+    # Order of the rows: by id, nulls last, then by row.
     rank = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"), F.col(f"`{id_col}`").cast("long").alias("id"),
-                    F.col(r).alias("row"))
+                    F.col(row).alias("row"))
     rows = stored(numbered.select(rank.alias("rank"), sketch(F.col(f"`{text_col}`").cast("string")).alias("s"))
-                  .select("rank", F.col("rank")["row"].alias("row"), "s.*"), "near_sketches")
-    copies = stored(rows.where("n > 0").groupBy("words").agg(
-        F.min("rank").alias("rank"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"))
-        .select(F.col("rank")["row"].alias("node"), "rank", "words", "copies", "sig"), "near_nodes")
+                  .select("rank", "s.*"), "near_sketches")
+    texts_once = stored(rows.where("n > 0").groupBy("words").agg(
+        F.min("rank").alias("first"), F.count(F.lit(1)).alias("copies"), F.first("sig").alias("sig"))
+        .select(F.col("first")["row"].alias("node"), "first", "words", "copies", "sig"), "near_nodes")
     runs = runs_needed(target_recall, threshold)
-    links = candidate_links(copies, runs, small, max_depth=max_depth)
+    links = candidate_links(texts_once, runs, small, max_depth=max_depth)
     member = stored(components(links, "near_candidates"), "near_members")
 
     # Exact comparison inside the candidate components, block by block.
     comp_size = member.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
-    texts = numbered.select(F.col(r).alias("node"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    sets = (member.join(comp_size, "root").join(texts, "node")
-            .select("node", "root", "size", F.pandas_udf(_shingle_bytes, "binary")("text").alias("shingles")))
-    sets = stored(sets, "near_sets")
+    texts = numbered.select(F.col(row).alias("node"), F.col(f"`{id_col}`").cast("long").alias("id"),
+                            F.col(f"`{text_col}`").cast("string").alias("text"))
+    # The texts are the large side at any scale: one plan for all sizes.
+    sets = stored(member.join(comp_size, "root").hint("merge").join(texts, "node")
+                  .select("node", "root", "size", "id",
+                          F.pandas_udf(_shingle_bytes, "binary")("text").alias("shingles")), "near_sets")
     n_blocks = F.ceil(F.col("size") / F.lit(block)).cast("int")
     cells = F.when(n_blocks == 1, F.array(F.struct(F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side")))
                    ).otherwise(F.transform(F.sequence(F.lit(0), n_blocks - 1), lambda x: F.struct(
                        F.least(x, F.col("mine")).alias("i"), F.greatest(x, F.col("mine")).alias("j"),
                        F.when(x == F.col("mine"), F.lit(2)).when(F.col("mine") < x, F.lit(0)).otherwise(F.lit(1))
                        .alias("side"))))
-    total = sets.agg(F.sum(F.octet_length("shingles"))).first()[0] or 0
-    shares = max(1, -(-total // (8 * TASK_SHINGLES)))
+    total, largest = sets.agg(F.sum(F.octet_length("shingles")), F.max("size")).first()
+    shares = max(1, -(-(total or 0) // (8 * TASK_SHINGLES)))
     placed = (sets.withColumn("mine", F.pmod(F.xxhash64("node"), n_blocks).cast("int"))
-              .select("node", "root", "size", "shingles", F.explode(cells).alias("cell"))
-              .select("node", "root", "shingles", F.col("cell.side").alias("side"),
+              .select("node", "root", "size", "id", "shingles", F.explode(cells).alias("cell"))
+              .select("node", "root", "shingles", F.col("id").isNull().alias("no_id"), "id",
+                      F.col("cell.side").alias("side"),
                       F.when(n_blocks == 1, F.pmod(F.xxhash64("root"), F.lit(shares)))
                       .otherwise(F.col("root")).alias("share"), "cell.i", "cell.j", (n_blocks == 1).alias("whole")))
-    exact = stored(placed.groupBy("share", "i", "j", "whole").applyInPandas(
-        lambda pdf: _exact(pdf.sort_values("side", kind="stable"), threshold), "node long, n long, hang long"),
-        "near_exact")
-    n_links = exact.groupBy("node").agg(F.sum("n").alias("n"))
-    classes = components(exact.select(F.col("node").alias("a"), F.col("hang").alias("b")), "near_links")
-
-    labelled = (copies.join(classes, "node", "left").join(n_links, "node", "left")
-                .select("words", "rank", "copies", F.coalesce("root", "node").alias("root"),
-                        F.coalesce("n", F.lit(0)).alias("n")))
-    lead = labelled.groupBy("root").agg(F.min("rank").alias("lead"))
-    labelled = labelled.join(lead, "root").select("words", "copies", "n", "lead")
-    own = F.when(F.col("n_set") > 0, F.col("lead")).otherwise(F.col("rank"))
-    verdict = (rows.select("rank", "row", "words", F.col("n").alias("n_set"))
-               .join(labelled, "words", "left")
-               .select(F.col("row").alias(r), own["id"].alias(names["class_id"]),
-                       F.when(F.col("n_set") > 0, F.col("n")).otherwise(F.lit(0)).alias(names["n_links"]),
-                       F.when(F.col("n_set") > 0, F.col("copies")).otherwise(F.lit(1)).alias(names["n_copies"]),
-                       (own["row"] == F.col("row")).alias(names["class_first"])))
-    found = numbered.join(verdict, r)
-    keep = ("class_id", "n_links", "n_copies", "class_first", "row")
-    return found, {k: names[k] for k in keep}
-
-
-def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    exact = placed.groupBy("share", "i", "j", "whole").applyInPandas(
+        lambda pdf: _exact(pdf, threshold), "node long, n long, hang long")
+    if (largest or 0) <= block:
+        # Every component was one block, so its local roots are the classes.
+        found = exact.select("node", F.col("hang").alias("lead"), F.col("n").alias("links"))
+    else:
+        exact = stored(exact, "near_exact")
+        first = texts_once.select("node", "first")
+        classes = components(exact.select(F.col("node").alias("a"), F.col("hang").alias("b")), "near_links")
+        lead = (classes.join(first, "node").groupBy("root").agg(F.min("first").alias("first"))
+                .select("root", F.col("first")["row"].alias("lead")))
+        found = (exact.groupBy("node").agg(F.sum("n").alias("links"))
+                 .join(classes.join(lead, "root").select("node", "lead"), "node", "left")
+                 .select("node", F.coalesce("lead", "node").alias("lead"), "links"))
+    # The class takes its id from the row that leads it.
+    found = stored(found, "near_classes")
+    ids = texts_once.select(F.col("node").alias("lead"), F.col("first")["id"].alias("class_id"))
+    found = found.join(ids, "lead")
+    nodes = texts_once.select("node", F.col("first")["id"].alias("own_id"), "words", "copies").join(
+        found, "node", "left").select(
+        "words", "copies", F.coalesce("links", F.lit(0)).alias("links"), F.coalesce("lead", "node").alias("lead"),
+        F.when(F.col("lead").isNull(), F.col("own_id")).otherwise(F.col("class_id")).alias("class_id"))
+    some = F.col("n") > 0
+    return rows.join(nodes, "words", "left").select(
+        F.col("rank")["row"].alias("row"), F.col("rank")["id"].alias("id"),
+        F.when(some, F.col("class_id")).otherwise(F.col("rank")["id"]).alias("class_id"),
+        F.when(some, F.col("lead")).otherwise(F.col("rank")["row"]).alias("class_row"),
+        F.when(some, F.col("links")).otherwise(F.lit(0)).alias("n_links"),
+        F.when(some, F.col("copies")).otherwise(F.lit(1)).alias("n_copies"))
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """The rows with a number each, written once so that it never changes."""
+    row = fresh(docs, "row")
+    return stored(docs.withColumn(row, F.monotonically_increasing_id()), "near_rows"), row
+
+
+def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
+                 target_recall: float = TARGET_RECALL, small: int = SMALL_BUCKET, block: int = BLOCK,
+                 max_depth: int = MAX_DEPTH) -> DataFrame:
+    """One row per document: doc_id, class_id (smallest id of its class),
+    n_links (other texts that pass the threshold; copies of a text count
+    once), n_copies (rows with the same words) and class_first (this row
+    represents its class).
+
+    Sets are compared over words as written; a text of one to four words is a
+    single shingle.  Null and empty texts have no set: each is a class of its
+    own without links.  Null ids come last.  An empty table gives an empty
+    result; extra columns are not read.
+    """
+    numbered, row = _numbered(docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text")))
+    found = _judged(numbered, row, "doc_id", "text", threshold, target_recall, small, block, max_depth)
+    return found.select(F.col("id").alias("doc_id"), "class_id", "n_links", "n_copies",
+                        (F.col("class_row") == F.col("row")).alias("class_first"))
+
+
+def keep_one_per_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                       threshold: float = THRESHOLD, target_recall: float = TARGET_RECALL,
+                       small: int = SMALL_BUCKET, block: int = BLOCK, max_depth: int = MAX_DEPTH) -> DataFrame:
     """The rows of ``docs`` that represent their class, columns unchanged."""
-    found, name = near_classes(docs, id_col, text_col, **how)
-    return found.where(F.col(name["class_first"])).select(*docs.columns)
+    numbered, row = _numbered(docs)
+    found = _judged(numbered, row, id_col, text_col, threshold, target_recall, small, block, max_depth)
+    # Rows that go are the smaller list.
+    gone = found.where("class_row <> row").select(F.col("row").alias(row))
+    return numbered.join(gone, row, "left_anti").select(*docs.columns)
 
 
-def class_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """One row per document: doc_id, class_id, n_links, n_copies, class_first."""
-    found, name = near_classes(docs.select(F.col(f"`{id_col}`").alias("doc_id"),
-                                           F.col(f"`{text_col}`").alias("text")), **how)
-    return found.select("doc_id", *[F.col(name[k]).alias(k) for k in ("class_id", "n_links", "n_copies", "class_first")])
+class_report = near_classes
