@@ -20,7 +20,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, RandomForestRegressor,
 )
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwise.config import GBM_PARAMETERS
@@ -138,8 +138,9 @@ def _vec(df: DataFrame, features: Sequence[str], out: str = "features") -> DataF
 
 
 def fit_rf_regressor(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
-                     max_depth: int = 12, seed: int = 42) -> PipelineModel:
-    """M4: forest of full-feature trees (bagging only, as the library default)."""
+                     max_depth: int = 30, seed: int = 42) -> PipelineModel:
+    """M4: forest of full-feature trees (bagging only, as the library default),
+    grown to MLlib's own depth limit."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
         RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
@@ -262,39 +263,47 @@ def fit_adaboost_regressor(df: DataFrame, features: Sequence[str], label: str,
 # M8: exact k-nearest-neighbour regression by a multi-resolution grid join
 # ---------------------------------------------------------------------------
 
-# Finest refinement of the grid for dense cells (2^-12 of the base width).
-MAX_REFINE = 12
-
-
 def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                 train_id: str, test_id: str, k: int = 5, grid_cols: Sequence[str] | None = None,
-                start_fraction: float = 1.0, max_rounds: int = 64,
-                dense_factor: int = 4) -> DataFrame:
+                start_fraction: float = 1.0, dense_factor: int = 4) -> DataFrame:
     """M8: mean label of the k nearest training rows (Euclidean; ties by
-    training id), for every test row. Returns (test_id, prediction).
-
-    No cross join: train rows are bucketed into grid cells on two
-    coordinates (by default the two with the largest spread); each query joins the 3x3 cells around its own (an equi
-    join on cell id). A query is final once its k-th candidate is within
-    the cell width w, because every row within distance w lies in those
-    cells; other queries retry with 2w.
+    training id), for every test row. Returns (test_id, prediction); null for
+    a test row with a null or NaN feature.  Training rows with one are no
+    neighbours.
+
+    No cross join: training rows are bucketed into grid cells on two
+    coordinates (by default the two with the largest spread); each query
+    joins the 3x3 cells around its own (an equi join on cell id).  A query
+    outside the training box is put on the box's nearest point c: for every
+    training row t, |q-t|^2 >= |q-c|^2 + |c-t|^2, so it needs no wider cells
+    than one on the border.  A query is final once its k-th squared distance
+    is within |q-c|^2 + w^2 for the cell width w, because every nearer row
+    lies in those cells; other queries retry with 2w.  Widths that no pending
+    query needs are skipped.
 
     Skew: identical training points beyond their k lowest ids are dropped
     first (they can never be selected), so a heavily repeated point is one
     small group; and a query whose cell holds more than ``dense_factor``*k
-    training rows starts at a proportionally finer width, so a dense cell
-    is resolved with few candidates.  Sparse queries join the later rounds,
-    where the pending set is small and is broadcast against the streamed
-    training rows.
+    training rows starts at a proportionally finer width.
     """
     import itertools
 
     feats = list(features)
+
+    def known(prefix: str = "") -> Column:
+        ok = F.lit(True)
+        for c in feats:
+            ok = ok & F.col(prefix + c).isNotNull() & ~F.isnan(prefix + c)
+        return ok
+
     tr = (train.select(F.col(train_id).alias("_tid"), *[F.col(c).cast("double").alias(c) for c in feats],
                        F.col(label).cast("double").alias("_label"))
+               .where(known())
                .withColumn("_dup", F.row_number().over(Window.partitionBy(*feats).orderBy("_tid")))
-               .where(F.col("_dup") <= k).drop("_dup"))
-    qs = test.select(F.col(test_id).alias("_qid"), *[F.col(c).cast("double").alias(f"q_{c}") for c in feats])
+               .where(F.col("_dup") <= k).drop("_dup")).checkpoint(eager=True)
+    every = test.select(F.col(test_id).alias("_qid"), *[F.col(c).cast("double").alias(f"q_{c}") for c in feats])
+    nothing = every.where(~known("q_")).select("_qid", F.lit(None).cast("double").alias("prediction"))
+    qs = every.where(known("q_"))
     if grid_cols:
         g = list(grid_cols)
     else:
@@ -304,16 +313,13 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
         ranked = sorted(range(len(feats)), key=lambda i: -(sd[f"s{i}"] or 0.0))
         g = [feats[i] for i in sorted(ranked[:2])]
     d = len(g)
-    # Grid extent over train and test rows, so the last round covers every query.
-    both = tr.select(*g, F.lit(1).alias("_t")).unionByName(
-        qs.select(*[F.col(f"q_{c}").alias(c) for c in g], F.lit(0).alias("_t")))
-    st = both.agg(F.sum("_t").alias("n"),
-                  *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(g)],
-                  *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(g)]).first()
+    st = tr.agg(F.count(F.lit(1)).alias("n"), *[F.min(c).alias(f"lo_{i}") for i, c in enumerate(g)],
+                *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(g)]).first()
     n = int(st["n"] or 0)
     if n == 0:
-        return qs.select(F.col("_qid").alias(test_id), F.lit(None).cast("double").alias("prediction"))
-    spans = [max(float(st[f"hi_{i}"]) - float(st[f"lo_{i}"]), 0.0) for i in range(d)]
+        return every.select(F.col("_qid").alias(test_id), F.lit(None).cast("double").alias("prediction"))
+    lows, highs = [float(st[f"lo_{i}"]) for i in range(d)], [float(st[f"hi_{i}"]) for i in range(d)]
+    spans = [hi - lo for lo, hi in zip(lows, highs)]
     full = max(spans) or 1.0
     # Width where a cell holds about k rows on average: a disc of that radius
     # holds about pi*k rows, so most queries resolve in the first round.
@@ -322,18 +328,20 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
         vol *= max(sp, full / max(n, 1))
     w0 = max((vol * k / n) ** (1.0 / d) * start_fraction, full * 1e-9)
 
-    def cells(df: DataFrame, prefix: str, width: float) -> list:
-        return [F.floor(F.col(f"{prefix}{c}") / F.lit(width)).cast("long").alias(f"_c{i}")
-                for i, c in enumerate(g)]
+    def cells(prefix: str, width: float) -> list:
+        return [F.floor((F.col(f"{prefix}{c}") - F.lit(lo)) / F.lit(width)).cast("long").alias(f"_c{i}")
+                for i, (c, lo) in enumerate(zip(g, lows))]
 
+    on_box = [F.least(F.greatest(F.col(f"q_{c}"), F.lit(lo)), F.lit(hi)) for c, lo, hi in zip(g, lows, highs)]
+    away = sum(((F.col(f"q_{c}") - b) * (F.col(f"q_{c}") - b) for c, b in zip(g, on_box)), F.lit(0.0))
+    qs = qs.select("*", *[b.alias(f"_b_{c}") for c, b in zip(g, on_box)], away.alias("_away"))
     # Density: training rows in each query's own cell at w0 -> extra halvings.
-    occ = tr.groupBy(*cells(tr, "", w0)).agg(F.count(F.lit(1)).alias("_occ"))
-    qd = qs.select("*", *cells(qs, "q_", w0)).join(occ, [f"_c{i}" for i in range(d)], "left")
+    occ = tr.groupBy(*cells("", w0)).agg(F.count(F.lit(1)).alias("_occ"))
+    qd = qs.select("*", *cells("_b_", w0)).join(occ, [f"_c{i}" for i in range(d)], "left")
     halv = F.when(F.col("_occ") > F.lit(dense_factor * k),
                   F.ceil(F.log2(F.col("_occ") / F.lit(float(dense_factor * k))) / F.lit(float(d))))
-    qd = qd.select(*qs.columns, F.coalesce(halv, F.lit(0)).cast("int").alias("_h")).checkpoint(eager=True)
-    top_h = min(int(qd.agg(F.max("_h")).first()[0] or 0), MAX_REFINE)
-    width = w0 / (2 ** top_h)
+    # _level: the cell width is w0 * 2^_level
+    pending = qd.select(*qs.columns, (-F.coalesce(halv, F.lit(0))).cast("int").alias("_level")).checkpoint(eager=True)
 
     neighbours = list(itertools.product(*[(-1, 0, 1)] * d))
     nb = F.explode(F.array(*[F.array(*[F.lit(o) for o in off]) for off in neighbours])).alias("_off")
@@ -341,34 +349,32 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     for c in feats:
         dd = F.col(f"q_{c}") - F.col(c)
         dist = dd * dd if dist is None else dist + dd * dd
-    pending = qd
     results = []
-    for r in range(max_rounds):
-        last = width >= full * 2
-        # queries whose own cell is dense start here; the others wait
-        active = pending.where(F.col("_h") >= F.lit(top_h - r)) if not last else pending
-        cells_t = tr.select("*", *cells(tr, "", width))
-        cells_q = (active.select("*", nb).select(
-            "*", *[(F.floor(F.col(f"q_{c}") / F.lit(width)).cast("long") + F.col("_off")[i]).alias(f"_c{i}")
-                   for i, c in enumerate(g)]).drop("_off"))
+    while True:
+        level = pending.agg(F.min("_level")).first()[0]
+        if level is None:
+            break
+        width = w0 * 2.0 ** level
+        active = pending.where(F.col("_level") == F.lit(level))
+        cells_t = tr.select("*", *cells("", width))
+        cells_q = (active.select("*", nb, *[c.alias(f"_m{i}") for i, c in enumerate(cells("_b_", width))])
+                   .select("*", *[(F.col(f"_m{i}") + F.col("_off")[i]).alias(f"_c{i}") for i in range(d)])
+                   .drop("_off", *[f"_m{i}" for i in range(d)]))
         cand = cells_q.join(cells_t, [f"_c{i}" for i in range(d)]).select(
-            "_qid", "_tid", "_label", dist.alias("_d2"))
+            "_qid", "_tid", "_label", "_away", dist.alias("_d2"))
         w = Window.partitionBy("_qid").orderBy("_d2", "_tid")
         top = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
         per = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("_d2").alias("_kd2"),
-                                      F.avg("_label").alias("prediction"))
-        done = per if last else per.where(
-            (F.col("_n") == min(k, n)) & (F.col("_kd2") <= F.lit(width * width)))
-        # Results of a round are small and final: cached. The pending queries
-        # are checkpointed, which keeps the lineage one round long.
-        done = done.select("_qid", "prediction").persist()
+                                      F.first("_away").alias("_away"), F.avg("_label").alias("prediction"))
+        # From twice the box on, the cells around a query hold every row.
+        done = per if width >= 2 * full else per.where(
+            (F.col("_n") == min(k, n)) & (F.col("_kd2") <= F.col("_away") + F.lit(width * width)))
+        done = done.select("_qid", "prediction").checkpoint(eager=True)
         results.append(done)
-        pending = pending.join(done.select("_qid"), "_qid", "left_anti").checkpoint(eager=True)
-        if last or pending.isEmpty():
-            break
-        width *= 2
-    out = results[0]
-    for res in results[1:]:
+        pending = (pending.join(done.select("_qid"), "_qid", "left_anti")
+                   .withColumn("_level", F.greatest(F.col("_level"), F.lit(level + 1))).checkpoint(eager=True))
+    out = nothing
+    for res in results:
         out = out.unionByName(res)
     return out.select(F.col("_qid").alias(test_id), "prediction")
 

@@ -52,6 +52,27 @@ def knn_part(spark, sf):
     return out.select("p_partkey", F.round("prediction", 6).alias("prediction"))
 
 
+@register("knn_far_supplier", """
+  WITH tr AS (SELECT s_suppkey AS id, CAST(s_suppkey % 97 AS DOUBLE) AS x1, s_acctbal / 100.0 AS x2, CAST(s_nationkey AS DOUBLE) AS y
+              FROM supplier),
+  te AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 50 = 0 THEN NULL ELSE (c_custkey % 97) * CASE WHEN c_custkey % 7 = 0 THEN 1e5 ELSE 1.0 END END AS x1,
+                c_acctbal / 100.0 * CASE WHEN c_custkey % 11 = 0 THEN -1e4 ELSE 1.0 END AS x2 FROM customer),
+  p AS (SELECT te.id, avg(n.y) AS prediction FROM te, LATERAL (
+          SELECT tr.y FROM tr ORDER BY (te.x1 - tr.x1) * (te.x1 - tr.x1) + (te.x2 - tr.x2) * (te.x2 - tr.x2), tr.id LIMIT 3) n
+        WHERE te.x1 IS NOT NULL GROUP BY te.id)
+  SELECT te.id AS c_custkey, round(p.prediction, 6) AS prediction FROM te LEFT JOIN p ON p.id = te.id""")
+def knn_far_supplier(spark, sf):
+    """M8 with queries far outside of the training box and with null features."""
+    s, c = read_table(spark, sf, "supplier"), read_table(spark, sf, "customer")
+    tr = s.select("s_suppkey", (F.col("s_suppkey") % 97).cast("double").alias("x1"),
+                  (F.col("s_acctbal") / 100.0).alias("x2"), F.col("s_nationkey").cast("double").alias("y"))
+    k = F.col("c_custkey")
+    te = c.select("c_custkey", F.when(k % 50 != 0, (k % 97) * F.when(k % 7 == 0, 1e5).otherwise(1.0)).alias("x1"),
+                  (F.col("c_acctbal") / 100.0 * F.when(k % 11 == 0, -1e4).otherwise(1.0)).alias("x2"))
+    out = M.knn_regress(tr, te, ["x1", "x2"], "y", "s_suppkey", "c_custkey", k=3)
+    return out.select("c_custkey", F.round("prediction", 6).alias("prediction"))
+
+
 @register("classifier_lineitem", None)
 def classifier_lineitem(spark, sf):
     """M1-M3: one-vs-rest GBT on the prepared lineitem train split,

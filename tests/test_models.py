@@ -108,3 +108,32 @@ def test_direct_ovr_scoring_matches_spark(spark, cls_data):
     from tests.conftest import plan_text
 
     assert "InMemory" not in plan_text(M.predict_proba(model, cls_data))
+
+
+def test_knn_far_and_null_queries(spark):
+    """The rounds of far queries do not grow with their distance; null features
+    give a row with a null prediction."""
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    train = [(i, float(a), float(b), float(y)) for i, (a, b, y) in enumerate(rng.uniform(0, 10, (400, 3)))]
+    near = [(i, float(a), float(b)) for i, (a, b) in enumerate(rng.uniform(0, 10, (60, 2)))]
+    far = [(i, a * s, b * s) for (i, a, b), s in zip(near, [1e2, -1e2] * 30)]
+    farther = [(i, a * 1e5, b * 1e5) for i, a, b in far]
+    tr = spark.createDataFrame([*train, (9000, None, 1.0, 5.0)], "id int, x1 double, x2 double, y double")
+    sc = spark.sparkContext
+
+    def run(rows):
+        te = spark.createDataFrame([*rows, (900, None, 1.0), (901, float("nan"), 2.0)], "id int, x1 double, x2 double")
+        sc.setJobGroup("knn", "knn")
+        got = {r["id"]: r["prediction"] for r in M.knn_regress(tr, te, ["x1", "x2"], "y", "id", "id", k=5).collect()}
+        assert got.pop(900) is None and got.pop(901) is None
+        for i, a, b in rows:
+            best = sorted(train, key=lambda t: ((t[1] - a) ** 2 + (t[2] - b) ** 2, t[0]))[:5]
+            assert abs(got[i] - sum(t[3] for t in best) / 5) < 1e-9
+        jobs = len(sc.statusTracker().getJobIdsForGroup("knn"))
+        sc.setJobGroup("", "")
+        return jobs
+
+    run(near)
+    assert run(farther) <= run(far) + 8
