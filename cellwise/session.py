@@ -83,6 +83,15 @@ def ship_package(spark: SparkSession) -> None:
     sc._cellwise_shipped = True
 
 
+def bound_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Bound what a Python worker holds at once: Arrow batches of ``size``
+    instead of Spark's default, which long texts fill.  A value that the user
+    has set is left alone."""
+    key, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if spark.conf.get(key, default) == default:
+        spark.conf.set(key, size)
+
+
 def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
     """Shuffle and scan sizing for a cluster run over ``input_bytes``.
 
@@ -101,4 +110,4 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     }
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "scratch_path", "scale_conf"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "bound_batches", "scratch_path", "scale_conf"]
