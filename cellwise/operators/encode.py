@@ -86,25 +86,6 @@ def apply_ordinal(df: DataFrame, dictionary: DataFrame | Mapping[str, Mapping[st
     return out
 
 
-def ordinal_sql(maps: Mapping[str, Mapping[str, int]], cols: Sequence[str], suffix: str = "",
-                unknown: int = -1) -> str:
-    """The E2 map-literal expressions as SQL (for SQLTransformer stages)."""
-    parts = []
-    for c in cols:
-        m = maps.get(c) or {}
-        if m:
-            kv = ", ".join(f"'{_sql_str(k)}', {int(v)}" for k, v in sorted(m.items(), key=lambda t: t[1]))
-            expr = f"coalesce(try_element_at(map({kv}), cast(`{c}` as string)), {unknown})"
-        else:
-            expr = str(unknown)
-        parts.append(f"cast({expr} as int) AS `{c}{suffix}`")
-    return ", ".join(parts)
-
-
-def _sql_str(s: str) -> str:
-    return str(s).replace("\\", "\\\\").replace("'", "\\'")
-
-
 def one_hot(df: DataFrame, dictionary: DataFrame | Mapping[str, Mapping[str, int]],
             cols: Sequence[str], drop_first: bool = True, passthrough: Sequence[str] | None = None,
             prefix: str = "one_hot__", remainder_prefix: str = "remainder__") -> DataFrame:

@@ -15,7 +15,7 @@ from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, RandomForestRegressor,
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwise.config import GBM_PARAMETERS
-from cellwise.operators.encode import dictionary_maps, fit_ordinal, ordinal_sql
+from cellwise.functions.expr import hash_u32
 
 CODE_SUFFIX = "_code"
 
@@ -33,10 +33,20 @@ CODE_SUFFIX = "_code"
 # M1-M3: 3-class boosted trees with the ordinal encoding inside the model
 # ---------------------------------------------------------------------------
 
-def ordinal_stage(maps: Mapping[str, Mapping[str, int]], cat_cols: Sequence[str]) -> SQLTransformer:
-    """E2 as a pipeline stage (map literals in SQL: saved with the model,
-    applied JVM-side, usable in a stream)."""
-    return SQLTransformer(statement=f"SELECT *, {ordinal_sql(maps, cat_cols, CODE_SUFFIX)} FROM __THIS__")
+def ordinal_stages(train: DataFrame, cat_cols: Sequence[str]) -> list:
+    """E1 + E2 as pipeline stages: sorted categories -> codes 0..k-1, unknown
+    and null -> -1 (saved with the model, applied JVM-side, usable in a
+    stream, for dictionaries of any size)."""
+    texts, index = [f"{c}_text" for c in cat_cols], [f"{c}_index" for c in cat_cols]
+    as_text = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"cast(`{c}` AS string) AS `{t}`" for c, t in zip(cat_cols, texts)) + " FROM __THIS__")
+    coded = StringIndexer(inputCols=texts, outputCols=index, stringOrderType="alphabetAsc",
+                          handleInvalid="keep").fit(as_text.transform(train.select(*cat_cols)))
+    # The indexer gives unknown and null values the first code after the last.
+    known = SQLTransformer(statement="SELECT *, " + ", ".join(
+        f"cast(if(`{i}` >= {len(labels)}, -1, `{i}`) AS int) AS `{c}{CODE_SUFFIX}`"
+        for c, i, labels in zip(cat_cols, index, coded.labelsArray)) + " FROM __THIS__")
+    return [as_text, coded, known]
 
 
 def gbm_params(params: Mapping[str, Any]) -> dict[str, Any]:
@@ -48,18 +58,24 @@ def gbm_params(params: Mapping[str, Any]) -> dict[str, Any]:
 
 def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], label: str,
                    params: Mapping[str, Any] = GBM_PARAMETERS, family: str = "gbt",
-                   seed: int = 42, parallelism: int = 4) -> PipelineModel:
+                   seed: int = 42, parallelism: int = 4, max_fit_rows: int | None = None,
+                   key_cols: Sequence[str] | None = None) -> PipelineModel:
     """M1: ordinal codes (fit on train) -> vector (codes first, then
     numerics) -> one-vs-rest GBT; ``family='rf'`` uses a random forest.
 
     A null measure is kept as NaN inside the model, as the original's trees
     take missing values; the stand-alone assembler (E4) raises instead.
+    ``max_fit_rows`` bounds the labelled rows that the trees are fitted on to
+    about that many, chosen by a hash of ``key_cols`` (all columns by
+    default); the rounds stay as configured and the dictionary covers all
+    rows.  A dictionary may have any size: it is part of the saved model.
     """
-    maps = dictionary_maps(fit_ordinal(train, cat_cols)) if cat_cols else {}
     codes = [c + CODE_SUFFIX for c in cat_cols]
-    stages = []
-    if cat_cols:
-        stages.append(ordinal_stage(maps, cat_cols))
+    stages = ordinal_stages(train, cat_cols) if cat_cols else []
+    if max_fit_rows is not None:
+        n = train.count()
+        if n > max_fit_rows:
+            train = train.where(hash_u32(seed, key_cols or train.columns) < int(max_fit_rows / n * (1 << 32)))
     stages.append(VectorAssembler(inputCols=[*codes, *num_cols], outputCol="features",
                                   handleInvalid="keep"))
     p = gbm_params(params)
@@ -158,11 +174,11 @@ def fit_gbt_regressor(df: DataFrame, features: Sequence[str], label: str, max_it
 
 
 def fit_tree_regressor(df: DataFrame, features: Sequence[str], label: str,
-                       max_depth: int = 30) -> PipelineModel:
+                       max_depth: int = 30, max_bins: int = 32) -> PipelineModel:
     """M7: one tree grown to MLlib's depth cap."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
-        DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=max_depth)]).fit(df)
+        DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=max_depth, maxBins=max_bins)]).fit(df)
 
 
 def fit_xgb_like_regressor(df: DataFrame, features: Sequence[str], label: str,

@@ -38,14 +38,12 @@ def csv_roundtrip_lineitem(spark: SparkSession, sf: str) -> DataFrame:
 @register("payload_records_lineitem", """
   SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_returnflag FROM lineitem""")
 def payload_records_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """S3: one scoring payload per order ({"dataframe_records": [...]}),
+    """S3: scoring payloads ({"dataframe_records": [...]}) of one record each,
     written as JSON and read back as one row per record."""
     path = scratch_path(spark, "payloads")
     li = S.read_table(spark, sf, "lineitem")
     rec = F.struct("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-    # A payload holds the lines of one order (a handful of records).
-    li.groupBy("l_orderkey").agg(F.collect_list(rec).alias("dataframe_records")) \
-        .select("dataframe_records").write.json(path)
+    li.select(F.array(rec).alias("dataframe_records")).write.json(path)
     schema = S.payload_schema({"l_orderkey": T.LongType(), "l_linenumber": T.IntegerType(),
                                "l_quantity": T.DoubleType(), "l_extendedprice": T.DoubleType(),
                                "l_returnflag": T.StringType()})
@@ -112,10 +110,52 @@ def appended_since_orders(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("fingerprint_lineitem", None)
 def fingerprint_lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows + order-insensitive content digest (xxhash64 has no SQL twin)."""
+    """S8 over every column (doubles and dates print differently in SQL)."""
     return dataset_fingerprint(S.read_table(spark, sf, "lineitem"), "lineitem", 0)
 
 
+FINGERPRINT_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("l_returnflag", T.StringType()), T.StructField("l_linestatus", T.StringType())])
+
+
+@register("fingerprint_lineitem_keys", f"""
+  SELECT 'lineitem' AS name, '0' AS version, count(*) AS rows,
+         CAST(sum(('0x' || substr(md5(concat_ws('|', CAST(l_orderkey AS VARCHAR), CAST(l_linenumber AS VARCHAR),
+              coalesce(l_returnflag, '\\N'), coalesce(l_linestatus, '\\N'))), 1, 15))::BIGINT::HUGEINT) AS VARCHAR) AS digest,
+         '{FINGERPRINT_SCHEMA.json()}' AS schema_json
+  FROM (SELECT l_orderkey, l_linenumber, l_returnflag,
+               CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE l_linestatus END AS l_linestatus FROM lineitem) l""")
+def fingerprint_lineitem_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """S8 over integer and text columns, some values null."""
+    li = S.read_table(spark, sf, "lineitem")
+    status = F.when(F.col("l_orderkey") % 11 != 0, F.col("l_linestatus")).alias("l_linestatus")
+    return dataset_fingerprint(li.select("l_orderkey", F.col("l_linenumber").cast("int").alias("l_linenumber"),
+                                         "l_returnflag", status), "lineitem", 0)
+
+
+@register("csv_rejects_lineitem", """
+  SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_orderkey % 13 = 0 AS rejected,
+         CASE WHEN l_orderkey % 13 <> 0 THEN l_quantity END AS l_quantity FROM lineitem""")
+def csv_rejects_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """S1 with malformed numbers by rule: kept rows typed, rejected lines kept
+    as text (their keys are read from it here)."""
+    path = scratch_path(spark, "bad_csv")
+    li = S.read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    bad = F.when(F.col("l_orderkey") % 13 == 0, F.lit("oops")).otherwise(F.col("l_quantity").cast("string"))
+    li.withColumn("l_quantity", bad).write.option("header", "true").csv(path)
+    schema = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                           T.StructField("l_quantity", T.DoubleType())])
+    raw = S.read_csv(spark, path, schema, keep_corrupt=True).checkpoint(eager=True)
+    kept = raw.where(F.col(S.CORRUPT_COL).isNull()).select("l_orderkey", "l_linenumber", F.lit(False).alias("rejected"),
+                                                           "l_quantity")
+    line = F.split(F.col(S.CORRUPT_COL), ",")
+    rejects = raw.where(F.col(S.CORRUPT_COL).isNotNull()).select(
+        line[0].cast("long").alias("l_orderkey"), line[1].cast("int").alias("l_linenumber"),
+        F.lit(True).alias("rejected"), F.lit(None).cast("double").alias("l_quantity"))
+    return kept.unionByName(rejects)
+
+
 @register("schema_check_orders", """
   SELECT 'o_orderpriority' AS "column", 'string' AS expected, CAST(NULL AS VARCHAR) AS actual,
          'missing' AS problem, CAST(NULL AS BIGINT) AS bad_values

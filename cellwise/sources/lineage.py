@@ -13,10 +13,12 @@ from pyspark.sql import types as T
 def dataset_fingerprint(df: DataFrame, name: str, version: str | int | None = None) -> DataFrame:
     """(name, version, rows, digest, schema_json) in one aggregate.
 
-    The digest is the sum of a 64-bit content hash of every row (decimal, so
-    no overflow): independent of row order and partitioning.
+    The digest is the sum of 60 bits of each row's md5 over its values as text
+    (null is the text \\N): independent of row order and partitioning, and
+    another engine can repeat it for integers and text.
     """
-    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    parts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in df.columns]
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 15), 16, 10).cast("decimal(38,0)")
     return df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(h), F.lit(0)).cast("string")
                   .alias("digest")).select(
         F.lit(name).alias("name"), F.lit(None if version is None else str(version))
