@@ -7,6 +7,8 @@ import shutil
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import SparkSession
@@ -62,7 +64,33 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never machine-local
     on a cluster), for tables a job writes and reads back."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/cellwise-scratch/{uuid.uuid4().hex}/{name}"
+    folder = f"{base}/cellwise-scratch/{uuid.uuid4().hex}"
+    for made in _SCOPES:
+        made.append(folder)
+    return f"{folder}/{name}"
+
+
+_SCOPES: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope() -> Iterator[list[str]]:
+    """Collects the scratch folders made inside, for :func:`remove_folders`
+    once the results that read them are written."""
+    made: list[str] = []
+    _SCOPES.append(made)
+    try:
+        yield made
+    finally:
+        _SCOPES.remove(made)
+
+
+def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    """Delete scratch folders from the file system that holds them."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for f in folders:
+        path = jvm.org.apache.hadoop.fs.Path(f)
+        path.getFileSystem(conf).delete(path, True)
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -110,4 +138,4 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     }
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "bound_batches", "scratch_path", "scale_conf"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "bound_batches", "scratch_path", "scratch_scope", "remove_folders", "scale_conf"]
