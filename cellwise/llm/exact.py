@@ -38,10 +38,11 @@ def sha256(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def digest_state(spark: SparkSession, rows_path: str, schema: str,
+def digest_state(spark: SparkSession, rows_path: str, schema, digest: str, first: Column,
                  files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """(digest, first = (no id, id, row), n) per digest, from the state that a
-    streaming run over the Parquet files under ``rows_path`` leaves.
+    streaming run over the Parquet files under ``rows_path`` leaves; only the
+    columns that ``digest`` and ``first`` need are read.
 
     The run is incremental: started again on the same checkpoint it reads
     only new files.  Without any file the state is empty.
@@ -51,10 +52,13 @@ def digest_state(spark: SparkSession, rows_path: str, schema: str,
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     # Many small stores: no disk set aside in advance for each one's logs.
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
-    session.conf.set("spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions"))
+    # A state row is a hundred bytes a text, so fewer partitions do than for texts.
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    session.conf.set("spark.sql.shuffle.partitions", str(max(1, parts // 4)))
     place = scratch_path(spark, "dedup_state")
     seen = (session.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .parquet(rows_path)
+            .select(F.col(digest).alias("digest"), first.alias("first"))
             .groupBy("digest")
             .agg(F.min("first").alias("first"), F.count(F.lit(1)).alias("n")))
     run = (seen.writeStream.format("noop").outputMode("update")
@@ -87,13 +91,13 @@ def duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows_path = scratch_path(spark, "dedup_rows")
     norm = normalised(text_col)
     numbered = docs.withColumn(d, digest(norm)).withColumn(r, F.monotonically_increasing_id())
-    numbered.write.parquet(rows_path + "/rows")
-    numbered = spark.read.schema(numbered.schema).parquet(rows_path + "/rows")
+    numbered.write.parquet(rows_path)
+    numbered = spark.read.schema(numbered.schema).parquet(rows_path)
     first = F.struct(F.col(f"`{id_col}`").isNull().alias("no_id"),
                      F.col(f"`{id_col}`").cast("long").alias("id"), F.col(r).alias("row"))
-    keys = numbered.select(F.col(d).alias("digest"), first.alias("first"))
-    keys.write.parquet(rows_path + "/keys")
-    state = digest_state(spark, rows_path + "/keys", keys.schema, files_per_batch)
+    # The stream reads a part of the columns.
+    narrow = numbered.select(*dict.fromkeys([d, id_col, r])).schema
+    state = digest_state(spark, rows_path, narrow, d, first, files_per_batch)
 
     # Full bytes of every hit.  Copies fold before the shuffle, so a text that
     # a third of all rows share is a few rows per task.
