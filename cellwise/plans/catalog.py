@@ -358,6 +358,17 @@ def hash_split_orders(spark, sf):
     return hash_split(read_table(spark, sf, "orders").select("o_orderkey"), ["o_orderkey"], 0.2, 42)
 
 
+@register("exact_split_sizes_lineitem", """
+  SELECT 'test' AS split, CAST(ceil(count(*) * 0.2) AS BIGINT) AS n FROM lineitem
+  UNION ALL SELECT 'train', count(*) - CAST(ceil(count(*) * 0.2) AS BIGINT) FROM lineitem""")
+def exact_split_sizes_lineitem(spark, sf):
+    """SP2 on rows that repeat (seven line numbers, 17 keys) with a third of
+    the keys null: the sizes are exact."""
+    k = F.col("l_orderkey")
+    li = read_table(spark, sf, "lineitem").select(F.when(k % 3 != 0, k % 17).alias("key"), "l_linenumber")
+    return exact_split(li, ["key"], 0.2, 42).groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("exact_split_orders", """
   SELECT o_orderkey, CASE WHEN rn <= (SELECT ceil(count(*) * 0.2) FROM orders) THEN 'test' ELSE 'train' END AS split
   FROM (SELECT o_orderkey, row_number() OVER (ORDER BY
