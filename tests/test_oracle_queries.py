@@ -1,6 +1,7 @@
 """Every registered query with a SQL twin matches DuckDB on sf0.001."""
 
 import math
+import os
 from collections import Counter
 
 import duckdb
@@ -32,10 +33,14 @@ def con():
     return c
 
 
+#: They fit 3 x 1000 trees (minutes); CELLWISE_SLOW=1 runs them here too.
+SLOW = {"classifier_facts_lineitem", "score_stream_facts_lineitem"}
+
+
 def _names():
     import __spark_entry__ as E
 
-    return sorted(E.oracle_sql())
+    return sorted(n for n in E.oracle_sql() if n not in SLOW or os.environ.get("CELLWISE_SLOW"))
 
 
 @pytest.mark.parametrize("name", _names())
