@@ -22,10 +22,11 @@ from cellwise.llm.common import fresh
 #: (bytes from, lowest ratio, highest ratio): the last band whose first number
 #: is not above the text's size holds.  Under 64 bytes the frame overhead of
 #: the codec hides the content, so only the base rules speak there.
-BANDS = ((0, 0.0, float("inf")), (64, 0.35, 1.25), (256, 0.24, 0.95),
-         (1024, 0.18, 0.85), (4096, 0.14, 0.80), (16384, 0.12, 0.78))
+#: The highest ratios lie between clean text and base64 of the same length.
+BANDS = ((0, 0.0, float("inf")), (64, 0.35, 1.25), (256, 0.24, 0.84), (512, 0.24, 0.78),
+         (1024, 0.18, 0.74), (4096, 0.14, 0.70), (16384, 0.12, 0.66))
 CHUNK_BYTES = 2048
-CHUNK_LIMITS = (0.18, 0.85)
+CHUNK_LIMITS = (0.18, 0.70)
 #: Share of full chunks outside CHUNK_LIMITS above which a text is rejected.
 MAX_BAD_CHUNKS = 0.25
 LEVEL = 3

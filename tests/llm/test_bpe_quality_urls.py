@@ -104,6 +104,25 @@ def test_quality_bands_reject_loops_and_noise(spark):
     assert quality.quality_filter(empty_frame(spark)).count() == 0
 
 
+def test_encoded_data_and_noise_are_rejected():
+    import base64
+    import string
+
+    import zstandard
+
+    rnd = random.Random(3)
+    cut = lambda t: " ".join(t[k:k + 76] for k in range(0, len(t), 76))
+    c = zstandard.ZstdCompressor(level=quality.LEVEL)
+    for n in (300, 500, 700, 1000, 1500, 2048, 3000, 6000, 20000, 40000):
+        encoded = cut(base64.b64encode(rnd.randbytes(n)).decode())[:n]
+        noise = cut("".join(rnd.choices(string.ascii_letters + string.digits + string.punctuation, k=n)))[:n]
+        for junk in (encoded, noise):
+            m = quality.measure(junk, c)
+            low, high = next((lo, hi) for at, lo, hi in reversed(quality.BANDS) if n >= at)
+            assert m[7] > high and not m[6], (n, m)
+            assert m[9] == m[8]
+
+
 URLS = [("http://A.Net/x", "a.net", "/x", "net/", "block"), ("https://net/", "net", "/", "net/", "block"),
         ("https://net", "net", "", None, None), ("http://m.Example.NET/en/5?q=1", "m.example.net", "/en/5", "example.net/en/", "allow"),
         ("http://example.net/en", "example.net", "/en", "net/", "block"), ("http://x.example.com/de/1#f", "x.example.com", "/de/1", "example.com/de/", "block"),
