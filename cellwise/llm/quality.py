@@ -3,7 +3,8 @@
 A text that compresses far better than prose is repetitive (loops, copied
 lines, menus); one that hardly compresses is noise (encoded data, keyboard
 junk).  The zstandard ratio (compressed / raw bytes) is taken over the whole
-document and over each full fixed-size chunk; the limits depend on the
+document and over each fixed-size chunk, the last one being the text's last
+bytes (a text shorter than a chunk is judged whole); the limits depend on the
 length, because a short text cannot reach the ratio of a long one.
 
 Row-local: one Arrow-batched pass, no shuffle.
@@ -27,7 +28,7 @@ BANDS = ((0, 0.0, float("inf")), (64, 0.35, 1.25), (256, 0.24, 0.84), (512, 0.24
          (1024, 0.18, 0.74), (4096, 0.14, 0.70), (16384, 0.12, 0.66))
 CHUNK_BYTES = 2048
 CHUNK_LIMITS = (0.18, 0.70)
-#: Share of full chunks outside CHUNK_LIMITS above which a text is rejected.
+#: Share of chunks outside CHUNK_LIMITS above which a text is rejected.
 MAX_BAD_CHUNKS = 0.25
 LEVEL = 3
 MIN_WORDS = 10
@@ -77,9 +78,12 @@ def measure(text: str | None, compressor, bands=BANDS, chunk_bytes: int = CHUNK_
         ratio = len(compressor.compress(raw)) / size
         low, high = next((lo, hi) for at, lo, hi in reversed(bands) if size >= at)
         kept = kept and low <= ratio <= high
-        n_chunks = size // chunk_bytes
-        for k in range(n_chunks):
-            r = len(compressor.compress(raw[k * chunk_bytes:(k + 1) * chunk_bytes])) / chunk_bytes
+        starts = list(range(0, size - chunk_bytes + 1, chunk_bytes))
+        if size > chunk_bytes and size % chunk_bytes:
+            starts.append(size - chunk_bytes)  # the end, as a full chunk
+        n_chunks = len(starts)
+        for k in starts:
+            r = len(compressor.compress(raw[k:k + chunk_bytes])) / chunk_bytes
             n_bad += not chunk_limits[0] <= r <= chunk_limits[1]
         kept = kept and n_bad <= max_bad * n_chunks
     return (n_words, word_chars, n_symbols, n_dup, n_rep, failed, kept, ratio, n_chunks, n_bad)

@@ -123,6 +123,26 @@ def test_encoded_data_and_noise_are_rejected():
             assert m[9] == m[8]
 
 
+def test_the_end_of_a_text_is_judged():
+    import base64
+
+    import zstandard
+
+    rnd = random.Random(4)
+    prose = lambda n: " ".join("".join(rnd.choice(["an", "the", "ring", "so", "lo", "ti", "er"]) for _ in range(3))
+                               for _ in range(n))[:n]
+    c = zstandard.ZstdCompressor(level=quality.LEVEL)
+    clean, bad = prose(3900), prose(2048) + " " + base64.b64encode(rnd.randbytes(1400)).decode()[:1850]
+    assert len(bad) < 2 * quality.CHUNK_BYTES
+    m = quality.measure(clean, c)
+    assert m[6] and m[8:] == (2, 0)
+    m = quality.measure(bad, c)
+    low, high = next((lo, hi) for at, lo, hi in reversed(quality.BANDS) if len(bad) >= at)
+    assert not m[5] and low <= m[7] <= high  # the whole text hides it
+    assert not m[6] and m[8:] == (2, 1)
+    assert quality.measure(prose(2048), c)[8:] == (1, 0) and quality.measure(prose(2000), c)[8:] == (0, 0)
+
+
 URLS = [("http://A.Net/x", "a.net", "/x", "net/", "block"), ("https://net/", "net", "/", "net/", "block"),
         ("https://net", "net", "", None, None), ("http://m.Example.NET/en/5?q=1", "m.example.net", "/en/5", "example.net/en/", "allow"),
         ("http://example.net/en", "example.net", "/en", "net/", "block"), ("http://x.example.com/de/1#f", "x.example.com", "/de/1", "example.com/de/", "block"),
