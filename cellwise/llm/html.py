@@ -43,6 +43,8 @@ ASIDE_WORDS = frozenset(
     "popup modal overlay comment comments disqus respond reply replies share sharing social related recommended "
     "newsletter subscribe subscription signup login search widget toolbar pagination pager skip "
     "complementary contentinfo dialog form".split())
+#: Of these, what may be long and hold article elements of its own.
+TALK_WORDS = frozenset("comment comments disqus respond reply replies cookie cookies consent gdpr".split())
 HEAD_WORDS = frozenset("header topbar".split())
 #: A class such as no-sidebar describes the layout, not the element.
 LAYOUT = frozenset("no has with without is".split())
@@ -79,18 +81,30 @@ class Page:
     """The containers of a page and its text blocks outside of what is never
     article (menus, notices, adverts, comments and the like)."""
 
-    def __init__(self, html: str, forms: bool = False):
+    def __init__(self, html: str, forms: bool = False, words: bool = True, shown: frozenset = frozenset()):
         self.paths: list[str] = [""]        # container -> generalised path
         self.parents: list[int] = [-1]
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
         self._forms = forms
+        self._words = words
+        self._shown = shown   # numbers of elements shown in spite of their class words
+        self._asides: list[list] = []  # per element with class words: text, has an article, is talk
+        self._plain = False   # an article element outside of them
+        self._all = 0         # text outside of links
         self._read(html)
 
+    def wrongly_hidden(self) -> frozenset:
+        """Elements with class words that hold the page's article or most of
+        its text outside of links."""
+        return frozenset(k for k, (size, article, talk) in enumerate(self._asides) if not talk and size and (
+            article and not self._plain or 2 * size > self._all))
+
     def _read(self, html: str) -> None:
-        stack: list[tuple] = []   # (tag, container, hidden, link, headings only)
+        # (tag, container, hidden, link, headings only, asides around, hidden by more than class words)
+        stack: list[tuple] = []
         text: list[str] = []
         links = 0
-        where, hidden, link, heads = 0, False, False, False
+        where, hidden, link, heads, asides, never = 0, False, False, False, (), False
 
         def end_block():
             nonlocal links
@@ -102,13 +116,18 @@ class Page:
                 links = 0
 
         def back():
-            return stack[-1][1:] if stack else (0, False, False, False)
+            return stack[-1][1:] if stack else (0, False, False, False, (), False)
 
         at, size, low = 0, len(html), None
         for_token = _TOKEN.search
         while at < size:
             m = for_token(html, at)
             stop = m.start() if m else size
+            if stop > at and not never and not link:
+                held = len(html[at:stop].strip())
+                self._all += held
+                for k in asides:
+                    self._asides[k][0] += held
             if stop > at and not hidden and (not heads or any(e[0] in HEADING for e in stack)):
                 piece = unescape(html[at:stop])
                 text.append(piece)
@@ -128,7 +147,7 @@ class Page:
                 # An end tag never closes a cell or container around it.
                 if k >= 0 and (tag in BLOCK or not any(e[0] in BLOCK for e in stack[k + 1:])):
                     del stack[k:]
-                    where, hidden, link, heads = back()
+                    where, hidden, link, heads, asides, never = back()
                 continue
             if tag in RAW:
                 if not attrs.endswith("/"):
@@ -149,7 +168,7 @@ class Page:
                     open_tag = stack[k][0]
                     if open_tag == "p" or open_tag in ENDS.get(tag, ()):
                         del stack[k:]
-                        where, hidden, link, heads = back()
+                        where, hidden, link, heads, asides, never = back()
                         break
                     if open_tag in CONTAINER or open_tag in ("table", "ul", "ol", "dl"):
                         break
@@ -157,12 +176,20 @@ class Page:
                 continue
             in_article = any(e[0] in ("article", "main") for e in stack)
             if tag not in ("html", "body", "main") and attrs:
-                if _marks(attrs, ASIDE_WORDS) or _HIDDEN.search(attrs):
-                    hidden = True
+                if _HIDDEN.search(attrs):
+                    hidden = never = True
+                elif self._words and _marks(attrs, ASIDE_WORDS):
+                    hidden = hidden or len(self._asides) not in self._shown
+                    asides += (len(self._asides),)
+                    self._asides.append([0, False, _marks(attrs, TALK_WORDS)])
                 elif _marks(attrs, HEAD_WORDS):
                     heads, hidden = True, hidden or not in_article
+            if tag in ("article", "main") and not never:
+                for k in asides:
+                    self._asides[k][1] = True
+                self._plain = self._plain or tag == "article" and not asides
             if tag in NEVER and not (tag == "form" and self._forms):
-                hidden = True
+                hidden = never = True
             elif tag == "header":
                 # A page header goes; of an article's header the title stays.
                 heads, hidden = True, hidden or not in_article
@@ -171,7 +198,7 @@ class Page:
                 self.paths.append(self.paths[where] + ">" + _label(tag, attrs))
                 self.parents.append(where)
                 where = len(self.paths) - 1
-            stack.append((tag, where, hidden, link, heads))
+            stack.append((tag, where, hidden, link, heads, asides, never))
         end_block()
 
     def choice(self) -> tuple[str, float]:
@@ -219,9 +246,17 @@ class Page:
 
 
 def read_page(html: str | None) -> Page:
-    page = Page(html or "")
-    # Some pages wrap everything in one form.
-    return page if page.blocks else Page(html or "", forms=True)
+    html = html or ""
+    page = Page(html)
+    shown = page.wrongly_hidden()
+    if shown:
+        page = Page(html, shown=shown)
+    # Some pages wrap everything in one form, or in an element with class words.
+    for forms, words in ((True, True), (False, False), (True, False)):
+        if page.blocks:
+            break
+        page = Page(html, forms, words)
+    return page
 
 
 def extract(html: str | None, paths) -> str:

@@ -34,6 +34,21 @@ def test_odd_markup():
     assert H.extract("<p>" * 3000 + "deep", None) == "deep"
 
 
+def test_class_words_do_not_hide_the_article():
+    body = "<p>A story of many words that is told here.</p><p>It goes on for a while.</p>"
+    want = "A story of many words that is told here.\nIt goes on for a while."
+    aside = "<div class='sidebar'><p>Also read this</p></div>"
+    talk = "<div id='comments'><article class='comment'><p>" + "Nice one, really. " * 20 + "</p></article></div>"
+    for page in (f'<div class="content-sidebar-wrap"><article>{body}</article>{aside}</div>',
+                 f'<article class="post category-social">{body}</article>{aside}{talk}',
+                 f'<main><article class="post category-social">{body}</article>{aside}</main>{talk}',
+                 f'<div class="layout right-sidebar"><div>{body}</div>{aside}</div>',
+                 f'<div id="search-page"><div class="text">{body}</div></div><footer>f</footer>',
+                 f'<div class="comment-page"><div>{body}</div></div>',
+                 f'<article>{body}</article>{aside}{talk}'):
+        assert H.extract(f"<html><body>{page}</body></html>", None) == want, page
+
+
 def test_pages_match_their_documents(spark):
     """The pages show the documents: title and lines are the expected text."""
     docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
