@@ -12,6 +12,7 @@ Given host/path rules come first; the longest fitting one decides.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
@@ -21,7 +22,8 @@ from pyspark.sql import functions as F
 from cellwise.llm.common import fresh, stored
 
 BAD = "label=bad"
-MIN_SUPPORT = 0.001
+#: No share of all URLs is asked for, as it would grow with the table.
+MIN_SUPPORT = 0.0
 MIN_CONFIDENCE = 0.8
 #: A rule must rest on this many labelled bad URLs.
 MIN_BAD_URLS = 25
@@ -82,8 +84,9 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
     ``labelled`` (items array, bad boolean); empty without bad labels.
 
     The confidence bound alone would keep combinations seen by chance; the
-    support bound (a share, and a number of bad URLs) prunes those.  A rule
-    that contains a kept rule says nothing new and goes.
+    support bound (a number of bad URLs, and a share of all if given) prunes
+    those.  Combinations are mined from the bad URLs and counted over all.  A
+    rule that contains a kept rule says nothing new and goes.
     """
     spark = labelled.sparkSession
     known = stored(labelled.where(F.col("bad").isNotNull() & (F.size("items") > 0)).select(
@@ -91,14 +94,26 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
         "url_baskets")
     n, n_bad = known.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
     empty = "rule_id long, antecedent array<string>, confidence double, support double, anchor string"
-    if not n_bad:
+    least = max(1, min_bad, math.ceil(min_support * n))
+    if n_bad < least:
         return spark.createDataFrame([], empty)
-    support = max(min_support, min_bad / n)
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(known)
-    rules = stored(model.associationRules
-                   .where((F.col("consequent")[0] == BAD))
-                   .select(F.sort_array("antecedent").alias("antecedent"), "confidence", "support"),
-                   "url_rules")
+    bad = known.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("items"))
+    # Half a URL less, so that rounding never asks for one more.
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(bad)
+    sets = stored(model.freqItemsets.select(F.sort_array("items").alias("antecedent"), "freq"), "url_sets")
+    counts = stored(known.select(F.explode("items").alias("token")).groupBy("token")
+                    .agg(F.count(F.lit(1)).alias("urls")), "url_tokens")
+    anchored = (sets.select("antecedent", "freq", F.explode("antecedent").alias("token"))
+                .join(counts, "token").groupBy("antecedent", "freq")
+                .agg(F.min_by("token", F.struct("urls", "token")).alias("token")))
+    # URLs that differ in numbers only have the same tokens.
+    baskets = known.groupBy(F.sort_array("items").alias("items")).agg(F.count(F.lit(1)).alias("urls"))
+    held = (baskets.select("items", "urls", F.explode("items").alias("token")).join(anchored, "token")
+            .where(F.size(F.array_except("antecedent", "items")) == 0)
+            .groupBy("antecedent", "freq").agg(F.sum("urls").alias("urls")))
+    rules = stored(held.select("antecedent", (F.col("freq") / F.col("urls")).alias("confidence"),
+                               (F.col("freq") / n).alias("support"))
+                   .where(F.col("confidence") >= min_confidence), "url_rules")
     # A rule goes if another one's tokens are a proper part of its own.  The
     # smaller one shares its first token, so rules meet by token.
     by_token = rules.select("antecedent", F.explode("antecedent").alias("token"))
@@ -108,8 +123,6 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
                       & (F.size(F.array_except("part", "antecedent")) == 0))
                .select("antecedent").distinct())
     kept = rules.join(implied, "antecedent", "left_anti")
-    counts = (known.select(F.explode("items").alias("token")).groupBy("token")
-              .agg(F.count(F.lit(1)).alias("urls")))
     rarest = (kept.select("antecedent", F.explode("antecedent").alias("token"))
               .join(counts, "token").groupBy("antecedent")
               .agg(F.min_by("token", F.struct("urls", "token")).alias("anchor")))

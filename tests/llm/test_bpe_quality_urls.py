@@ -182,3 +182,14 @@ def test_mined_rules_match_brute_force(spark):
             assert rule <= items[i]
             hit = [b for j, _, b in rows if rule <= items[j]]
             assert sum(hit) / len(hit) >= 0.8 and len(hit) >= 15
+
+
+def test_bad_hosts_are_mined_whatever_the_size_of_the_table(spark):
+    """40 bad URLs of one host among 60,000: under a thousandth of all."""
+    rows = [(i, f"http://h{i % 5}.example.com/en/{i}", i % 10 == 0) for i in range(60_000)]
+    rows += [(60_000 + i, f"http://spam.example.org/x/{i}", True) for i in range(40)]
+    rows += [(70_000 + i, f"http://few.example.net/y/{i}", True) for i in range(24)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    pages = df.where("page_id >= 59000")
+    got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages, df.select("url", "bad")).collect()}
+    assert got == {i: "block" if 60_000 <= i < 70_000 else "allow" for i in got}
