@@ -82,7 +82,7 @@ def scratch_scope() -> Iterator[list[str]]:
     try:
         yield made
     finally:
-        _SCOPES.remove(made)
+        _SCOPES[:] = [s for s in _SCOPES if s is not made]  # scopes may be nested and equal
 
 
 def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
