@@ -109,3 +109,54 @@ def op2_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from cellwise.llm.passages import passage_report
 
     return passage_report(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.spelling import spelling_variants
+
+    return spelling_variants(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+# CRC-32 of a string by its table of 256 remainders, from the polynomial.
+_CRC_TABLE = """
+bits AS (
+  SELECT i, i AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY i) AS t FROM bits WHERE k = 8)"""
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+      regexp_extract_all(hex(encode(s)), '..'), lambda p: ('0x' || p)::BIGINT)),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295)"""
+ORACLE["op11_spelling_variants"] = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' || w AS s, w, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(
+          translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]{{7,}}')) AS w FROM documents)
+  GROUP BY ALL),
+hashed AS (
+  SELECT w, n, {_CRC} AS h
+  FROM runs, crc),
+slipped AS (
+  SELECT CASE WHEN h % 31 = 0 THEN w[1:(h % length(w))] || w[(h % length(w)) + 2:] ELSE w END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM slipped WHERE length(word) >= 7 GROUP BY 1 HAVING sum(n) >= 2),
+gaps AS (
+  SELECT word, n, i, word[1:i - 1] || word[i + 1:] AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM gaps a JOIN gaps b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS top_n,
+         arg_min(near, (-near_n, near)) AS top FROM pairs GROUP BY 1),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top_n >= 10 * w.n THEN top END AS form,
+         CASE WHEN top_n >= 10 * w.n THEN top_n END AS form_n
+  FROM words w LEFT JOIN best b ON w.word = b.word),
+steps AS (
+  SELECT word, word AS at, form AS next FROM forms
+  UNION ALL SELECT s.word, f.word, f.form FROM steps s JOIN forms f ON f.word = s.next)
+SELECT f.word, form, s.at AS root, n, n_near, form_n
+FROM forms f JOIN steps s ON s.word = f.word AND s.next IS NULL
+"""
