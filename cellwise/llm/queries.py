@@ -160,3 +160,45 @@ steps AS (
 SELECT f.word, form, s.at AS root, n, n_near, form_n
 FROM forms f JOIN steps s ON s.word = f.word AND s.next IS NULL
 """
+
+
+@query
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.trie import conversation_trie
+
+    return conversation_trie(read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
+# Prefixes are compared by roles and texts; subtrees by every node's ancestors.
+ORACLE["op13_prefix_trie"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+own AS (
+  SELECT conv_id AS c, list({{'r': r, 'x': x}} ORDER BY turn NULLS FIRST, sha256(length(r) || ':' || r || x)) AS s
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id),
+heads AS (SELECT c, {_CRC} % 9 AS h FROM (SELECT c, c::VARCHAR AS s FROM own), crc),
+rebuilt AS (
+  SELECT o.c, list_concat(coalesce(b.s[1:h], []), o.s[h + 1:]) AS s
+  FROM own o JOIN heads USING (c) LEFT JOIN own b ON b.c = o.c - o.c % 5),
+prefixes AS (SELECT c, d, s[1:d] AS p, len(s) = d AS whole FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM rebuilt)),
+nodes AS (
+  SELECT p, d, min(c) AS conv_id, count(*) AS n,
+         coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE whole), '') AS ends,
+         CASE WHEN d > 0 THEN strlen(p[d].x) ELSE 0 END AS size
+  FROM prefixes GROUP BY p, d),
+children AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+counted AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children FROM nodes n LEFT JOIN children k ON n.p = k.p),
+subtrees AS (
+  SELECT p[1:a] AS p, sum((n_children = 0)::BIGINT)::BIGINT AS n_leaves, sum((n - 1) * size)::BIGINT AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM counted) GROUP BY 1)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, n.n_children, n_leaves,
+       saved AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM counted n JOIN subtrees s ON s.p = n.p LEFT JOIN nodes u ON n.d > 0 AND u.p = n.p[1:n.d - 1]
+"""
+
+
+@query
+def op12_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from cellwise.llm.pii import personal_data
+
+    return personal_data(read_table(spark, sf_dir, "documents", "doc_id", "text"))
