@@ -1,16 +1,16 @@
-"""Distributed model fitting and scoring (M1-M11) on Spark MLlib.
+"""Distributed model fitting and scoring.
 
-Same model families as the original project's libraries, not the same
-numbers: boosted trees are MLlib GBTs (one tree per round, binary, so the
-3-class model is one-vs-rest), AdaBoost.R2 is a loop of weighted MLlib
-trees, and k-nearest-neighbours is an exact grid join.
+Second-order boosting (M1, M9, M10) is :mod:`cellwise.operators.boosting`;
+forests, single trees and plain gradient boosting are MLlib's.  AdaBoost.R2 is
+a loop of MLlib trees on weighted resamples, and k-nearest-neighbours an exact
+grid join.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,11 +20,15 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, RandomForestRegressor,
 )
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellwise.config import GBM_PARAMETERS
 from cellwise.functions.expr import hash_u32
+from cellwise.functions.ranges import running_totals
+from cellwise.operators.boosting import DEPTH_WISE, LEAF_WISE, BoostedModel, Growth, fit_boosting, probabilities
+from cellwise.operators.knn import knn_by_pivots
+from cellwise.operators.trees import ExactTree, fit_exact_tree
 
 CODE_SUFFIX = "_code"
 
@@ -56,15 +60,39 @@ def gbm_params(params: Mapping[str, Any]) -> dict[str, Any]:
             "maxDepth": int(params.get("max_depth", 5))}
 
 
+@dataclass
+class BoostedClassifier:
+    """Ordinal stages and a softmax booster over (codes, numerics)."""
+
+    stages: PipelineModel | None
+    booster: BoostedModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        x = self.stages.transform(df) if self.stages else df
+        return self.booster.transform(x, "_margins").select(*df.columns, "_margins")
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        if self.stages:
+            self.stages.write().overwrite().save(f"{path}/stages")
+        self.booster.save(spark, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> BoostedClassifier:
+        booster = BoostedModel.load(spark, path)
+        coded = any(f.endswith(CODE_SUFFIX) for f in booster.features)
+        return cls(PipelineModel.load(f"{path}/stages") if coded else None, booster)
+
+
 def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], label: str,
-                   params: Mapping[str, Any] = GBM_PARAMETERS, family: str = "gbt",
+                   params: Mapping[str, Any] = GBM_PARAMETERS, family: str = "softmax",
                    seed: int = 42, parallelism: int = 4, max_fit_rows: int | None = None,
-                   key_cols: Sequence[str] | None = None) -> PipelineModel:
-    """M1: ordinal codes (fit on train) -> vector (codes first, then
-    numerics) -> one-vs-rest GBT; ``family='rf'`` uses a random forest.
+                   key_cols: Sequence[str] | None = None) -> PipelineModel | BoostedClassifier:
+    """M1: ordinal codes (fit on train), then numerics -> boosted trees, one
+    per class and round, leaf-wise with 31 leaves, at least 20 rows a leaf.
+    ``family='gbt'`` is MLlib's one-vs-rest, ``'rf'`` its random forest.
 
-    A null measure is kept as NaN inside the model, as the original's trees
-    take missing values; the stand-alone assembler (E4) raises instead.
+    A null measure is a missing value inside the model, as the original's
+    trees take it; the stand-alone assembler (E4) raises instead.
     ``max_fit_rows`` bounds the labelled rows that the trees are fitted on to
     about that many, chosen by a hash of ``key_cols`` (all columns by
     default); the rounds stay as configured and the dictionary covers all
@@ -76,9 +104,16 @@ def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence
         n = train.count()
         if n > max_fit_rows:
             train = train.where(hash_u32(seed, key_cols or train.columns) < int(max_fit_rows / n * (1 << 32)))
+    p = gbm_params(params)
+    if family == "softmax":
+        coder = Pipeline(stages=stages).fit(train) if stages else None
+        x = coder.transform(train) if coder else train
+        how = Growth(rounds=p["maxIter"], rate=p["stepSize"], max_depth=p["maxDepth"], max_leaves=31, l2=0.0,
+                     min_rows=int(params.get("min_child_samples", 20)), min_hessian=1e-3)
+        classes = x.agg(F.max(F.col(label).cast("int"))).first()[0]
+        return BoostedClassifier(coder, fit_boosting(x, [*codes, *num_cols], label, how, max(2, (classes or 0) + 1)))
     stages.append(VectorAssembler(inputCols=[*codes, *num_cols], outputCol="features",
                                   handleInvalid="keep"))
-    p = gbm_params(params)
     if family == "gbt":
         gbt = GBTClassifier(featuresCol="features", labelCol="label", maxIter=p["maxIter"],
                             maxDepth=p["maxDepth"], stepSize=p["stepSize"], seed=seed)
@@ -119,7 +154,7 @@ def _ovr_margins(model: PipelineModel, df: DataFrame) -> DataFrame | None:
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
     """M2: class per row (int): argmax of the per-class margins (first
     maximum, as one-vs-rest does)."""
-    x = _ovr_margins(model, df)
+    x = model.transform(df) if isinstance(model, BoostedClassifier) else _ovr_margins(model, df)
     if x is None:
         scored = model.transform(df)
         return scored.select(*df.columns, F.col("prediction").cast("int").alias(out),
@@ -131,12 +166,14 @@ def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> Dat
 def predict_proba(model: PipelineModel, df: DataFrame, out: str = "probability") -> DataFrame:
     """M2 + M3: prediction and class probabilities as array<double>.
 
-    One-vs-rest GBT margins m: p_c = 1/(1+exp(-2 m_c)), normalised over
-    classes (array expressions, no UDF). Other classifiers: their
-    probability vector.
+    Boosted trees: the softmax of the margins.  One-vs-rest GBT margins m:
+    p_c = 1/(1+exp(-2 m_c)), normalised over classes.  Other classifiers:
+    their probability vector.
     """
     scored = predict(model, df)
-    if "probability" in scored.columns:
+    if isinstance(model, BoostedClassifier):
+        proba = probabilities(F.col("_margins"))
+    elif "probability" in scored.columns:
         proba = vector_to_array("probability")
     else:
         sig = F.transform("_margins", lambda m: F.lit(1.0) / (F.lit(1.0) + F.exp(F.lit(-2.0) * m)))
@@ -173,25 +210,29 @@ def fit_gbt_regressor(df: DataFrame, features: Sequence[str], label: str, max_it
                      stepSize=step_size, minInstancesPerNode=min_instances, seed=seed)]).fit(df)
 
 
-def fit_tree_regressor(df: DataFrame, features: Sequence[str], label: str,
-                       max_depth: int = 30, max_bins: int = 32) -> PipelineModel:
-    """M7: one tree grown to MLlib's depth cap."""
+def fit_tree_regressor(df: DataFrame, features: Sequence[str], label: str, max_depth: int | None = None,
+                       max_bins: int | None = None) -> PipelineModel | ExactTree:
+    """M7: one tree, by default grown on every cut until none improves it;
+    ``max_bins`` takes MLlib's binned tree instead (to its depth cap)."""
+    if max_bins is None:
+        return fit_exact_tree(df, features, label, max_depth)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
-        DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=max_depth, maxBins=max_bins)]).fit(df)
+        DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=30 if max_depth is None else max_depth,
+                              maxBins=max_bins)]).fit(df)
 
 
-def fit_xgb_like_regressor(df: DataFrame, features: Sequence[str], label: str,
-                           max_iter: int = 100, seed: int = 42) -> PipelineModel:
-    """M9: boosted trees with the XGBoost defaults (100 rounds, depth 6, eta 0.3)."""
-    return fit_gbt_regressor(df, features, label, max_iter, 6, 0.3, seed=seed)
+def fit_xgb_like_regressor(df: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,
+                           how: Growth = DEPTH_WISE) -> BoostedModel:
+    """M9: second-order boosting by depth (100 rounds, depth 6, rate 0.3, L2 1)."""
+    return fit_boosting(df, features, label, replace(how, rounds=max_iter))
 
 
-def fit_lgbm_like_regressor(df: DataFrame, features: Sequence[str], label: str,
-                            max_iter: int = 100, seed: int = 42) -> PipelineModel:
-    """Boosted trees with the LightGBM settings used (100 rounds, rate
-    0.1, min 2 rows per leaf; depth 5 stands in for 31 leaves)."""
-    return fit_gbt_regressor(df, features, label, max_iter, 5, 0.1, min_instances=2, seed=seed)
+def fit_lgbm_like_regressor(df: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,
+                            how: Growth = LEAF_WISE) -> BoostedModel:
+    """Second-order boosting, best leaf first (100 rounds, 31 leaves, rate
+    0.1, at least 2 rows a leaf)."""
+    return fit_boosting(df, features, label, replace(how, rounds=max_iter))
 
 
 # ---------------------------------------------------------------------------
@@ -222,37 +263,78 @@ class AdaBoostR2Model:
         return x.select(*df.columns, med.alias(out))
 
 
+def hashed_draws(spark: SparkSession, n: int, seed: int, round_no: int) -> DataFrame:
+    """(draw, u): n numbers in [0, 1) from a hash of (seed, round, draw)."""
+    return spark.range(n).select(F.col("id").alias("draw"),
+                                 (hash_u32(seed, [F.lit(round_no), F.col("id")]) / float(1 << 32)).alias("u"))
+
+
+def resample(rows: DataFrame, draws: DataFrame, n: int, key_cols: Sequence[str] = (), weight: str = "_w") -> DataFrame:
+    """``rows`` that are drawn, with how often (``_copies``): draws with
+    replacement by weight, each draw the row whose share of the running total
+    of weights (in the order of ``key_cols``) holds it.
+
+    Rows and draws meet by cells of the total: as many cells as rows, so a
+    light row lies in one or two of them and a heavy one in many, each with a
+    few draws.
+    """
+    placed = running_totals(rows.withColumn("_row", F.monotonically_increasing_id()), [], [*key_cols], [weight])
+    total = float(placed.agg(F.sum(weight)).first()[0] or 0.0)
+    if total <= 0.0:
+        return rows.withColumn("_copies", F.lit(0).cast("long")).limit(0)
+    width = total / max(n, 1)
+    low, high = F.col(f"cum_{weight}"), F.col(f"cum_{weight}") + F.col(weight)
+    spans = placed.where(F.col(weight) > 0).select(
+        "_row", low.alias("_low"), high.alias("_high"),
+        F.explode(F.sequence(F.floor(low / width), F.floor(high / width))).alias("_cell"))
+    hits = draws.select((F.col("u") * F.lit(total)).alias("_t")).withColumn("_cell", F.floor(F.col("_t") / width))
+    drawn = (spans.join(hits, "_cell").where((F.col("_low") <= F.col("_t")) & (F.col("_t") < F.col("_high")))
+             .groupBy("_row").agg(F.count(F.lit(1)).alias("_copies")))
+    return placed.join(drawn, "_row").drop("_row", f"cum_{weight}")
+
+
+def adaboost_round(x: DataFrame, n: int, seed: int, round_no: int, order: Sequence[str], max_depth: int = 3,
+                   max_bins: int = 32) -> tuple[DecisionTreeRegressionModel, DataFrame, DataFrame, float, float, float]:
+    """One round over ``x`` (_ab_features, _y, _w and the columns of
+    ``order``): the tree, the drawn rows, all rows with the absolute error
+    ``_e``, the largest error, the weighted mean error and the weights' sum."""
+    sample = resample(x, hashed_draws(x.sparkSession, n, seed, round_no), n, order)
+    tree = DecisionTreeRegressor(featuresCol="_ab_features", labelCol="_y", weightCol="_copies", maxDepth=max_depth,
+                                 maxBins=max_bins, predictionCol="_p").fit(
+        sample.withColumn("_copies", F.col("_copies").cast("double")))
+    scored = tree.transform(x).withColumn("_e", F.abs(F.col("_p") - F.col("_y")))
+    st = scored.agg(F.max("_e").alias("m"), F.sum(F.col("_w") * F.col("_e")).alias("we"), F.sum("_w").alias("w")).first()
+    total = float(st["w"])
+    return tree, sample, scored, float(st["m"] or 0.0), float(st["we"]) / total, total
+
+
 def fit_adaboost_regressor(df: DataFrame, features: Sequence[str], label: str,
                            n_estimators: int = 50, learning_rate: float = 1.0, max_depth: int = 3,
-                           checkpoint_every: int = 5) -> AdaBoostR2Model:
-    """M5: each round fits a weighted depth-3 tree, measures the linear loss
-    with one aggregate, and updates the weights as a column expression.
-
-    Weighted fitting replaces the library's weighted resampling (so the
-    result is deterministic). Lineage is cut with a reliable checkpoint
-    every ``checkpoint_every`` rounds.
+                           seed: int = 42, key_cols: Sequence[str] = (), max_bins: int = 32) -> AdaBoostR2Model:
+    """M5: each round draws as many rows as there are, with replacement by
+    weight, fits a depth-3 tree on them, measures the linear loss over all
+    rows with one aggregate, and updates the weights as a column expression.
+
+    Draws are a hash of the round, taken in the order of ``key_cols`` (else of
+    features and label), so the result does not depend on the partitioning as
+    far as these tell rows apart.  Each round's rows are written by a reliable
+    checkpoint.
     """
-    x = _vec(df, features, "_ab_features").select("_ab_features", F.col(label).cast("double").alias("_y"))
-    x = x.withColumn("_w", F.lit(1.0)).persist()
+    order = [*key_cols] or [*features, label]
+    marks = [f"_o{i}" for i in range(len(order))]
+    x = _vec(df, features, "_ab_features").select(
+        "_ab_features", F.col(label).cast("double").alias("_y"), *[F.col(c).alias(m) for c, m in zip(order, marks)],
+        F.lit(1.0).alias("_w")).checkpoint(eager=True)
+    n = x.count()
     model = AdaBoostR2Model(list(features))
-    prev = x
-    for i in range(n_estimators):
-        tree = DecisionTreeRegressor(featuresCol="_ab_features", labelCol="_y", weightCol="_w",
-                                     maxDepth=max_depth, predictionCol="_p").fit(x)
-        scored = tree.transform(x).withColumn("_e", F.abs(F.col("_p") - F.col("_y")))
-        st = scored.agg(F.max("_e").alias("m"), F.sum(F.col("_w") * F.col("_e")).alias("we"),
-                        F.sum("_w").alias("w")).first()
-        max_err, wsum = float(st["m"] or 0.0), float(st["w"])
-        if max_err <= 0.0:
-            model.trees.append(tree)
-            model.weights.append(1.0)
-            break
-        err = float(st["we"]) / max_err / wsum
-        if err <= 0.0:
+    for i in range(n_estimators if n else 0):
+        tree, _, scored, largest, mean_error, total = adaboost_round(x, n, seed, i, marks, max_depth, max_bins)
+        err = mean_error / largest if largest > 0.0 else 0.0
+        if err <= 0.0:  # a perfect tree ends the rounds
             model.trees.append(tree)
             model.weights.append(1.0)
             break
-        if err >= 0.5:
+        if err >= 0.5:  # no better than chance
             if not model.trees:
                 model.trees.append(tree)
                 model.weights.append(1.0)
@@ -260,21 +342,19 @@ def fit_adaboost_regressor(df: DataFrame, features: Sequence[str], label: str,
         beta = err / (1.0 - err)
         model.trees.append(tree)
         model.weights.append(learning_rate * math.log(1.0 / beta))
-        if i == n_estimators - 1:
-            break
-        factor = F.pow(F.lit(beta), (F.lit(1.0) - F.col("_e") / F.lit(max_err)) * F.lit(learning_rate))
-        nxt = scored.select("_ab_features", "_y", (F.col("_w") * factor / F.lit(wsum)).alias("_w"))
-        if checkpoint_every and (i + 1) % checkpoint_every == 0:
-            nxt = nxt.checkpoint(eager=True)
-        else:
-            nxt = nxt.persist()
-            nxt.count()
-        prev.unpersist()
-        prev = x = nxt
-    prev.unpersist()
+        if i < n_estimators - 1:
+            x = scored.select("_ab_features", "_y", *marks, next_weight(beta, largest, total, learning_rate).alias("_w")
+                              ).checkpoint(eager=True)
     return model
 
 
+def next_weight(beta: float, largest: float, total: float, learning_rate: float = 1.0) -> Column:
+    """A row's weight after a round: its share, times beta to the closeness of
+    its prediction."""
+    factor = F.pow(F.lit(beta), (F.lit(1.0) - F.col("_e") / F.lit(largest)) * F.lit(learning_rate))
+    return F.col("_w") / F.lit(total) * factor
+
+
 # ---------------------------------------------------------------------------
 # M8: exact k-nearest-neighbour regression by a multi-resolution grid join
 # ---------------------------------------------------------------------------
@@ -287,6 +367,9 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     a test row with a null or NaN feature.  Training rows with one are no
     neighbours.
 
+    With more than two features (and no ``grid_cols``) the work is done by
+    :func:`cellwise.operators.knn.knn_by_pivots`.
+
     No cross join: training rows are bucketed into grid cells on two
     coordinates (by default the two with the largest spread); each query
     joins the 3x3 cells around its own (an equi join on cell id).  A query
@@ -305,6 +388,8 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
     import itertools
 
     feats = list(features)
+    if len(feats) > 2 and grid_cols is None:
+        return knn_by_pivots(train, test, feats, label, train_id, test_id, k)
 
     def known(prefix: str = "") -> Column:
         ok = F.lit(True)
@@ -399,6 +484,7 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
 # Fit every regressor, score the test rows, one metric row per model
 # ---------------------------------------------------------------------------
 
+#: The original's model names.
 REGRESSORS = {
     "RFR": fit_rf_regressor,
     "ABR": fit_adaboost_regressor,
@@ -412,28 +498,28 @@ REGRESSORS = {
 def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str], label: str,
                    id_col: str, models: Sequence[str] | None = None, knn_k: int = 5,
                    params: Mapping[str, Mapping[str, Any]] | None = None) -> DataFrame:
-    """(model, r2, mae, mse) for each regressor (and kNN) on the test rows,
-    computed as one grouped C8 over the union of scored frames.
+    """(model, r2, mae, mse) for each regressor (and kNN) on the test rows.
 
+    Every model adds its prediction to the same test rows, which are read
+    once; one explode to (model, prediction) and one grouped C8 follow.
     ``params`` overrides fit arguments per model name (e.g. fewer rounds)."""
     from cellwise.operators.metrics import regression_metrics
 
     names = list(models or [*REGRESSORS, "KNN"])
     tr = train.persist()
-    scored = []
+    scored, marks = test.select(id_col, label, *features), {n: f"_yhat_{n}" for n in names}
     for name in names:
         if name == "KNN":
             pred = knn_regress(tr, test, features, label, id_col, id_col, k=knn_k)
-            s = test.select(id_col, label).join(pred, id_col)
+            scored = scored.join(pred.withColumnRenamed("prediction", marks[name]), id_col)
         else:
             m = REGRESSORS[name](tr, features, label, **dict((params or {}).get(name, {})))
-            s = m.transform(test).select(id_col, label, "prediction")
-        scored.append(s.select(F.lit(name).alias("model"), F.col(label).cast("double").alias("_y"),
-                               F.col("prediction").cast("double").alias("_yhat")))
-    allp = scored[0]
-    for s in scored[1:]:
-        allp = allp.unionByName(s)
-    # Every fit has run (kNN rounds are materialised): the scored frames only
-    # need the test rows and the fitted models, so the cached train set goes.
+            kept = [F.col(f"`{c}`") for c in scored.columns]
+            scored = m.transform(scored).select(*kept, F.col("prediction").alias(marks[name]))
+    # Every fit has run (kNN rounds are materialised): the scored frame only
+    # needs the test rows and the fitted models, so the cached train set goes.
     tr.unpersist()
-    return regression_metrics(allp, "_y", "_yhat", ["model"])
+    each = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(c).cast("double").alias("yhat")) for n, c in marks.items()]))
+    pairs = scored.select(F.col(label).cast("double").alias("_y"), each.alias("_s")).select(
+        "_s.model", "_y", F.col("_s.yhat").alias("_yhat"))
+    return regression_metrics(pairs, "_y", "_yhat", ["model"])

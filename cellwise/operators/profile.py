@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, Window
+import math
+from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellwise.config import Z95
-from cellwise.functions.expr import hash_u32
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
             T.DecimalType)
@@ -209,37 +214,111 @@ def mean_curve(df: DataFrame, x: str, y: str, z: float = Z95) -> DataFrame:
                     (F.col("mean") + half).alias("ci_high"))
 
 
-def mean_curve_bootstrap(df: DataFrame, x: str, y: str, key_cols: Sequence[str], replicates: int = 1000,
-                         seed: int = 0, level: float = 0.95) -> DataFrame:
+def _mix32(h: np.ndarray) -> np.ndarray:
+    """Finalising rounds of a 32-bit hash, on unsigned 64-bit numbers."""
+    low = np.uint64(0xFFFFFFFF)
+    h = h ^ (h >> np.uint64(16))
+    h = h * np.uint64(2246822507) & low
+    h = h ^ (h >> np.uint64(13))
+    h = h * np.uint64(3266489909) & low
+    return h ^ (h >> np.uint64(16))
+
+
+def uniform_draws(high: np.ndarray, low: np.ndarray, replicates: int) -> np.ndarray:
+    """A number in [0, 1) per replicate (1 on) and row, from the row's hash halves."""
+    b = np.arange(1, replicates + 1, dtype=np.uint64)[:, None] * np.uint64(2654435769)
+    return _mix32(_mix32(b + high.astype(np.uint64) & np.uint64(0xFFFFFFFF)) ^ low.astype(np.uint64)) / 4294967296.0
+
+
+def poisson_draws(n: int, u: np.ndarray) -> np.ndarray:
+    """Poisson(n) by inverse distribution function: the sum of n draws of
+    Poisson(1).  The table spans twelve deviations around n."""
+    span = 12 * math.sqrt(n) + 30
+    k = np.arange(max(0, math.floor(n - span)), math.ceil(n + span) + 1)
+    steps = math.log(n) - np.log(k[1:])
+    first = k[0] * math.log(n) - n - math.lgamma(k[0] + 1)
+    cdf = np.cumsum(np.exp(first + np.concatenate([[0.0], np.cumsum(steps)])))
+    return k[0] + np.minimum(np.searchsorted(cdf, u, side="right"), len(k) - 1)
+
+
+#: Cells (rows times replicates) of one numpy step, and the most copies of a
+#: row that one draw stands for.
+_DRAW_CELLS = 2_000_000
+_DRAW_COPIES = 10_000_000
+
+
+def _replicate_sums(replicates: int):
+    """Sums of weights and weighted values per run of equal x, a row each time
+    a run or the task ends; rows arrive sorted by x."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = weights = values = None
+
+        def flush() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [x, pa.array([weights], pa.list_(pa.float64())), pa.array([values], pa.list_(pa.float64()))],
+                names=["x", "w", "wy"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            xs = batch.column(0)
+            y, n, high, low = (batch.column(i).to_numpy() for i in (1, 2, 3, 4))
+            # Where x changes; null equals null, and NaN's runs are added up later.
+            changed = pc.or_(pc.xor(xs[1:].is_null(), xs[:-1].is_null()),
+                             pc.fill_null(pc.not_equal(xs[1:], xs[:-1]), False))
+            cuts = [0, *(np.flatnonzero(changed.to_numpy(zero_copy_only=False)) + 1).tolist(), len(xs)]
+            for a, b in zip(cuts, cuts[1:]):
+                if x is None or x[0].as_py() != xs[a].as_py():
+                    if x is not None:
+                        yield flush()
+                    x = xs.slice(a, 1)
+                    weights, values = np.zeros(replicates), np.zeros(replicates)
+                step = max(1, _DRAW_CELLS // replicates)
+                for c in range(a, b, step):
+                    part = slice(c, min(b, c + step))
+                    u = uniform_draws(high[part], low[part], replicates)
+                    w = np.empty(u.shape)
+                    for copies in np.unique(n[part]).tolist():
+                        of = n[part] == copies
+                        w[:, of] = poisson_draws(copies, u[:, of])
+                    weights += w.sum(axis=1)
+                    values += w @ y[part]
+        if x is not None:
+            yield flush()
+    return run
+
+
+def mean_curve_bootstrap(df: DataFrame, x: str, y: str, replicates: int = 1000, seed: int = 0,
+                         level: float = 0.95) -> DataFrame:
     """A7, bootstrap variant: Poisson bootstrap of the mean per x.
 
-    Each row gets ``replicates`` Poisson(1) weights from a hash of (seed,
-    replicate, key), so the work is ``replicates`` x rows, fully distributed
-    and reproducible; sums fold map-side to (x, replicate) cells.  The
-    interval is the percentile interval of the replicate means (a replicate
-    that draws no row of a group is skipped for that group).  Rows must have
-    unique keys, else equal rows would be drawn together; a repeated key
-    raises (one check job).
+    Equal (x, y) rows are exchangeable: n of them together are drawn
+    Poisson(n) times, by a hash of (seed, x, y) and the replicate.  So no key
+    is needed, repeated rows cost one, and the result does not depend on the
+    partitioning.  Each task keeps two arrays of ``replicates`` sums for the x
+    at hand; only these arrays are shuffled afterwards.  The interval is the
+    percentile interval of the replicate means (a replicate that draws no row
+    of a group is skipped for that group).  Null y is left out, null x is a
+    group; an empty table gives an empty result.
     """
-    if not df.groupBy(*key_cols).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").isEmpty():
-        raise ValueError(f"repeated keys in {list(key_cols)}; the bootstrap draws rows by key")
-    marks = [f"_k{i}" for i in range(len(key_cols))]
-    reps = (df.where(F.col(y).isNotNull()).select(F.col(x).alias(x), F.col(y).alias("_v"),
-                                                  *[F.col(c).alias(m) for c, m in zip(key_cols, marks)])
-            .withColumn("_b", F.explode(F.sequence(F.lit(1), F.lit(replicates)))))
-    u = hash_u32(seed, ["_b", *marks]) / F.lit(float(1 << 32))
-    # Poisson(1) by inverse CDF on u (weights 0..6 cover 1 - 1e-4 of the mass).
-    cdf = [0.36787944117144233, 0.7357588823428847, 0.9196986029286058, 0.9810118431238462,
-           0.9963401531726563, 0.9994058151824183, 0.9999167588507114]
-    w = F.lit(7)
-    for k in range(len(cdf) - 1, -1, -1):
-        w = F.when(u < F.lit(cdf[k]), F.lit(k)).otherwise(w)
-    per = reps.withColumn("_w", w).groupBy(x, "_b").agg(
-        F.try_divide(F.sum(F.col("_w") * F.col("_v")), F.sum("_w")).alias("_m"))
+    folded = (df.where(F.col(y).isNotNull()).groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
+              .agg(F.count(F.lit(1)).alias("n")))
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("x", "y")]))
+    half = [F.conv(F.substring(digest, at, 8), 16, 10).cast("long") for at in (1, 9)]
+    # More copies than a table should span are drawn in parts.
+    parts = F.floor((F.col("n") - 1) / F.lit(_DRAW_COPIES)).cast("long")
+    each = folded.select("x", "y", F.explode(F.sequence(F.lit(0).cast("long"), parts)).alias("part"), "n").select(
+        "x", F.col("y").cast("double").alias("y"),
+        F.least(F.col("n") - F.col("part") * _DRAW_COPIES, F.lit(_DRAW_COPIES)).alias("n"),
+        *[F.pmod(h + F.col("part") * 40503, F.lit(1 << 32)).alias(name) for h, name in zip(half, ("high", "low"))])
+    kind = folded.schema["x"].dataType.simpleString()
+    sums = each.sortWithinPartitions("x").mapInArrow(
+        _replicate_sums(replicates), f"x {kind}, w array<double>, wy array<double>")
+    per = (sums.select("x", F.posexplode(F.arrays_zip("w", "wy")).alias("b", "s"))
+           .groupBy("x", "b").agg(F.try_divide(F.sum("s.wy"), F.sum("s.w")).alias("m")))
     a = (1 - level) / 2
-    return per.groupBy(x).agg(
-        F.percentile(F.col("_m"), F.lit(a)).alias("ci_low"),
-        F.percentile(F.col("_m"), F.lit(1 - a)).alias("ci_high"))
+    return per.groupBy(F.col("x").alias(x)).agg(F.percentile("m", F.lit(a)).alias("ci_low"),
+                                                F.percentile("m", F.lit(1 - a)).alias("ci_high"))
 
 
 def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None) -> DataFrame:
@@ -250,9 +329,12 @@ def scatter_points(df: DataFrame, x: str, y: str, hue: str | None = None) -> Dat
 def class_counts(df: DataFrame, y: str, group_cols: Sequence[str] = ()) -> DataFrame:
     """Rows per class (per group), plus the number of distinct classes."""
     g = df.groupBy(*group_cols, y).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(*group_cols) if group_cols else Window.partitionBy(F.lit(0))
-    # The window runs on the aggregated result (groups x classes rows).
-    return g.withColumn("n_classes", F.count(F.lit(1)).over(w))
+    if not group_cols:
+        return g.withColumn("n_classes", g.agg(F.count(F.lit(1))).scalar())
+    marks = [f"_g{i}" for i in range(len(group_cols))]
+    sizes = g.groupBy(*[F.col(c).alias(m) for c, m in zip(group_cols, marks)]).agg(F.count(F.lit(1)).alias("n_classes"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(m)) for c, m in zip(group_cols, marks)])
+    return g.join(sizes, same).drop(*marks)
 
 
 def last_rows(df: DataFrame, n: int, ts_col: str | None = "update_timestamp_utc",

@@ -311,26 +311,55 @@ def mean_curve_lineitem(spark, sf):
     return _round(out, ["mean", "std", "ci_low", "ci_high"])
 
 
-@register("mean_curve_bootstrap_lineitem", None)
+def _bootstrap_sql(table: str, x: str, y: str) -> str:
+    """Count-collapsed Poisson bootstrap, 1000 replicates: the hash of (x, y)
+    and the replicate is a uniform number, Poisson(n) its inverse; the
+    distribution's table is summed from its terms (0 is the first at n = 0)."""
+    mix = """xor(h{0}, h{0} >> 16) AS a{0}, (a{0} * 2246822507::UBIGINT) % 4294967296 AS b{0}, xor(b{0}, b{0} >> 13) AS c{0},
+           (c{0} * 3266489909::UBIGINT) % 4294967296 AS d{0}, xor(d{0}, d{0} >> 16) AS e{0}"""
+    return f"""
+  WITH RECURSIVE rows AS (
+    SELECT {x} AS x, {y} AS y, count(*) AS n, md5(concat_ws('|', '0', coalesce({x}::VARCHAR, ''), coalesce({y}::VARCHAR, ''))) AS m
+    FROM {table} WHERE {y} IS NOT NULL GROUP BY 1, 2),
+  terms AS (
+    SELECT DISTINCT n, 0 AS k, exp(-n::DOUBLE) AS p, exp(-n::DOUBLE) AS below FROM rows
+    UNION ALL SELECT n, k + 1, p * n / (k + 1), below + p * n / (k + 1) FROM terms WHERE k < n + 40),
+  tables AS (SELECT n, list(below ORDER BY k) AS t FROM terms GROUP BY n),
+  halves AS (SELECT x, y, t, ('0x' || substr(m, 1, 8))::UBIGINT AS high, ('0x' || substr(m, 9, 8))::UBIGINT AS low
+             FROM rows JOIN tables USING (n)),
+  draws AS (
+    SELECT x, y, b, t, (b::UBIGINT * 2654435769::UBIGINT + high) % 4294967296 AS h1, {mix.format(1)},
+           xor(e1, low) AS h2, {mix.format(2)}, e2 / 4294967296.0 AS u
+    FROM halves, range(1, 1001) r(b)),
+  weights AS (SELECT x, y, b, CASE WHEN u < t[1] THEN 0 WHEN u < t[2] THEN 1 WHEN u < t[3] THEN 2 WHEN u < t[4] THEN 3 WHEN u < t[5] THEN 4
+    ELSE len(list_filter(t, lambda q: q <= u)) END AS w FROM draws),
+  means AS (SELECT x, b, sum(w * y) / nullif(sum(w), 0) AS m FROM weights GROUP BY x, b)
+  SELECT x AS {x}, round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high
+  FROM means GROUP BY x"""
+
+
+def _rounded_interval(out, x):
+    return out.select(x, F.round("ci_low", 4).alias("ci_low"), F.round("ci_high", 4).alias("ci_high"))
+
+
+@register("mean_curve_bootstrap_lineitem", _bootstrap_sql("lineitem", "l_quantity", "l_extendedprice"))
 def mean_curve_bootstrap_lineitem(spark, sf):
-    """A7 bootstrap interval, 1000 Poisson replicates."""
-    return A.mean_curve_bootstrap(read_table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice",
-                                  ["l_orderkey", "l_linenumber"])
-
-
-@register("mean_curve_bootstrap_customer", """
-  WITH r AS (SELECT c_nationkey, c_acctbal, b, ('0x' || substr(md5(concat_ws('|', '0', CAST(b AS VARCHAR), CAST(c_custkey AS VARCHAR))), 1, 8))::BIGINT
-                    / 4294967296.0 AS u FROM customer, range(1, 1001) t(b)),
-  w AS (SELECT c_nationkey, b, c_acctbal, CASE WHEN u < 0.36787944117144233 THEN 0 WHEN u < 0.7357588823428847 THEN 1
-               WHEN u < 0.9196986029286058 THEN 2 WHEN u < 0.9810118431238462 THEN 3 WHEN u < 0.9963401531726563 THEN 4
-               WHEN u < 0.9994058151824183 THEN 5 WHEN u < 0.9999167588507114 THEN 6 ELSE 7 END AS w FROM r),
-  m AS (SELECT c_nationkey, b, sum(w * c_acctbal) / nullif(sum(w), 0) AS m FROM w GROUP BY c_nationkey, b)
-  SELECT c_nationkey, round(quantile_cont(m, 0.025), 4) AS ci_low, round(quantile_cont(m, 0.975), 4) AS ci_high
-  FROM m GROUP BY c_nationkey""")
+    """A7 bootstrap interval of the price per quantity, 1000 replicates."""
+    return _rounded_interval(A.mean_curve_bootstrap(read_table(spark, sf, "lineitem"), "l_quantity", "l_extendedprice"),
+                             "l_quantity")
+
+
+@register("mean_curve_bootstrap_customer", _bootstrap_sql("customer", "c_nationkey", "c_acctbal"))
 def mean_curve_bootstrap_customer(spark, sf):
     """A7 bootstrap interval of the balance per nation, 1000 replicates."""
-    out = A.mean_curve_bootstrap(read_table(spark, sf, "customer"), "c_nationkey", "c_acctbal", ["c_custkey"])
-    return out.select("c_nationkey", F.round("ci_low", 4).alias("ci_low"), F.round("ci_high", 4).alias("ci_high"))
+    return _rounded_interval(A.mean_curve_bootstrap(read_table(spark, sf, "customer"), "c_nationkey", "c_acctbal"),
+                             "c_nationkey")
+
+
+@register("mean_curve_bootstrap_part", _bootstrap_sql("part", "p_brand", "p_size"))
+def mean_curve_bootstrap_part(spark, sf):
+    """A7 bootstrap interval of the size per brand: few values, many copies."""
+    return _rounded_interval(A.mean_curve_bootstrap(read_table(spark, sf, "part"), "p_brand", "p_size"), "p_brand")
 
 
 @register("scatter_points_part", "SELECT p_size, p_retailprice, p_type FROM part")

@@ -1,15 +1,19 @@
 """Registered model queries (M1-M11) and the scoring stream (ST1).
 
-kNN and a depth-1 tree are exact in SQL.  The other fits are registered twice:
-with their full output, and as facts per row or model that SQL can state.
+kNN, a depth-1 tree, the first rounds of boosting and a round of AdaBoost.R2
+are exact in SQL.  The full fits are registered twice: with their output, and
+as facts per row or model that SQL can state, model quality among them.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellwise.operators import models as M
+from cellwise.operators.boosting import DEPTH_WISE, LEAF_WISE, Growth, fit_boosting, probabilities
 from cellwise.operators.encode import fit_ordinal, one_hot
 from cellwise.operators.split import hash_split, split_frames
 from cellwise.config import GBM_PARAMETERS
@@ -71,6 +75,21 @@ def knn_far_supplier(spark, sf):
     return out.select("c_custkey", F.round("prediction", 6).alias("prediction"))
 
 
+@register("knn_embeddings", f"""
+  WITH d AS (SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS e, {SPLIT_SQL_EXPR.format(key='vec_id')} AS split FROM embeddings),
+  tr AS (SELECT * FROM d WHERE split = 'train'), te AS (SELECT * FROM d WHERE split = 'test')
+  SELECT te.vec_id, round(avg(n.label), 6) AS prediction
+  FROM te, LATERAL (SELECT tr.label FROM tr ORDER BY list_distance(te.e, tr.e), tr.vec_id LIMIT 5) n GROUP BY te.vec_id""")
+def knn_embeddings(spark, sf):
+    """M8 on 64 features, by pivots: every test-side vector against every
+    train-side one."""
+    dims = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)]
+    x = read_table(spark, sf, "embeddings").select("vec_id", "label", *dims)
+    tr, te = split_frames(hash_split(x, ["vec_id"], 0.2, 42))
+    out = M.knn_regress(tr, te, [f"e{i}" for i in range(64)], "label", "vec_id", "vec_id", k=5)
+    return out.select("vec_id", F.round("prediction", 6).alias("prediction"))
+
+
 def _fitted(spark: SparkSession, sf: str):
     """(model, test split): the configured classifier on the prepared lineitem
     train split, fitted once per application and table folder, then loaded."""
@@ -178,6 +197,201 @@ def stump_part(spark, sf):
     return m.transform(p).select("p_partkey", F.round("prediction", 6).alias("prediction"))
 
 
+def boosting_sql(rows: str, features: list[str], rounds: int, depth: int, rate: float, l2: float, min_rows: int,
+                 min_hessian: float, hessian: str = "1.0", gradient: str = "m - y", base: str = "avg(y) OVER ()",
+                 best_only: bool = False) -> str:
+    """CTEs that end in ``fitted`` (id, m): second-order boosting of ``rows``
+    (id, y, features) with every distinct value as a candidate cut and missing
+    values on either side.  ``best_only``: below the root only the node of
+    largest gain is split (so depth 2 has three leaves)."""
+    cols = ", ".join(features)
+    out = [f"m0 AS (SELECT id, y, {cols}, ({base})::DOUBLE AS m FROM ({rows}) t)"]
+    for r in range(rounds):
+        cur = f"s{r}_0"
+        out.append(f"{cur} AS (SELECT id, y, m, {cols}, ({gradient})::DOUBLE AS g, ({hessian})::DOUBLE AS h, 0 AS node FROM m{r})")
+        for d in range(depth):
+            k = f"{r}_{d}"
+            long = " UNION ALL ".join(f"SELECT node, g, h, {i} AS f, {c} AS x FROM {cur}" for i, c in enumerate(features))
+            route = " ".join(f"WHEN b.f = {i} THEN CASE WHEN c.{c} IS NULL THEN b.s = 1 ELSE c.{c} <= b.x END"
+                             for i, c in enumerate(features))
+            out += [
+                f"l{k} AS ({long})",
+                f"v{k} AS (SELECT node, f, x, sum(g) AS g, sum(h) AS h, count(*) AS n FROM l{k} WHERE x IS NOT NULL GROUP BY ALL)",
+                f"u{k} AS (SELECT node, f, sum(g) AS g, sum(h) AS h, count(*) AS n FROM l{k} WHERE x IS NULL GROUP BY ALL)",
+                f"t{k} AS (SELECT node, sum(g) AS g, sum(h) AS h, count(*) AS n FROM {cur} GROUP BY node)",
+                f"w{k} AS (SELECT node, f, x, sum(g) OVER o AS g, sum(h) OVER o AS h, sum(n) OVER o AS n FROM v{k} "
+                f"WINDOW o AS (PARTITION BY node, f ORDER BY x))",
+                f"c{k} AS (SELECT w.node, w.f, w.x, s, w.g + s * coalesce(u.g, 0) AS gl, w.h + s * coalesce(u.h, 0) AS hl, "
+                f"w.n + s * coalesce(u.n, 0) AS nl, t.g, t.h, t.n FROM w{k} w JOIN t{k} t USING (node) "
+                f"LEFT JOIN u{k} u ON u.node = w.node AND u.f = w.f CROSS JOIN (VALUES (0), (1)) sides(s))",
+                f"a{k} AS (SELECT *, gl * gl / (hl + {l2}) + (g - gl) * (g - gl) / (h - hl + {l2}) - g * g / (h + {l2}) AS gain FROM c{k} "
+                f"WHERE least(nl, n - nl) >= {min_rows} AND least(hl, h - hl) >= {min_hessian})",
+                f"b{k} AS (SELECT node, f, x, s FROM a{k} WHERE gain > 1e-12 QUALIFY row_number() OVER "
+                f"({'' if best_only and d else 'PARTITION BY node '}ORDER BY gain DESC, f, s, x) = 1)",
+                f"s{r}_{d + 1} AS (SELECT c.* REPLACE (CASE WHEN b.node IS NULL THEN c.node "
+                f"WHEN (CASE {route} END) THEN 2 * c.node + 1 ELSE 2 * c.node + 2 END AS node) "
+                f"FROM {cur} c LEFT JOIN b{k} b ON b.node = c.node)"]
+            cur = f"s{r}_{d + 1}"
+        out += [f"e{r} AS (SELECT node, -{rate} * sum(g) / (sum(h) + {l2}) AS value FROM {cur} GROUP BY node)",
+                f"m{r + 1} AS (SELECT id, y, {cols}, m + value AS m FROM {cur} JOIN e{r} USING (node))"]
+    return ",\n  ".join(out) + f",\n  fitted AS (SELECT id, m FROM m{rounds})"
+
+
+_GAPS = """SELECT p_partkey AS id, p_retailprice AS y, CASE WHEN p_partkey % 7 > 0 THEN p_size::DOUBLE END AS a,
+  length(p_name)::DOUBLE AS b FROM part"""
+
+
+def _gaps(spark, sf):
+    p = read_table(spark, sf, "part")
+    return p.select("p_partkey", F.col("p_retailprice").alias("y"),
+                    F.when(F.col("p_partkey") % 7 > 0, F.col("p_size").cast("double")).alias("a"),
+                    F.length("p_name").cast("double").alias("b"))
+
+
+def _two_rounds(name, depth, how, **sql):
+    text = boosting_sql(_GAPS, ["a", "b"], how.rounds, depth, how.rate, how.l2, how.min_rows, how.min_hessian, **sql)
+
+    @register(name, f"WITH {text} SELECT id AS p_partkey, round(m, 6) AS prediction FROM fitted")
+    def run(spark, sf):
+        m = fit_boosting(_gaps(spark, sf), ["a", "b"], "y", how)
+        return m.transform(_gaps(spark, sf)).select("p_partkey", F.round("prediction", 6).alias("prediction"))
+    run.__doc__ = f"M9, M10 against SQL: {how.rounds} round(s), depth {depth}, a seventh of a feature missing."
+    return run
+
+
+boost_round_part = _two_rounds("boost_round_part", 2, replace(DEPTH_WISE, rounds=1, max_depth=2))
+boost_two_rounds_part = _two_rounds("boost_two_rounds_part", 2, replace(DEPTH_WISE, rounds=2, max_depth=2))
+boost_three_leaves_part = _two_rounds("boost_three_leaves_part", 2, replace(LEAF_WISE, rounds=1, max_leaves=3), best_only=True)
+
+_STATUS = """SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS c,
+  CASE WHEN o_orderkey % 5 > 0 THEN (o_custkey % 20)::DOUBLE END AS b FROM orders"""
+
+
+def _softmax_sql() -> str:
+    parts, shares = [], "(SELECT count_if(c = {0}) / count(*)::DOUBLE FROM r)"
+    for k in range(3):
+        p = shares.format(k)
+        text = boosting_sql("SELECT id, (c = {0})::INT AS y, b FROM r".format(k), ["b"], 1, 2, 0.1, 0.0, 20, 1e-3,
+                            f"1.5 * {p} * (1 - {p})", f"{p} - y", f"ln({p})")
+        parts.append(f"f{k} AS (WITH {text} SELECT * FROM fitted)")
+    soft = ", ".join(f"round(exp(f{k}.m) / (exp(f0.m) + exp(f1.m) + exp(f2.m)), 6) AS p{k}" for k in range(3))
+    return (f"WITH r AS ({_STATUS}), " + ",\n".join(parts)
+            + f" SELECT f0.id AS o_orderkey, {soft} FROM f0 JOIN f1 ON f1.id = f0.id JOIN f2 ON f2.id = f0.id")
+
+
+@register("softmax_round_orders", _softmax_sql())
+def softmax_round_orders(spark, sf):
+    """M1 against SQL: one round of three trees on softmax gradients."""
+    rows = read_table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", 0).when(F.col("o_orderstatus") == "O", 1).otherwise(2).alias("c"),
+                    F.when(F.col("o_orderkey") % 5 > 0, (F.col("o_custkey") % 20).cast("double")).alias("b"))
+    how = Growth(rounds=1, rate=0.1, max_depth=2, l2=0.0, min_rows=20, min_hessian=1e-3)
+    m = fit_boosting(rows, ["b"], "c", how, classes=3).transform(rows, "m")
+    p = probabilities(F.col("m"))
+    return m.select("o_orderkey", *[F.round(p[k], 6).alias(f"p{k}") for k in range(3)])
+
+
+_STUMP = """
+  v AS (SELECT x, sum(c) AS n, sum(c * y) AS t FROM {rows} GROUP BY x),
+  c AS (SELECT x, sum(n) OVER w AS nl, sum(t) OVER w AS tl, sum(n) OVER () AS na, sum(t) OVER () AS ta,
+               lead(x) OVER (ORDER BY x) AS nxt FROM v WINDOW w AS (ORDER BY x)),
+  b AS (SELECT (x + nxt) / 2 AS cut, tl / nl AS ml, (ta - tl) / (na - nl) AS mr FROM c WHERE nxt IS NOT NULL
+        ORDER BY tl * tl / nl + (ta - tl) * (ta - tl) / (na - nl) DESC, x LIMIT 1)"""
+
+
+@register("adaboost_round_part", f"""
+  WITH r AS (SELECT p_partkey AS k, p_size::DOUBLE AS x, p_retailprice AS y, row_number() OVER (ORDER BY p_partkey) - 1 AS place,
+                    count(*) OVER () AS n FROM part),
+  d AS (SELECT floor(('0x' || substr(md5('42|0|' || i), 1, 8))::BIGINT / 4294967296.0 * (SELECT count(*) FROM part))::BIGINT AS place
+        FROM range((SELECT count(*) FROM part)) t(i)),
+  s AS (SELECT k, x, y, count(*) AS c FROM r JOIN d USING (place) GROUP BY ALL),
+  {_STUMP.format(rows='s')},
+  e AS (SELECT k, abs(CASE WHEN x <= cut THEN ml ELSE mr END - y) AS e, n FROM r, b),
+  q AS (SELECT max(e) AS top, avg(e) / max(e) AS err FROM e)
+  SELECT e.k AS p_partkey, coalesce(s.c, 0) AS copies, round(1.0 / n * pow(err / (1 - err), 1 - e / top) * 1e6, 6) AS weight
+  FROM e LEFT JOIN s ON s.k = e.k, q""")
+def adaboost_round_part(spark, sf):
+    """M5 against SQL: the first round's draws and the next weights (times a
+    million), with a tree of depth 1."""
+    p = M._vec(read_table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("x"),
+                                                    F.col("p_retailprice").alias("_y")), ["x"], "_ab_features")
+    x = p.select("_ab_features", "_y", "p_partkey", F.lit(1.0).alias("_w"))
+    _, sample, scored, largest, error, total = M.adaboost_round(x, x.count(), 42, 0, ["p_partkey"], 1, 256)
+    err = error / largest
+    weights = scored.select("p_partkey", F.round(M.next_weight(err / (1 - err), largest, total) * 1e6, 6).alias("weight"))
+    return weights.join(sample.select("p_partkey", "_copies"), "p_partkey", "left").select(
+        "p_partkey", F.coalesce("_copies", F.lit(0)).cast("long").alias("copies"), "weight")
+
+
+@register("bakeoff_exact_part", f"""
+  WITH d AS (SELECT p_partkey AS id, p_size::DOUBLE AS x, p_retailprice AS y, {SPLIT_SQL_EXPR.format(key='p_partkey')} AS split FROM part),
+  tr AS (SELECT *, 1 AS c FROM d WHERE split = 'train'), te AS (SELECT * FROM d WHERE split = 'test'),
+  {_STUMP.format(rows='tr')},
+  p AS (SELECT 'KNN' AS model, te.id, te.y, avg(n.y) AS yhat
+        FROM te, LATERAL (SELECT tr.y FROM tr ORDER BY (te.x - tr.x) * (te.x - tr.x), tr.id LIMIT 5) n GROUP BY te.id, te.y
+        UNION ALL SELECT 'DTR', id, y, CASE WHEN x <= cut THEN ml ELSE mr END FROM te, b)
+  SELECT model, round(1 - avg((yhat - y) * (yhat - y)) / var_pop(y), 6) AS r2, round(avg(abs(yhat - y)), 6) AS mae,
+         round(avg((yhat - y) * (yhat - y)), 4) AS mse FROM p GROUP BY model""")
+def bakeoff_exact_part(spark, sf):
+    """M11 with two models that are exact in SQL: 5-NN and a depth-1 tree."""
+    d = read_table(spark, sf, "part").select("p_partkey", F.col("p_size").cast("double").alias("x"), F.col("p_retailprice").alias("y"))
+    train, test = split_frames(hash_split(d, ["p_partkey"], 0.2, 42))
+    out = M.compare_models(train, test, ["x"], "y", "p_partkey", ["KNN", "DTR"], params={"DTR": {"max_depth": 1, "max_bins": 256}})
+    return out.select("model", F.round("r2", 6).alias("r2"), F.round("mae", 6).alias("mae"), F.round("mse", 4).alias("mse"))
+
+
+_BANDS = "CASE WHEN l_quantity * (1 + 10 * l_discount) < 25 THEN 0 WHEN l_quantity * (1 + 10 * l_discount) < 45 THEN 1 ELSE 2 END"
+
+
+@register("classifier_quality_lineitem", f"""
+  WITH t AS (SELECT {_BANDS} AS y FROM lineitem WHERE {SPLIT_SQL_EXPR.format(key='l_orderkey')} = 'test'),
+  n AS (SELECT y, count(*) AS n FROM t GROUP BY y)
+  SELECT sum(n)::BIGINT AS rows, max(n) AS majority, true AS above_majority, true AS passes_gate FROM n""")
+def classifier_quality_lineitem(spark, sf):
+    """M1: a class that the features do decide (a band of two columns'
+    product) is learnt: test accuracy is above the majority class's share and
+    the promotion gate's minimum of 0.85."""
+    li = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax", "l_linestatus",
+                                                  F.expr(_BANDS).alias("band"))
+    train, test = split_frames(hash_split(li, ["l_orderkey"], 0.2, 42))
+    model = M.fit_classifier(train, ["l_quantity", "l_discount", "l_tax"], ["l_linestatus"], "band",
+                             {"learning_rate": 0.1, "n_estimators": 40, "max_depth": 6},
+                             max_fit_rows=20_000, key_cols=["l_orderkey", "l_linenumber"])
+    cells = M.predict(model, test).groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col("band")).alias("hits"))
+    rows, share = F.col("rows"), F.col("hits") / F.col("rows")
+    return cells.agg(F.sum("n").alias("rows"), F.max("n").alias("majority"), F.sum("hits").alias("hits")).select(
+        "rows", "majority", (share > F.col("majority") / rows).alias("above_majority"), (share >= 0.85).alias("passes_gate"))
+
+
+def exact_tree_sql(rows: str, features: list[str], depth: int) -> str:
+    """CTEs that end in ``fitted`` (id, m): an exact regression tree of
+    ``rows`` (id, y, features); missing values go right, cuts lie half way."""
+    cols = ", ".join(features)
+    out, cur = [f"s0 AS (SELECT id, y, {cols}, 1 AS node FROM ({rows}) t)"], "s0"
+    for d in range(depth):
+        long = " UNION ALL ".join(f"SELECT node, {i} AS f, {c} AS x, y FROM {cur}" for i, c in enumerate(features))
+        route = " ".join(f"WHEN b.f = {i} THEN coalesce(c.{c} <= b.cut, false)" for i, c in enumerate(features))
+        out += [
+            f"v{d} AS (SELECT node, f, x, count(*) AS n, sum(y) AS t FROM ({long}) WHERE x IS NOT NULL GROUP BY ALL)",
+            f"t{d} AS (SELECT node, count(*) AS n, sum(y) AS t FROM {cur} GROUP BY node)",
+            f"w{d} AS (SELECT node, f, x, sum(n) OVER o AS nl, sum(t) OVER o AS tl, lead(x) OVER o AS nxt FROM v{d} "
+            f"WINDOW o AS (PARTITION BY node, f ORDER BY x))",
+            f"a{d} AS (SELECT w.*, t.n, tl * tl / nl + (t.t - tl) * (t.t - tl) / (t.n - nl) - t.t * t.t / t.n AS gain "
+            f"FROM w{d} w JOIN t{d} t USING (node) WHERE nxt IS NOT NULL)",
+            f"b{d} AS (SELECT node, f, (x + nxt) / 2 AS cut FROM a{d} WHERE gain > 1e-9 "
+            f"QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, x) = 1)",
+            f"s{d + 1} AS (SELECT c.* REPLACE (CASE WHEN b.node IS NULL THEN -c.node WHEN (CASE {route} END) THEN 2 * c.node "
+            f"ELSE 2 * c.node + 1 END AS node) FROM {cur} c LEFT JOIN b{d} b ON b.node = c.node)"]
+        cur = f"s{d + 1}"
+    return ",\n  ".join(out) + f",\n  fitted AS (SELECT id, avg(y) OVER (PARTITION BY node) AS m FROM {cur})"
+
+
+@register("exact_tree_part", f"WITH {exact_tree_sql(_GAPS, ['a', 'b'], 3)} SELECT id AS p_partkey, round(m, 6) AS prediction FROM fitted")
+def exact_tree_part(spark, sf):
+    """M7 to depth 3 on every cut, a seventh of a feature missing."""
+    tree = M.fit_tree_regressor(_gaps(spark, sf), ["a", "b"], "y", max_depth=3)
+    return tree.transform(_gaps(spark, sf)).select("p_partkey", F.round("prediction", 6).alias("prediction"))
+
+
 @register("score_stream_lineitem", None)
 def score_stream_lineitem(spark, sf):
     """ST1: payload files made from the test split of lineitem, scored by a
@@ -253,7 +467,7 @@ def model_roundtrip_part(spark, sf):
     used to score every part."""
     d = _part_xy(spark, sf)
     tr, _ = split_frames(hash_split(d, ["p_partkey"], 0.2, 42))
-    model = M.fit_tree_regressor(tr, ["x_size", "x_name_len"], "y", max_depth=8)
+    model = M.fit_tree_regressor(tr, ["x_size", "x_name_len"], "y", max_depth=8, max_bins=32)
     path = scratch_path(spark, "tree_model")
     save_model(model, path)
     return load_model(path).transform(d).select("p_partkey", "prediction")
@@ -264,7 +478,7 @@ def model_roundtrip_facts_part(spark, sf):
     """The loaded model scores every part as the fitted one does."""
     d = _part_xy(spark, sf)
     tr, _ = split_frames(hash_split(d, ["p_partkey"], 0.2, 42))
-    model = M.fit_tree_regressor(tr, ["x_size", "x_name_len"], "y", max_depth=8)
+    model = M.fit_tree_regressor(tr, ["x_size", "x_name_len"], "y", max_depth=8, max_bins=32)
     path = scratch_path(spark, "tree_model")
     save_model(model, path)
     both = model.transform(d).select("p_partkey", F.col("prediction").alias("a")).join(
@@ -285,10 +499,35 @@ def classifier_rf_embeddings(spark, sf):
     return M.predict_proba(model, te).select("vec_id", "label", "prediction", "probability")
 
 
+_DESCRIBED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
 @register("describe_approx_lineitem", None)
 def describe_approx_lineitem(spark, sf):
     """A2 with sketch quantiles (one pass, bounded memory): rows only."""
     from cellwise.operators.profile import describe
 
+    return describe(read_table(spark, sf, "lineitem"), _DESCRIBED, exact=False)
+
+
+@register("describe_approx_ranks_lineitem", " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{s}' AS statistic, count({c}) AS n, ceil(count({c}) / 1000.0)::BIGINT AS allowed, true AS within FROM lineitem"
+    for c in _DESCRIBED for s in ("25%", "50%", "75%")))
+def describe_approx_ranks_lineitem(spark, sf):
+    """A2's contract: the rank of a sketched quantile is at most n / accuracy
+    rows off (here 1000), counted over all rows."""
+    from cellwise.operators.profile import describe
+
     li = read_table(spark, sf, "lineitem")
-    return describe(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"], exact=False)
+    # Twelve numbers.
+    found = {r["statistic"]: r for r in describe(li, _DESCRIBED, exact=False, accuracy=1000).collect()}
+    aims = {"25%": 0.25, "50%": 0.5, "75%": 0.75}
+    facts = []
+    for c in _DESCRIBED:
+        for s, p in aims.items():
+            v, n = F.lit(found[s][c]), F.count(c)
+            allowed = F.ceil(n / 1000.0)
+            within = (F.count_if(F.col(c) < v) - allowed <= p * n) & (p * n <= F.count_if(F.col(c) <= v) + allowed)
+            facts.append(F.struct(F.lit(c).alias("column"), F.lit(s).alias("statistic"), n.alias("n"),
+                                  allowed.cast("long").alias("allowed"), within.alias("within")))
+    return li.agg(F.array(*facts).alias("facts")).select(F.explode("facts").alias("f")).select("f.*")

@@ -50,6 +50,24 @@ def payload_records_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     return S.read_records(spark, path, schema, multi_line=False)
 
 
+@register("payload_dead_letters_lineitem", """
+  SELECT CASE WHEN l_orderkey % 50 = 0 THEN 'malformed' WHEN l_orderkey % 50 = 1 THEN 'no dataframe_records' ELSE 'kept' END AS outcome,
+         count(*) AS payloads, sum(CASE WHEN l_orderkey % 50 > 1 THEN l_quantity ELSE 0 END) AS quantity
+  FROM lineitem GROUP BY ALL""")
+def payload_dead_letters_lineitem(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: a fiftieth of the payloads cut off, a fiftieth without the records'
+    name: kept and rejected payloads are all payloads, by reason."""
+    path, key = scratch_path(spark, "payloads"), F.col("l_orderkey") % 50
+    rec = F.to_json(F.struct("l_orderkey", "l_quantity"))
+    text = F.concat(F.when(key == 1, '{"records": [').otherwise('{"dataframe_records": ['), rec, F.lit("]}"))
+    S.read_table(spark, sf, "lineitem").select(
+        F.when(key == 0, F.substring(text, 1, 30)).otherwise(text).alias("value")).write.text(path)
+    raw = S.read_payloads(spark, path, S.payload_schema({"l_orderkey": T.LongType(), "l_quantity": T.DoubleType()}), multi_line=False)
+    kept = S.explode_records(raw).agg(F.lit("kept").alias("outcome"), F.count(F.lit(1)).alias("payloads"), F.sum("l_quantity").alias("quantity"))
+    bad = S.rejected_payloads(raw).groupBy(F.col("reason").alias("outcome")).agg(F.count(F.lit(1)).alias("payloads"), F.lit(0.0).alias("quantity"))
+    return kept.unionByName(bad)
+
+
 def _append_two_runs(spark: SparkSession, sf: str) -> str:
     base = scratch_path(spark, "splits")
     o = S.read_table(spark, sf, "orders").select("o_orderkey", "o_totalprice")

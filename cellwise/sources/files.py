@@ -65,6 +65,33 @@ def payload_schema(feature_types: Mapping[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField("dataframe_records", T.ArrayType(record), True)])
 
 
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """``schema`` plus the column that keeps the text of what does not parse."""
+    if CORRUPT_COL in schema.fieldNames():
+        return schema
+    return T.StructType([*schema.fields, T.StructField(CORRUPT_COL, T.StringType(), True)])
+
+
+def read_payloads(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+    """Payloads as they come: dataframe_records, the text if it does not
+    parse, and the file."""
+    return payloads(spark.read.schema(with_corrupt(schema)).option("multiLine", str(multi_line).lower())
+                    .option("columnNameOfCorruptRecord", CORRUPT_COL).json(path))
+
+
+def payloads(raw: DataFrame) -> DataFrame:
+    return raw.select("dataframe_records", CORRUPT_COL, F.col("_metadata.file_path").alias("file"))
+
+
+def rejected_payloads(raw: DataFrame) -> DataFrame:
+    """Payloads that give no records: file, reason (``malformed`` or ``no
+    dataframe_records``) and text.  With those of :func:`explode_records` they
+    are all payloads; an empty list of records is no reject."""
+    bad = raw.where(F.col("dataframe_records").isNull())
+    return bad.select("file", F.when(F.col(CORRUPT_COL).isNotNull(), "malformed").otherwise("no dataframe_records").alias("reason"),
+                      F.col(CORRUPT_COL).alias("text"))
+
+
 def explode_records(df: DataFrame) -> DataFrame:
     """Payload rows -> one row per record (S3 / ST1 body)."""
     return df.select(F.explode("dataframe_records").alias("_r")).select("_r.*")
@@ -75,7 +102,8 @@ def read_records(spark: SparkSession, path: str, schema: T.StructType | None = N
     """S3: ``{"dataframe_records": [...]}`` payload files, one row per record.
 
     With a schema, text in a numeric field becomes null (PERMISSIVE) and is
-    caught by ``cast_features``' rejection flag downstream.
+    caught by ``cast_features``' rejection flag downstream.  Payloads without
+    records are not among the rows: :func:`rejected_payloads` has them.
     """
     reader = spark.read.option("multiLine", str(multi_line).lower())
     if schema is not None:
@@ -97,11 +125,20 @@ def append_split(df: DataFrame, path: str, run_id: str) -> None:
     stamp(df, run_id).write.mode("append").partitionBy(RUN_ID_COL).parquet(path)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    """S7."""
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> None:
+    """A fitted pipeline, or a model of this library with its own tables."""
+    if isinstance(model, PipelineModel):
+        model.write().overwrite().save(path)
+    else:
+        model.save(SparkSession.getActiveSession(), path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str):
     """S7."""
+    spark = SparkSession.getActiveSession()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
+    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+        from cellwise.operators.models import BoostedClassifier
+
+        return BoostedClassifier.load(spark, path)
     return PipelineModel.load(path)

@@ -2,7 +2,8 @@
 
 Replaces the online endpoint and its smoke request: payload files
 ``{"dataframe_records": [...]}`` arriving in a folder are exploded, cast
-strictly, scored by a fitted pipeline and appended to a Parquet sink.
+strictly, scored by a fitted model and appended to a Parquet sink; payloads
+that give no records go to a dead-letter sink of their own, batch by batch.
 Stateless, so it scales with the number of files; the checkpoint makes
 the sink exactly-once across restarts and lost executors.
 """
@@ -18,20 +19,29 @@ from pyspark.sql import types as T
 
 from cellwise.operators.models import predict_proba
 from cellwise.operators.prepare import cast_features
-from cellwise.sources.files import explode_records, payload_schema
+from cellwise.sources.files import (
+    CORRUPT_COL, explode_records, payload_schema, payloads, rejected_payloads, with_corrupt,
+)
 
-def request_stream(spark: SparkSession, in_dir: str, feature_types: Mapping[str, str],
+def payload_stream(spark: SparkSession, in_dir: str, feature_types: Mapping[str, str],
                    multi_line: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The streaming DataFrame of typed records: source -> explode -> strict cast.
+    """The streaming DataFrame of payloads as they come.
 
     Every field is read as text so a bad value is caught by the strict cast
     (``_rejected``) instead of turning the whole record null.
     """
-    schema = payload_schema({c: T.StringType() for c in feature_types})
-    reader = spark.readStream.schema(schema).option("multiLine", str(multi_line).lower())
+    schema = with_corrupt(payload_schema({c: T.StringType() for c in feature_types}))
+    reader = (spark.readStream.schema(schema).option("multiLine", str(multi_line).lower())
+              .option("columnNameOfCorruptRecord", CORRUPT_COL))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    src = reader.json(in_dir)
+    return payloads(reader.json(in_dir))
+
+
+def request_stream(spark: SparkSession, in_dir: str, feature_types: Mapping[str, str],
+                   multi_line: bool = True, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The streaming DataFrame of typed records: source -> explode -> strict cast."""
+    src = payload_stream(spark, in_dir, feature_types, multi_line, max_files_per_trigger)
     return cast_features(explode_records(src), dict(feature_types))
 
 
@@ -50,23 +60,28 @@ def score_batch(model: PipelineModel, records: DataFrame) -> DataFrame:
 def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint_dir: str,
                  model: PipelineModel, feature_types: Mapping[str, str],
                  multi_line: bool = True, available_now: bool = True,
-                 max_files_per_trigger: int | None = None):
+                 max_files_per_trigger: int | None = None, dead_letter_dir: str | None = None):
     """ST1: run the scoring stream into a Parquet sink.
 
     Each micro-batch is scored inside ``foreachBatch`` and written to
     ``out_dir/batch_id=<n>`` with overwrite, so a replayed batch replaces
-    its own output: exactly-once together with the checkpoint.
+    its own output: exactly-once together with the checkpoint.  Payloads
+    without records are written the same way to ``dead_letter_dir`` (by
+    default ``out_dir`` plus ``-rejected``), with file, reason and text.
     ``available_now`` processes what is present and stops (in batches of
     ``max_files_per_trigger`` files when set); otherwise the query keeps
     running on a processing-time trigger and is returned.
     """
-    stream = request_stream(spark, in_dir, feature_types, multi_line, max_files_per_trigger)
+    stream = payload_stream(spark, in_dir, feature_types, multi_line, max_files_per_trigger)
+    letters = dead_letter_dir or out_dir.rstrip("/") + "-rejected"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         # The batch feeds the scored and the rejected rows: read it once.
         batch.persist()
         try:
-            score_batch(model, batch).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+            records = cast_features(explode_records(batch), dict(feature_types))
+            score_batch(model, records).write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+            rejected_payloads(batch).write.mode("overwrite").parquet(f"{letters}/batch_id={batch_id}")
         finally:
             batch.unpersist()
 
@@ -78,4 +93,4 @@ def score_stream(spark: SparkSession, in_dir: str, out_dir: str, checkpoint_dir:
     return writer.trigger(processingTime="10 seconds").start()
 
 
-__all__ = ["request_stream", "score_batch", "score_stream"]
+__all__ = ["payload_stream", "request_stream", "score_batch", "score_stream"]

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cellwise.operators import knn
 from cellwise.operators import models as M
 from cellwise.operators.metrics import accuracy, regression_metrics
 
@@ -43,7 +44,7 @@ def reg_data(spark):
 
 
 def test_adaboost_beats_mean(reg_data):
-    m = M.fit_adaboost_regressor(reg_data, ["x1", "x2"], "y", n_estimators=6, checkpoint_every=2)
+    m = M.fit_adaboost_regressor(reg_data, ["x1", "x2"], "y", n_estimators=6)
     assert 1 <= len(m.trees) <= 6 and len(m.trees) == len(m.weights)
     r2 = regression_metrics(m.transform(reg_data), "y", "prediction").first()["r2"]
     assert r2 > 0.8
@@ -101,7 +102,7 @@ def test_knn_dense_cluster_exact(spark):
 
 def test_direct_ovr_scoring_matches_spark(spark, cls_data):
     model = M.fit_classifier(cls_data, ["x1", "x2"], ["kind"], "y",
-                             {"learning_rate": 0.3, "n_estimators": 4, "max_depth": 3})
+                             {"learning_rate": 0.3, "n_estimators": 4, "max_depth": 3}, family="gbt")
     ours = [r["prediction"] for r in M.predict(model, cls_data).collect()]
     ref = [int(r["prediction"]) for r in model.transform(cls_data).select("prediction").collect()]
     assert ours == ref
@@ -137,3 +138,26 @@ def test_knn_far_and_null_queries(spark):
 
     run(near)
     assert run(farther) <= run(far) + 8
+
+
+def test_pivots_find_the_nearest_rows_with_few_candidates(spark):
+    """Clusters in five dimensions, queries inside, between and far away."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(scale=50, size=(8, 5))
+    x = np.concatenate([c + rng.normal(size=(120, 5)) for c in centres] + [np.repeat(centres[:1], 40, axis=0)])
+    q = np.concatenate([centres + rng.normal(size=(8, 5)), rng.normal(scale=60, size=(12, 5)), rng.normal(scale=5000, size=(6, 5)), x[-1:]])
+    y = rng.normal(size=len(x))
+    names = [f"f{i}" for i in range(5)]
+    tr = spark.createDataFrame([(i, float(t), *map(float, r)) for i, (r, t) in enumerate(zip(x, y))], ["tid", "y", *names])
+    rows = [(i, *map(float, r)) for i, r in enumerate(q)] + [(500, None, 1.0, 1.0, 1.0, 1.0)]
+    te = spark.createDataFrame(rows, "qid long, " + ", ".join(f"{n} double" for n in names))
+    got = {r["qid"]: r["prediction"] for r in M.knn_regress(tr, te, names, "y", "tid", "qid", k=4).collect()}
+    assert got.pop(500) is None and len(got) == len(q)
+    for i, point in enumerate(q):
+        d2 = ((x - point) ** 2).sum(axis=1)
+        assert abs(got[i] - y[np.lexsort((np.arange(len(x)), d2))[:4]].mean()) < 1e-9
+    arrays = [df.select(df.columns[0], F.array(*names).alias(c), *extra) for df, c, extra in
+              ((tr, "x", [F.col("y").alias("label")]), (te.where("qid < 500"), "q", []))]
+    pairs = knn.knn_candidates(*arrays, 5, 4).groupBy("qid").count().collect()
+    # A query near a cluster meets that cluster at most; a far one less than half of all rows.
+    assert all(r["count"] <= 200 for r in pairs if r["qid"] < 8) and all(r["count"] < len(x) / 2 for r in pairs if r["qid"] >= 20)

@@ -34,7 +34,7 @@ def con():
 
 
 #: They fit 3 x 1000 trees (minutes); CELLWISE_SLOW=1 runs them here too.
-SLOW = {"classifier_facts_lineitem", "score_stream_facts_lineitem"}
+SLOW = {"classifier_facts_lineitem", "score_stream_facts_lineitem", "classifier_lineitem", "score_stream_lineitem"}
 
 
 def _names():
@@ -54,3 +54,18 @@ def test_query_matches_sql(spark, con, name):
     want, wcols = _norm(res.fetchall(), dcols)
     assert gcols == wcols
     assert got == want
+
+
+def _rows_only():
+    import __spark_entry__ as E
+
+    from cellwise.plans.registry import QUERIES
+
+    return sorted(n for n in QUERIES if n not in E.oracle_sql() and (n not in SLOW or os.environ.get("CELLWISE_SLOW")))
+
+
+@pytest.mark.parametrize("name", _rows_only())
+def test_query_without_sql_gives_rows(spark, name):
+    import __spark_entry__ as E
+
+    assert E.queries()[name](spark, SF_SMALL).count() > 0

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -61,7 +62,7 @@ def test_mean_curve_and_class_counts(spark):
     assert abs(rows[1]["ci_high"] - (3.0 + 1.96 * np.sqrt(2) / np.sqrt(2))) < 1e-12
     cc = A.class_counts(df, "x").collect()
     assert all(r["n_classes"] == 2 for r in cc)
-    boot = A.mean_curve_bootstrap(df, "x", "y", ["y"], replicates=30).collect()
+    boot = A.mean_curve_bootstrap(df, "x", "y", replicates=30).collect()
     assert len(boot) == 2
 
 
@@ -82,15 +83,38 @@ def test_describe_without_values(spark):
     assert A.describe(spark.createDataFrame([("a",)], "s string")).columns == ["statistic"]
 
 
-def test_bootstrap_interval_with_equal_rows(spark):
-    import pytest
+def test_class_counts_per_group_with_nulls(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), (None, 2), (None, 3)], "g string, y int")
+    got = {(r["g"], r["y"]): (r["n"], r["n_classes"]) for r in A.class_counts(df, "y", ["g"]).collect()}
+    assert got == {("a", 1): (2, 2), ("a", None): (1, 2), (None, 2): (1, 2), (None, 3): (1, 2)}
 
-    df = spark.range(2000).select(F.lit(1).alias("x"), (F.col("id") % 10).cast("double").alias("y"), "id")
-    r = A.mean_curve_bootstrap(df, "x", "y", ["id"], replicates=200).first()
+
+def test_bootstrap_interval_with_equal_rows(spark):
+    """2000 rows of ten values, then each a thousand times as often."""
+    df = spark.range(2000).select(F.lit(1).alias("x"), (F.col("id") % 10).cast("double").alias("y"))
+    r = A.mean_curve_bootstrap(df, "x", "y", replicates=400).first()
     n = A.mean_curve(df, "x", "y").first()
     assert abs(r["ci_low"] - n["ci_low"]) < 0.06 and abs(r["ci_high"] - n["ci_high"]) < 0.06
-    with pytest.raises(ValueError):
-        A.mean_curve_bootstrap(df, "x", "y", ["y"])
+    many = spark.range(2_000_000).select(F.lit(1).alias("x"), (F.col("id") % 10).cast("double").alias("y"))
+    r = A.mean_curve_bootstrap(many, "x", "y", replicates=400).first()
+    n = A.mean_curve(many, "x", "y").first()
+    assert abs(r["ci_low"] - n["ci_low"]) < 0.002 and abs(r["ci_high"] - n["ci_high"]) < 0.002
+
+
+def test_bootstrap_edges(spark):
+    assert A.mean_curve_bootstrap(spark.createDataFrame([], "x string, y double"), "x", "y").collect() == []
+    rows = [(None, 1.0), (None, 3.0), ("a", None), ("b", 2.0), ("b", 2.0), (None, 1.0)]
+    got = {r["x"]: r for r in A.mean_curve_bootstrap(spark.createDataFrame(rows, "x string, y double"), "x", "y").collect()}
+    assert set(got) == {None, "b"} and got["b"]["ci_low"] == got["b"]["ci_high"] == 2.0
+    assert 1.0 <= got[None]["ci_low"] <= got[None]["ci_high"] <= 3.0
+
+
+@pytest.mark.parametrize("n", [1, 2, 30, 5000, 3_000_000])
+def test_poisson_draws_by_moments(n):
+    u = (np.arange(200_000) + 0.5) / 200_000
+    k = A.poisson_draws(n, u)
+    assert k.min() >= 0 and (np.diff(k) >= 0).all()
+    assert abs(k.mean() / n - 1) < 1e-4 and abs(k.var() / n - 1) < 2e-3
 
 
 def test_describe_approx_within_sketch_error(spark):
@@ -108,8 +132,8 @@ def test_describe_approx_within_sketch_error(spark):
 
 def test_bootstrap_reproducible(spark):
     df = spark.range(300).select((F.col("id") % 3).alias("x"), (F.col("id") * 0.5).alias("y"))
-    a = sorted(tuple(r) for r in A.mean_curve_bootstrap(df, "x", "y", ["y"], replicates=40, seed=7).collect())
-    b = sorted(tuple(r) for r in A.mean_curve_bootstrap(df.repartition(5), "x", "y", ["y"], replicates=40, seed=7).collect())
+    a = sorted(tuple(r) for r in A.mean_curve_bootstrap(df, "x", "y", replicates=40, seed=7).collect())
+    b = sorted(tuple(r) for r in A.mean_curve_bootstrap(df.repartition(5), "x", "y", replicates=40, seed=7).collect())
     assert a == b
     for x, lo, hi in a:
         m = df.where(F.col("x") == x).agg(F.avg("y")).first()[0]

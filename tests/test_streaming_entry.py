@@ -56,3 +56,23 @@ def test_score_stream_restart_processes_only_new_files(spark, tmp_path):
     res = spark.read.parquet(out)
     assert res.count() == 4
     assert res.select("batch_id").distinct().count() == 3
+
+
+def test_unreadable_payloads_go_to_the_dead_letters(spark, tmp_path):
+    """One good file, one cut off, one without records: nothing vanishes, and
+    a restart adds nothing."""
+    train = spark.createDataFrame([(float(i % 5), "a", i % 2) for i in range(60)], "x double, kind string, y int")
+    model = M.fit_classifier(train, ["x"], ["kind"], "y", {"learning_rate": 0.3, "n_estimators": 2, "max_depth": 2})
+    in_dir = tmp_path / "in"
+    in_dir.mkdir()
+    good = json.dumps({"dataframe_records": [{"x": 1.0, "kind": "a"}, {"x": 2.0, "kind": "a"}]})
+    (in_dir / "good.json").write_text(good)
+    (in_dir / "cut.json").write_text(good[:40])
+    (in_dir / "other.json").write_text('{"records": []}')
+    (in_dir / "empty.json").write_text('{"dataframe_records": []}')
+    out, ckpt = scratch_path(spark, "scored"), scratch_path(spark, "ckpt")
+    for _ in range(2):
+        score_stream(spark, str(in_dir), out, ckpt, model, {"x": "double", "kind": "string"})
+        assert spark.read.parquet(out).count() == 2
+        bad = {r["file"].rsplit("/", 1)[1]: (r["reason"], r["text"]) for r in spark.read.parquet(out + "-rejected").collect()}
+        assert bad == {"cut.json": ("malformed", good[:40]), "other.json": ("no dataframe_records", None)}
