@@ -32,6 +32,7 @@ BLOCK = CONTAINER | frozenset(
     "p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd table thead tbody tfoot tr th caption pre hr figure figcaption "
     "header footer aside nav menu address details summary fieldset dialog head".split())
 HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+TEXT = HEADING | frozenset("p li dt dd td th pre blockquote figcaption".split())
 NEVER = frozenset("head nav footer aside menu form button dialog canvas audio video label legend fieldset".split())
 #: Start tags that end an open element of the named kinds.
 ENDS = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -53,28 +54,37 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)", re.S)
-_ATTR = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+)", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_ATTR = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>\"']+))?")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"[a-z]+")
 _DIGITS = re.compile(r"\d+")
 
 
-def _marks(attrs: str, words: frozenset) -> bool:
-    for _, value in _ATTR.findall(attrs):
-        for name in value.strip("\"'").lower().split():
-            parts = _WORD.findall(name)
-            if parts and parts[0] not in LAYOUT and not words.isdisjoint(parts):
-                return True
-    return False
+def _attributes(attrs: str) -> dict[str, str]:
+    """Attribute names (lower case) and values; of repeated ones the first."""
+    found: dict[str, str] = {}
+    for name, value in _ATTR.findall(attrs):
+        found.setdefault(name.lower(), value.strip("\"'"))
+    return found
 
 
-def _label(tag: str, attrs: str) -> str:
+def _hidden(attrs: dict[str, str]) -> bool:
+    return ("hidden" in attrs or attrs.get("aria-hidden", "").strip().lower() == "true"
+            or _NO_DISPLAY.search(attrs.get("style", "")) is not None)
+
+
+def _marks(attrs: dict[str, str], words: frozenset, all_names: bool = False) -> bool:
+    """Whether a name in class, id or role (or all of them) has one of the words."""
+    hits = [bool(parts) and parts[0] not in LAYOUT and not words.isdisjoint(parts)
+            for key in ("class", "id", "role") if key in attrs
+            for parts in map(_WORD.findall, attrs[key].lower().split())]
+    return all(hits) and bool(hits) if all_names else any(hits)
+
+
+def _label(tag: str, attrs: dict[str, str]) -> str:
     """Tag and classes, generalised: digits dropped, classes sorted."""
-    for key, value in _ATTR.findall(attrs):
-        if key.lower() == "class":
-            names = {_DIGITS.sub("", c) for c in value.strip("\"'").split()} - {""}
-            return ".".join([tag, *sorted(names)])
-    return tag
+    names = {_DIGITS.sub("", c) for c in attrs.get("class", "").split()} - {""}
+    return ".".join([tag, *sorted(names)])
 
 
 class Page:
@@ -175,14 +185,16 @@ class Page:
             if tag in VOID or attrs.endswith("/") and tag not in BLOCK:
                 continue
             in_article = any(e[0] in ("article", "main") for e in stack)
-            if tag not in ("html", "body", "main") and attrs:
-                if _HIDDEN.search(attrs):
+            named = _attributes(attrs) if attrs else {}
+            if tag not in ("html", "body", "main") and named:
+                if _hidden(named):
                     hidden = never = True
-                elif self._words and _marks(attrs, ASIDE_WORDS):
+                # A paragraph of the article may have a class word among others.
+                elif self._words and _marks(named, ASIDE_WORDS, in_article and tag in TEXT):
                     hidden = hidden or len(self._asides) not in self._shown
                     asides += (len(self._asides),)
-                    self._asides.append([0, False, _marks(attrs, TALK_WORDS)])
-                elif _marks(attrs, HEAD_WORDS):
+                    self._asides.append([0, False, _marks(named, TALK_WORDS)])
+                elif _marks(named, HEAD_WORDS):
                     heads, hidden = True, hidden or not in_article
             if tag in ("article", "main") and not never:
                 for k in asides:
@@ -195,7 +207,7 @@ class Page:
                 heads, hidden = True, hidden or not in_article
             link = link or tag == "a"
             if tag in CONTAINER:
-                self.paths.append(self.paths[where] + ">" + _label(tag, attrs))
+                self.paths.append(self.paths[where] + ">" + _label(tag, named))
                 self.parents.append(where)
                 where = len(self.paths) - 1
             stack.append((tag, where, hidden, link, heads, asides, never))
@@ -288,8 +300,9 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html",
     vote = F.pandas_udf(_votes, "path string, score double")
     cast = pages.select(host_path(F.col(f"`{url_col}`").cast("string"))[0].alias("host"),
                         vote(F.col(f"`{html_col}`").cast("string")).alias("v"))
-    votes = (cast.select("host", "v.path", "v.score").where("score > 0")
-             .groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score")))
+    # Counted twice below; stored, so that pages are read for votes once.
+    votes = stored(cast.select("host", "v.path", "v.score").where("score > 0")
+                   .groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("score")), "path_votes")
     totals = votes.groupBy("host").agg(F.sum("n").alias("all"))
     won = votes.join(totals, "host").where(F.col("n") >= min_share * F.col("all"))
     return stored(won.groupBy("host").agg(F.transform(

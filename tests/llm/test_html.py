@@ -2,7 +2,7 @@ import re
 from collections import Counter
 
 from cellwise.llm import html as H
-from tests.conftest import SF_SMALL
+from tests.conftest import SF_SMALL, plan_text
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p><article>no</article>";</script></head>
 <body class="no-sidebar"><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></ul></nav>
@@ -75,3 +75,19 @@ def test_host_votes_correct_a_page(spark):
     assert texts[10] == texts[11] == "" and texts[12] == "t"
     assert Counter(r["page_id"] for r in got)[12] == 2
     assert H.extract_pages(df.limit(0)).count() == 0
+
+
+def test_attribute_values_do_not_hide():
+    body = "<p>A story of many words that is told here.</p><p class='lead search'>It goes on for a while.</p>"
+    want = "A story of many words that is told here.\nIt goes on for a while."
+    for page in (f'<article data-title="the hidden costs of energy">{body}</article>',
+                 f'<div class="col hidden sm"><article title="display:none" alt=hidden>{body}</article></div>',
+                 f'<article data-class="ad" aria-hidden="false">{body}<div hidden>no</div><div style="color:red;display: none">no</div>'
+                 f'<span aria-hidden=true>no</span><p class="ad">Buy!</p></article>'):
+        assert H.extract(f"<html><body>{page}</body></html>", None) == want, page
+
+
+def test_pages_are_parsed_twice_at_most(spark):
+    pages = spark.createDataFrame([(1, "http://a.example/1", PAGE), (2, "http://a.example/2", PAGE)], "page_id long, url string, html string")
+    plan = plan_text(H.extract_pages(pages))
+    assert plan.count("ArrowEvalPython") <= 2  # the texts; the votes are a table by now
