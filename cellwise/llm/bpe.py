@@ -268,11 +268,18 @@ def ranked(path: str):
     return _RANKED[path]
 
 
+#: The library's splitter needs stack for every blank of a run and ends the
+#: worker at about a million of them; its errors are no Python exceptions.
+_LONG_BLANK = re.compile(r"(?<!\s)\s{100000}")
+
+
 def library_id_bytes(text: str, path: str) -> bytes:
     """As :func:`id_bytes`, by a library's merge loop where it splits alike:
-    texts without special tokens and without recent Unicode blocks."""
+    texts without special tokens, recent Unicode blocks and very long runs of
+    white space."""
     bpe, fast = load(path), ranked(path)
-    if fast is None or (text and max(text) >= "\u0800") or any(t in text for t in bpe.special):
+    if (fast is None or (text and max(text) >= "\u0800") or any(t in text for t in bpe.special)
+            or len(text) >= 100_000 and _LONG_BLANK.search(text)):
         return id_bytes(text, path)
     return array("I", fast.encode_ordinary(text)).tobytes()
 

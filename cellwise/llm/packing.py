@@ -6,12 +6,16 @@ each partition packs its pieces by best-fit decreasing.  A dual feasible
 function maps sizes so that any packing's bins hold a sum of at most one;
 the rounded-up sum is therefore a lower bound on the bins, and a partition
 that reaches it is certified optimal.  Partitions with a gap put the pieces
-of their unfilled bins in common, are dealt anew and rerun; afterwards the
-emptiest bins of all partitions are packed together in the same way.
+of their unfilled bins in common, are dealt anew and rerun, as long as that
+saves bins; afterwards the emptiest bins of all partitions are packed together
+in the same way.  :func:`certificate` reports the bins and the bound of a
+whole result.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,7 +28,6 @@ CAPACITY = 1024
 END_ID = 2
 #: Pieces that one packing task gets (about).
 PIECES_PER_PART = 20_000
-MAX_EXCHANGES = 4
 _PIECE = "array<struct<piece:int,start:long,length:long,ids_crc32:long>>"
 
 
@@ -126,8 +129,7 @@ def _pack(rows: DataFrame, cap: int, round_no: int, seed: int, n_parts: int) ->
     return packed.withColumn("sequence_id", number)
 
 
-def pack_pieces(rows: DataFrame, capacity: int = CAPACITY, per_part: int = PIECES_PER_PART,
-                max_exchanges: int = MAX_EXCHANGES) -> DataFrame:
+def pack_pieces(rows: DataFrame, capacity: int = CAPACITY, per_part: int = PIECES_PER_PART) -> DataFrame:
     """``rows`` (with ``row``, unique, and ``length`` in 1..capacity) plus
     sequence_id and offset.  Rows are read twice: pass a stored frame."""
     cols = [c for c in rows.columns if c not in ("sequence_id", "offset")]
@@ -135,34 +137,43 @@ def pack_pieces(rows: DataFrame, capacity: int = CAPACITY, per_part: int = PIECE
     done = [rows.where(F.col("length") == capacity).select(
         *cols, (F.lit(1 << 62) + F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))]
     rest = rows.where(F.col("length") < capacity).select(*cols)
-    parts = max(1, -(-rest.count() // per_part))
-    packed = _pack(rest, capacity, 0, 0, parts)
-    tails = None
-    for k in range(1, max_exchanges + 1):
+    packed, k, tails = _pack(rest, capacity, 0, 0, max(1, -(-rest.count() // per_part))), 0, []
+    while True:
         # Certified parts are settled but for their emptiest bin; of the others
         # the full bins are settled and the rest is exchanged.
         loose = (F.col("gap") > 0) & (F.col("fill") < capacity)
         last = (F.col("gap") <= 0) & F.col("emptiest") & (F.col("fill") < capacity)
         done.append(packed.where(~loose & ~last).select(*out_cols))
-        tail = packed.where(last).select(*cols)
-        tails = tail if tails is None else tails.unionByName(tail)
-        pool = packed.where(loose).select(*cols)
-        n, with_gap = (packed.where(loose).agg(F.count(F.lit(1)), F.countDistinct("part")).first())
+        tails.append(packed.where(last).select(*cols))
+        pool = packed.where(loose)
+        n, with_gap, bins = pool.agg(F.count(F.lit(1)), F.countDistinct("part"), F.countDistinct("sequence_id")).first()
         if not n:
             break
         # Fewer parts than before, so that other pieces meet.
-        packed = _pack(pool, capacity, k, k, max(1, min(-(-n // per_part), with_gap)))
-    else:
-        done.append(packed.select(*out_cols))
-    if tails is not None:
-        n = tails.count()
-        if n:
-            done.append(_pack(tails, capacity, max_exchanges + 1, max_exchanges + 1,
-                              -(-n // per_part)).select(*out_cols))
-    result = done[0]
-    for d in done[1:]:
-        result = result.unionByName(d)
-    return result
+        k, parts = k + 1, max(1, min(-(-n // per_part), with_gap - 1))
+        again = _pack(pool.select(*cols), capacity, k, k, parts)
+        if again.select("sequence_id").distinct().count() >= bins:
+            done.append(pool.select(*out_cols))
+            break
+        packed = again
+    tails = reduce(DataFrame.unionByName, tails)
+    n = tails.count()
+    if n:
+        done.append(_pack(tails, capacity, k + 1, k + 1, -(-n // per_part)).select(*out_cols))
+    return reduce(DataFrame.unionByName, done)
+
+
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: the sequences of a packing (length, sequence_id), a lower
+    bound on those of any packing, and whether they are equal."""
+    # At most ``capacity`` rows.
+    sizes = packed.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()
+    counts = np.zeros(capacity + 1, dtype=np.int64)
+    for r in sizes:
+        counts[r["length"]] = r["n"]
+    bound = F.lit(lower_bound(counts)).cast("long")
+    return packed.agg(F.countDistinct("sequence_id").alias("sequences")).select(
+        "sequences", bound.alias("bound"), (F.col("sequences") == bound).alias("certified"))
 
 
 def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,

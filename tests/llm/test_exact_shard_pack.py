@@ -150,6 +150,12 @@ def test_parts_exchange_until_certified(spark):
     bound = packing.lower_bound(np.bincount(sizes, minlength=1025))
     _, _, alone = packing.best_fit(sizes, 1024)
     assert bound <= len(fill) <= len(alone) * 1.02
+    packed = spark.createDataFrame([(r["length"], r["sequence_id"]) for r in got], "length long, sequence_id long")
+    report = packing.certificate(packed).first()
+    assert tuple(report) == (len(fill), bound, len(fill) == bound)
+    even = packed.limit(0).unionByName(spark.createDataFrame([(512, i // 2) for i in range(40)], "length long, sequence_id long"))
+    assert tuple(packing.certificate(even).first()) == (20, 20, True)
+    assert tuple(packing.certificate(packed.limit(0)).first()) == (0, 0, True)
 
 
 @settings(max_examples=60, deadline=None)
