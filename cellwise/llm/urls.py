@@ -4,6 +4,9 @@ A URL is a set of tokens: scheme, host suffixes and leading labels, path
 words, extension, query keys, fragment.  Spark's FP-growth mines the token
 combinations of labelled URLs; rules "combination => bad" that pass a support
 and a confidence bound, and that no shorter rule already implies, are kept.
+Two steps before keep the combinations few without changing what is blocked:
+a token that is a rule by itself is in no longer rule, and tokens that all
+labelled URLs have together or not at all are mined as one.
 An inverted index lists every rule under its rarest token only, so a page
 meets just the rules whose rarest token it has.
 
@@ -16,7 +19,7 @@ import math
 from collections.abc import Sequence
 
 from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellwise.llm.common import fresh, stored
@@ -80,9 +83,13 @@ def url_items(url: Column) -> Column:
 
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
                min_confidence: float = MIN_CONFIDENCE, min_bad: int = MIN_BAD_URLS) -> DataFrame:
-    """Rules (rule_id, antecedent, confidence, support, anchor) from
+    """Rules (rule_id, antecedent, choices, confidence, support, anchors) from
     ``labelled`` (items array, bad boolean); empty without bad labels.
 
+    A URL fits a rule if it has a token of each of its ``choices``: the
+    antecedent's tokens, each with those that always occur with it.  Any of
+    the rarest one's tokens is an anchor.
+
     The confidence bound alone would keep combinations seen by chance; the
     support bound (a number of bad URLs, and a share of all if given) prunes
     those.  Combinations are mined from the bad URLs and counted over all.  A
@@ -93,16 +100,36 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
         F.when(F.col("bad"), F.array_append("items", F.lit(BAD))).otherwise(F.col("items")).alias("items")),
         "url_baskets")
     n, n_bad = known.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
-    empty = "rule_id long, antecedent array<string>, confidence double, support double, anchor string"
+    empty = ("rule_id long, antecedent array<string>, choices array<array<string>>, confidence double, support double, "
+             "anchors array<string>")
     least = max(1, min_bad, math.ceil(min_support * n))
     if n_bad < least:
         return spark.createDataFrame([], empty)
-    bad = known.where(F.array_contains("items", BAD)).select(F.array_remove("items", BAD).alias("items"))
+    # Every token's URLs, all and bad ones, and a sum of their random marks: of
+    # two tokens with equal sums each URL has both or none.
+    marked = stored(known.select("items", *[F.floor(F.rand(s) * (1 << 52)).cast("decimal(30,0)").alias(f"m{s}")
+                                            for s in (1, 2, 3)]), "url_marked")
+    tokens = stored(marked.withColumn("is_bad", F.array_contains("items", BAD)).select(
+        F.explode(F.array_remove("items", BAD)).alias("token"), "is_bad", "m1", "m2", "m3").groupBy("token").agg(
+            F.count(F.lit(1)).alias("urls"), F.count_if("is_bad").alias("bad_urls"),
+            *[F.sum(f"m{s}").alias(f"m{s}") for s in (1, 2, 3)]), "url_tokens")
+    frequent = tokens.where(F.col("bad_urls") >= least)
+    alone = frequent.where(F.col("bad_urls") / F.col("urls") >= min_confidence)
+    group = F.min("token").over(Window.partitionBy("urls", "m1", "m2", "m3"))
+    named = stored(frequent.join(alone.select("token"), "token", "left_anti").select("token", group.alias("item")), "url_items")
+    numbered = stored(known.select("items", F.monotonically_increasing_id().alias("url")), "url_numbered")
+    itemised = (numbered.select("url", F.explode("items").alias("token")).join(named, "token")
+                .groupBy("url").agg(F.collect_set("item").alias("mined")))
+    bad = (numbered.where(F.array_contains("items", BAD)).select("url").join(itemised, "url").select(F.col("mined").alias("items")))
     # Half a URL less, so that rounding never asks for one more.
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_bad).fit(bad)
-    sets = stored(model.freqItemsets.select(F.sort_array("items").alias("antecedent"), "freq"), "url_sets")
-    counts = stored(known.select(F.explode("items").alias("token")).groupBy("token")
-                    .agg(F.count(F.lit(1)).alias("urls")), "url_tokens")
+    n_named = bad.count()
+    counts = tokens.select("token", "urls")
+    singles = alone.select(F.array("token").alias("antecedent"), F.col("bad_urls").alias("freq"))
+    if n_named >= least:
+        model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_named).fit(bad)
+        mined = model.freqItemsets.select(F.sort_array("items").alias("antecedent"), "freq")
+        singles = singles.unionByName(mined)
+    sets = stored(singles, "url_sets")
     anchored = (sets.select("antecedent", "freq", F.explode("antecedent").alias("token"))
                 .join(counts, "token").groupBy("antecedent", "freq")
                 .agg(F.min_by("token", F.struct("urls", "token")).alias("token")))
@@ -123,11 +150,14 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT,
                       & (F.size(F.array_except("part", "antecedent")) == 0))
                .select("antecedent").distinct())
     kept = rules.join(implied, "antecedent", "left_anti")
-    rarest = (kept.select("antecedent", F.explode("antecedent").alias("token"))
-              .join(counts, "token").groupBy("antecedent")
-              .agg(F.min_by("token", F.struct("urls", "token")).alias("anchor")))
-    return (kept.join(rarest, "antecedent")
-            .select(F.xxhash64("antecedent").alias("rule_id"), "antecedent", "confidence", "support", "anchor"))
+    classes = named.groupBy("item").agg(F.sort_array(F.collect_list("token")).alias("choice"))
+    each = (kept.select("antecedent", F.explode("antecedent").alias("item")).join(classes, "item", "left")
+            .join(counts.withColumnRenamed("token", "item"), "item")
+            .select("antecedent", "urls", "item", F.coalesce("choice", F.array("item")).alias("choice"))
+            .groupBy("antecedent").agg(F.collect_list("choice").alias("choices"),
+                                       F.min_by("choice", F.struct("urls", "item")).alias("anchors")))
+    return kept.join(each, "antecedent").select(
+        F.xxhash64("antecedent").alias("rule_id"), "antecedent", "choices", "confidence", "support", "anchors")
 
 
 def judge_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str, str]] = (),
@@ -147,10 +177,10 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[tuple[str,
                                F.monotonically_increasing_id().alias(row)), "url_rows")
     baskets = labelled.select(url_items(F.col("url").cast("string")).alias("items"), "bad")
     index = mine_rules(baskets, **mining).select(
-        F.col("anchor").alias("token"), "antecedent", "confidence")
+        F.explode("anchors").alias("token"), "antecedent", "choices", "confidence")
     hits = (thin.where(F.col("rule").isNull()).select(row, "items", F.explode("items").alias("token"))
             .join(index, "token")
-            .where(F.size(F.array_except("antecedent", "items")) == 0)
+            .where(F.forall("choices", lambda c: F.arrays_overlap(c, F.col("items"))))
             .groupBy(row).agg(F.max(F.struct("confidence", "antecedent")).alias("hit")))
     judged = thin.join(hits, row, "left")
     return judged.select(

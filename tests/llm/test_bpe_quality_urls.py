@@ -1,4 +1,5 @@
 import random
+from itertools import product
 from collections import Counter, defaultdict
 from hashlib import sha256
 
@@ -193,3 +194,37 @@ def test_bad_hosts_are_mined_whatever_the_size_of_the_table(spark):
     pages = df.where("page_id >= 59000")
     got = {r["page_id"]: r["verdict"] for r in urls.judge_urls(pages, df.select("url", "bad")).collect()}
     assert got == {i: "block" if 60_000 <= i < 70_000 else "allow" for i in got}
+
+
+def test_long_slugs_are_few_combinations(spark):
+    """A slug of 30 words in 30 bad URLs, one in as many bad as good ones, and
+    one of words that other URLs have too: each is mined in a few combinations."""
+    names = ["".join(x) for x in product("abcdefgh", "klmnop", "qrstu")]
+    slug = lambda a, n: "-".join(names[a:a + n])
+    rows = [(i, f"https://www.one.example.org/{slug(0, 30)}-{i}", True) for i in range(30)]
+    rows += [(100 + i, f"https://www.two.example.org/{slug(40, 30)}-{i}", i % 2 == 0) for i in range(80)]
+    rows += [(300 + i, f"http://{'bad' if i % 30 == 0 else f'ok{i % 7}'}.example.com/{names[80 + i % 12]}/{i}", i % 30 == 0) for i in range(900)]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    rules = urls.mine_rules(df.select(urls.url_items(df.url).alias("items"), "bad")).collect()
+    assert 0 < len(rules) < 100
+    unseen = (1, f"https://other.example.org/{slug(5, 3)}")  # some of the slug's words
+    pages = df.select("page_id", "url").union(spark.createDataFrame([unseen], "page_id long, url string"))
+    got = [(r["page_id"], r["verdict"]) for r in urls.judge_urls(pages, df.select("url", "bad")).collect()]
+    assert all(v == "block" for i, v in got if i < 30) and (1, "block") in got
+    assert all((v == "block") == (i % 30 == 0) for i, v in got if i >= 300)
+    assert all(v == "allow" for i, v in got if 100 <= i < 300)
+
+
+def test_tokens_that_always_meet_are_one_choice(spark):
+    """Tokens of equal occurrence stand for each other in longer rules."""
+    rows = [(["x", "y", "p"], True)] * 40 + [(["x", "y", "q"], False)] * 60 + [(["p", "z"], False)] * 60
+    rules = urls.mine_rules(spark.createDataFrame(rows, "items array<string>, bad boolean")).collect()
+    assert {frozenset(map(frozenset, r["choices"])) for r in rules} == {frozenset([frozenset("p"), frozenset("xy")])}
+
+
+def test_long_white_space_is_encoded():
+    from cellwise.llm import bpe
+
+    for blank in (" " * 2_000_000, "\n" * 2_000_000, " \t" * 1_000_000, "\r\n" * 200_000 + " " * 99_999):
+        text = "x" + blank + "y z"
+        assert bpe.library_id_bytes(text, tokenizer_path()) == bpe.id_bytes(text, tokenizer_path())
