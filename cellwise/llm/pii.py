@@ -174,14 +174,15 @@ def instances(text: str, base: list[tuple[int, int, str]]) -> list[dict]:
     known = {(s, e): k for s, e, k in base}
     out = []
     for run in _stretches(text):
+        size = [len(_digits(text[s:e])) for s, e, _ in run]
         for i, (s, _, label) in enumerate(run):
             for j in range(i, min(len(run), i + MAX_CHUNKS)):
-                if j > i and run[j][2] is not None:
-                    break
                 e = run[j][1]
+                whole = i == 0 and j == len(run) - 1
+                if j > i and not whole and (sum(size[i:j + 1]) < 14 and text[s] != "+" or sum(size[i:j]) >= 19):
+                    continue  # neither a phone number nor a card number
                 value = text[s:e]
                 kind, passes = fits(value)
-                whole = i == 0 and j == len(run) - 1
                 if kind is None and not whole:
                     continue
                 left, right = label or _left(text, s), _right(text, e)
