@@ -37,6 +37,8 @@ from pyspark.sql import functions as F
 #: lowest cut win, so that the order of summation does not decide.
 TIE = 1e-9
 CHECKPOINT_ROUNDS = 25
+#: Rows (about) that are worth a task of their own.
+ROWS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -409,7 +411,9 @@ def fit_boosting(df: DataFrame, features: Sequence[str], label: str, how: Growth
             codes = np.frombuffer(r["codes"], dtype=np.int32).reshape(-1, width)
             return codes, np.frombuffer(r["y"]), np.tile(np.array(base), (len(codes), 1))
 
-        state = _blocks(rows, features, label, cuts).rdd.map(opened).persist()
+        # Few rows in many small tasks would cost their start, every step.
+        state = _blocks(rows, features, label, cuts).rdd.map(opened)
+        state = state.coalesce(max(1, -(-total // ROWS_PER_TASK))).persist()
         state.count()
     finally:
         rows.unpersist()
