@@ -1,9 +1,9 @@
 """Distributed model fitting and scoring.
 
-Second-order boosting (M1, M9, M10) is :mod:`cellwise.operators.boosting`;
-forests, single trees and plain gradient boosting are MLlib's.  AdaBoost.R2 is
+Boosting (M1, M6, M9, M10) is :mod:`cellwise.operators.boosting`, exact trees
+(M7) are :mod:`cellwise.operators.trees`; forests are MLlib's.  AdaBoost.R2 is
 a loop of MLlib trees on weighted resamples, and k-nearest-neighbours an exact
-grid join.
+join by grid cells or pivots.
 """
 
 from __future__ import annotations
@@ -17,9 +17,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel, DecisionTreeRegressor, GBTRegressor, RandomForestRegressor,
-)
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -29,6 +27,7 @@ from cellwise.functions.ranges import running_totals
 from cellwise.operators.boosting import DEPTH_WISE, LEAF_WISE, BoostedModel, Growth, fit_boosting, probabilities
 from cellwise.operators.knn import knn_by_pivots
 from cellwise.operators.trees import ExactTree, fit_exact_tree
+from cellwise.session import path_exists
 
 CODE_SUFFIX = "_code"
 
@@ -68,8 +67,11 @@ class BoostedClassifier:
     booster: BoostedModel
 
     def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` plus the margins and, as pipelines name it, ``prediction``."""
         x = self.stages.transform(df) if self.stages else df
-        return self.booster.transform(x, "_margins").select(*df.columns, "_margins")
+        scored = self.booster.transform(x, "_margins").select(*df.columns, "_margins")
+        first = F.array_position(F.col("_margins"), F.array_max("_margins")) - 1
+        return scored.withColumn("prediction", first.cast("double"))
 
     def save(self, spark: SparkSession, path: str) -> None:
         if self.stages:
@@ -78,9 +80,8 @@ class BoostedClassifier:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> BoostedClassifier:
-        booster = BoostedModel.load(spark, path)
-        coded = any(f.endswith(CODE_SUFFIX) for f in booster.features)
-        return cls(PipelineModel.load(f"{path}/stages") if coded else None, booster)
+        stages = f"{path}/stages"
+        return cls(PipelineModel.load(stages) if path_exists(spark, stages) else None, BoostedModel.load(spark, path))
 
 
 def fit_classifier(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], label: str,
@@ -191,23 +192,25 @@ def _vec(df: DataFrame, features: Sequence[str], out: str = "features") -> DataF
 
 
 def fit_rf_regressor(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
-                     max_depth: int = 30, seed: int = 42) -> PipelineModel:
+                     max_depth: int = 30, seed: int = 42, max_bins: int = 255) -> PipelineModel:
     """M4: forest of full-feature trees (bagging only, as the library default),
     grown to MLlib's own depth limit."""
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
-        RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees,
-                              maxDepth=max_depth, featureSubsetStrategy="all", seed=seed)]).fit(df)
+        RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
+                              maxBins=max_bins, featureSubsetStrategy="all", seed=seed)]).fit(df)
+
+
+#: The published defaults of plain gradient boosting: no L2, depth 3, rate 0.1.
+PLAIN_BOOSTING = Growth(rate=0.1, max_depth=3, l2=0.0, min_hessian=0.0)
 
 
 def fit_gbt_regressor(df: DataFrame, features: Sequence[str], label: str, max_iter: int = 100,
-                      max_depth: int = 3, step_size: float = 0.1, min_instances: int = 1,
-                      seed: int = 42) -> PipelineModel:
-    """M6 (defaults 100 rounds, depth 3, rate 0.1)."""
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features"),
-        GBTRegressor(featuresCol="features", labelCol=label, maxIter=max_iter, maxDepth=max_depth,
-                     stepSize=step_size, minInstancesPerNode=min_instances, seed=seed)]).fit(df)
+                      max_depth: int = 3, step_size: float = 0.1, min_instances: int = 1) -> BoostedModel:
+    """M6 (defaults 100 rounds, depth 3, rate 0.1): from the mean, each round's
+    tree fits the residuals by least squares."""
+    how = replace(PLAIN_BOOSTING, rounds=max_iter, max_depth=max_depth, rate=step_size, min_rows=min_instances)
+    return fit_boosting(df, features, label, how)
 
 
 def fit_tree_regressor(df: DataFrame, features: Sequence[str], label: str, max_depth: int | None = None,

@@ -255,12 +255,13 @@ def _two_rounds(name, depth, how, **sql):
     def run(spark, sf):
         m = fit_boosting(_gaps(spark, sf), ["a", "b"], "y", how)
         return m.transform(_gaps(spark, sf)).select("p_partkey", F.round("prediction", 6).alias("prediction"))
-    run.__doc__ = f"M9, M10 against SQL: {how.rounds} round(s), depth {depth}, a seventh of a feature missing."
+    run.__doc__ = f"M6, M9, M10 against SQL: {how.rounds} round(s), depth {depth}, a seventh of a feature missing."
     return run
 
 
 boost_round_part = _two_rounds("boost_round_part", 2, replace(DEPTH_WISE, rounds=1, max_depth=2))
 boost_two_rounds_part = _two_rounds("boost_two_rounds_part", 2, replace(DEPTH_WISE, rounds=2, max_depth=2))
+gbr_two_rounds_part = _two_rounds("gbr_two_rounds_part", 3, replace(M.PLAIN_BOOSTING, rounds=2))
 boost_three_leaves_part = _two_rounds("boost_three_leaves_part", 2, replace(LEAF_WISE, rounds=1, max_leaves=3), best_only=True)
 
 _STATUS = """SELECT o_orderkey AS id, CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 1 ELSE 2 END AS c,

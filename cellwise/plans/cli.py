@@ -98,9 +98,11 @@ def main(argv: list[str] | None = None) -> int:
     elif args.cmd == "train":
         import uuid
 
+        from cellwise.sources.files import save_model
+
         params = json.loads(args.params) if args.params else None
         res = flows.train_flow(spark, args.base or cfg.table_base(root), cfg, args.run_id, params)
-        res.model.write().overwrite().save(args.model_out)
+        save_model(res.model, args.model_out)
         model_run = uuid.uuid4().hex
         flows.register_run(spark, args.runs_out, args.model, model_run, res)
         print(json.dumps({"run_id": model_run, **res.metrics.first().asDict()}))

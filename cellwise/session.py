@@ -93,6 +93,12 @@ def remove_folders(spark: SparkSession, folders: Iterable[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether the file system that holds ``path`` has it."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors this package (Python functions of operators import
     it there), once per application, as ``spark-submit --py-files`` would."""
@@ -138,4 +144,4 @@ def scale_conf(input_bytes: int, total_cores: int, target_partition_bytes: int =
     }
 
 
-__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "bound_batches", "scratch_path", "scratch_scope", "remove_folders", "scale_conf"]
+__all__ = ["get_spark", "ensure_checkpoint_dir", "ship_package", "bound_batches", "scratch_path", "scratch_scope", "remove_folders", "path_exists", "scale_conf"]

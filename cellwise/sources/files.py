@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellwise.session import path_exists
+
 RUN_ID_COL = "run_id"
 STAMP_COL = "update_timestamp_utc"
 CORRUPT_COL = "_corrupt_record"
@@ -136,8 +138,7 @@ def save_model(model, path: str) -> None:
 def load_model(path: str):
     """S7."""
     spark = SparkSession.getActiveSession()
-    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/trees")
-    if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
+    if path_exists(spark, f"{path}/trees"):
         from cellwise.operators.models import BoostedClassifier
 
         return BoostedClassifier.load(spark, path)
