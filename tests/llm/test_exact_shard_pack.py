@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter, defaultdict
 from zlib import crc32
@@ -182,3 +183,35 @@ def test_bound_never_exceeds_the_optimum(sizes):
 def test_cut(n):
     c = packing.cut(n, 1024)
     assert sum(x for _, x in c) == n and all(x == 1024 for _, x in c[1:]) and 0 < c[0][1] <= 1024
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_place_is_the_plain_greedy(seed):
+    """Item by item, the largest first, the shard of highest dot product."""
+    rnd = random.Random(seed)
+    vectors = [[rnd.choice([1, 2, 3, 50]) / 400 for _ in range(3)] for _ in range(60)]
+    left = [[0.25] * 3 for _ in range(4)]
+    want = [0] * len(vectors)
+    for i in sorted(range(len(vectors)), key=lambda i: (-np.array(vectors[i]).sum(), i)):
+        fit = [np.array(r) @ np.array(vectors[i]) for r in left]
+        want[i] = fit.index(max(fit))
+        left[want[i]] = [a - b for a, b in zip(left[want[i]], vectors[i])]
+    got = shard.place(np.array(vectors), 4).tolist()
+    totals = [np.array([v for v, s in zip(vectors, way) if s == k]).sum(axis=0) for way in (got, want) for k in range(4)]
+    assert got == want or np.allclose(sorted(map(tuple, totals[:4])), sorted(map(tuple, totals[4:])))
+
+
+def test_shards_of_small_tables_by_hand(spark):
+    """Every text a group of its own cell or item: bytes, tokens and rows of
+    the shards are those of the plain greedy placing of whole groups."""
+    rows = [(i, "w" * (10 + 7 * (i % 5)) + " x" * (i % 3), "en", "s", 0) for i in range(30)]
+    got = shard.shard_documents(spark.createDataFrame(rows, DOC_SCHEMA), 2, cells_per_shard=1).collect()
+    groups = {}
+    for i, t, *_ in rows:
+        groups.setdefault(t, []).append(i)
+    where = {}
+    for r in got:
+        where.setdefault(rows[r["doc_id"]][1], set()).add(r["shard"])
+    assert set(where) == set(groups) and all(len(s) == 1 for s in where.values())
+    for s in range(2):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
