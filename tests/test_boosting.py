@@ -175,3 +175,60 @@ def test_exact_tree_edges(spark):
     assert [r["prediction"] for r in empty.collect()] == [None] * 4
     same = df.select("a", F.lit(2.0).alias("y"))
     assert {r["prediction"] for r in M.fit_tree_regressor(same, ["a"], "y").transform(same).collect()} == {2.0}
+
+
+def jobs_of(spark, run):
+    sc = spark.sparkContext
+    sc.setJobGroup("boosting", "boosting")
+    out = run()
+    jobs = len(sc.statusTracker().getJobIdsForGroup("boosting"))
+    sc.setJobGroup("", "")
+    return out, jobs
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_folded_and_distributed_rounds_agree(spark, monkeypatch, classes):
+    """Rows that share their bins are one row with a number; more tasks, more
+    jobs, the same trees."""
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 4, (600, 3)).astype(float)
+    x[rng.random((600, 3)) < 0.1] = np.nan
+    y = np.nan_to_num(x[:, 0], nan=1.0) + (x[:, 1] > 1) * 2 + rng.normal(size=600) * 0.2
+    y = np.digitize(y, [1.5, 3.0]) if classes else y
+    df, how = frame(spark, x, y).repartition(5), replace(B.DEPTH_WISE, rounds=12, max_depth=3)
+
+    def fit():
+        return B.fit_boosting(df, ["a", "b", "c"], "y", how, classes)
+
+    columns = [x[:, f] for f in range(3)]
+    monkeypatch.setattr(B, "FOLD_LEAST", 10**9)
+    monkeypatch.setattr(B, "ROWS_PER_TASK", 150)
+    spread = fit()
+    monkeypatch.setattr(B, "FOLD_LEAST", 0.1)
+    spread_folds = fit()
+    monkeypatch.setattr(B, "ROWS_PER_TASK", 20_000)
+    folded, jobs = jobs_of(spark, fit)
+    assert jobs < 30  # 12 rounds of 3 levels would take more
+    for other in (spread_folds, folded):
+        assert np.allclose(spread.margins(columns), other.margins(columns), atol=1e-9)
+
+
+def test_rounds_of_few_rows_are_one_job(spark):
+    x, y = table(11, 200)
+    df = frame(spark, x, y)
+    counts = [jobs_of(spark, lambda: B.fit_boosting(df, ["a", "b", "c"], "y", replace(B.LEAF_WISE, rounds=r)))[1] for r in (2, 30)]
+    assert counts[0] == counts[1] < 30
+
+
+def test_masks_find_the_leaves_that_walking_finds(spark):
+    x, y = table(12, 400)
+    columns = [x[:, f] for f in range(3)]
+    missing = None
+    for how in (B.LEAF_WISE, B.DEPTH_WISE, replace(B.DEPTH_WISE, max_depth=9, min_hessian=0.0, l2=0.0)):
+        model = B.fit_boosting(frame(spark, x, y), ["a", "b", "c"], "y", replace(how, rounds=5))
+        missing = np.array([len(c) + 1 for c in model.cuts])
+        walked, codes = np.full(len(y), model.base[0]), B.codes_of(columns, model.cuts)
+        for (t,) in model.trees:
+            walked = walked + np.array(t.value)[t.leaf_of(codes, missing)]
+        assert (model.margins(columns)[:, 0] == walked).all()
+        assert (B.leaf_masks([t for (t,) in model.trees], missing) is None) == any(t.feature.count(-1) > 64 for (t,) in model.trees)
