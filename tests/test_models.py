@@ -161,3 +161,40 @@ def test_pivots_find_the_nearest_rows_with_few_candidates(spark):
     pairs = knn.knn_candidates(*arrays, 5, 4).groupBy("qid").count().collect()
     # A query near a cluster meets that cluster at most; a far one less than half of all rows.
     assert all(r["count"] <= 200 for r in pairs if r["qid"] < 8) and all(r["count"] < len(x) / 2 for r in pairs if r["qid"] >= 20)
+
+
+def test_blocks_keep_ties_and_never_list_pairs(spark, monkeypatch):
+    """Without clusters, in 12 dimensions: small blocks, equal distances go by
+    training id, and what leaves a block is k rows a query, not its pairs."""
+    rng = np.random.default_rng(4)
+    x, q = rng.integers(0, 3, (500, 12)).astype(float), rng.integers(0, 3, (90, 12)).astype(float)
+    tr = spark.createDataFrame([(i, v.tolist(), float(i)) for i, v in enumerate(x)], "tid int, x array<double>, label double")
+    te = spark.createDataFrame([(f"q{i:03d}", v.tolist()) for i, v in enumerate(q)], "qid string, q array<double>")
+    monkeypatch.setattr(knn, "BLOCK_ROWS", 12 * 130)
+    monkeypatch.setattr(knn, "BLOCK_QUERIES", 12 * 40)
+    found = knn.nearest_rows(tr, te, 12, 4).toPandas()
+    assert len(found) <= 90 * 4 * 5
+    for i, point in enumerate(q):
+        mine = found[found.qid == f"q{i:03d}"].sort_values(["d2", "tid"])
+        d2 = ((x - point) ** 2).sum(axis=1)
+        order = np.lexsort((np.arange(len(x)), d2))[:4]
+        assert mine.tid.tolist()[:4] == order.tolist() and np.allclose(mine.d2[:4], d2[order])
+
+
+def test_knn_outside_queries_take_no_rounds(spark):
+    """Far below the box all rows of its edge are almost equally near: no
+    widening of cells, so no more jobs than one round of blocks."""
+    rng = np.random.default_rng(7)
+    train = [(i, float(a), float(b), float(i)) for i, (a, b) in enumerate(rng.uniform(0, 100, (2000, 2)))]
+    far = [(i, float(a), float(-b * 1e4)) for i, (a, b) in enumerate(rng.uniform(1, 100, (50, 2)))]
+    tr = spark.createDataFrame(train, "id int, x1 double, x2 double, y double")
+    te = spark.createDataFrame(far, "id int, x1 double, x2 double")
+    sc = spark.sparkContext
+    sc.setJobGroup("outside", "outside")
+    got = {r["id"]: r["prediction"] for r in M.knn_regress(tr, te, ["x1", "x2"], "y", "id", "id", k=3).collect()}
+    jobs = len(sc.statusTracker().getJobIdsForGroup("outside"))
+    sc.setJobGroup("", "")
+    assert jobs < 40
+    for i, a, b in far:
+        best = sorted(train, key=lambda t: ((a - t[1]) * (a - t[1]) + (b - t[2]) * (b - t[2]), t[0]))[:3]
+        assert abs(got[i] - sum(t[3] for t in best) / 3) < 1e-9
