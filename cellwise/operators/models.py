@@ -25,7 +25,7 @@ from cellwise.config import GBM_PARAMETERS
 from cellwise.functions.expr import hash_u32
 from cellwise.functions.ranges import running_totals
 from cellwise.operators.boosting import DEPTH_WISE, LEAF_WISE, BoostedModel, Growth, fit_boosting, probabilities
-from cellwise.operators.knn import knn_by_pivots
+from cellwise.operators.knn import knn_by_pivots, nearest_rows, predictions
 from cellwise.operators.trees import ExactTree, fit_exact_tree
 from cellwise.session import path_exists
 
@@ -375,13 +375,13 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
 
     No cross join: training rows are bucketed into grid cells on two
     coordinates (by default the two with the largest spread); each query
-    joins the 3x3 cells around its own (an equi join on cell id).  A query
-    outside the training box is put on the box's nearest point c: for every
-    training row t, |q-t|^2 >= |q-c|^2 + |c-t|^2, so it needs no wider cells
-    than one on the border.  A query is final once its k-th squared distance
-    is within |q-c|^2 + w^2 for the cell width w, because every nearer row
-    lies in those cells; other queries retry with 2w.  Widths that no pending
-    query needs are skipped.
+    joins the 3x3 cells around its own (an equi join on cell id).  A query is
+    final once its k-th squared distance is within w^2 for the cell width w,
+    because every nearer row lies in those cells; other queries retry with 2w.
+    Widths that no pending query needs are skipped.  To a query far outside
+    of the training box the rows along a whole edge are almost equally near,
+    so queries outside meet the cells that their distances to the cells' boxes
+    leave, in blocks (:func:`cellwise.operators.knn.nearest_rows`).
 
     Skew: identical training points beyond their k lowest ids are dropped
     first (they can never be selected), so a heavily repeated point is one
@@ -436,12 +436,13 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
         return [F.floor((F.col(f"{prefix}{c}") - F.lit(lo)) / F.lit(width)).cast("long").alias(f"_c{i}")
                 for i, (c, lo) in enumerate(zip(g, lows))]
 
-    on_box = [F.least(F.greatest(F.col(f"q_{c}"), F.lit(lo)), F.lit(hi)) for c, lo, hi in zip(g, lows, highs)]
-    away = sum(((F.col(f"q_{c}") - b) * (F.col(f"q_{c}") - b) for c, b in zip(g, on_box)), F.lit(0.0))
-    qs = qs.select("*", *[b.alias(f"_b_{c}") for c, b in zip(g, on_box)], away.alias("_away"))
+    inside = F.lit(True)
+    for c, lo, hi in zip(g, lows, highs):
+        inside = inside & F.col(f"q_{c}").between(lo, hi)
+    outside, qs = qs.where(~inside), qs.where(inside)
     # Density: training rows in each query's own cell at w0 -> extra halvings.
     occ = tr.groupBy(*cells("", w0)).agg(F.count(F.lit(1)).alias("_occ"))
-    qd = qs.select("*", *cells("_b_", w0)).join(occ, [f"_c{i}" for i in range(d)], "left")
+    qd = qs.select("*", *cells("q_", w0)).join(occ, [f"_c{i}" for i in range(d)], "left")
     halv = F.when(F.col("_occ") > F.lit(dense_factor * k),
                   F.ceil(F.log2(F.col("_occ") / F.lit(float(dense_factor * k))) / F.lit(float(d))))
     # _level: the cell width is w0 * 2^_level
@@ -461,22 +462,27 @@ def knn_regress(train: DataFrame, test: DataFrame, features: Sequence[str], labe
         width = w0 * 2.0 ** level
         active = pending.where(F.col("_level") == F.lit(level))
         cells_t = tr.select("*", *cells("", width))
-        cells_q = (active.select("*", nb, *[c.alias(f"_m{i}") for i, c in enumerate(cells("_b_", width))])
+        cells_q = (active.select("*", nb, *[c.alias(f"_m{i}") for i, c in enumerate(cells("q_", width))])
                    .select("*", *[(F.col(f"_m{i}") + F.col("_off")[i]).alias(f"_c{i}") for i in range(d)])
                    .drop("_off", *[f"_m{i}" for i in range(d)]))
         cand = cells_q.join(cells_t, [f"_c{i}" for i in range(d)]).select(
-            "_qid", "_tid", "_label", "_away", dist.alias("_d2"))
+            "_qid", "_tid", "_label", dist.alias("_d2"))
         w = Window.partitionBy("_qid").orderBy("_d2", "_tid")
         top = cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
         per = top.groupBy("_qid").agg(F.count(F.lit(1)).alias("_n"), F.max("_d2").alias("_kd2"),
-                                      F.first("_away").alias("_away"), F.avg("_label").alias("prediction"))
+                                      F.avg("_label").alias("prediction"))
         # From twice the box on, the cells around a query hold every row.
         done = per if width >= 2 * full else per.where(
-            (F.col("_n") == min(k, n)) & (F.col("_kd2") <= F.col("_away") + F.lit(width * width)))
+            (F.col("_n") == min(k, n)) & (F.col("_kd2") <= F.lit(width * width)))
         done = done.select("_qid", "prediction").checkpoint(eager=True)
         results.append(done)
         pending = (pending.join(done.select("_qid"), "_qid", "left_anti")
                    .withColumn("_level", F.greatest(F.col("_level"), F.lit(level + 1))).checkpoint(eager=True))
+    far = F.array(*[F.col(f"q_{c}") for c in feats]).alias("q")
+    outside = outside.select(F.col("_qid").alias("qid"), far).checkpoint(eager=True)
+    if not outside.isEmpty():
+        rows = tr.select(F.col("_tid").alias("tid"), F.array(*feats).alias("x"), F.col("_label").alias("label"))
+        results.append(predictions(nearest_rows(rows, outside, len(feats), k), k).toDF("_qid", "prediction"))
     out = nothing
     for res in results:
         out = out.unionByName(res)
