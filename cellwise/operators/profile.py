@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
-from functools import reduce
+from functools import lru_cache, reduce
 from operator import and_
 
 import numpy as np
@@ -215,41 +215,85 @@ def mean_curve(df: DataFrame, x: str, y: str, z: float = Z95) -> DataFrame:
 
 
 def _mix32(h: np.ndarray) -> np.ndarray:
-    """Finalising rounds of a 32-bit hash, on unsigned 64-bit numbers."""
-    low = np.uint64(0xFFFFFFFF)
-    h = h ^ (h >> np.uint64(16))
-    h = h * np.uint64(2246822507) & low
-    h = h ^ (h >> np.uint64(13))
-    h = h * np.uint64(3266489909) & low
-    return h ^ (h >> np.uint64(16))
+    """Finalising rounds of a 32-bit hash, on unsigned 32-bit numbers, in place."""
+    h ^= h >> np.uint32(16)
+    h *= np.uint32(2246822507)
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(3266489909)
+    h ^= h >> np.uint32(16)
+    return h
+
+
+def replicate_hashes(high: np.ndarray, low: np.ndarray, replicates: int) -> np.ndarray:
+    """32 bits per replicate (1 on) and row, from the row's hash halves."""
+    b = np.arange(1, replicates + 1, dtype=np.uint32)[:, None] * np.uint32(2654435769)
+    h = _mix32(b + high.astype(np.uint32))
+    h ^= low.astype(np.uint32)
+    return _mix32(h)
 
 
 def uniform_draws(high: np.ndarray, low: np.ndarray, replicates: int) -> np.ndarray:
     """A number in [0, 1) per replicate (1 on) and row, from the row's hash halves."""
-    b = np.arange(1, replicates + 1, dtype=np.uint64)[:, None] * np.uint64(2654435769)
-    return _mix32(_mix32(b + high.astype(np.uint64) & np.uint64(0xFFFFFFFF)) ^ low.astype(np.uint64)) / 4294967296.0
+    return replicate_hashes(high, low, replicates) / 4294967296.0
 
 
-def poisson_draws(n: int, u: np.ndarray) -> np.ndarray:
-    """Poisson(n) by inverse distribution function: the sum of n draws of
-    Poisson(1).  The table spans twelve deviations around n."""
+def _poisson_cdf(n: int) -> tuple[int, np.ndarray]:
+    """The least number of the table and the distribution function from it on;
+    the table spans twelve deviations around n."""
     span = 12 * math.sqrt(n) + 30
     k = np.arange(max(0, math.floor(n - span)), math.ceil(n + span) + 1)
     steps = math.log(n) - np.log(k[1:])
     first = k[0] * math.log(n) - n - math.lgamma(k[0] + 1)
-    cdf = np.cumsum(np.exp(first + np.concatenate([[0.0], np.cumsum(steps)])))
-    return k[0] + np.minimum(np.searchsorted(cdf, u, side="right"), len(k) - 1)
+    return int(k[0]), np.cumsum(np.exp(first + np.concatenate([[0.0], np.cumsum(steps)])))
+
+
+def poisson_draws(n: int, u: np.ndarray) -> np.ndarray:
+    """Poisson(n) by inverse distribution function: the sum of n draws of
+    Poisson(1)."""
+    least, cdf = _poisson_cdf(n)
+    return least + np.minimum(np.searchsorted(cdf, u, side="right"), len(cdf) - 1)
+
+
+@lru_cache(256)
+def _poisson_slots(n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per slot of equal leading bits: the number at its begin, the 32-bit hash
+    from which it is one more (past the slot if none), and whether it rises
+    again in the slot."""
+    least, cdf = _poisson_cdf(n)
+    # A power of two scales exactly, so hashes compare as their quotients do.
+    rises = np.ceil(cdf[:-1] * 4294967296.0).astype(np.int64)
+    begin = np.arange((1 << _SLOT_BITS) + 1, dtype=np.int64) << (32 - _SLOT_BITS)
+    at = np.searchsorted(rises, begin, side="right")
+    step = np.append(rises, 1 << 33)[at[:-1]]
+    end = np.minimum(step, begin[1:]) - 1
+    return (least + at[:-1]).astype(np.float64), end.astype(np.uint32), np.diff(at) > 1
+
+
+def hashed_poisson(n: int, h: np.ndarray) -> np.ndarray:
+    """:func:`poisson_draws` of h / 2^32 for 32-bit hashes, by table: most
+    slots hold at most one step of the distribution function."""
+    base, end, many = _poisson_slots(n)
+    slot = (h >> np.uint32(32 - _SLOT_BITS)).astype(np.intp)
+    out = base[slot]
+    out += h > end[slot]
+    if many.any():
+        rest = np.flatnonzero(many[slot.ravel()])
+        out.ravel()[rest] = poisson_draws(n, h.ravel()[rest] / 4294967296.0)
+    return out
 
 
-#: Cells (rows times replicates) of one numpy step, and the most copies of a
+#: Leading bits of a hash that a table of draws is read by.
+_SLOT_BITS = 12
+#: Cells (rows times replicates) of one numpy step, which stay in a core's
+#: cache, and the most copies of a
 #: row that one draw stands for.
-_DRAW_CELLS = 2_000_000
+_DRAW_CELLS = 100_000
 _DRAW_COPIES = 10_000_000
 
 
 def _replicate_sums(replicates: int):
     """Sums of weights and weighted values per run of equal x, a row each time
-    a run or the task ends; rows arrive sorted by x."""
+    a run or the task ends; rows arrive sorted by x, and by copies within it."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         x = weights = values = None
 
@@ -276,11 +320,12 @@ def _replicate_sums(replicates: int):
                 step = max(1, _DRAW_CELLS // replicates)
                 for c in range(a, b, step):
                     part = slice(c, min(b, c + step))
-                    u = uniform_draws(high[part], low[part], replicates)
-                    w = np.empty(u.shape)
-                    for copies in np.unique(n[part]).tolist():
+                    h = replicate_hashes(high[part], low[part], replicates)
+                    kinds = np.unique(n[part]).tolist()
+                    w = hashed_poisson(kinds[0], h) if len(kinds) == 1 else np.empty(h.shape)
+                    for copies in kinds if len(kinds) > 1 else ():
                         of = n[part] == copies
-                        w[:, of] = poisson_draws(copies, u[:, of])
+                        w[:, of] = hashed_poisson(copies, np.ascontiguousarray(h[:, of]))
                     weights += w.sum(axis=1)
                     values += w @ y[part]
         if x is not None:
@@ -312,7 +357,7 @@ def mean_curve_bootstrap(df: DataFrame, x: str, y: str, replicates: int = 1000,
         F.least(F.col("n") - F.col("part") * _DRAW_COPIES, F.lit(_DRAW_COPIES)).alias("n"),
         *[F.pmod(h + F.col("part") * 40503, F.lit(1 << 32)).alias(name) for h, name in zip(half, ("high", "low"))])
     kind = folded.schema["x"].dataType.simpleString()
-    sums = each.sortWithinPartitions("x").mapInArrow(
+    sums = each.sortWithinPartitions("x", "n").mapInArrow(
         _replicate_sums(replicates), f"x {kind}, w array<double>, wy array<double>")
     per = (sums.select("x", F.posexplode(F.arrays_zip("w", "wy")).alias("b", "s"))
            .groupBy("x", "b").agg(F.try_divide(F.sum("s.wy"), F.sum("s.w")).alias("m")))

@@ -138,3 +138,28 @@ def test_bootstrap_reproducible(spark):
     for x, lo, hi in a:
         m = df.where(F.col("x") == x).agg(F.avg("y")).first()[0]
         assert lo <= m <= hi
+
+
+def test_tabled_draws_equal_the_inverse_function():
+    """Draws by leading bits, where the table steps, in its tails and for
+    copies so many that a slot holds many steps."""
+    rng = np.random.default_rng(2)
+    h = np.concatenate([rng.integers(0, 1 << 32, 20_000), [0, 1, (1 << 32) - 1], np.arange(0, 1 << 32, 1 << 20),
+                        np.arange(0, 1 << 32, 1 << 20) - 1]).clip(0).astype(np.uint32)
+    for n in (1, 2, 3, 17, 60, 360, 40_000, 2_000_000):
+        edges = np.ceil(A._poisson_cdf(n)[1][:2000] * 4294967296.0).clip(1, (1 << 32) - 1).astype(np.uint32)
+        at = np.concatenate([h, edges, edges - np.uint32(1)])
+        assert (A.hashed_poisson(n, at) == A.poisson_draws(n, at / 4294967296.0)).all()
+
+
+def test_replicate_hashes_are_the_documented_ones():
+    def mix(v):
+        v ^= v >> 16
+        v = v * 2246822507 % (1 << 32)
+        v ^= v >> 13
+        v = v * 3266489909 % (1 << 32)
+        return v ^ v >> 16
+
+    high, low = np.array([0, 7, (1 << 32) - 1]), np.array([5, (1 << 32) - 1, 0])
+    got = A.replicate_hashes(high, low, 50)
+    assert all(got[b - 1, i] == mix(mix((b * 2654435769 + int(high[i])) % (1 << 32)) ^ int(low[i])) for b in range(1, 51) for i in range(3))
