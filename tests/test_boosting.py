@@ -1,6 +1,7 @@
 """Second-order boosting against a plain version that sorts and tries every cut."""
 
 import math
+import uuid
 from dataclasses import replace
 
 import numpy as np
@@ -178,10 +179,10 @@ def test_exact_tree_edges(spark):
 
 
 def jobs_of(spark, run):
-    sc = spark.sparkContext
-    sc.setJobGroup("boosting", "boosting")
+    sc, group = spark.sparkContext, uuid.uuid4().hex  # a group keeps the jobs of earlier calls
+    sc.setJobGroup(group, group)
     out = run()
-    jobs = len(sc.statusTracker().getJobIdsForGroup("boosting"))
+    jobs = len(sc.statusTracker().getJobIdsForGroup(group))
     sc.setJobGroup("", "")
     return out, jobs
 
