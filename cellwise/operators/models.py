@@ -11,11 +11,12 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from itertools import accumulate
 from typing import Any
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Bucketizer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -23,7 +24,6 @@ from pyspark.sql import functions as F
 
 from cellwise.config import GBM_PARAMETERS
 from cellwise.functions.expr import hash_u32
-from cellwise.functions.ranges import running_totals
 from cellwise.operators.boosting import DEPTH_WISE, LEAF_WISE, BoostedModel, Growth, fit_boosting, probabilities
 from cellwise.operators.knn import knn_by_pivots, nearest_rows, predictions
 from cellwise.operators.trees import ExactTree, fit_exact_tree
@@ -187,14 +187,28 @@ def predict_proba(model: PipelineModel, df: DataFrame, out: str = "probability")
 # Tree regressors (library defaults mapped to MLlib)
 # ---------------------------------------------------------------------------
 
+#: Fewer rows are not worth a task of their own.
+ROWS_PER_TASK = 20_000
+
+
 def _vec(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
     return VectorAssembler(inputCols=list(features), outputCol=out).transform(df)
 
 
+def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``df`` dealt over the cores if it lies in fewer tasks than it could fill:
+    a table in one small file is one task of every pass over it."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+    wanted = min(-(-sum(sizes) // rows_per_task), df.sparkSession.sparkContext.defaultParallelism)
+    return df.repartition(wanted) if wanted > len(sizes) else df
+
+
 def fit_rf_regressor(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
                      max_depth: int = 30, seed: int = 42, max_bins: int = 255) -> PipelineModel:
     """M4: forest of full-feature trees (bagging only, as the library default),
-    grown to MLlib's own depth limit."""
+    grown to MLlib's own depth limit.  MLlib draws each tree's rows by
+    partition, so other partitions give another, equally drawn, forest."""
+    df = spread(df)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
         RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
@@ -219,6 +233,7 @@ def fit_tree_regressor(df: DataFrame, features: Sequence[str], label: str, max_d
     ``max_bins`` takes MLlib's binned tree instead (to its depth cap)."""
     if max_bins is None:
         return fit_exact_tree(df, features, label, max_depth)
+    df = spread(df)
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(features), outputCol="features"),
         DecisionTreeRegressor(featuresCol="features", labelCol=label, maxDepth=30 if max_depth is None else max_depth,
@@ -272,28 +287,50 @@ def hashed_draws(spark: SparkSession, n: int, seed: int, round_no: int) -> DataF
                                  (hash_u32(seed, [F.lit(round_no), F.col("id")]) / float(1 << 32)).alias("u"))
 
 
+def in_order(rows: DataFrame, key_cols: Sequence[str], n: int) -> DataFrame:
+    """``rows`` (``n``) written once in the order of ``key_cols``, with their
+    place ``_at``: the bucket of the order (upper bits) and the place in it."""
+    buckets = max(1, min(-(-n // ROWS_PER_TASK), int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    keys = [*key_cols, "_tie"]
+    return (rows.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(buckets, *keys)
+            .sortWithinPartitions(*keys).drop("_tie").withColumn("_at", F.monotonically_increasing_id())
+            .checkpoint(eager=True))
+
+
 def resample(rows: DataFrame, draws: DataFrame, n: int, key_cols: Sequence[str] = (), weight: str = "_w") -> DataFrame:
     """``rows`` that are drawn, with how often (``_copies``): draws with
     replacement by weight, each draw the row whose share of the running total
     of weights (in the order of ``key_cols``) holds it.
 
-    Rows and draws meet by cells of the total: as many cells as rows, so a
-    light row lies in one or two of them and a heavy one in many, each with a
-    few draws.
+    Rows of :func:`in_order` come with their place; others are put in order
+    first.  The buckets' totals tell a draw its bucket, and inside of a bucket
+    rows and draws are sorted together: a row's draws are those from its own
+    place in the total to the next row's.
     """
-    placed = running_totals(rows.withColumn("_row", F.monotonically_increasing_id()), [], [*key_cols], [weight])
-    total = float(placed.agg(F.sum(weight)).first()[0] or 0.0)
-    if total <= 0.0:
-        return rows.withColumn("_copies", F.lit(0).cast("long")).limit(0)
-    width = total / max(n, 1)
-    low, high = F.col(f"cum_{weight}"), F.col(f"cum_{weight}") + F.col(weight)
-    spans = placed.where(F.col(weight) > 0).select(
-        "_row", low.alias("_low"), high.alias("_high"),
-        F.explode(F.sequence(F.floor(low / width), F.floor(high / width))).alias("_cell"))
-    hits = draws.select((F.col("u") * F.lit(total)).alias("_t")).withColumn("_cell", F.floor(F.col("_t") / width))
-    drawn = (spans.join(hits, "_cell").where((F.col("_low") <= F.col("_t")) & (F.col("_t") < F.col("_high")))
-             .groupBy("_row").agg(F.count(F.lit(1)).alias("_copies")))
-    return placed.join(drawn, "_row").drop("_row", f"cum_{weight}")
+    columns = rows.columns
+    if "_at" not in columns:
+        rows = in_order(rows, key_cols, n)
+    rows = rows.where(F.col(weight) > 0).withColumn("_bucket", F.shiftright("_at", 33))
+    sums = sorted(rows.groupBy("_bucket").agg(F.sum(weight)).collect())
+    if not sums:
+        return rows.select(*columns, F.lit(0).cast("long").alias("_copies")).limit(0)
+    ends = [*accumulate(float(w) for _, w in sums)]
+    starts = [0.0, *ends[:-1]]
+    buckets = F.broadcast(rows.sparkSession.createDataFrame(
+        [(float(i), b, t) for i, ((b, _), t) in enumerate(zip(sums, starts))], "_n double, _bucket long, _start double"))
+    before = Window.partitionBy("_bucket").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("_before", F.coalesce(F.sum(weight).over(before), F.lit(0.0))).join(buckets, "_bucket").select(
+        *rows.columns, (F.col("_start") + F.col("_before")).alias("_t"), F.lit(0).alias("_hit"))
+    hits = draws.select((F.col("u") * F.lit(ends[-1])).alias("_t"), F.lit(1).alias("_hit"))
+    hits = (Bucketizer(splits=[-math.inf, *starts[1:], math.inf], inputCol="_t", outputCol="_n").transform(hits)
+            if len(sums) > 1 else hits.withColumn("_n", F.lit(0.0)))
+    hits = hits.join(buckets, "_n").select("_t", "_hit", "_bucket")
+    # From the end of a bucket: the draws behind a row, less those behind the next row.
+    back = Window.partitionBy("_bucket").orderBy(F.desc("_t"), F.desc("_hit"), F.desc("_at"))
+    both = placed.unionByName(hits, allowMissingColumns=True).withColumn(
+        "_behind", F.sum("_hit").over(back.rowsBetween(Window.unboundedPreceding, 0))).where("_hit = 0")
+    copies = F.col("_behind") - F.lag("_behind", 1, 0).over(back)
+    return both.select(*columns, copies.alias("_copies")).where(F.col("_copies") > 0)
 
 
 def adaboost_round(x: DataFrame, n: int, seed: int, round_no: int, order: Sequence[str], max_depth: int = 3,
@@ -302,9 +339,10 @@ def adaboost_round(x: DataFrame, n: int, seed: int, round_no: int, order: Sequen
     ``order``): the tree, the drawn rows, all rows with the absolute error
     ``_e``, the largest error, the weighted mean error and the weights' sum."""
     sample = resample(x, hashed_draws(x.sparkSession, n, seed, round_no), n, order)
+    drawn = sample.select("_ab_features", "_y", F.col("_copies").cast("double").alias("_copies")).persist()
     tree = DecisionTreeRegressor(featuresCol="_ab_features", labelCol="_y", weightCol="_copies", maxDepth=max_depth,
-                                 maxBins=max_bins, predictionCol="_p").fit(
-        sample.withColumn("_copies", F.col("_copies").cast("double")))
+                                 maxBins=max_bins, predictionCol="_p").fit(drawn)
+    drawn.unpersist()
     scored = tree.transform(x).withColumn("_e", F.abs(F.col("_p") - F.col("_y")))
     st = scored.agg(F.max("_e").alias("m"), F.sum(F.col("_w") * F.col("_e")).alias("we"), F.sum("_w").alias("w")).first()
     total = float(st["w"])
@@ -320,15 +358,16 @@ def fit_adaboost_regressor(df: DataFrame, features: Sequence[str], label: str,
 
     Draws are a hash of the round, taken in the order of ``key_cols`` (else of
     features and label), so the result does not depend on the partitioning as
-    far as these tell rows apart.  Each round's rows are written by a reliable
-    checkpoint.
+    far as these tell rows apart.  The rows are put in that order once; each
+    round's weights are written by a reliable checkpoint.
     """
     order = [*key_cols] or [*features, label]
     marks = [f"_o{i}" for i in range(len(order))]
     x = _vec(df, features, "_ab_features").select(
         "_ab_features", F.col(label).cast("double").alias("_y"), *[F.col(c).alias(m) for c, m in zip(order, marks)],
-        F.lit(1.0).alias("_w")).checkpoint(eager=True)
+        F.lit(1.0).alias("_w"))
     n = x.count()
+    x = in_order(x, marks, n)
     model = AdaBoostR2Model(list(features))
     for i in range(n_estimators if n else 0):
         tree, _, scored, largest, mean_error, total = adaboost_round(x, n, seed, i, marks, max_depth, max_bins)
@@ -346,7 +385,7 @@ def fit_adaboost_regressor(df: DataFrame, features: Sequence[str], label: str,
         model.trees.append(tree)
         model.weights.append(learning_rate * math.log(1.0 / beta))
         if i < n_estimators - 1:
-            x = scored.select("_ab_features", "_y", *marks, next_weight(beta, largest, total, learning_rate).alias("_w")
+            x = scored.select("_ab_features", "_y", "_at", next_weight(beta, largest, total, learning_rate).alias("_w")
                               ).checkpoint(eager=True)
     return model
 

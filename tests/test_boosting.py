@@ -141,6 +141,33 @@ def test_draws_follow_the_weights(spark):
     assert M.resample(rows.limit(0), draws, n, ["k"]).count() == 0
 
 
+def test_adaboost_puts_rows_in_order_once(spark, monkeypatch):
+    """Buckets of few rows change no draw, and later rounds sort nothing anew."""
+    rows = spark.createDataFrame([(i, float(i % 13), float(i % 7 + i % 13)) for i in range(500)], "k long, x double, y double")
+    one = M.fit_adaboost_regressor(rows, ["x"], "y", n_estimators=3, max_depth=1, key_cols=["k"])
+    monkeypatch.setattr(M, "ROWS_PER_TASK", 80)
+    sorted_, real = [], M.in_order
+    monkeypatch.setattr(M, "in_order", lambda *a: sorted_.append(1) or real(*a))
+    many = M.fit_adaboost_regressor(rows, ["x"], "y", n_estimators=3, max_depth=1, key_cols=["k"])
+    assert len(sorted_) == 1 and len(many.trees) == 3
+    assert many.weights == pytest.approx(one.weights, rel=1e-9)
+    assert [t.toDebugString.split("\n")[1:] for t in many.trees] == [t.toDebugString.split("\n")[1:] for t in one.trees]
+    w = [0.0 if i // 80 in (0, 2) else 1.0 + i % 3 for i in range(500)]
+    weighed = spark.createDataFrame(list(enumerate(w)), "k long, _w double")
+    draws = M.hashed_draws(spark, 500, 5, 2)
+    got = {r["k"]: r["_copies"] for r in M.resample(weighed, draws, 500, ["k"]).collect()}
+    at = np.searchsorted(np.cumsum(w), np.array([r["u"] for r in draws.collect()]) * sum(w), side="right")
+    assert got == dict(zip(*[v.tolist() for v in np.unique(at, return_counts=True)]))
+
+
+def test_small_files_are_spread_over_the_cores(spark):
+    one = spark.range(1000).select(F.col("id").cast("double").alias("x")).coalesce(1)
+    cores = spark.sparkContext.defaultParallelism
+    assert M.spread(one, 10).rdd.getNumPartitions() == min(100, cores)
+    assert M.spread(one).rdd.getNumPartitions() == 1
+    assert M.spread(one, 10).count() == 1000 and M.spread(one.limit(0)).count() == 0
+
+
 def test_exact_tree_matches_a_plain_one(spark):
     """Grown out: every leaf's rows share their features (missing ones go right)."""
     x, y = table(7, 60)
