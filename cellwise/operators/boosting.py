@@ -552,8 +552,12 @@ def fit_boosting(df: DataFrame, features: Sequence[str], label: str, how: Growth
             sums = np.frombuffer(r["sums"]).reshape(len(codes), -1)
             return codes, np.frombuffer(r["n"]), sums, np.tile(np.array(base), (len(codes), 1))
 
-        # No more codes than the bins have combinations, whatever the rows.
+        # No more codes than the bins have combinations, whatever the rows;
+        # features that exclude each other have far fewer.
         combinations = math.prod(np.diff(offsets).tolist())
+        if FOLD_LEAST * combinations > total:
+            values = F.array(*[F.col(f"`{c}`").cast("double") for c in features])
+            combinations = min(combinations, rows.agg(F.approx_count_distinct(F.xxhash64(values), 0.02)).first()[0])
         fold = FOLD_LEAST * combinations <= total
         # Few rows in many small tasks would cost their start, every step.
         tasks = max(1, -(-(combinations if fold else total) // ROWS_PER_TASK))

@@ -1,30 +1,34 @@
 """Distributed model fitting and scoring.
 
 Boosting (M1, M6, M9, M10) is :mod:`cellwise.operators.boosting`, exact trees
-(M7) are :mod:`cellwise.operators.trees`; forests are MLlib's.  AdaBoost.R2 is
-a loop of MLlib trees on weighted resamples, and k-nearest-neighbours an exact
-join by grid cells or pivots.
+(M7) are :mod:`cellwise.operators.trees`, regression forests (M4)
+:mod:`cellwise.operators.forest`.  AdaBoost.R2 is a loop of MLlib trees on
+weighted resamples, and k-nearest-neighbours an exact join by grid cells or
+pivots.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, replace
 from itertools import accumulate
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, OneVsRest, RandomForestClassifier
 from pyspark.ml.feature import Bucketizer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor, RandomForestRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellwise.config import GBM_PARAMETERS
 from cellwise.functions.expr import hash_u32
 from cellwise.operators.boosting import DEPTH_WISE, LEAF_WISE, BoostedModel, Growth, fit_boosting, probabilities
+from cellwise.operators.forest import ForestModel, fit_forest
 from cellwise.operators.knn import knn_by_pivots, nearest_rows, predictions
 from cellwise.operators.trees import ExactTree, fit_exact_tree
 from cellwise.session import path_exists
@@ -204,15 +208,11 @@ def spread(df: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
 
 
 def fit_rf_regressor(df: DataFrame, features: Sequence[str], label: str, num_trees: int = 100,
-                     max_depth: int = 30, seed: int = 42, max_bins: int = 255) -> PipelineModel:
+                     max_depth: int = 30, seed: int = 42, max_bins: int = 255) -> ForestModel:
     """M4: forest of full-feature trees (bagging only, as the library default),
-    grown to MLlib's own depth limit.  MLlib draws each tree's rows by
-    partition, so other partitions give another, equally drawn, forest."""
-    df = spread(df)
-    return Pipeline(stages=[
-        VectorAssembler(inputCols=list(features), outputCol="features"),
-        RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=num_trees, maxDepth=max_depth,
-                              maxBins=max_bins, featureSubsetStrategy="all", seed=seed)]).fit(df)
+    grown to MLlib's depth limit; bags follow the rows' values, not their
+    partitions."""
+    return fit_forest(df, features, label, num_trees, max_depth, seed, max_bins)
 
 
 #: The published defaults of plain gradient boosting: no L2, depth 3, rate 0.1.
@@ -556,14 +556,21 @@ def compare_models(train: DataFrame, test: DataFrame, features: Sequence[str], l
     names = list(models or [*REGRESSORS, "KNN"])
     tr = train.persist()
     scored, marks = test.select(id_col, label, *features), {n: f"_yhat_{n}" for n in names}
-    for name in names:
+
+    def fit(name: str):
+        if name == "KNN":
+            return knn_regress(tr, test, features, label, id_col, id_col, k=knn_k)
+        return REGRESSORS[name](tr, features, label, **dict((params or {}).get(name, {})))
+
+    # The fits are independent, and most wait for many small jobs.
+    with ThreadPoolExecutor(max(1, len(names))) as pool:
+        fitted = [pool.submit(inheritable_thread_target(train.sparkSession)(fit), name) for name in names]
+    for name, done in zip(names, fitted):
         if name == "KNN":
-            pred = knn_regress(tr, test, features, label, id_col, id_col, k=knn_k)
-            scored = scored.join(pred.withColumnRenamed("prediction", marks[name]), id_col)
+            scored = scored.join(done.result().withColumnRenamed("prediction", marks[name]), id_col)
         else:
-            m = REGRESSORS[name](tr, features, label, **dict((params or {}).get(name, {})))
             kept = [F.col(f"`{c}`") for c in scored.columns]
-            scored = m.transform(scored).select(*kept, F.col("prediction").alias(marks[name]))
+            scored = done.result().transform(scored).select(*kept, F.col("prediction").alias(marks[name]))
     # Every fit has run (kNN rounds are materialised): the scored frame only
     # needs the test rows and the fitted models, so the cached train set goes.
     tr.unpersist()
