@@ -260,3 +260,45 @@ def test_masks_find_the_leaves_that_walking_finds(spark):
             walked = walked + np.array(t.value)[t.leaf_of(codes, missing)]
         assert (model.margins(columns)[:, 0] == walked).all()
         assert (B.leaf_masks([t for (t,) in model.trees], missing) is None) == any(t.feature.count(-1) > 64 for (t,) in model.trees)
+
+
+def test_rows_walk_by_joint_codes_as_by_each(spark):
+    """Features that share a code: the same leaves and the same sums per bin."""
+    rng = np.random.default_rng(3)
+    sizes = np.array([4, 9, 3, 5])
+    offsets, codes = np.concatenate([[0], np.cumsum(sizes)]), np.stack([rng.integers(0, s, 700) for s in sizes], axis=1)
+    g, n = rng.normal(size=(700, 1)), rng.integers(1, 4, 700).astype(float)
+    tree = B.Tree()
+    left, right = tree.split(0, 1, 3, True)
+    tree.split(left, 0, 1, False)
+    tree.split(tree.split(right, 3, 2, True)[0], 2, 0, False)
+    leaf = tree.leaf_of(codes, sizes - 1)
+    for largest in (0, 15, 60, 1000):
+        joint = B._Joint(offsets, largest)
+        packed = joint.encode(codes)
+        assert (joint.walk(tree, packed, np.zeros(700, dtype=np.int64)) == leaf).all()
+        half = joint.walk(tree, packed, np.where(codes[:, 1] <= 3, left, 0))
+        assert (half == leaf)[codes[:, 1] <= 3].all()
+        nodes = sorted(set(leaf.tolist()))[:3]
+        block = packed, n, -g, np.zeros((700, 1))
+        got = B._by_node(B._partial(block, [tree], [nodes], joint, 0), [nodes], int(offsets[-1]))[0]
+        for m in nodes:
+            for f, a in enumerate(offsets[:-1]):
+                for c in range(sizes[f]):
+                    hit = (leaf == m) & (codes[:, f] == c)
+                    assert np.allclose(got[m][a + c], [g[hit].sum(), n[hit].sum(), n[hit].sum()], atol=1e-12)
+
+
+def test_levels_give_the_best_first_tree(spark, monkeypatch):
+    """Searched by levels or best first, from one sibling's sums or from both."""
+    x, y = table(15, 300)
+    how = replace(B.LEAF_WISE, rounds=4, max_leaves=7, max_depth=4, min_rows=3)
+    by_level = B.fit_boosting(frame(spark, x, y), ["a", "b", "c"], "y", how)
+    monkeypatch.setattr(B, "LEVEL_LEAVES", 0)
+    best_first = B.fit_boosting(frame(spark, x, y), ["a", "b", "c"], "y", how)
+    m = np.full(len(y), y.mean())
+    for _ in range(how.rounds):
+        m = m + plain_tree(x, m - y, np.ones(len(y)), how)
+    columns = [x[:, f] for f in range(3)]
+    for model in (by_level, best_first):
+        assert np.allclose(model.margins(columns)[:, 0], m, atol=1e-9)

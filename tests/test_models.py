@@ -198,3 +198,24 @@ def test_knn_outside_queries_take_no_rounds(spark):
     for i, a, b in far:
         best = sorted(train, key=lambda t: ((a - t[1]) * (a - t[1]) + (b - t[2]) * (b - t[2]), t[0]))[:3]
         assert abs(got[i] - sum(t[3] for t in best) / 3) < 1e-9
+
+
+def test_registered_classifier_is_fitted_on_all_rows(spark, tmp_path, monkeypatch):
+    """Rows in the thousands, of which none is left out of the fit."""
+    from cellwise.operators.split import hash_split, split_frames
+    from cellwise.plans import catalog_models as C
+    from cellwise.plans.catalog import prepared_lineitem
+
+    k = F.col("id")
+    spark.range(6_000).select(
+        (k / 4).cast("long").alias("l_orderkey"), (k % 4 + 1).cast("int").alias("l_linenumber"), (k % 50).cast("double").alias("l_quantity"),
+        (k * 7 % 1000 / 4.0).alias("l_extendedprice"), (k % 11 / 100.0).alias("l_discount"), (k % 9 / 100.0).alias("l_tax"),
+        F.when(k % 2 == 0, "O").otherwise("F").alias("l_linestatus"), F.lit("N").alias("l_returnflag"),
+        F.lit("1995-01-01").cast("date").alias("l_shipdate")).write.parquet(f"{tmp_path}/lineitem.parquet")
+    train, test = split_frames(hash_split(prepared_lineitem(spark, str(tmp_path)), ["order_key"], 0.2, 42))
+    assert train.count() > 3_000
+    seen, real = [], M.fit_boosting
+    monkeypatch.setattr(M, "fit_boosting", lambda rows, *a: seen.append(rows.count()) or real(rows, *a))
+    monkeypatch.setattr(C, "GBM_PARAMETERS", {"learning_rate": 0.1, "n_estimators": 2, "max_depth": 3})
+    assert C.classifier_facts_lineitem(spark, str(tmp_path)).where("sums_to_one and is_argmax and is_class").count() == test.count()
+    assert seen == [train.count()]
